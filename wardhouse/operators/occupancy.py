@@ -77,8 +77,8 @@ def taken_days(
 def day_grid(places: DataFrame, place: str, days: DataFrame, taken: DataFrame) -> DataFrame:
     """Every place on every calendar day, with ``report_date`` and ``is_taken`` 0/1."""
     by_month = places.withColumn("_calendar", days.scalar()).select(
-        *places.columns, F.inline("_calendar").alias("_month", "_days")
-    )
+        *places.columns, F.inline_outer("_calendar").alias("_month", "_days")
+    ).filter("_month IS NOT NULL")
     masks = taken.select(
         F.col("place").alias(place), F.col("month").alias("_month"), F.col("taken").alias("_taken")
     )

@@ -58,13 +58,27 @@ def check_rows(
     ``describe`` also fills ``rej_dsc``; otherwise it stays NULL.
     """
     note = reject_note(rules) if describe else F.lit(None).cast("string")
-    tagged = df.withColumn("rej_cod", reject_code(rules)).select(
-        *df.columns,
-        F.when(F.col("rej_cod").isNull(), OK).otherwise(REJ).alias("wrk_stts_cd"),
-        "rej_cod",
-        note.alias("rej_dsc"),
+    coded = df.withColumn("rej_cod", reject_code(rules))
+    status = F.when(F.col("rej_cod").isNull(), OK).otherwise(REJ)
+    return _finish(coded, df.columns, status, F.col("rej_cod"), note, batch_dt, exec_id)
+
+
+def _finish(
+    rows: DataFrame,
+    columns: Sequence[str],
+    status: Column,
+    code: Column,
+    note: Column,
+    batch_dt: date,
+    exec_id: int,
+) -> DataFrame:
+    return stamp(
+        rows.select(
+            *columns, status.alias("wrk_stts_cd"), code.alias("rej_cod"), note.alias("rej_dsc")
+        ),
+        batch_dt,
+        exec_id,
     )
-    return stamp(tagged, batch_dt, exec_id)
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -90,8 +104,15 @@ def gate(
     never enters the shuffle on the key, so a large share of rejects (all with
     a NULL key, say) cannot pile up in one task.
     """
-    tagged = check_rows(df, rules, batch_dt, exec_id, describe)
-    return latest_per_key(accepted(tagged), keys, latest_by).unionByName(rejected(tagged))
+    code = reject_code(rules)
+    none = F.lit(None).cast("string")
+    kept = latest_per_key(df.filter(code.isNull()), keys, latest_by)
+    passed = _finish(kept, df.columns, F.lit(OK), none, none, batch_dt, exec_id)
+    # Literal statuses let Spark drop a whole half under a filter on the status.
+    note = reject_note(rules) if describe else none
+    broken = df.filter(code.isNotNull())
+    failed = _finish(broken, df.columns, F.lit(REJ), code, note, batch_dt, exec_id)
+    return passed.unionByName(failed)
 
 
 def reject_breakdown(tables: dict[str, DataFrame]) -> DataFrame:
