@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wardhouse.contracts import TABLES, Table, table
 from wardhouse.operators.load import typed, upsert
+from wardhouse.operators.quality import NO_EXEC
 from wardhouse.operators.rejects import reject_rates, require_promotion
 from wardhouse.plans import assertions
 from wardhouse.plans.audit import RunLog
@@ -19,7 +20,7 @@ from wardhouse.plans.kpis import build_views
 from wardhouse.plans.marts import build_marts
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
-from wardhouse.sources.archive import archived, write_archive
+from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import read_batch, require_contract
 from wardhouse.sources.warehouse import OBS, SOC, STG, TCH, WRK, Warehouse, utc_now
 
@@ -36,33 +37,49 @@ class LoadResult:
     duration_seconds: float
 
 
+def land(
+    wh: Warehouse, contract: Table, raw: DataFrame, day: date, exec_id: int | None = None
+) -> tuple[DataFrame, int]:
+    """Archive the typed rows of a batch; returns them as read back, and their count.
+
+    The text is parsed once. Everything after reads the archived columns.
+    """
+    seen = Observation()
+    path = wh.path(OBS, contract.name)
+    rows = typed(raw, contract).observe(seen, F.count("*").alias("n"))
+    write_archive(archived(rows, day, utc_now(), NO_EXEC if exec_id is None else exec_id), path)
+    return replay(wh.spark, path, day), seen.get["n"]
+
+
 def load_rows(
     wh: Warehouse, contract: Table, raw: DataFrame, day: date, exec_id: int | None = None
 ) -> LoadResult:
     """Reload or upsert one loaded table from the text rows of a batch."""
     started = time.perf_counter()
-    read = Observation()
-    batch = typed(raw, contract).observe(read, F.count("*").alias("n"))
-    if contract.load == "full" or not wh.exists(STG, contract.name):
-        if contract.load == "full":
-            affected = wh.write(batch, STG, contract.name, day, exec_id)
-            n_read = affected
-        else:
-            empty = wh.spark.createDataFrame([], batch.schema)
-            n_read, affected = _merge(wh, contract, empty, batch, read, day, exec_id)
+    batch, n_read = land(wh, contract, raw, day, exec_id)
+    if contract.load == "full":
+        n_affected = wh.write(batch, STG, contract.name, day, exec_id)
     else:
-        target = wh.read(STG, contract.name)
-        n_read, affected = _merge(wh, contract, target, batch, read, day, exec_id)
+        updates, inserts = Observation(), Observation()
+        known = wh.exists(STG, contract.name)
+        target = wh.read(STG, contract.name) if known else batch.limit(0)
+        merged = upsert(target, batch, contract.keys, contract.guard, updates, inserts)
+        wh.write(merged, STG, contract.name, day, exec_id)
+        n_affected = updates.get["n"] + inserts.get["n"]
     return LoadResult(
-        contract.name, contract.load, n_read, affected, 0, time.perf_counter() - started
+        contract.name, contract.load, n_read, n_affected, 0, time.perf_counter() - started
     )
 
 
-def _merge(wh, contract, target, batch, read, day, exec_id) -> tuple[int, int]:
-    updates, inserts = Observation(), Observation()
-    merged = upsert(target, batch, contract.keys, contract.guard, updates, inserts)
-    wh.write(merged, STG, contract.name, day, exec_id)
-    return read.get["n"], updates.get["n"] + inserts.get["n"]
+def reload_from_archive(
+    wh: Warehouse, name: str, day: date, exec_id: int | None = None
+) -> int:
+    """Load a past batch again from the archive, without its files."""
+    contract = table(name)
+    batch = replay(wh.spark, wh.path(OBS, name), day)
+    if contract.load != "full" and wh.exists(STG, name):
+        batch = upsert(wh.read(STG, name), batch, contract.keys, contract.guard)
+    return wh.write(batch, STG, name, day, exec_id)
 
 
 def ingest_table(
@@ -87,11 +104,12 @@ def replay_batches(wh: Warehouse, inputs: str, days: Iterable[date]) -> list[Loa
     return [r for day in sorted(days) for r in ingest_batch(wh, inputs, day)]
 
 
-def archive_batch(wh: Warehouse, inputs: str, day: date, exec_id: int) -> None:
-    """Keep the typed rows of a batch as received."""
-    for name, contract in TABLES.items():
-        rows = typed(read_batch(wh.spark, inputs, day, name), contract)
-        write_archive(archived(rows, day, utc_now(), exec_id), wh.path(OBS, name))
+def purge_archive(wh: Warehouse, as_of: date) -> dict[str, list[date]]:
+    """Drop archived batches past each table's retention; the dates dropped."""
+    return {
+        name: purge(wh.spark, wh.path(OBS, name), as_of, contract.retention_months)
+        for name, contract in TABLES.items()
+    }
 
 
 def staged_tables(wh: Warehouse) -> dict[str, DataFrame]:
