@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardhouse.contracts import table
+from wardhouse.contracts import Table
 from wardhouse.plans.daily import load_rows
 from wardhouse.sources.batch_files import (
     CSV_OPTIONS,
@@ -20,7 +20,7 @@ from wardhouse.sources.warehouse import Warehouse
 
 
 def follow(
-    wh: Warehouse, inputs: str, name: str, checkpoint: str, multiline: bool = False
+    wh: Warehouse, inputs: str, contract: Table, checkpoint: str, multiline: bool = False
 ) -> StreamingQuery:
     """Load every new extract of one table, oldest batch first, then stop.
 
@@ -30,12 +30,11 @@ def follow(
     replaces, an upsert of the same rows changes nothing. Files must have the
     contract's header order; another header fails the scan.
     """
-    contract = table(name)
     arriving = (
         wh.spark.readStream.schema(text_schema(contract.header))
         .options(**CSV_OPTIONS)
         .option("multiLine", str(multiline).lower())
-        .csv(batch_glob(inputs, name))
+        .csv(batch_glob(inputs, contract.name))
         .select("*", batch_date_of_path().alias("_batch_dt"))
     )
 
