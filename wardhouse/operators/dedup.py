@@ -56,18 +56,13 @@ def any_null(names: Sequence[str]) -> Column:
 def superseded(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """Every row :func:`latest_per_key` drops, with ``copies``, how often it occurs.
 
-    Equal rows are counted first, then the kept version of each key is taken
-    off by a join on all columns. Both steps shuffle on whole rows, so neither
-    a key with many versions nor a row with many copies lands in one task.
+    All rows count one, the kept row of each key counts minus one, and equal
+    rows are summed. The sum groups on whole rows and starts before the shuffle,
+    so neither a key with many versions nor a row with many copies lands in one
+    task.
     """
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("copies"))
-    kept = latest_per_key(df, keys, latest_by).withColumn("_kept", F.lit(1)).alias("k")
-    same = reduce(
-        lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in columns]
+    kept = latest_per_key(df, keys, latest_by)
+    counted = df.withColumn("_n", F.lit(1)).unionByName(kept.withColumn("_n", F.lit(-1)))
+    return (
+        counted.groupBy(*df.columns).agg(F.sum("_n").alias("copies")).filter("copies > 0")
     )
-    left = counted.alias("r").join(kept, same, "left")
-    return left.select(
-        *[F.col(f"r.{c}") for c in columns],
-        (F.col("r.copies") - F.coalesce("k._kept", F.lit(0))).alias("copies"),
-    ).filter("copies > 0")

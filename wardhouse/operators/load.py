@@ -18,10 +18,9 @@ def typed(raw: DataFrame, table: Table) -> DataFrame:
 
 
 def latest_in_batch(batch: DataFrame, keys: Sequence[str], guard: str | None = None) -> DataFrame:
-    """One row per key of a batch; rows without a full key all stay."""
+    """One row per key of a batch: the greatest guard value, or any fixed choice."""
     order = [f"{guard} DESC NULLS LAST"] if guard else []
-    keyed = latest_per_key(batch.filter(~any_null(keys)), keys, order)
-    return keyed.unionByName(batch.filter(any_null(keys)))
+    return latest_per_key(batch.filter(~any_null(keys)), keys, order)
 
 
 def upsert(
@@ -44,13 +43,17 @@ def upsert(
     Two joins rather than one full outer join: the target is then always the
     streamed side of a left join against a batch with unique keys. Spark can
     broadcast a small batch without moving the target, and can split a hot key
-    of the target otherwise; neither is possible in a full outer join.
+    of the target otherwise; neither is possible in a full outer join. Rows
+    with a NULL key go around the joins, where they would share one task.
     """
-    source = latest_in_batch(batch, keys, guard)
     columns = target.columns
     others = [c for c in columns if c not in keys]
+    source = latest_in_batch(batch, keys, guard).select(*columns)
+    loose_batch = batch.filter(any_null(keys)).select(*columns)
+    loose_target = target.filter(any_null(keys))
+    target = target.filter(~any_null(keys))
 
-    keyed = source.filter(~any_null(keys)).select(
+    keyed = source.select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_matched")
     )
     takes = F.col("_matched").isNotNull()
@@ -66,14 +69,18 @@ def upsert(
             for c in columns
         ]
     )
-    added = new_rows(target, source, keys).select(*columns)
+    added = new_rows(target, source, keys).unionByName(loose_batch)
     if inserts is not None:
         added = added.observe(inserts, F.count("*").alias("n"))
-    return updated.unionByName(added)
+    return updated.unionByName(loose_target).unionByName(added)
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows whose key the target does not hold."""
+    """Batch rows whose key the target does not hold.
+
+    The target's keys are first cut down to those the batch names, so that a
+    small batch never waits for a shuffle of the target.
+    """
     wanted = source.select(*keys)
     held = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
     return source.join(held, list(keys), "left_anti")
@@ -84,20 +91,25 @@ def upsert_counts(
 ) -> DataFrame:
     """What an upsert would do, as one row: read, inserted, updated, kept."""
     source = latest_in_batch(batch, keys, guard)
-    old = target.select(*keys, *([F.col(guard).alias("_old")] if guard else [])).withColumn(
+    guarded = [guard] if guard else []
+    old = target.select(*keys, *[F.col(g).alias("_old") for g in guarded]).withColumn(
         "_held", F.lit(True)
     )
-    joined = source.select(*keys, *([guard] if guard else [])).join(old, list(keys), "left")
+    joined = source.select(*keys, *guarded).join(old, list(keys), "left")
     held = F.col("_held").isNotNull()
     takes = held & F.coalesce(F.col(guard) > F.col("_old"), F.lit(False)) if guard else held
-    return joined.agg(
-        F.count_if(~held).alias("inserted_rows"),
+    done = joined.agg(
+        F.count_if(~held).alias("_new"),
         F.count_if(takes).alias("updated_rows"),
         F.count_if(held & ~takes).alias("kept_rows"),
-    ).select(
-        batch.agg(F.count("*")).scalar().alias("read_rows"),
-        (F.col("inserted_rows") + F.col("updated_rows")).alias("affected_rows"),
-        "inserted_rows",
+    )
+    rows = batch.agg(
+        F.struct(F.count("*").alias("n"), F.count_if(any_null(keys)).alias("loose"))
+    ).scalar()
+    return done.withColumn("_batch", rows).select(
+        F.col("_batch.n").alias("read_rows"),
+        (F.col("_new") + F.col("_batch.loose") + F.col("updated_rows")).alias("affected_rows"),
+        (F.col("_new") + F.col("_batch.loose")).alias("inserted_rows"),
         "updated_rows",
         "kept_rows",
     )

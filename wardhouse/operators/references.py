@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardhouse.contracts import FK_NOT_FOUND, Reference
-from wardhouse.operators.quality import OK, REJ, accepted
+from wardhouse.operators.dedup import any_null
+from wardhouse.operators.quality import OK, REJ, accepted, rejected
 
 
 def check_references(
@@ -17,9 +18,13 @@ def check_references(
     """Reject accepted rows that name a parent which is not there.
 
     ``parents`` holds the gated tables; only their accepted rows count, and only
-    those meeting the reference's filter. Rows rejected before keep their code.
+    those meeting the reference's filter. A NULL foreign key names no parent.
+    Rows rejected before keep their code and stay out of the joins, where the
+    NULL keys among them would share one task.
     """
     columns = rows.columns
+    checked = accepted(rows)
+    lost = F.lit(None).cast("string")
     for n, ref in enumerate(references):
         parent = accepted(parents[ref.parent])
         if ref.parent_filter:
@@ -29,20 +34,21 @@ def check_references(
             .distinct()
             .withColumn(f"_held{n}", F.lit(True))
         )
-        rows = rows.join(held, list(ref.columns), "left")
-    lost = F.lit(None).cast("string")
+        checked = checked.join(held, list(ref.columns), "left")
     for n, ref in reversed(list(enumerate(references))):
-        lost = F.when(F.col(f"_held{n}").isNull(), F.lit(", ".join(ref.columns))).otherwise(lost)
-    rows = rows.withColumn("_lost", F.when(F.col("wrk_stts_cd") == OK, lost))
+        missing = F.col(f"_held{n}").isNull() & ~any_null(ref.columns)
+        lost = F.when(missing, F.lit(", ".join(ref.columns))).otherwise(lost)
+    checked = checked.withColumn("_lost", lost)
     found = F.col("_lost").isNull()
     changed = {
-        "wrk_stts_cd": F.when(found, F.col("wrk_stts_cd")).otherwise(REJ),
-        "rej_cod": F.when(found, F.col("rej_cod")).otherwise(FK_NOT_FOUND),
-        "rej_dsc": F.when(found, F.col("rej_dsc")).otherwise(
-            F.concat(F.lit("no parent for "), F.col("_lost"))
-        ),
+        "wrk_stts_cd": F.when(found, OK).otherwise(REJ),
+        "rej_cod": F.when(~found, FK_NOT_FOUND),
+        "rej_dsc": F.concat(F.lit("no parent for "), F.col("_lost")),
     }
-    return rows.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in columns])
+    checked = checked.select(
+        *[changed[c].alias(c) if c in changed else F.col(c) for c in columns]
+    )
+    return checked.unionByName(rejected(rows))
 
 
 def look_up(

@@ -113,39 +113,39 @@ def purge_archive(wh: Warehouse, as_of: date) -> dict[str, list[date]]:
 
 
 def staged_tables(wh: Warehouse) -> dict[str, DataFrame]:
-    return {name: stage(wh.read(STG, name), contract) for name, contract in TABLES.items()}
+    return {name: stage(df, TABLES[name]) for name, df in wh.read_all(STG, TABLES).items()}
 
 
 def build_work(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     """Gate all staged tables and write the work layer."""
     for name, staged in staged_tables(wh).items():
         wh.write(work(staged, TABLES[name], day, exec_id), WRK, name, day, exec_id)
-    return {name: wh.read(WRK, name) for name in TABLES}
+    return wh.read_all(WRK, TABLES)
 
 
 def build_star(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     """Write the ten marts from the work layer."""
-    marts = build_marts({name: wh.read(WRK, name) for name in TABLES})
+    marts = build_marts(wh.read_all(WRK, TABLES))
     for name, mart in marts.items():
         wh.write(mart, SOC, name, day, exec_id)
-    return {name: wh.read(SOC, name) for name in marts}
+    return wh.read_all(SOC, marts)
 
 
 def views(wh: Warehouse) -> dict[str, DataFrame]:
     """The indicator views over the current marts. Nothing is written."""
-    return build_views({name: wh.read(SOC, name) for name in assertions.MARTS})
+    return build_views(wh.read_all(SOC, assertions.MARTS))
 
 
 def check_warehouse(
     wh: Warehouse, layers: Sequence[str] = ("loaded", "staged", "work", "marts", "views")
 ) -> DataFrame:
     """Failing checks of the given layers."""
-    marts = {name: wh.read(SOC, name) for name in assertions.MARTS}
+    marts = wh.read_all(SOC, assertions.MARTS)
     tables = {
-        "loaded": lambda: {name: wh.read(STG, name) for name in TABLES},
-        "declared": lambda: {name: wh.read(STG, name) for name in TABLES},
+        "loaded": lambda: wh.read_all(STG, TABLES),
+        "declared": lambda: wh.read_all(STG, TABLES),
         "staged": lambda: staged_tables(wh),
-        "work": lambda: {name: wh.read(WRK, name) for name in TABLES},
+        "work": lambda: wh.read_all(WRK, TABLES),
         "marts": lambda: marts,
         "views": lambda: build_views(marts),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -42,6 +43,10 @@ class Warehouse:
     spark: SparkSession
     root: str
 
+    def __post_init__(self) -> None:
+        none = self.spark.createDataFrame([], _LOG)
+        none.write.mode("ignore").parquet(self._log_path)
+
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
@@ -50,25 +55,33 @@ class Warehouse:
         return self.path("_snapshots")
 
     def _log(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], _LOG)
-        empty.write.mode("ignore").parquet(self._log_path)
         return self.spark.read.schema(_LOG).parquet(self._log_path)
 
-    def _current(self, layer: str, name: str):
-        wanted = (F.col("layer") == layer) & (F.col("name") == name)
-        return self._log().filter(wanted).agg(
-            F.max_by(F.struct("version", "path"), "version").alias("s")
-        ).first()["s"]
+    def _current(self, layer: str) -> dict:
+        """Version and path of every table of a layer: one row per table name."""
+        latest = (
+            self._log()
+            .filter(F.col("layer") == layer)
+            .groupBy("name")
+            .agg(F.max_by(F.struct("version", "path"), "version").alias("s"))
+        )
+        return {row["name"]: row["s"] for row in latest.collect()}
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._current(layer, name) is not None
+        return name in self._current(layer)
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The current snapshot; ``LookupError`` if the table was never written."""
-        current = self._current(layer, name)
-        if current is None:
-            raise LookupError(f"no snapshot of {layer}.{name} under {self.root}")
-        return self.spark.read.parquet(self.path(current["path"]))
+        return self.read_all(layer, [name])[name]
+
+    def read_all(self, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Current snapshots of several tables of a layer."""
+        current, out = self._current(layer), {}
+        for name in names:
+            if name not in current:
+                raise LookupError(f"no snapshot of {layer}.{name} under {self.root}")
+            out[name] = self.spark.read.parquet(self.path(current[name]["path"]))
+        return out
 
     def write(
         self,
@@ -79,7 +92,7 @@ class Warehouse:
         exec_id: int | None = None,
     ) -> int:
         """Write the next snapshot and make it current. Returns its row count."""
-        current = self._current(layer, name)
+        current = self._current(layer).get(name)
         version = (current["version"] if current else 0) + 1
         path = f"{layer}/{name}/v{version:06d}"
         seen = Observation()

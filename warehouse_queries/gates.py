@@ -66,7 +66,7 @@ ORACLE = {f"qc_{name}": _qc_sql(name, _DECIMALS.get(name, ())) for name in _TABL
 def staging_projection(spark, sf_dir):
     """Loaded CONSULTATION columns under staging names and types."""
     events = S.read(spark, sf_dir, "events")
-    loaded = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint")).selectExpr(
+    loaded = events.withColumn("k", S.number_in_props()).selectExpr(
         "event_id AS ID_CONSULT",
         "k AS ID_PERSONNEL",
         "user_id AS ID_PATIENT",
