@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardhouse.contracts import FK_NOT_FOUND, Reference
 from wardhouse.operators.dedup import any_null
+from wardhouse.operators.joins import join_dimension
 from wardhouse.operators.quality import OK, REJ, accepted, rejected
 
 
@@ -18,7 +19,8 @@ def check_references(
     """Reject accepted rows that name a parent which is not there.
 
     ``parents`` holds the gated tables; only their accepted rows count, and only
-    those meeting the reference's filter. A NULL foreign key names no parent.
+    those meeting the reference's filter. The parent columns are the parent's
+    key. A NULL foreign key names no parent.
     Rows rejected before keep their code and stay out of the joins, where the
     NULL keys among them would share one task.
     """
@@ -31,10 +33,9 @@ def check_references(
             parent = parent.filter(ref.parent_filter)
         held = (
             parent.select(*[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)])
-            .distinct()
             .withColumn(f"_held{n}", F.lit(True))
         )
-        checked = checked.join(held, list(ref.columns), "left")
+        checked = join_dimension(checked, held, ref.columns, "left", hot_in=accepted(rows))
     for n, ref in reversed(list(enumerate(references))):
         missing = F.col(f"_held{n}").isNull() & ~any_null(ref.columns)
         lost = F.when(missing, F.lit(", ".join(ref.columns))).otherwise(lost)
@@ -58,10 +59,14 @@ def look_up(
     table_columns: Sequence[str],
     surrogate: str,
     name: str,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the surrogate key a business key stands for; NULL where it is unknown."""
+    """Add the surrogate key a business key stands for; NULL where it is unknown.
+
+    The business key is unique in the table.
+    """
     keys = table.select(
         *[F.col(t).alias(c) for c, t in zip(columns, table_columns)],
         F.col(surrogate).alias(name),
     )
-    return rows.join(keys, list(columns), "left")
+    return join_dimension(rows, keys, columns, "left", hot_in=hot_in)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardhouse.operators.joins import join_dimension
 from wardhouse.sources.warehouse import utc_now
 
 # Statuses and run types.
@@ -65,10 +66,15 @@ def step_state(events: DataFrame) -> DataFrame:
 
 
 def lineage(rows: DataFrame, steps: DataFrame, runs: DataFrame) -> DataFrame:
-    """Rows with the step that wrote them and the run it belongs to."""
-    return rows.join(
-        steps.select("exec_id", "run_id", "scrpt_name", "exec_strt_dttm"), "exec_id"
-    ).join(runs.select("run_id", "run_strt_dttm", "run_stts_cd"), "run_id")
+    """Rows with the step that wrote them and the run it belongs to.
+
+    Steps and runs are joined first. Most rows of a table carry the few
+    execution ids of its last loads, so those ids are hot.
+    """
+    known = steps.select("exec_id", "run_id", "scrpt_name", "exec_strt_dttm").join(
+        runs.select("run_id", "run_strt_dttm", "run_stts_cd"), "run_id"
+    )
+    return join_dimension(rows, known, ["exec_id"])
 
 
 @dataclass

@@ -114,7 +114,8 @@ def o_cons(wrk_consultation: DataFrame, r_part: DataFrame) -> DataFrame:
         "part_id", "stff_id",
     )
     rows = look_up(
-        rows, ["patient_id"], patient_parties(r_part), ["src_id"], "part_id", "patn_id"
+        rows, ["patient_id"], patient_parties(r_part), ["src_id"], "part_id", "patn_id",
+        hot_in=accepted(wrk_consultation),
     )
     return rows.select(
         F.col("consultation_id").alias("cons_id"),

@@ -20,11 +20,10 @@ from wardhouse.operators.rejects import (
 )
 from wardhouse.plans import assertions, audit, marts, party
 from wardhouse.plans.work import work
-from wardhouse.session import work_path
 from warehouse_queries import standins as S
-from warehouse_queries.gates import BATCH, EXEC, gated, plain
+from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 from warehouse_queries.loads import order_texts
-from warehouse_queries.stars import _fact, _medc, _rooms, _stays
+from warehouse_queries.stars import fact, individuals, medications, rooms, staff, stays, treatments
 
 QUERIES = {}
 ORACLE = {}
@@ -85,7 +84,7 @@ _register(
 _register(
     "chk_relationships",
     lambda spark, sf: checks.orphans(
-        _fact(spark, sf), ["patient_id"], marts.r_indiv(gated(spark, sf, "patient")), ["indiv_id"]
+        fact(spark, sf), ["patient_id"], individuals(spark, sf), ["indiv_id"]
     ),
     f"""{S.sql_work('consultation', 'patient')} SELECT patient_id, count(*) AS n_failed
     FROM consultation_ok WHERE patient_id NOT IN (SELECT patient_id FROM patient_ok)
@@ -94,8 +93,8 @@ _register(
 _register(
     "chk_relationships_where",
     lambda spark, sf: checks.orphans(
-        _fact(spark, sf), ["treatment_id"], marts.r_trmt(gated(spark, sf, "treatment")),
-        ["treatment_id"], "treatment_id IS NOT NULL",
+        fact(spark, sf), ["treatment_id"], treatments(spark, sf), ["treatment_id"],
+        "treatment_id IS NOT NULL",
     ),
     f"""{S.sql_work('consultation', 'treatment')} SELECT treatment_id, count(*) AS n_failed
     FROM consultation_ok WHERE treatment_id NOT IN (SELECT treatment_id FROM treatment_ok)
@@ -129,7 +128,7 @@ _register(
 _register(
     "chk_unknown_ids",
     lambda spark, sf: checks.unknown_ids(
-        S.stays(spark, sf), "room_number", _rooms(spark, sf), "room_num"
+        S.stays(spark, sf), "room_number", rooms(spark, sf), "room_num"
     ),
     f"""{S.sql_tables('stay')}, {S.SQL['room']}, {S.sql_gated('room')}
     SELECT DISTINCT room_number FROM stay
@@ -138,17 +137,17 @@ _register(
 
 
 def _reconcile(spark, sf_dir):
-    stays, fact = _stays(spark, sf_dir), _fact(spark, sf_dir)
+    kept, consults = stays(spark, sf_dir), fact(spark, sf_dir)
     source = S.stays(spark, sf_dir)
     return checks.reconcile(
         {
-            "n_stays": (stays, F.count("*")),
-            "first_day": (stays, F.min(F.to_date("started_at"))),
-            "last_day": (stays, F.max(F.to_date("started_at"))),
-            "cost": (stays, F.sum("cost")),
+            "n_stays": (kept, F.count("*")),
+            "first_day": (kept, F.min(F.to_date("started_at"))),
+            "last_day": (kept, F.max(F.to_date("started_at"))),
+            "cost": (kept, F.sum("cost")),
             "n_source": (source, F.count_distinct("hospi_id")),
             "source_cost": (source, F.sum("cost")),
-            "n_consults": (fact, F.count("*")),
+            "n_consults": (consults, F.count("*")),
         },
         {
             "stays within January": "first_day >= DATE'2024-01-01' AND last_day <= DATE'2024-01-31'",
@@ -180,20 +179,14 @@ _register(
 def _suite(spark, sf_dir):
     """All checks declared for the consultation fact, its dimensions and the stays."""
     tables = {
-        "r_room": _rooms(spark, sf_dir),
-        "r_indiv": marts.r_indiv(gated(spark, sf_dir, "patient")),
-        "r_stf": marts.r_stf(gated(spark, sf_dir, "staff")),
-        "r_trmt": marts.r_trmt(gated(spark, sf_dir, "treatment")),
-        "r_hospi": _stays(spark, sf_dir),
-        "fait_consult": _fact(spark, sf_dir),
+        "r_room": rooms(spark, sf_dir),
+        "r_indiv": individuals(spark, sf_dir),
+        "r_stf": staff(spark, sf_dir),
+        "r_trmt": treatments(spark, sf_dir),
+        "r_hospi": stays(spark, sf_dir),
+        "fait_consult": fact(spark, sf_dir),
     }
-    # As in a daily run, the marts are tables before they are checked.
-    root = work_path(spark, "checked")
-    marts_now = {}
-    for name, mart in tables.items():
-        mart.write.parquet(f"{root}/{name}")
-        marts_now[name] = spark.read.schema(mart.schema).parquet(f"{root}/{name}")
-    return assertions.run_checks(marts_now, {n: assertions.MARTS[n] for n in tables})
+    return assertions.run_checks(tables, {n: assertions.MARTS[n] for n in tables})
 
 
 def _lost(child, column, parent, key, table, name, where=""):
@@ -453,11 +446,19 @@ _register(
 )
 
 
+def table(spark, sf_dir, name):
+    return written(gated(spark, sf_dir, name))
+
+
+def stay_table(spark, sf_dir):
+    return written(work(S.stays(spark, sf_dir), C.HOSPITALISATION, BATCH, EXEC))
+
+
 def _fk_consultation(spark, sf_dir):
     return check_references(
-        gated(spark, sf_dir, "consultation"),
+        table(spark, sf_dir, "consultation"),
         C.CONSULTATION.references,
-        {"PERSONNEL": gated(spark, sf_dir, "staff"), "PATIENT": gated(spark, sf_dir, "patient")},
+        {"PERSONNEL": table(spark, sf_dir, "staff"), "PATIENT": table(spark, sf_dir, "patient")},
     ).select("consultation_id", "staff_id", "patient_id", "wrk_stts_cd", "rej_cod", "rej_dsc")
 
 
@@ -479,12 +480,12 @@ _register(
 
 def _fk_stay(spark, sf_dir):
     return check_references(
-        work(S.stays(spark, sf_dir), C.HOSPITALISATION, BATCH, EXEC),
+        stay_table(spark, sf_dir),
         C.HOSPITALISATION.references,
         {
-            "CONSULTATION": gated(spark, sf_dir, "consultation"),
-            "CHAMBRE": gated(spark, sf_dir, "room"),
-            "PERSONNEL": gated(spark, sf_dir, "staff"),
+            "CONSULTATION": table(spark, sf_dir, "consultation"),
+            "CHAMBRE": table(spark, sf_dir, "room"),
+            "PERSONNEL": table(spark, sf_dir, "staff"),
         },
     ).select("hospi_id", "wrk_stts_cd", "rej_cod", "rej_dsc")
 
@@ -507,11 +508,11 @@ _register(
 
 def _fk_treatment(spark, sf_dir):
     return check_references(
-        gated(spark, sf_dir, "treatment"),
+        table(spark, sf_dir, "treatment"),
         C.TRAITEMENT.references,
         {
-            "MEDICAMENT": gated(spark, sf_dir, "medication"),
-            "CONSULTATION": gated(spark, sf_dir, "consultation"),
+            "MEDICAMENT": table(spark, sf_dir, "medication"),
+            "CONSULTATION": table(spark, sf_dir, "consultation"),
         },
     ).groupBy("wrk_stts_cd", "rej_cod", "rej_dsc").agg(F.count("*").alias("n_rows"))
 
@@ -534,7 +535,8 @@ _register(
 
 
 def _parts(spark, sf_dir):
-    return marts.r_part(gated(spark, sf_dir, "patient"), gated(spark, sf_dir, "staff"))
+    parties = marts.r_part(gated(spark, sf_dir, "patient"), gated(spark, sf_dir, "staff"))
+    return written(parties)
 
 
 _PARTS = """part_ids AS (SELECT row_number() OVER (ORDER BY src_typ, src_id) AS part_id, src_id,
@@ -547,7 +549,7 @@ _PARTS_WORK = S.sql_work("patient", "staff")
 _register(
     "party_individual",
     lambda spark, sf: party.o_indv(
-        gated(spark, sf, "patient"), gated(spark, sf, "staff"), _parts(spark, sf)
+        table(spark, sf, "patient"), table(spark, sf, "staff"), _parts(spark, sf)
     ),
     f"""{_PARTS_WORK}, {_PARTS} SELECT part_id, last_name AS indv_name,
         first_name AS indv_firs_name, 'Actif' AS indv_stts_cd, created_at AS crtn_dttm,
@@ -559,14 +561,14 @@ _register(
 )
 _register(
     "party_staff",
-    lambda spark, sf: party.o_stff(gated(spark, sf, "staff"), _parts(spark, sf)),
+    lambda spark, sf: party.o_stff(table(spark, sf, "staff"), _parts(spark, sf)),
     f"""{_PARTS_WORK}, {_PARTS} SELECT part_id, work_start_at AS work_strt_dttm,
         work_end_at AS work_end_dttm, work_end_reason AS work_end_resn,
         CAST(7 AS BIGINT) AS exec_id FROM staff_ok LEFT JOIN staff_p ON staff_id = src_id""",
 )
 _register(
     "validity_phone",
-    lambda spark, sf: party.o_telp(gated(spark, sf, "patient"), _parts(spark, sf)),
+    lambda spark, sf: party.o_telp(table(spark, sf, "patient"), _parts(spark, sf)),
     f"""{_PARTS_WORK}, {_PARTS} SELECT part_id, created_at AS strt_vald_dttm,
         phone_country_code AS cntr_ind, phone_number AS telp_num, updated_at AS end_vald_dttm,
         CAST(7 AS BIGINT) AS exec_id FROM patient_ok LEFT JOIN patient_p ON patient_id = src_id
@@ -574,7 +576,7 @@ _register(
 )
 _register(
     "validity_address",
-    lambda spark, sf: party.o_addr(gated(spark, sf, "patient"), _parts(spark, sf)),
+    lambda spark, sf: party.o_addr(table(spark, sf, "patient"), _parts(spark, sf)),
     f"""{_PARTS_WORK}, {_PARTS} SELECT part_id, created_at AS strt_vald_dttm,
         street_number AS strt_num, street_name AS strt_dsc, address_complement AS comp_strt,
         postal_code AS post_cd, city AS city_name, country AS cntr_name,
@@ -584,7 +586,7 @@ _register(
 )
 _register(
     "party_consultation",
-    lambda spark, sf: party.o_cons(gated(spark, sf, "consultation"), _parts(spark, sf)),
+    lambda spark, sf: party.o_cons(table(spark, sf, "consultation"), _parts(spark, sf)),
     f"""{S.sql_work('patient', 'staff', 'consultation')}, {_PARTS}
     SELECT consultation_id AS cons_id, s.part_id AS stff_id, p.part_id AS patn_id,
         started_at AS cons_strt_dttm, ended_at AS cons_end_dttm,
@@ -598,7 +600,7 @@ _register(
 )
 _register(
     "sk_lookup",
-    lambda spark, sf: party.o_tret(gated(spark, sf, "treatment"), _medc(spark, sf)),
+    lambda spark, sf: party.o_tret(table(spark, sf, "treatment"), medications(spark, sf)),
     f"""{S.sql_work('treatment', 'medication')}, m AS (SELECT *, row_number() OVER (
         ORDER BY medicine_code, medicine_category, manufacturer_brand) AS medc_id
         FROM medication_ok)
@@ -612,7 +614,7 @@ _register(
 _register(
     "party_stay",
     lambda spark, sf: party.o_hosp(
-        work(S.stays(spark, sf), C.HOSPITALISATION, BATCH, EXEC), _parts(spark, sf)
+        stay_table(spark, sf), _parts(spark, sf)
     ),
     f"""{S.sql_work('patient', 'staff', 'stay')}, {_PARTS}
     SELECT hospi_id AS hosp_id, consultation_id AS cons_id, room_number AS room_num,

@@ -11,6 +11,7 @@ from wardhouse.operators.dedup import latest_per_key, superseded
 from wardhouse.operators.quality import check_rows, reject_breakdown
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
+from wardhouse.session import work_path
 from warehouse_queries import standins as S
 
 BATCH = date(2026, 4, 29)
@@ -34,6 +35,14 @@ def plain(df):
     return df.withColumns({n: F.col(n).cast("double") for n in names})
 
 
+def written(df):
+    """The rows as a table, the form in which a daily run hands work and marts on."""
+    spark = df.sparkSession
+    path = work_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def gated(spark, sf_dir, name):
     source, table = _TABLES[name]
     return work(source(spark, sf_dir), table, BATCH, EXEC)

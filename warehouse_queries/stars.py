@@ -8,26 +8,38 @@ from wardhouse import contracts as C
 from wardhouse.plans import kpis, marts
 from wardhouse.plans.work import work
 from warehouse_queries import standins as S
-from warehouse_queries.gates import BATCH, EXEC, gated, plain
+from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 
 QUERIES = {}
 ORACLE = {}
 
 
-def _stays(spark, sf_dir):
-    return marts.r_hospi(work(S.stays(spark, sf_dir), C.HOSPITALISATION, BATCH, EXEC))
+def stays(spark, sf_dir):
+    return written(marts.r_hospi(work(S.stays(spark, sf_dir), C.HOSPITALISATION, BATCH, EXEC)))
 
 
-def _fact(spark, sf_dir):
-    return marts.fait_consult(gated(spark, sf_dir, "consultation"))
+def fact(spark, sf_dir):
+    return written(marts.fait_consult(gated(spark, sf_dir, "consultation")))
 
 
-def _rooms(spark, sf_dir):
-    return marts.r_room(gated(spark, sf_dir, "room"))
+def rooms(spark, sf_dir):
+    return written(marts.r_room(gated(spark, sf_dir, "room")))
 
 
-def _medc(spark, sf_dir):
-    return marts.r_medc(gated(spark, sf_dir, "medication"))
+def medications(spark, sf_dir):
+    return written(marts.r_medc(gated(spark, sf_dir, "medication")))
+
+
+def treatments(spark, sf_dir):
+    return written(marts.r_trmt(gated(spark, sf_dir, "treatment")))
+
+
+def individuals(spark, sf_dir):
+    return written(marts.r_indiv(gated(spark, sf_dir, "patient")))
+
+
+def staff(spark, sf_dir):
+    return written(marts.r_stf(gated(spark, sf_dir, "staff")))
 
 
 def _register(name, query, sql):
@@ -35,7 +47,7 @@ def _register(name, query, sql):
     ORACLE[name] = sql
 
 
-_register("dim_room", _rooms, f"""{S.sql_work('room')}
+_register("dim_room", lambda spark, sf: marts.r_room(gated(spark, sf, "room")), f"""{S.sql_work('room')}
     SELECT room_number AS room_num, room_name, floor_number AS flor_num,
         building_name AS buld_name, room_type AS room_typ, day_rate AS room_day_rate,
         created_date AS crtn_dt, CAST(7 AS BIGINT) AS exec_id FROM room_ok""")
@@ -45,7 +57,11 @@ _MEDC = """SELECT medicine_code AS medc_cd, medicine_name AS medc_name,
         manufacturer_brand AS manf_brnd, CAST(7 AS BIGINT) AS exec_id,
         row_number() OVER (ORDER BY medicine_code, medicine_category, manufacturer_brand)
             AS medc_id FROM medication_ok"""
-_register("dim_medication_sk", _medc, f"{S.sql_work('medication')} {_MEDC}")
+_register(
+    "dim_medication_sk",
+    lambda spark, sf: marts.r_medc(gated(spark, sf, "medication")),
+    f"{S.sql_work('medication')} {_MEDC}",
+)
 
 _PART = """SELECT row_number() OVER (ORDER BY src_typ, src_id) AS part_id, src_id, src_typ,
         CAST(7 AS BIGINT) AS exec_id
@@ -93,13 +109,17 @@ _register(
         CAST(medicine_quantity AS DOUBLE) AS medicine_quantity, dosage_description, created_at,
         CAST(7 AS BIGINT) AS exec_id FROM treatment_ok""",
 )
-_register("fact_consultation", _fact, f"""{S.sql_work('consultation')}
+_register(
+    "fact_consultation",
+    lambda spark, sf: marts.fait_consult(gated(spark, sf, "consultation")),
+    f"""{S.sql_work('consultation')}
     SELECT consultation_id, patient_id, staff_id, treatment_id, started_at, ended_at,
         CAST(patient_weight_kg AS DOUBLE) AS patient_weight_kg,
         CAST(patient_temperature AS DOUBLE) AS patient_temperature, temperature_unit,
         blood_pressure, pathology_description, diabetes_indicator, hospitalisation_indicator,
         CAST(7 AS BIGINT) AS exec_id,
-        date_diff('minute', started_at, ended_at) AS duration_minutes FROM consultation_ok""")
+        date_diff('minute', started_at, ended_at) AS duration_minutes FROM consultation_ok""",
+)
 _STAY_COLS = """hospi_id, consultation_id, room_number, responsible_staff_id, started_at,
         ended_at, CAST(cost AS DOUBLE) AS cost, CAST(7 AS BIGINT) AS exec_id,
         date_diff('day', started_at, ended_at) AS duration_days"""
@@ -117,9 +137,7 @@ _AGE = """SELECT pathology_description, c.patient_id, CAST(started_at AS DATE) A
 
 
 def kpi_age(spark, sf_dir):
-    return kpis.avg_age_by_pathology(
-        _fact(spark, sf_dir), marts.r_indiv(gated(spark, sf_dir, "patient"))
-    )
+    return kpis.avg_age_by_pathology(fact(spark, sf_dir), individuals(spark, sf_dir))
 
 
 _register("kpi_age", kpi_age, f"{S.sql_work('consultation', 'patient')} {_AGE}")
@@ -145,7 +163,7 @@ _MED = """SELECT pathology_description, CAST(started_at AS DATE) AS report_date,
 
 def kpi_medication(spark, sf_dir):
     return kpis.top_medication_by_pathology(
-        _fact(spark, sf_dir), marts.r_trmt(gated(spark, sf_dir, "treatment")), _medc(spark, sf_dir)
+        fact(spark, sf_dir), treatments(spark, sf_dir), medications(spark, sf_dir)
     )
 
 
@@ -171,7 +189,7 @@ _ROOMS_WORK = S.sql_work("consultation", "stay", "room")
 
 def kpi_rooms(spark, sf_dir):
     return kpis.rooms_by_pathology(
-        _fact(spark, sf_dir), _stays(spark, sf_dir), _rooms(spark, sf_dir)
+        fact(spark, sf_dir), stays(spark, sf_dir), rooms(spark, sf_dir)
     )
 
 
@@ -192,9 +210,7 @@ _SPEC_WORK = S.sql_work("consultation", "staff")
 
 
 def kpi_specialty(spark, sf_dir):
-    return kpis.doctor_speciality_by_pathology(
-        _fact(spark, sf_dir), marts.r_stf(gated(spark, sf_dir, "staff"))
-    )
+    return kpis.doctor_speciality_by_pathology(fact(spark, sf_dir), staff(spark, sf_dir))
 
 
 _register("kpi_specialty", kpi_specialty, f"{_SPEC_WORK} {_SPEC}")
@@ -216,7 +232,7 @@ _NIGHT = """SELECT CAST(started_at AS DATE) AS report_date,
     GROUP BY ALL"""
 _register(
     "kpi_one_night",
-    lambda spark, sf: kpis.patients_one_night(_stays(spark, sf)),
+    lambda spark, sf: kpis.patients_one_night(stays(spark, sf)),
     f"{S.sql_work('stay')} {_NIGHT}",
 )
 
@@ -234,7 +250,7 @@ _OCC = """SELECT p.report_date, r.room_number AS room_num, room_name, room_type
 
 
 def kpi_occupancy(spark, sf_dir):
-    return kpis.empty_rooms(_fact(spark, sf_dir), _stays(spark, sf_dir), _rooms(spark, sf_dir))
+    return kpis.empty_rooms(fact(spark, sf_dir), stays(spark, sf_dir), rooms(spark, sf_dir))
 
 
 _register("kpi_occupancy", kpi_occupancy, f"{_ROOMS_WORK} {_OCC}")
