@@ -113,8 +113,7 @@ MARTS = {
         _names("indiv_id last_name first_name created_at updated_at exec_id"), (("indiv_id",),)
     ),
     "r_stf": Expect(
-        _names("staff_id last_name first_name job_title work_start_at status_code created_at"
-               " updated_at exec_id"),
+        _names("staff_id last_name first_name job_title work_start_at status_code exec_id"),
         (("staff_id",),),
     ),
     "r_addr": Expect(
@@ -131,7 +130,7 @@ MARTS = {
         (("treatment_id",),),
     ),
     "r_hospi": Expect(
-        _names("hospi_id consultation_id room_number responsible_staff_id started_at exec_id"),
+        _names("hospi_id consultation_id room_number started_at exec_id"),
         (("hospi_id",),),
         parents=(
             Parent(("room_number",), "r_room", ("room_num",)),
