@@ -181,6 +181,23 @@ def test_a_failing_run_is_closed_ko(spark, tmp_path):
     assert step["exec_end_dttm"] >= step["exec_strt_dttm"] > datetime(2020, 1, 1)
 
 
+def test_reject_table_and_party_model(two_days):
+    wh = two_days[0]
+    n = daily.build_rejects(wh, H.DAY2, 30)
+    # One room, one medication, one staff member, two patients, two consultations,
+    # two stays. The treatment without dosage was completed by the second batch.
+    assert n == 9 and daily.build_rejects(wh, H.DAY2, 31) == 9
+    tables = daily.build_party_tables(wh, H.DAY2, 32)
+    counts = {name: df.count() for name, df in tables.items()}
+    assert counts == {"o_indv": 23, "o_stff": 19, "o_telp": 1, "o_addr": 2, "o_cons": 4,
+                      "o_tret": 4, "o_hosp": 4}
+    parties = {(r["src_typ"], r["src_id"]): r["part_id"] for r in wh.read(SOC, "r_part").collect()}
+    cons = {r["cons_id"]: (r["stff_id"], r["patn_id"]) for r in tables["o_cons"].collect()}
+    assert cons[1] == (parties["Chirurgien", 1], parties["Patient", 1])
+    medications = {r["tret_id"]: r["medc_id"] for r in tables["o_tret"].collect()}
+    assert medications == {1: 1, 2: 2, 3: None, 4: 3}
+
+
 def test_old_snapshots_are_dropped(two_days):
     wh = two_days[0]
     assert len(wh.drop_old(SOC, "r_room", keep=1)) >= 1

@@ -376,3 +376,12 @@ TEXT_RULES: dict[str, tuple[Rule, ...]] = {
         Rule(WRONG_FORMAT, "try_cast(cost AS double) < 0", "cost is negative"),
     ),
 }
+
+# Stricter gates, as the documentation of the layers asks for. They replace the
+# table's own rules where a caller passes them.
+STRICT_RULES: dict[str, tuple[Rule, ...]] = {
+    "CONSULTATION": (
+        *CONSULTATION.rules, *required("patient_weight_kg"), positive("patient_weight_kg"),
+    ),
+    "TRAITEMENT": (*TRAITEMENT.rules, *required("created_at")),
+}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardhouse.operators.quality import REJ, rejected
+from wardhouse.contracts import DUPLICATE_PK
+from wardhouse.operators.dedup import superseded
+from wardhouse.operators.quality import NO_BATCH, NO_EXEC, REJ, rejected, stamp
 
 # Fixed value: reject rate above which a table raises an alert.
 ALERT_RATE = 0.05
@@ -106,6 +108,27 @@ def require_promotion(
         )
 
 
+def duplicate_rejects(
+    accepted_rows: DataFrame,
+    keys: Sequence[str],
+    latest_by: Sequence[str],
+    batch_dt: date = NO_BATCH,
+    exec_id: int = NO_EXEC,
+) -> DataFrame:
+    """Rows the deduplication drops, as rejects with code DUPLICATE_PK.
+
+    Equal rows stay one reject, with their number in ``copies``.
+    """
+    lost = superseded(accepted_rows, keys, latest_by).withColumns(
+        {
+            "wrk_stts_cd": F.lit(REJ),
+            "rej_cod": F.lit(DUPLICATE_PK),
+            "rej_dsc": F.lit("a later version of " + ", ".join(keys) + " was kept"),
+        }
+    )
+    return stamp(lost, batch_dt, exec_id)
+
+
 def corrected_rows(corrections: DataFrame, schema: str) -> DataFrame:
     """Rows to gate again, from corrected JSON (``rej_id``, ``src_row_json``)."""
     return corrections.select(F.from_json("src_row_json", schema).alias("r")).select("r.*")

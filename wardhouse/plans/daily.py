@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 from wardhouse.contracts import TABLES, Table, table
 from wardhouse.operators.load import typed, upsert
 from wardhouse.operators.quality import NO_EXEC
-from wardhouse.operators.rejects import reject_rates, require_promotion
+from wardhouse.operators.rejects import all_rejects, reject_rates, require_promotion
 from wardhouse.plans import assertions
 from wardhouse.plans.audit import RunLog
 from wardhouse.plans.kpis import build_views
 from wardhouse.plans.marts import build_marts
+from wardhouse.plans.party import build_party
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import read_batch, require_contract
-from wardhouse.sources.warehouse import OBS, SOC, STG, TCH, WRK, Warehouse, utc_now
+from wardhouse.sources.warehouse import OBS, REJECTS, SOC, STG, TCH, WRK, Warehouse, utc_now
 
 
 @dataclass(frozen=True)
@@ -131,6 +132,29 @@ def build_star(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     return wh.read_all(SOC, marts)
 
 
+def build_rejects(wh: Warehouse, day: date, exec_id: int) -> int:
+    """Add the rejects of the current work layer to the reject table; rows added.
+
+    Rejects of the same batch are replaced, so a second run adds nothing.
+    """
+    gated = {n: (df, TABLES[n].staged_keys) for n, df in wh.read_all(WRK, TABLES).items()}
+    found = all_rejects(gated, utc_now())
+    if wh.exists(REJECTS, "records"):
+        earlier = wh.read(REJECTS, "records").filter(F.col("batch_dt") != F.lit(day))
+        n_earlier = earlier.count()
+        return wh.write(earlier.unionByName(found), REJECTS, "records", day, exec_id) - n_earlier
+    return wh.write(found, REJECTS, "records", day, exec_id)
+
+
+def build_party_tables(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
+    """Write the party model next to the star schema it takes its keys from."""
+    keys = wh.read_all(SOC, ["r_part", "r_medc"])
+    tables = build_party(wh.read_all(WRK, TABLES), keys["r_part"], keys["r_medc"])
+    for name, rows in tables.items():
+        wh.write(rows, SOC, name, day, exec_id)
+    return wh.read_all(SOC, tables)
+
+
 def views(wh: Warehouse) -> dict[str, DataFrame]:
     """The indicator views over the current marts. Nothing is written."""
     return build_views(wh.read_all(SOC, assertions.MARTS))

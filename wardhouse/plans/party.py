@@ -172,3 +172,18 @@ def o_hosp(wrk_hospitalisation: DataFrame, r_part: DataFrame) -> DataFrame:
         "stff_id",
         "exec_id",
     )
+
+
+def build_party(
+    work: dict[str, DataFrame], r_part: DataFrame, r_medc: DataFrame
+) -> dict[str, DataFrame]:
+    """All party-model tables from the gated tables and the two surrogate tables."""
+    return {
+        "o_indv": o_indv(work["PATIENT"], work["PERSONNEL"], r_part),
+        "o_stff": o_stff(work["PERSONNEL"], r_part),
+        "o_telp": o_telp(work["PATIENT"], r_part),
+        "o_addr": o_addr(work["PATIENT"], r_part),
+        "o_cons": o_cons(work["CONSULTATION"], r_part),
+        "o_tret": o_tret(work["TRAITEMENT"], r_medc),
+        "o_hosp": o_hosp(work["HOSPITALISATION"], r_part),
+    }

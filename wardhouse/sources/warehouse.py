@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from wardhouse.sources.files import drop_folder
 
-STG, WRK, SOC, VW, OBS, TCH = "stg", "wrk", "soc", "vw", "obs", "tch"
+STG, WRK, REJECTS, SOC, OBS, TCH = "stg", "wrk", "rej", "soc", "obs", "tch"
 
 _LOG = T.StructType(
     [

@@ -23,6 +23,7 @@ from wardhouse.plans.work import work
 from warehouse_queries import standins as S
 from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 from warehouse_queries.loads import order_texts
+from warehouse_queries.stars import QUERIES as STARS
 from warehouse_queries.stars import fact, individuals, medications, rooms, staff, stays, treatments
 
 QUERIES = {}
@@ -213,6 +214,68 @@ _register(
     ),
 )
 
+
+
+def _work_suite(spark, sf_dir):
+    """Checks of the work layer; only NULL keys of rejected rows fail."""
+    tables = {
+        "MEDICAMENT": written(gated(spark, sf_dir, "medication")),
+        "CONSULTATION": written(gated(spark, sf_dir, "consultation")),
+    }
+    return assertions.run_checks(tables, {n: assertions.WORK[n] for n in tables})
+
+
+_register(
+    "chk_work_suite", _work_suite,
+    """SELECT 'MEDICAMENT' AS src_table, 'not_null' AS "check", 'medicine_category' AS detail,
+        count(*) AS n_failed FROM part WHERE p_type = 'PROMO' HAVING count(*) > 0""",
+)
+
+
+def _view_suite(spark, sf_dir):
+    """Checks of two views; every row of these passes."""
+    tables = {
+        "vw_patients_one_night": STARS["kpi_one_night"](spark, sf_dir),
+        "vw_empty_rooms": STARS["kpi_occupancy"](spark, sf_dir),
+    }
+    return assertions.run_checks(tables, {n: assertions.VIEWS[n] for n in tables})
+
+
+_register(
+    "chk_view_suite", _view_suite,
+    """SELECT '' AS src_table, '' AS "check", '' AS detail, CAST(0 AS BIGINT) AS n_failed
+    FROM events WHERE event_id < 0""",
+)
+
+
+def _declared(spark, sf_dir):
+    """Declared constraints of the loaded medications and patients."""
+    tables = {}
+    for name, rows in (
+        ("MEDICAMENT", S.medications(spark, sf_dir)), ("PATIENT", S.patients(spark, sf_dir)),
+    ):
+        tables[name] = rows.select(
+            *[F.col(c.staged).alias(c.target) for c in C.TABLES[name].columns]
+        )
+    return assertions.run_checks(tables, {n: assertions.DECLARED[n] for n in tables})
+
+
+_register(
+    "chk_declared", _declared,
+    f"""{S.sql_tables('medication', 'patient')}
+    SELECT 'MEDICAMENT' AS src_table, 'not_null' AS "check", 'CATG_MEDICAMENT' AS detail,
+        count(*) AS n_failed FROM medication WHERE medicine_category IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'MEDICAMENT', 'unique', 'CD_MEDICAMENT, CATG_MEDICAMENT, MARQUE_FABRI',
+        CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM medication
+            WHERE medicine_category IS NOT NULL
+            GROUP BY medicine_code, medicine_category, manufacturer_brand HAVING count(*) > 1)
+        HAVING sum(n) > 0
+    UNION ALL SELECT 'PATIENT', 'not_null', 'PRENOM_PATIENT', count(*) FROM patient
+        WHERE first_name IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'PATIENT', 'not_null', 'TS_MAJ_PATIENT', count(*) FROM patient
+        WHERE updated_at IS NULL HAVING count(*) > 0""",
+)
+
 # Run tracking.
 
 

@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from wardhouse import contracts as C
-from wardhouse.operators.dedup import latest_per_key, superseded
+from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.quality import check_rows, reject_breakdown
+from wardhouse.operators.rejects import duplicate_rejects
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
 from wardhouse.session import work_path
@@ -72,36 +73,25 @@ QUERIES = {f"qc_{name}": _qc(name) for name in _TABLES}
 ORACLE = {f"qc_{name}": _qc_sql(name, _DECIMALS.get(name, ())) for name in _TABLES}
 
 
-def staging_projection(spark, sf_dir):
-    """Loaded CONSULTATION columns under staging names and types."""
-    events = S.read(spark, sf_dir, "events")
-    loaded = events.withColumn("k", S.number_in_props()).selectExpr(
-        "event_id AS ID_CONSULT",
-        "k AS ID_PERSONNEL",
-        "user_id AS ID_PATIENT",
-        "ts AS TS_DEBUT_CONSULT",
-        "ts AS TS_FIN_CONSULT",
-        "k AS POIDS_PATIENT",
-        "CAST(k AS DECIMAL(38,0)) AS TEMP_PATIENT",
-        "'C' AS UNIT_TEMP",
-        "k AS TENSION_PATIENT",
-        "event_type AS DSC_PATHO",
-        "k > 50 AS INDIC_DIABETE",
-        "CAST(NULL AS BIGINT) AS ID_TRAITEMENT",
-        "event_type = 'purchase' AS INDIC_HOSPI",
-    )
-    return plain(stage(loaded, C.CONSULTATION))
-
-
-QUERIES["staging_projection"] = staging_projection
-ORACLE["staging_projection"] = """
-    SELECT event_id AS consultation_id, k AS staff_id, user_id AS patient_id, ts AS started_at,
-        ts AS ended_at, CAST(k AS DOUBLE) AS patient_weight_kg,
-        CAST(k AS DOUBLE) AS patient_temperature, 'C' AS temperature_unit, k AS blood_pressure,
-        event_type AS pathology_description, k > 50 AS diabetes_indicator,
-        CAST(NULL AS BIGINT) AS treatment_id,
-        event_type = 'purchase' AS hospitalisation_indicator
-    FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)"""
+def _staging(name):
+    """Stand-ins under their loaded names, projected back to the staging layer."""
+    source, table = _TABLES[name]
+
+    def query(spark, sf_dir):
+        staged = source(spark, sf_dir)
+        loaded = staged.select(*[F.col(c.staged).alias(c.target) for c in table.columns])
+        return plain(stage(loaded, table))
+
+    return query
+
+
+for _name in _TABLES:
+    _sql_name = "shipment" if _name == "stay" else _name
+    _fix = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _DECIMALS.get(_name, ()))
+    QUERIES[f"staging_{_name}"] = _staging(_name)
+    ORACLE[f"staging_{_name}"] = (
+        f"{S.sql_tables(_sql_name)} SELECT {f'* REPLACE ({_fix})' if _fix else '*'} FROM {_sql_name}"
+    )
 
 
 def _breakdown(spark, sf_dir):
@@ -168,6 +158,86 @@ ORACLE["qc_text_rules"] = """
         CASE WHEN rej_cod IS NULL THEN 'OK' ELSE 'REJ' END AS wrk_stts_cd, rej_cod FROM q"""
 
 
+def qc_text_consultation(spark, sf_dir):
+    """Consultations as raw text: ids, timestamps and their order are checked on the text."""
+    text = S.read(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderstatus = 'P' THEN 'True' ELSE CAST(o_orderkey AS STRING) END"
+        " AS consultation_id",
+        "CASE WHEN o_totalprice > 20000 THEN CAST(o_custkey AS STRING) END AS patient_id",
+        "o_orderpriority AS staff_id",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN '2026' WHEN '2-HIGH' THEN NULL"
+        " ELSE CAST(o_orderdate AS STRING) END AS started_at",
+        "CASE o_orderpriority WHEN '3-MEDIUM' THEN '1990-01-01' WHEN '5-LOW' THEN NULL"
+        " ELSE '2030-01-01 08:00:00' END AS ended_at",
+    )
+    return check_rows(text, C.TEXT_RULES["CONSULTATION"], BATCH, EXEC).select(
+        *text.columns, "wrk_stts_cd", "rej_cod"
+    )
+
+
+QUERIES["qc_text_consultation"] = qc_text_consultation
+ORACLE["qc_text_consultation"] = """
+    WITH t AS (SELECT o_orderkey,
+        CASE WHEN o_orderstatus = 'P' THEN 'True' ELSE CAST(o_orderkey AS VARCHAR) END
+            AS consultation_id,
+        CASE WHEN o_totalprice > 20000 THEN CAST(o_custkey AS VARCHAR) END AS patient_id,
+        o_orderpriority AS staff_id,
+        CASE o_orderpriority WHEN '1-URGENT' THEN '2026' WHEN '2-HIGH' THEN NULL
+            ELSE CAST(o_orderdate AS VARCHAR) END AS started_at,
+        CASE o_orderpriority WHEN '3-MEDIUM' THEN '1990-01-01' WHEN '5-LOW' THEN NULL
+            ELSE '2030-01-01 08:00:00' END AS ended_at FROM orders),
+    q AS (SELECT *, CASE WHEN consultation_id = 'True' OR o_orderkey <= 0 THEN 'WRONG_FORMAT'
+        WHEN patient_id IS NULL OR started_at IS NULL THEN 'NULL_MANDATORY'
+        WHEN started_at = '2026' THEN 'WRONG_FORMAT' WHEN ended_at IS NULL THEN 'NULL_MANDATORY'
+        WHEN ended_at < started_at THEN 'WRONG_FORMAT' END AS rej_cod FROM t)
+    SELECT consultation_id, patient_id, staff_id, started_at, ended_at,
+        CASE WHEN rej_cod IS NULL THEN 'OK' ELSE 'REJ' END AS wrk_stts_cd, rej_cod FROM q"""
+
+
+def qc_text_treatment(spark, sf_dir):
+    text = S.read(spark, sf_dir, "part").selectExpr(
+        "CASE WHEN p_size < 10 THEN p_name ELSE CAST(p_partkey AS STRING) END AS treatment_id",
+        "CAST(p_partkey AS STRING) AS consultation_id",
+        "p_name AS medicine_code",
+        "nullif(p_type, 'PROMO') AS medicine_category",
+        "p_brand AS manufacturer_brand",
+        "CASE WHEN p_size < 40 THEN CAST(p_size AS STRING) END AS dosage_description",
+    )
+    return check_rows(text, C.TEXT_RULES["TRAITEMENT"], BATCH, EXEC).select(
+        "treatment_id", "consultation_id", "wrk_stts_cd", "rej_cod"
+    )
+
+
+QUERIES["qc_text_treatment"] = qc_text_treatment
+ORACLE["qc_text_treatment"] = """
+    WITH q AS (SELECT CASE WHEN p_size < 10 THEN p_name ELSE CAST(p_partkey AS VARCHAR) END
+            AS treatment_id, CAST(p_partkey AS VARCHAR) AS consultation_id,
+        CASE WHEN p_size < 10 OR p_partkey <= 0 THEN 'WRONG_FORMAT'
+            WHEN p_type = 'PROMO' OR p_size >= 40 THEN 'NULL_MANDATORY' END AS rej_cod FROM part)
+    SELECT treatment_id, consultation_id,
+        CASE WHEN rej_cod IS NULL THEN 'OK' ELSE 'REJ' END AS wrk_stts_cd, rej_cod FROM q"""
+
+
+def qc_strict(spark, sf_dir):
+    """Consultations behind the stricter gate: the weight is needed, and above zero."""
+    rows = S.consultations(spark, sf_dir).withColumn(
+        "patient_weight_kg",
+        F.expr("CASE WHEN staff_id < 5 THEN NULL ELSE CAST(staff_id - 20 AS DECIMAL(6,2)) END"),
+    )
+    return check_rows(rows, C.STRICT_RULES["CONSULTATION"], BATCH, EXEC).select(
+        "consultation_id", "wrk_stts_cd", "rej_cod"
+    )
+
+
+QUERIES["qc_strict_consultation"] = qc_strict
+ORACLE["qc_strict_consultation"] = f"""
+    {S.sql_tables('consultation')}, {S.sql_tagged('consultation')}, s AS (SELECT consultation_id,
+        CASE WHEN rej_cod IS NOT NULL THEN rej_cod WHEN staff_id < 5 THEN 'NULL_MANDATORY'
+            WHEN staff_id <= 20 THEN 'WRONG_FORMAT' END AS rej_cod FROM consultation_q)
+    SELECT consultation_id, CASE WHEN rej_cod IS NULL THEN 'OK' ELSE 'REJ' END AS wrk_stts_cd,
+        rej_cod FROM s"""
+
+
 def _dedup(source, keys, order):
     return lambda spark, sf_dir: plain(latest_per_key(source(spark, sf_dir), keys, order))
 
@@ -199,16 +269,76 @@ QUERIES["dedup_stay"] = _dedup(
 ORACLE["dedup_stay"] = _dedup_sql("shipment", "* REPLACE (CAST(cost AS DOUBLE) AS cost)")
 
 
+# Versions of patients, staff and rooms, taken from tables with many rows per id.
+
+
+def patient_versions(spark, sf_dir):
+    return S.read(spark, sf_dir, "events").selectExpr(
+        "user_id AS patient_id", "event_type AS last_name", "ts AS updated_at",
+        "CAST(DATE'2024-01-01' AS TIMESTAMP_NTZ) AS created_at", "event_id",
+    )
+
+
+def staff_versions(spark, sf_dir):
+    return S.read(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS staff_id", "l_returnflag AS last_name", "l_linestatus AS status_code",
+        "l_shipdate AS updated_at", "CAST(DATE'2024-01-01' AS TIMESTAMP_NTZ) AS created_at",
+        "l_orderkey", "l_linenumber",
+    )
+
+
+def room_versions(spark, sf_dir):
+    return S.read(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS room_number", "CAST(o_orderdate AS DATE) AS created_date",
+        "o_orderpriority AS room_name", "o_orderkey",
+    )
+
+
+def _version_sql(columns, key, order, table):
+    return (
+        f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key}"
+        f" ORDER BY {order}) AS rn FROM (SELECT {columns} FROM {table})) WHERE rn = 1"
+    )
+
+
+QUERIES["dedup_patient"] = _dedup(patient_versions, C.PATIENT.staged_keys, C.PATIENT.latest_by)
+ORACLE["dedup_patient"] = _version_sql(
+    "user_id AS patient_id, event_type AS last_name, ts AS updated_at,"
+    " TIMESTAMP '2024-01-01' AS created_at, event_id",
+    "patient_id", "updated_at DESC, created_at DESC, last_name, event_id", "events",
+)
+QUERIES["dedup_staff"] = _dedup(staff_versions, C.PERSONNEL.staged_keys, C.PERSONNEL.latest_by)
+ORACLE["dedup_staff"] = _version_sql(
+    "l_suppkey AS staff_id, l_returnflag AS last_name, l_linestatus AS status_code,"
+    " l_shipdate AS updated_at, TIMESTAMP '2024-01-01' AS created_at, l_orderkey, l_linenumber",
+    "staff_id",
+    "updated_at DESC, created_at DESC, last_name, status_code, l_orderkey, l_linenumber",
+    "lineitem",
+)
+QUERIES["dedup_room"] = _dedup(room_versions, C.CHAMBRE.staged_keys, C.CHAMBRE.latest_by)
+ORACLE["dedup_room"] = _version_sql(
+    "o_custkey AS room_number, CAST(o_orderdate AS DATE) AS created_date,"
+    " o_orderpriority AS room_name, o_orderkey",
+    "room_number", "created_date DESC, room_name, o_orderkey", "orders",
+)
+
+
 def duplicate_pk(spark, sf_dir):
-    """Versions of a treatment that lose to a later one."""
+    """Versions of a treatment that lose to a later one, as rejects."""
     table = C.TRAITEMENT
-    return plain(superseded(S.treatments(spark, sf_dir), table.staged_keys, table.latest_by))
+    return plain(
+        duplicate_rejects(
+            S.treatments(spark, sf_dir), table.staged_keys, table.latest_by, BATCH, EXEC
+        )
+    )
 
 
 QUERIES["duplicate_pk"] = duplicate_pk
 ORACLE["duplicate_pk"] = f"""{S.sql_tables('treatment')}
     SELECT * EXCLUDE (rn) REPLACE (CAST(medicine_quantity AS DOUBLE) AS medicine_quantity),
-        count(*) AS copies
+        count(*) AS copies, 'REJ' AS wrk_stts_cd, 'DUPLICATE_PK' AS rej_cod,
+        'a later version of treatment_id was kept' AS rej_dsc, DATE '2026-04-29' AS batch_dt,
+        CAST(7 AS BIGINT) AS exec_id
     FROM (SELECT *, row_number() OVER (PARTITION BY {S._VERSIONS['treatment'][0]}
         ORDER BY {S._VERSIONS['treatment'][1]}) AS rn FROM treatment) WHERE rn > 1
     GROUP BY ALL"""

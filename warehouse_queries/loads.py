@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardhouse import contracts as C
 from wardhouse.contracts import Column, Table
 from wardhouse.functions.casts import safe_cast
+from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
 from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
     batch_file,
+    passed,
     read_batch,
     read_text_table,
     require_contract,
@@ -108,6 +112,51 @@ ORACLE["contract_summary"] = """SELECT DATE '2026-04-29' AS batch_dt, 'TRAITEMEN
     'qte_medicament' AS extra_columns, false AS is_valid FROM lineitem"""
 
 
+def contract_pass_count(spark, sf_dir):
+    """Four extracts of one batch, two of which conform."""
+    day = date(2026, 4, 29)
+    rooms = S.rooms(spark, sf_dir)
+    good_rooms = rooms.toDF(*C.CHAMBRE.header)
+    good_meds = S.medications(spark, sf_dir).select(
+        *[F.col(c.staged).alias(c.source) for c in C.MEDICAMENT.columns]
+    )
+    summaries = [
+        summarise(good_rooms, C.CHAMBRE, day),
+        summarise(good_meds, C.MEDICAMENT, day),
+        summarise(good_rooms.drop("DT_CREATION"), C.CHAMBRE, day),
+        summarise(good_meds.filter("CD_MEDICAMENT IS NULL"), C.MEDICAMENT, day),
+    ]
+    return passed(reduce(DataFrame.unionByName, summaries))
+
+
+QUERIES["contract_pass_count"] = contract_pass_count
+ORACLE["contract_pass_count"] = """SELECT DATE '2026-04-29' AS batch_dt,
+    CAST(CASE WHEN count(*) > 0 THEN 2 ELSE 0 END AS BIGINT) AS n_valid,
+    CAST(4 AS BIGINT) AS n_tables FROM customer"""
+
+
+def source_map(spark, sf_dir):
+    """Stay extracts: two header names differ from the names they are loaded under."""
+    raw = S.read(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey * 8 + l_linenumber AS STRING) AS ID_HOSPI",
+        "CAST(l_orderkey AS STRING) AS ID_CONSULT_hospi",
+        "CASE WHEN l_linenumber = 7 THEN 'none' ELSE CAST(l_partkey AS STRING) END"
+        " AS NO_CHAMBRE_hospi",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS TS_DEBUT_HOSPI",
+        "'' AS TS_FIN_HOSPI",
+        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) AS COUT_HOSPI",
+        "CAST(l_suppkey AS STRING) AS ID_PERSONNEL_RESP",
+    )
+    return plain(typed(raw, C.HOSPITALISATION))
+
+
+QUERIES["source_map"] = source_map
+ORACLE["source_map"] = """SELECT l_orderkey * 8 + l_linenumber AS ID_HOSPI,
+    l_orderkey AS ID_CONSULT, CASE WHEN l_linenumber < 7 THEN l_partkey END AS NO_CHAMBRE,
+    l_shipdate AS TS_DEBUT_HOSPI, CAST(NULL AS TIMESTAMP) AS TS_FIN_HOSPI,
+    l_extendedprice AS COUT_HOSPI, l_suppkey AS ID_PERSONNEL_RESP FROM lineitem"""
+
+
 def safe_casts(spark, sf_dir):
     """Six logical types from texts, some of which do not parse."""
     texts = S.read(spark, sf_dir, "events").selectExpr(
@@ -228,6 +277,40 @@ ORACLE["load_counters"] = f"""WITH {_UPSERT_SQL.format(order=_GUARDED_ORDER)},
         count(*) FILTER (held AND NOT newer) AS kept_rows FROM j"""
 
 
+def _lines(spark, sf_dir):
+    return latest_per_key(
+        S.read(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+        ),
+        ["l_orderkey", "l_linenumber"], ["l_shipdate DESC NULLS LAST"],
+    )
+
+
+def upsert_composite(spark, sf_dir):
+    """Lines merged on (order, line): corrections for some, new lines for others."""
+    changes = S.read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").selectExpr(
+        "l_orderkey", "CASE WHEN l_tax > 0.05 THEN l_linenumber + 10 ELSE l_linenumber END"
+        " AS l_linenumber", "l_quantity + 100 AS l_quantity", "'C' AS l_returnflag", "l_shipdate",
+    )
+    return upsert(_lines(spark, sf_dir), changes, ["l_orderkey", "l_linenumber"])
+
+
+QUERIES["delta_upsert_composite"] = upsert_composite
+ORACLE["delta_upsert_composite"] = """
+    WITH t AS (SELECT * EXCLUDE (rn) FROM (SELECT l_orderkey, l_linenumber, l_quantity,
+            l_returnflag, l_shipdate, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_shipdate DESC, l_quantity, l_returnflag) AS rn FROM lineitem)
+        WHERE rn = 1),
+    b AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+            PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity, l_shipdate) AS rn
+        FROM (SELECT l_orderkey,
+            CASE WHEN l_tax > 0.05 THEN l_linenumber + 10 ELSE l_linenumber END AS l_linenumber,
+            l_quantity + 100 AS l_quantity, 'C' AS l_returnflag, l_shipdate
+            FROM lineitem WHERE l_returnflag = 'R')) WHERE rn = 1)
+    SELECT * FROM b UNION ALL SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b
+        WHERE b.l_orderkey = t.l_orderkey AND b.l_linenumber = t.l_linenumber)"""
+
+
 def stream_upsert(spark, sf_dir):
     """Three batches of orders as files, followed by a file stream into one table."""
     inputs = work_path(spark, "incoming")
