@@ -183,10 +183,16 @@ def test_a_failing_run_is_closed_ko(spark, tmp_path):
 
 def test_reject_table_and_party_model(two_days):
     wh = two_days[0]
-    n = daily.build_rejects(wh, H.DAY2, 30)
+    n = daily.build_rejects(wh, H.DAY2)
     # One room, one medication, one staff member, two patients, two consultations,
     # two stays. The treatment without dosage was completed by the second batch.
-    assert n == 9 and daily.build_rejects(wh, H.DAY2, 31) == 9
+    assert n == 9 and daily.build_rejects(wh, H.DAY2) == 9
+    records = wh.spark.read.parquet(daily.reject_path(wh))
+    assert records.count() == 9
+    fixed = records.filter("src_table = 'PATIENT'").select("rej_id", "src_row_json")
+    daily.recycle_rejects(wh, fixed, H.DAY2, 33)
+    again = wh.spark.read.parquet(daily.reject_path(wh)).groupBy("recycl_ind").count()
+    assert {tuple(r) for r in again.collect()} == {(0, 7), (1, 2)}
     tables = daily.build_party_tables(wh, H.DAY2, 32)
     counts = {name: df.count() for name, df in tables.items()}
     assert counts == {"o_indv": 23, "o_stff": 19, "o_telp": 1, "o_addr": 2, "o_cons": 4,

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Keys followed while looking for frequent ones, and how many of them are used.
 _TRACKED = 2000
 _USED = 200
+# Tasks that merge the sketches of all map tasks before the last one does.
+_MERGERS = 256
 
 
 def _code(keys: Sequence[str]) -> Column:
@@ -21,15 +23,29 @@ def hot_keys(facts: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     """Keys with more rows than an average shuffle partition, by hash code.
 
     The value says over how many partitions' worth of rows the key extends. One
-    pass over the key columns into a sketch of fixed size; nothing is shuffled
-    by key. The sketch may miss a key near the limit, which only affects where
-    rows are joined, never the result.
+    pass over the key columns into sketches of fixed size, merged in two steps;
+    nothing is shuffled by key. The sketch may miss a key near the limit, which
+    only affects where rows are joined, never the result.
     """
     parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = F.call_function("approx_top_k", F.col("_code"), F.lit(_USED), F.lit(_TRACKED))
-    row = facts.select(_code(keys).alias("_code")).agg(
-        top.alias("top"), F.count("*").alias("n")
-    ).first()
+    row = (
+        facts.select(_code(keys).alias("_code"))
+        .groupBy((F.spark_partition_id() % _MERGERS).alias("_merger"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(_code, {_TRACKED})").alias("_sketch"),
+            F.count("*").alias("n"),
+        )
+        # Grouped on a constant, so that no rows give no sketch.
+        .groupBy(F.lit(0).alias("_all"))
+        .agg(
+            F.expr(f"approx_top_k_combine(_sketch, {_TRACKED})").alias("_sketch"),
+            F.sum("n").alias("n"),
+        )
+        .select(F.expr(f"approx_top_k_estimate(_sketch, {_USED})").alias("top"), "n")
+        .first()
+    )
+    if row is None:
+        return {}
     return {
         t["item"]: math.ceil(t["count"] * parts / row["n"])
         for t in row["top"]

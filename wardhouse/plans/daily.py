@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 from wardhouse.contracts import TABLES, Table, table
 from wardhouse.operators.load import typed, upsert
 from wardhouse.operators.quality import NO_EXEC
-from wardhouse.operators.rejects import all_rejects, reject_rates, require_promotion
+from wardhouse.operators.rejects import (
+    all_rejects,
+    mark_recycled,
+    reject_rates,
+    require_promotion,
+)
 from wardhouse.plans import assertions
 from wardhouse.plans.audit import RunLog
 from wardhouse.plans.kpis import build_views
@@ -21,6 +26,7 @@ from wardhouse.plans.marts import build_marts
 from wardhouse.plans.party import build_party
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
+from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import read_batch, require_contract
 from wardhouse.sources.warehouse import OBS, REJECTS, SOC, STG, TCH, WRK, Warehouse, utc_now
@@ -132,18 +138,38 @@ def build_star(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     return wh.read_all(SOC, marts)
 
 
-def build_rejects(wh: Warehouse, day: date, exec_id: int) -> int:
-    """Add the rejects of the current work layer to the reject table; rows added.
+def build_rejects(wh: Warehouse, day: date) -> int:
+    """Record the rejects of a day's work layer; how many there are.
 
-    Rejects of the same batch are replaced, so a second run adds nothing.
+    The reject table is partitioned by batch: recording a batch again replaces
+    its partition and touches no other.
     """
     gated = {n: (df, TABLES[n].staged_keys) for n, df in wh.read_all(WRK, TABLES).items()}
-    found = all_rejects(gated, utc_now())
-    if wh.exists(REJECTS, "records"):
-        earlier = wh.read(REJECTS, "records").filter(F.col("batch_dt") != F.lit(day))
-        n_earlier = earlier.count()
-        return wh.write(earlier.unionByName(found), REJECTS, "records", day, exec_id) - n_earlier
-    return wh.write(found, REJECTS, "records", day, exec_id)
+    found = all_rejects(gated, utc_now()).filter(F.col("batch_dt") == F.lit(day))
+    seen = Observation()
+    write_archive(found.observe(seen, F.count("*").alias("n")), reject_path(wh))
+    return seen.get["n"]
+
+
+def reject_path(wh: Warehouse) -> str:
+    return wh.path(REJECTS, "records")
+
+
+def recycle_rejects(
+    wh: Warehouse, corrections: DataFrame, batch_dt: date, exec_id: int
+) -> None:
+    """Mark the corrected rejects of one batch as recycled.
+
+    Only that batch's partition is rewritten, by way of a work table, since it
+    cannot be overwritten while it is read. The corrected rows themselves go
+    back to the gate as :func:`~wardhouse.operators.rejects.corrected_rows`.
+    """
+    of_batch = wh.spark.read.parquet(reject_path(wh)).filter(
+        F.col("batch_dt") == F.lit(batch_dt)
+    )
+    path = work_path(wh.spark, "rejects")
+    mark_recycled(of_batch, corrections, utc_now(), exec_id).write.parquet(path)
+    write_archive(wh.spark.read.parquet(path), reject_path(wh))
 
 
 def build_party_tables(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
