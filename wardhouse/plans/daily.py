@@ -22,7 +22,7 @@ from wardhouse.operators.rejects import (
 from wardhouse.plans import assertions
 from wardhouse.plans.audit import RunLog
 from wardhouse.plans.kpis import build_views
-from wardhouse.plans.marts import build_marts
+from wardhouse.plans.marts import MART_KEYS, build_marts
 from wardhouse.plans.party import build_party
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
@@ -65,13 +65,13 @@ def load_rows(
     started = time.perf_counter()
     batch, n_read = land(wh, contract, raw, day, exec_id)
     if contract.load == "full":
-        n_affected = wh.write(batch, STG, contract.name, day, exec_id)
+        n_affected = wh.write(batch, STG, contract.name, day, exec_id, contract.keys)
     else:
         updates, inserts = Observation(), Observation()
         known = wh.exists(STG, contract.name)
         target = wh.read(STG, contract.name) if known else batch.limit(0)
         merged = upsert(target, batch, contract.keys, contract.guard, updates, inserts)
-        wh.write(merged, STG, contract.name, day, exec_id)
+        wh.write(merged, STG, contract.name, day, exec_id, contract.keys)
         n_affected = updates.get["n"] + inserts.get["n"]
     return LoadResult(
         contract.name, contract.load, n_read, n_affected, 0, time.perf_counter() - started
@@ -86,7 +86,7 @@ def reload_from_archive(
     batch = replay(wh.spark, wh.path(OBS, name), day)
     if contract.load != "full" and wh.exists(STG, name):
         batch = upsert(wh.read(STG, name), batch, contract.keys, contract.guard)
-    return wh.write(batch, STG, name, day, exec_id)
+    return wh.write(batch, STG, name, day, exec_id, contract.keys)
 
 
 def ingest_table(
@@ -126,7 +126,9 @@ def staged_tables(wh: Warehouse) -> dict[str, DataFrame]:
 def build_work(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     """Gate all staged tables and write the work layer."""
     for name, staged in staged_tables(wh).items():
-        wh.write(work(staged, TABLES[name], day, exec_id), WRK, name, day, exec_id)
+        contract = TABLES[name]
+        wh.write(work(staged, contract, day, exec_id), WRK, name, day, exec_id,
+                 contract.staged_keys)
     return wh.read_all(WRK, TABLES)
 
 
@@ -134,7 +136,7 @@ def build_star(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
     """Write the ten marts from the work layer."""
     marts = build_marts(wh.read_all(WRK, TABLES))
     for name, mart in marts.items():
-        wh.write(mart, SOC, name, day, exec_id)
+        wh.write(mart, SOC, name, day, exec_id, MART_KEYS[name])
     return wh.read_all(SOC, marts)
 
 

@@ -158,6 +158,21 @@ def r_hospi(wrk_hospitalisation: DataFrame) -> DataFrame:
     )
 
 
+# What each mart is mostly joined on.
+MART_KEYS = {
+    "r_room": ("room_num",),
+    "r_medc": ("medc_cd", "medc_catg", "manf_brnd"),
+    "r_part": ("src_id",),
+    "r_indiv": ("indiv_id",),
+    "r_stf": ("staff_id",),
+    "r_addr": ("indiv_id",),
+    "r_tel": ("indiv_id",),
+    "r_trmt": ("treatment_id",),
+    "fait_consult": ("consultation_id",),
+    "r_hospi": ("consultation_id",),
+}
+
+
 def build_marts(work: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All ten marts from the seven gated tables, keyed by table name."""
     return {

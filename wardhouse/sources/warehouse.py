@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from zlib import crc32
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ _LOG = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("version", T.LongType()),
         T.StructField("path", T.StringType()),
+        # Catalog name of a bucketed snapshot, NULL for a plain one.
+        T.StructField("bucketed_as", T.StringType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("batch_dt", T.DateType()),
         T.StructField("exec_id", T.LongType()),
@@ -38,10 +41,16 @@ class Warehouse:
 
     A write never touches what is being read: it fills a new folder, and only
     a finished write is entered in the snapshot log.
+
+    With ``buckets`` the snapshots written with keys are bucketed on them and
+    known to the session's catalog. An upsert then reads its target in place
+    and only moves the batch, and deduplication on the key needs no shuffle.
+    Where the catalog has forgotten a table it is read as plain Parquet.
     """
 
     spark: SparkSession
     root: str
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         none = self.spark.createDataFrame([], _LOG)
@@ -63,7 +72,7 @@ class Warehouse:
             self._log()
             .filter(F.col("layer") == layer)
             .groupBy("name")
-            .agg(F.max_by(F.struct("version", "path"), "version").alias("s"))
+            .agg(F.max_by(F.struct("version", "path", "bucketed_as"), "version").alias("s"))
         )
         return {row["name"]: row["s"] for row in latest.collect()}
 
@@ -80,9 +89,17 @@ class Warehouse:
         for name in names:
             if name not in current:
                 raise LookupError(f"no snapshot of {layer}.{name} under {self.root}")
-            out[name] = self.spark.read.parquet(self.path(current[name]["path"]))
+            table = current[name]["bucketed_as"]
+            if table and self.spark.catalog.tableExists(table):
+                out[name] = self.spark.table(table)
+            else:
+                out[name] = self.spark.read.parquet(self.path(current[name]["path"]))
         return out
 
+    def _table_name(self, layer: str, name: str, version: int) -> str:
+        # The root keeps warehouses in one catalog apart.
+        return f"wh{crc32(self.root.encode()):08x}_{layer}_{name.lower()}_v{version:06d}"
+
     def write(
         self,
         df: DataFrame,
@@ -90,17 +107,27 @@ class Warehouse:
         name: str,
         batch_dt: date | None = None,
         exec_id: int | None = None,
+        keys: Sequence[str] = (),
     ) -> int:
-        """Write the next snapshot and make it current. Returns its row count."""
+        """Write the next snapshot and make it current. Returns its row count.
+
+        ``keys`` are what the table is looked up and deduplicated by.
+        """
         current = self._current(layer).get(name)
         version = (current["version"] if current else 0) + 1
         path = f"{layer}/{name}/v{version:06d}"
         seen = Observation()
         observed = df.observe(seen, F.count("*").alias("n"))
+        table = self._table_name(layer, name, version) if self.buckets and keys else None
         # A leftover of a failed attempt at this version is replaced.
-        observed.write.mode("overwrite").parquet(self.path(path))
+        writer = observed.write.mode("overwrite")
+        if table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            writer.bucketBy(self.buckets, *keys).option("path", self.path(path)).saveAsTable(table)
+        else:
+            writer.parquet(self.path(path))
         n_rows = seen.get["n"]
-        entry = (layer, name, version, path, n_rows, batch_dt, exec_id, utc_now())
+        entry = (layer, name, version, path, table, n_rows, batch_dt, exec_id, utc_now())
         self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").parquet(
             self._log_path
         )
@@ -109,8 +136,10 @@ class Warehouse:
     def drop_old(self, layer: str, name: str, keep: int = 2) -> list[str]:
         """Delete all but the newest snapshots of a table."""
         wanted = (F.col("layer") == layer) & (F.col("name") == name)
-        newest = self._log().filter(wanted).orderBy(F.desc("version")).select("path")
-        paths = [self.path(row["path"]) for row in newest.offset(keep).collect()]
-        for path in paths:
-            drop_folder(self.spark, path)
-        return paths
+        newest = self._log().filter(wanted).orderBy(F.desc("version"))
+        old = newest.select("path", "bucketed_as").offset(keep).collect()
+        for row in old:
+            if row["bucketed_as"]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {row['bucketed_as']}")
+            drop_folder(self.spark, self.path(row["path"]))
+        return [self.path(row["path"]) for row in old]
