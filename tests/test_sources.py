@@ -7,7 +7,8 @@ import pytest
 import hospital as H
 from wardhouse import contracts as C
 from wardhouse.plans import daily
-from wardhouse.session import shared_dir
+from wardhouse.operators.surrogate import dense_key
+from wardhouse.session import drop_work_tables, shared_dir, work_path
 from wardhouse.sources import archive, batch_files
 from wardhouse.sources.warehouse import OBS, STG, Warehouse
 from wardhouse.streaming.incremental import follow
@@ -168,3 +169,13 @@ def test_archive(spark, tmp_path):
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_work_tables_can_be_dropped(spark):
+    path = work_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert path.startswith(shared_dir(spark)) and spark.read.parquet(path).count() == 3
+    drop_work_tables(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert dense_key(spark.range(3), ["id"], "sk").count() == 3

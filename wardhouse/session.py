@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from wardhouse.sources.files import drop_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and work tables.
@@ -24,6 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def _work_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/work/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one work table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/work/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one work table of this application in the shared folder."""
+    return f"{_work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_work_tables(spark: SparkSession) -> None:
+    """Delete this application's work tables, once nothing built on them is read again."""
+    drop_folder(spark, _work_root(spark))

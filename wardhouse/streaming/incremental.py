@@ -27,8 +27,10 @@ def follow(
     The file source remembers which files it has seen, so a later call takes up
     only new ones. A micro-batch may hold several days; each is loaded on its
     own, in order. Replaying a micro-batch gives the same table: a reload
-    replaces, an upsert of the same rows changes nothing. Files must have the
-    contract's header order; another header fails the scan.
+    replaces, an upsert of the same rows changes nothing. A day's extract must be
+    complete when it appears: a later file of the same day replaces the day in
+    the archive. Files must have the contract's header order; another header
+    fails the scan.
     """
     arriving = (
         wh.spark.readStream.schema(text_schema(contract.header))
