@@ -8,7 +8,7 @@ import pytest
 import hospital as H
 from wardhouse.contracts import TABLES
 from wardhouse.plans import daily
-from wardhouse.plans.audit import RunLog, run_state, step_state
+from wardhouse.plans.audit import RunLog, lineage, run_state, step_state
 from wardhouse.sources.export import run_export
 from wardhouse.sources.warehouse import OBS, SOC, STG, TCH, WRK, Warehouse
 
@@ -19,9 +19,9 @@ def two_days(spark, tmp_path_factory):
     for day in (H.DAY1, H.DAY2):
         H.write_batch(inputs, day)
     wh = Warehouse(spark, str(tmp_path_factory.mktemp("wh")))
-    daily.run_day(wh, str(inputs), H.DAY1, 1, 10)
+    daily.run_day(wh, str(inputs), H.DAY1, 1, 100)
     first = {r["patient_id"]: r["last_name"] for r in daily.staged_tables(wh)["PATIENT"].collect()}
-    views = daily.run_day(wh, str(inputs), H.DAY2, 2, 20)
+    views = daily.run_day(wh, str(inputs), H.DAY2, 2, 200)
     return wh, str(inputs), first, views
 
 
@@ -133,8 +133,20 @@ def test_run_log(two_days):
     }
     steps = {r["exec_id"]: (r["run_id"], r["scrpt_name"], r["exec_stts_cd"])
              for r in step_state(events).collect()}
-    assert steps[20] == (2, "ingest_stg", "OK") and steps[12] == (1, "build_star", "OK")
-    assert {r["exec_id"] for r in wh.read(SOC, "r_room").select("exec_id").distinct().collect()} == {21}
+    assert len(steps) == 2 * (1 + 7 + 10)
+    assert steps[200] == (2, "ingest_stg", "OK") and steps[117] == (1, "r_hospi", "OK")
+    # Rows lead back to the step that accepted them, and to its run.
+    found = lineage(wh.read(SOC, "r_room"), step_state(events), run_state(events))
+    got = found.select("exec_id", "scrpt_name", "run_id", "run_stts_cd").distinct().collect()
+    assert [tuple(r) for r in got] == [(203, "wrk_chambre", 2, "OK")] and found.count() == 786
+
+
+def test_a_noisy_batch_is_not_promoted(two_days):
+    wh, inputs, _, _ = two_days
+    with pytest.raises(ValueError, match="not promoted"):
+        daily.run_day(wh, inputs, H.DAY2, 3, 300, "MANUAL", max_reject_rate=0.05)
+    state = run_state(RunLog(wh.spark, wh.path(TCH, "events")).events())
+    assert state.filter("run_id = 3").first()["run_stts_cd"] == "KO"
 
 
 def test_checks_find_only_the_known_gaps(two_days):
@@ -173,7 +185,7 @@ def test_export(two_days, tmp_path):
 def test_a_failing_run_is_closed_ko(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"))
     with pytest.raises(FileNotFoundError):
-        daily.run_day(wh, str(tmp_path / "none"), date(2026, 5, 1), 7, 70)
+        daily.run_day(wh, str(tmp_path / "none"), date(2026, 5, 1), 7, 700)
     events = RunLog(spark, wh.path(TCH, "events")).events()
     assert run_state(events).first()["run_stts_cd"] == "KO"
     step = step_state(events).first()

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from datetime import date
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from wardhouse.operators.rejects import (
 from wardhouse.plans import assertions
 from wardhouse.plans.audit import RunLog
 from wardhouse.plans.kpis import build_views
-from wardhouse.plans.marts import MART_KEYS, build_marts
+from wardhouse.plans.marts import MART_KEYS, MARTS
 from wardhouse.plans.party import build_party
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
@@ -68,8 +70,8 @@ def load_rows(
         n_affected = wh.write(batch, STG, contract.name, day, exec_id, contract.keys)
     else:
         updates, inserts = Observation(), Observation()
-        known = wh.exists(STG, contract.name)
-        target = wh.read(STG, contract.name) if known else batch.limit(0)
+        current = wh.find(STG, contract.name)
+        target = batch.limit(0) if current is None else current
         merged = upsert(target, batch, contract.keys, contract.guard, updates, inserts)
         wh.write(merged, STG, contract.name, day, exec_id, contract.keys)
         n_affected = updates.get["n"] + inserts.get["n"]
@@ -84,8 +86,9 @@ def reload_from_archive(
     """Load a past batch again from the archive, without its files."""
     contract = table(name)
     batch = replay(wh.spark, wh.path(OBS, name), day)
-    if contract.load != "full" and wh.exists(STG, name):
-        batch = upsert(wh.read(STG, name), batch, contract.keys, contract.guard)
+    current = wh.find(STG, name)
+    if contract.load != "full" and current is not None:
+        batch = upsert(current, batch, contract.keys, contract.guard)
     return wh.write(batch, STG, name, day, exec_id, contract.keys)
 
 
@@ -123,21 +126,46 @@ def staged_tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {name: stage(df, TABLES[name]) for name, df in wh.read_all(STG, TABLES).items()}
 
 
-def build_work(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Steps:
+    """Hands out one execution id per table written, each a logged step of a run."""
+
+    log: RunLog
+    run_id: int
+    ids: Iterator[int]
+
+    @contextmanager
+    def table(self, name: str) -> Iterator[int]:
+        exec_id = next(self.ids)
+        with self.log.step(self.run_id, exec_id, name):
+            yield exec_id
+
+
+def _step(steps: Steps | None, name: str, exec_id: int):
+    return steps.table(name) if steps else nullcontext(exec_id)
+
+
+def build_work(
+    wh: Warehouse, day: date, exec_id: int = NO_EXEC, steps: Steps | None = None
+) -> dict[str, DataFrame]:
     """Gate all staged tables and write the work layer."""
     for name, staged in staged_tables(wh).items():
         contract = TABLES[name]
-        wh.write(work(staged, contract, day, exec_id), WRK, name, day, exec_id,
-                 contract.staged_keys)
+        with _step(steps, f"wrk_{name.lower()}", exec_id) as step_id:
+            gated = work(staged, contract, day, step_id)
+            wh.write(gated, WRK, name, day, step_id, contract.staged_keys)
     return wh.read_all(WRK, TABLES)
 
 
-def build_star(wh: Warehouse, day: date, exec_id: int) -> dict[str, DataFrame]:
+def build_star(
+    wh: Warehouse, day: date, exec_id: int = NO_EXEC, steps: Steps | None = None
+) -> dict[str, DataFrame]:
     """Write the ten marts from the work layer."""
-    marts = build_marts(wh.read_all(WRK, TABLES))
-    for name, mart in marts.items():
-        wh.write(mart, SOC, name, day, exec_id, MART_KEYS[name])
-    return wh.read_all(SOC, marts)
+    gated = wh.read_all(WRK, TABLES)
+    for name, build in MARTS.items():
+        with _step(steps, name, exec_id) as step_id:
+            wh.write(build(gated), SOC, name, day, step_id, MART_KEYS[name])
+    return wh.read_all(SOC, MARTS)
 
 
 def build_rejects(wh: Warehouse, day: date) -> int:
@@ -215,21 +243,19 @@ def run_day(
 ) -> dict[str, DataFrame]:
     """Load, gate, promote: one tracked run. Returns the indicator views.
 
-    Execution ids are ``first_exec_id`` and the next ones, one per step. With
-    ``max_reject_rate`` the star schema is only rebuilt when no table exceeds it.
+    Each step has its own execution id, counted up from ``first_exec_id``: the
+    load, then one per work table and one per mart. Rows carry the id of the work
+    step that accepted them. With ``max_reject_rate`` the star schema is only
+    rebuilt when no table exceeds it.
     """
     log = RunLog(wh.spark, wh.path(TCH, "events"))
-    load_id, work_id, mart_id = range(first_exec_id, first_exec_id + 3)
+    steps = Steps(log, run_id, count(first_exec_id))
     with log.run(run_id, run_typ, day):
-        with log.step(run_id, load_id, "ingest_stg"):
+        with steps.table("ingest_stg") as load_id:
             ingest_batch(wh, inputs, day, load_id)
-        with log.step(run_id, work_id, "build_work"):
-            gated = build_work(wh, day, work_id)
-        with log.step(run_id, mart_id, "build_star"):
-            if max_reject_rate is not None:
-                require_promotion(
-                    reject_rates(gated, max_reject_rate),
-                    {"ingest_stg": "OK", "build_work": "OK"},
-                )
-            build_star(wh, day, mart_id)
+        gated = build_work(wh, day, steps=steps)
+        if max_reject_rate is not None:
+            # Reached only when every step before ended OK.
+            require_promotion(reject_rates(gated, max_reject_rate), {})
+        build_star(wh, day, steps=steps)
     return views(wh)

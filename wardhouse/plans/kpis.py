@@ -212,8 +212,11 @@ def top_medication_rollup(view: DataFrame, period: str, n: int = 1) -> DataFrame
         F.col("total_quantity").desc(), *[F.col(c).asc_nulls_last() for c in medication]
     )
     return (
-        totals.withColumn("medication_rank", F.row_number().over(order).cast("bigint"))
-        .filter(F.col("medication_rank") <= n)
+        totals.withColumn("_rank", F.row_number().over(order))
+        # On the bare row number, so that each task keeps n rows before the shuffle.
+        .filter(F.col("_rank") <= n)
+        .withColumn("medication_rank", F.col("_rank").cast("bigint"))
+        .drop("_rank")
     )
 
 

@@ -173,17 +173,16 @@ MART_KEYS = {
 }
 
 
-def build_marts(work: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All ten marts from the seven gated tables, keyed by table name."""
-    return {
-        "r_room": r_room(work["CHAMBRE"]),
-        "r_medc": r_medc(work["MEDICAMENT"]),
-        "r_part": r_part(work["PATIENT"], work["PERSONNEL"]),
-        "r_indiv": r_indiv(work["PATIENT"]),
-        "r_stf": r_stf(work["PERSONNEL"]),
-        "r_addr": r_addr(work["PATIENT"]),
-        "r_tel": r_tel(work["PATIENT"]),
-        "r_trmt": r_trmt(work["TRAITEMENT"]),
-        "fait_consult": fait_consult(work["CONSULTATION"]),
-        "r_hospi": r_hospi(work["HOSPITALISATION"]),
-    }
+# Each mart from the gated tables, in the order they are built.
+MARTS = {
+    "r_room": lambda work: r_room(work["CHAMBRE"]),
+    "r_medc": lambda work: r_medc(work["MEDICAMENT"]),
+    "r_part": lambda work: r_part(work["PATIENT"], work["PERSONNEL"]),
+    "r_indiv": lambda work: r_indiv(work["PATIENT"]),
+    "r_stf": lambda work: r_stf(work["PERSONNEL"]),
+    "r_addr": lambda work: r_addr(work["PATIENT"]),
+    "r_tel": lambda work: r_tel(work["PATIENT"]),
+    "r_trmt": lambda work: r_trmt(work["TRAITEMENT"]),
+    "fait_consult": lambda work: fait_consult(work["CONSULTATION"]),
+    "r_hospi": lambda work: r_hospi(work["HOSPITALISATION"]),
+}

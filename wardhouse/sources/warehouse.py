@@ -79,22 +79,28 @@ class Warehouse:
     def exists(self, layer: str, name: str) -> bool:
         return name in self._current(layer)
 
+    def find(self, layer: str, name: str) -> DataFrame | None:
+        """The current snapshot, or None if the table was never written."""
+        current = self._current(layer).get(name)
+        return None if current is None else self._open(current)
+
     def read(self, layer: str, name: str) -> DataFrame:
         """The current snapshot; ``LookupError`` if the table was never written."""
         return self.read_all(layer, [name])[name]
 
     def read_all(self, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
         """Current snapshots of several tables of a layer."""
-        current, out = self._current(layer), {}
-        for name in names:
-            if name not in current:
-                raise LookupError(f"no snapshot of {layer}.{name} under {self.root}")
-            table = current[name]["bucketed_as"]
-            if table and self.spark.catalog.tableExists(table):
-                out[name] = self.spark.table(table)
-            else:
-                out[name] = self.spark.read.parquet(self.path(current[name]["path"]))
-        return out
+        current, names = self._current(layer), list(names)
+        unknown = [name for name in names if name not in current]
+        if unknown:
+            raise LookupError(f"no snapshot of {layer}.{unknown} under {self.root}")
+        return {name: self._open(current[name]) for name in names}
+
+    def _open(self, snapshot) -> DataFrame:
+        table = snapshot["bucketed_as"]
+        if table and self.spark.catalog.tableExists(table):
+            return self.spark.table(table)
+        return self.spark.read.parquet(self.path(snapshot["path"]))
 
     def _table_name(self, layer: str, name: str, version: int) -> str:
         # The root keeps warehouses in one catalog apart.
