@@ -23,6 +23,7 @@ from wardhouse.plans.work import work
 from warehouse_queries import standins as S
 from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 from warehouse_queries.loads import order_texts
+from warehouse_queries.stars import _NIGHT, _OCC, _ROOMS_WORK
 from warehouse_queries.stars import QUERIES as STARS
 from warehouse_queries.stars import fact, individuals, medications, rooms, staff, stays, treatments
 
@@ -241,10 +242,25 @@ def _view_suite(spark, sf_dir):
     return assertions.run_checks(tables, {n: assertions.VIEWS[n] for n in tables})
 
 
+def _one_pass_sql(name, expect):
+    """The not-null, accepted-value and never checks of a table, as SQL over it."""
+    failing = [("not_null", c, f"{c} IS NULL") for c in expect.not_null]
+    failing += [("accepted_values", v.column, f"{v.column} NOT IN {v.accepted}")
+                for v in expect.accepted]
+    failing += [("never", p, p) for p in expect.never]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS src_table, '{check}' AS \"check\", '{detail}' AS detail,"
+        f" count(*) AS n_failed FROM {name} WHERE {predicate} HAVING count(*) > 0"
+        for check, detail, predicate in failing
+    )
+
+
 _register(
     "chk_view_suite", _view_suite,
-    """SELECT '' AS src_table, '' AS "check", '' AS detail, CAST(0 AS BIGINT) AS n_failed
-    FROM events WHERE event_id < 0""",
+    f"{_ROOMS_WORK}, vw_patients_one_night AS ({_NIGHT}), vw_empty_rooms AS ({_OCC}) "
+    + " UNION ALL ".join(
+        _one_pass_sql(n, assertions.VIEWS[n]) for n in ("vw_patients_one_night", "vw_empty_rooms")
+    ),
 )
 
 

@@ -130,9 +130,13 @@ def contract_pass_count(spark, sf_dir):
 
 
 QUERIES["contract_pass_count"] = contract_pass_count
-ORACLE["contract_pass_count"] = """SELECT DATE '2026-04-29' AS batch_dt,
-    CAST(CASE WHEN count(*) > 0 THEN 2 ELSE 0 END AS BIGINT) AS n_valid,
-    CAST(4 AS BIGINT) AS n_tables FROM customer"""
+ORACLE["contract_pass_count"] = """
+    WITH e AS (SELECT count(*) AS row_count, true AS conforms FROM customer
+        UNION ALL SELECT count(*), true FROM part
+        UNION ALL SELECT count(*), false FROM customer
+        UNION ALL SELECT count(*), true FROM part WHERE p_name IS NULL)
+    SELECT DATE '2026-04-29' AS batch_dt, count(*) FILTER (conforms AND row_count > 0) AS n_valid,
+        count(*) AS n_tables FROM e"""
 
 
 def source_map(spark, sf_dir):
