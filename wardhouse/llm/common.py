@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -102,18 +101,18 @@ def labelled_sample(
     labels: DataFrame,
     label_col: str,
     per_class: int,
+    calibrate: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> tuple[DataFrame, float]:
-    """(id, text, label, fold) of at most ``per_class`` labelled ids of each class.
-
-    The second result is by how much the log-odds of label 1 in the sample lie
-    below those among all labelled ids, for calibration.
-
-    Fold 0 is never used. Which ids are taken depends on a hash of the id alone.
-    An id labelled more than once has the label of most of its rows, the larger
-    at a tie. The chosen ids, at most ``2 * per_class`` numbers, go through the
-    driver; the texts do not.
+) -> DataFrame:
+    """(id, text, label, fold): the rows a classifier is fitted on.
+
+    At most ``per_class`` labelled ids of each class from folds 2 to 4, to train
+    on, and at most ``calibrate`` from fold 1, whatever their class, so that
+    they show the classes' true shares. Fold 0 is never used. Which ids are
+    taken depends on a hash of the id alone. An id labelled more than once has
+    the label of most of its rows, the larger at a tie. The chosen ids, a
+    bounded number, go through the driver; the texts do not.
     """
     spark = docs.sparkSession
     known = (
@@ -122,15 +121,14 @@ def labelled_sample(
         .groupBy("id")
         .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
         .withColumn("fold", fold("id"))
-        .where("fold <> 0")
     )
-    ids, share = [], {}
-    totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    for value in (0, 1):
-        chosen = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id")
-        rows = [tuple(r) for r in chosen.limit(per_class).collect()]
-        share[value] = len(rows) / totals[value] if rows else 1.0
-        ids += rows
-    chosen = spark.createDataFrame(ids, known.schema)
+    ids: list[tuple] = []
+    for group, most in (
+        ("fold > 1 and label = 0", per_class),
+        ("fold > 1 and label = 1", per_class),
+        ("fold = 1", calibrate),
+    ):
+        chosen = known.where(group).orderBy(F.xxhash64("id"), "id").limit(most)
+        ids += [tuple(r) for r in chosen.collect()]
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id"), math.log(share[0] / share[1])
+    return texts.join(F.broadcast(spark.createDataFrame(ids, known.schema)), "id")

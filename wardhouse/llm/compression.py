@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,8 +13,10 @@ from pyspark.sql import types as T
 from wardhouse.llm.common import append_columns, labelled_sample, written
 from wardhouse.llm.linear import isotonic
 
-#: Labelled ids of each class that the dictionaries and the curve are fitted on, at most.
+#: Labelled ids of each class that the dictionaries are built from, at most.
 PER_CLASS = 2500
+#: Labelled ids of fold 1 that the curve is fitted on, at most.
+CALIBRATE = 8000
 #: Blocks of each class that a dictionary is built from, at most.
 SAMPLES = 3000
 #: Texts are compressed in blocks of so many bytes, so that a long text does not
@@ -87,8 +88,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     over the size difference; the driver gets one number for each text of fold
     1 of the sample. Without labelled rows every score is one half.
     """
-    sample, prior = labelled_sample(docs, labels, "quality", per_class, id_col, text_col)
-    sample = written(sample, "quality-sample")
+    sample = written(
+        labelled_sample(docs, labels, "quality", per_class, CALIBRATE, id_col, text_col), "quality-sample"
+    )
 
     def cut(batches):
         import pandas as pd
@@ -113,12 +115,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     curve = (
         append_columns(sample.where("fold = 1"), "text", [T.StructField("z", T.DoubleType())], make)
         .select("z", "label")
-        .limit(4 * per_class)
+        .limit(2 * CALIBRATE)
         .toPandas()
     )
     knots, rates = isotonic(curve.z.to_numpy(), curve.label.to_numpy())
-    odds = [math.exp(prior) * r / (1 - r) for r in rates]
-    return CompressionModel(*dictionaries, tuple(knots), tuple(o / (1 + o) for o in odds))
+    return CompressionModel(*dictionaries, tuple(knots), tuple(rates))
 
 
 def compression_quality(docs: DataFrame, model: CompressionModel, text_col: str = "text") -> DataFrame:

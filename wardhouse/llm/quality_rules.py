@@ -16,6 +16,8 @@ BITS = 12
 CHAR_ORDERS = (1, 2, 3, 4)
 #: Labelled ids of each class that the classifier is fitted on, at most.
 PER_CLASS = 2000
+#: Labelled ids of fold 1 that the probability is calibrated on, at most.
+CALIBRATE = 2000
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: A document below this probability of good quality is not kept.
@@ -91,14 +93,14 @@ def counters(text: str, raw: bytes, words: list[bytes]) -> tuple[int, int, int,
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> QualityModel:
-    """Fit on at most ``per_class`` labelled ids of each class outside fold 0.
+    """Fit on at most ``per_class`` labelled ids of each class, calibrate on CALIBRATE others.
 
     The n-grams are hashed on the executors; the driver gets one row of
     2 * 2**BITS half floats for each chosen document. Fold 1 calibrates the
     probability (a logistic curve), the others train. Without labelled rows
     every probability is one half.
     """
-    sample, prior = labelled_sample(docs, labels, "quality", per_class, id_col, text_col)
+    sample = labelled_sample(docs, labels, "quality", per_class, CALIBRATE, id_col, text_col)
 
     def make():
         def compute(texts: list) -> list:
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (
         append_columns(sample, "text", [T.StructField("x", T.BinaryType())], make)
         .select("id", "label", "fold", "x")
-        .limit(4 * per_class)
+        .limit(2 * (2 * per_class + CALIBRATE))
         .toPandas()
         .sort_values(["id", "x"])
     )
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weights, offset = fit_dense(x[~held], y[~held], 1e-5)
     use = held if held.any() else ~held
     slope, shift = platt(x[use] @ weights + offset, y[use])
-    return QualityModel(weights.astype(np.float32), offset, slope, shift + prior)
+    return QualityModel(weights.astype(np.float32), offset, slope, shift)
 
 
 def quality_rules(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

@@ -16,6 +16,8 @@ BITS = 20
 ORDERS = (3, 4, 5, 6)
 #: Labelled ids of each class that the classifier is fitted on, at most.
 PER_CLASS = 4000
+#: Labelled ids of fold 1 that the probability is calibrated on, at most.
+CALIBRATE = 8000
 #: N-gram buckets that the classifier uses.
 FEATURES = 2048
 RIDGE = 1e-3
@@ -73,7 +75,7 @@ def _document_counts(sample: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> ToxicityModel:
-    """Fit on at most ``per_class`` labelled ids of each class outside fold 0.
+    """Fit on at most ``per_class`` labelled ids of each class, calibrate on CALIBRATE others.
 
     r = log of the ratio of smoothed document counts in toxic and other texts;
     the FEATURES buckets with the surest r are kept, and a logistic regression
@@ -81,8 +83,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     The driver gets the chosen buckets and their places in the sampled texts.
     Without labelled rows of both classes every score is the smoothed rate.
     """
-    sample, prior = labelled_sample(docs, labels, "toxic", per_class, id_col, text_col)
-    sample = written(sample, "toxic-sample")
+    sample = written(
+        labelled_sample(docs, labels, "toxic", per_class, CALIBRATE, id_col, text_col), "toxic-sample"
+    )
     total = [0, 0]
     for row in sample.where("fold > 1").groupBy("label").count().collect():
         total[row.label] = row["count"]
@@ -113,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (
         append_columns(sample, "text", [T.StructField("x", T.BinaryType())], make)
         .select("id", "label", "fold", "x")
-        .limit(4 * per_class)
+        .limit(2 * (2 * per_class + CALIBRATE))
         .toPandas()
         .sort_values(["id", "x"])
     )
@@ -123,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     use = ~train if (~train).any() else train
     z = np.array([weights[r].sum() + offset for r, u in zip(x, use, strict=True) if u])
     slope, shift = platt(z, y[use])
-    return ToxicityModel(buckets, weights, offset, slope, shift + prior)
+    return ToxicityModel(buckets, weights, offset, slope, shift)
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
