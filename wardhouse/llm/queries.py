@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-from wardhouse.llm import compression, quality_rules, toxicity
+from wardhouse.llm import (
+    compression,
+    covertree,
+    neardup,
+    packing,
+    pieces,
+    pii,
+    quality_rules,
+    token_files,
+    toxicity,
+)
 from wardhouse.llm.common import fold, table
+from wardhouse.llm.token_ids import tokenizer_path
+from wardhouse.session import work_path
+
+
+#: The key of the registered queries; a real run takes its own from a secret store.
+PII_KEY = "fixed key of the registered queries"
 
 
 def _scored(rows: DataFrame) -> DataFrame:
@@ -25,16 +42,62 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(compression.compression_quality(docs, model))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("original"), "text")
+    model = tokenizer_path("piece_bpe_32k.model")
+    rows = pieces.decode(pieces.encode(docs, model), model)
+    return rows.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_pieces"),
+        "score",
+        F.crc32("ids").alias("ids_crc32"),
+        F.coalesce(F.col("text") == F.coalesce("original", F.lit("")), F.lit(False)).alias("round_trip"),
+    )
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_pii(docs, key=PII_KEY)
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, size=4, percent=80)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed_documents(docs, tokenizer_path())
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    rows = token_files.read_token_files(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return _scored(toxicity.toxicity(docs, model))
 
 
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_pii": op4_pii,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_packing": op6_packing,
+    "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_exact_topk": op10_exact_topk,
 }
 
 ORACLE: dict[str, str] = {}
