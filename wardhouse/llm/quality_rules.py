@@ -15,9 +15,9 @@ from wardhouse.llm.linear import char_ngrams, fit_dense, platt, sigmoid, word_ng
 BITS = 12
 CHAR_ORDERS = (1, 2, 3, 4)
 #: Labelled ids of each class that the classifier is fitted on, at most.
-PER_CLASS = 2000
+PER_CLASS = 1500
 #: Labelled ids of fold 1 that the probability is calibrated on, at most.
-CALIBRATE = 2000
+CALIBRATE = 1500
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: A document below this probability of good quality is not kept.
@@ -117,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     if not len(rows):
         return QualityModel(np.zeros(2 << BITS, np.float32), 0.0, 0.0, 0.0)
-    x = np.frombuffer(b"".join(rows.x), np.float16).reshape(len(rows), -1).astype(np.float32)
+    x = np.empty((len(rows), 2 << BITS), np.float32)
+    for k, raw in enumerate(rows.pop("x")):
+        x[k] = np.frombuffer(raw, np.float16)
     y = rows.label.to_numpy(float)
     held = rows.fold.to_numpy() == 1
     weights, offset = fit_dense(x[~held], y[~held], 1e-5)

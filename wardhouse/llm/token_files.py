@@ -35,7 +35,8 @@ from wardhouse.llm.common import slices
 from wardhouse.llm.token_ids import encoder
 
 MAGIC = b"BPS1"
-HEAD = struct.Struct("<4sBBHIQ")
+HEAD = "<4sBBHIQ"
+HEAD_BYTES = struct.calcsize(HEAD)
 #: Ids in a block.
 BLOCK = 65_536
 LEVEL = 3
@@ -55,17 +56,17 @@ def pack_block(ids: np.ndarray, width: int = 8) -> bytes:
         bits = np.unpackbits(table, axis=1, bitorder="little")
         parts = [press.compress(np.packbits(bits[:, k], bitorder="little")) for k in range(planes)]
     body = struct.pack(f"<{planes}I", *map(len, parts)) + b"".join(parts)
-    return HEAD.pack(MAGIC, 0, width, planes, len(ids), len(body)) + body
+    return struct.pack(HEAD, MAGIC, 0, width, planes, len(ids), len(body)) + body
 
 
 def unpack_block(record: bytes | memoryview) -> np.ndarray:
-    magic, kind, width, planes, count, length = HEAD.unpack_from(record)
+    magic, kind, width, planes, count, length = struct.unpack_from(HEAD, record)
     if magic != MAGIC or kind != 0 or width not in (1, 8):
         raise ValueError("not a block record")
-    at = HEAD.size + 4 * planes
+    at = HEAD_BYTES + 4 * planes
     press = zstandard.ZstdDecompressor()
     table = np.zeros((count, 32 // width), np.uint8)
-    for k, size in enumerate(struct.unpack_from(f"<{planes}I", record, HEAD.size)):
+    for k, size in enumerate(struct.unpack_from(f"<{planes}I", record, HEAD_BYTES)):
         plane = np.frombuffer(press.decompress(bytes(record[at : at + size])), np.uint8)
         table[:, k] = plane if width == 8 else np.unpackbits(plane, count=count, bitorder="little")
         at += size
@@ -79,20 +80,20 @@ def pack_index(number: int, blocks: list[tuple[int, int, int]], docs: list[tuple
     body += np.array([d is None for d, _ in docs], "u1").tobytes()
     body += np.array([n for _, n in docs], "<u8").tobytes()
     body = zstandard.ZstdCompressor(level=LEVEL).compress(body)
-    return HEAD.pack(MAGIC, 1, 0, 0, len(docs), len(body)) + body
+    return struct.pack(HEAD, MAGIC, 1, 0, 0, len(docs), len(body)) + body
 
 
 def read_index(content: bytes | memoryview) -> tuple[int, np.ndarray, list[int | None], np.ndarray]:
     """The file's number, its blocks (offset, first id, count), document ids and counts."""
     at = 0
     while True:
-        magic, kind, _, _, _, length = HEAD.unpack_from(content, at)
+        magic, kind, _, _, _, length = struct.unpack_from(HEAD, content, at)
         if magic != MAGIC:
             raise ValueError("not a token-id file")
         if kind == 1:
             break
-        at += HEAD.size + length + 1
-    body = zstandard.ZstdDecompressor().decompress(bytes(content[at + HEAD.size : at + HEAD.size + length]))
+        at += HEAD_BYTES + length + 1
+    body = zstandard.ZstdDecompressor().decompress(bytes(content[at + HEAD_BYTES : at + HEAD_BYTES + length]))
     number, n_blocks, n_docs = struct.unpack_from("<3Q", body)
     at = 24 + 24 * n_blocks
     blocks = np.frombuffer(body, "<u8", 3 * n_blocks, 24).reshape(3, -1).T
