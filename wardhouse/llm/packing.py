@@ -83,6 +83,21 @@ def fill(sizes: np.ndarray, left: np.ndarray, room: int) -> np.ndarray:
     return pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivots; a driver process must not start the linear algebra
+    library's own threads beside the session's."""
+    n = len(matrix)
+    both = np.concatenate([matrix, np.eye(n)], 1)
+    for k in range(n):
+        top = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, top]] = both[[top, k]]
+        both[k] /= both[k, k]
+        factors = both[:, k].copy()
+        factors[k] = 0
+        both -= factors[:, None] * both[k]
+    return both[:, n:]
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and how often to use each, for the linear cutting-stock program.
 
@@ -99,7 +114,7 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple
     bound, centre = 0.0, inverse.sum(0)
     for step in range(1, 8 * m):
         if step % 256 == 0:
-            inverse = np.linalg.inv(columns)
+            inverse = inverted(columns)
             amount = np.maximum(inverse @ demand, 0)
         duals = inverse.sum(0)
         for trial in (STEADY * centre + (1 - STEADY) * duals, duals):
