@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wardhouse.llm import (
     compression,
     covertree,
+    masked_lm,
     neardup,
     packing,
     pieces,
@@ -71,6 +72,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, tokenizer_path())
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return masked_lm.pseudo_likelihood(docs, masked_lm.fit(docs)).drop("text")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -95,9 +101,58 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLE: dict[str, str] = {}
+_NEAR = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id,
+    unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: w[i:i + 3])) AS shingle
+  FROM words WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT met.a, met.b FROM met JOIN sizes x ON x.doc_id = met.a JOIN sizes y ON y.doc_id = met.b
+  WHERE 100 * met.n >= 80 * (x.n + y.n - met.n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, component_id,
+  doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+_TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op5_near_duplicates": _NEAR, "op10_exact_topk": _TOP}
