@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardhouse import contracts as C
 from wardhouse.operators import occupancy
 from wardhouse.operators.dedup import latest_per_key, ordering, superseded
-from wardhouse.operators.joins import hot_keys, join_dimension
+from wardhouse.operators.joins import hot_keys, hot_keys_of, join_dimension
 from wardhouse.operators.load import upsert, upsert_counts
 from wardhouse.operators.quality import check_rows, gate
 from wardhouse.operators.references import check_references
@@ -197,6 +197,24 @@ def test_hot_keys_are_spread_without_changing_the_join(spark, how):
         join_dimension(facts, dim.withColumn("k", F.col("k").cast("int")), ["k"])
 
 
+def test_as_many_hot_keys_as_partitions_are_found(spark):
+    """300 equally hot keys at 1,000 partitions, found for two sets of keys in one pass."""
+    facts = spark.range(60_000).select((F.col("id") % 300).alias("k"), F.col("id").alias("n"))
+    facts = facts.withColumn("one", F.lit(1).cast("bigint")).repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        by_key, by_one = hot_keys_of(facts, [["k"], ["one"]])
+        assert len(by_key) == 300 and set(by_key.values()) == {4} and list(by_one.values()) == [1000]
+        dim = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        joined = join_dimension(facts, dim, ["k"], spread_by=["n"], hot=by_key)
+        plan = joined._jdf.queryExecution().analyzed().toString()
+        assert "map(" not in plan and "_shares" in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert joined.agg(F.count("*"), F.sum("v")).first()[:] == (60_000, sum(2 * k * 200 for k in range(300)))
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 16])
 def test_dense_keys(spark, partitions):
     rng = random.Random(3)

@@ -152,6 +152,39 @@ def test_followed_files_equal_replayed_batches(spark, tmp_path):
     assert days == {H.DAY1, H.DAY2}
 
 
+def test_followed_days_are_read_like_batches(spark, tmp_path):
+    """Records over two lines, another column order, and a shard that comes later."""
+    inputs, seen = tmp_path / "in", str(tmp_path / "seen")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    header = list(C.MEDICAMENT.header)
+    turned = header[::-1]
+    folder = inputs / "BDD_HOSPITAL_20260429" / "MEDICAMENT_20260429.txt"
+    folder.mkdir(parents=True)
+    rows = {"a.txt": ['A;"line one\nline two";box;cat;brand', "B;plain;box;cat;brand"]}
+    rows["b.txt"] = ["C;late;box;cat;brand"]
+    (folder / "a.txt").write_text("\n".join([";".join(header), *rows["a.txt"]]) + "\n")
+    follow(wh, str(inputs), C.MEDICAMENT, seen).awaitTermination()
+    assert wh.read(STG, "MEDICAMENT").count() == 2
+    (folder / "b.txt").write_text("\n".join([";".join(header), *rows["b.txt"]]) + "\n")
+    follow(wh, str(inputs), C.MEDICAMENT, seen).awaitTermination()
+    got = wh.read(STG, "MEDICAMENT")
+    key = got.columns[0]
+    assert {r[0] for r in got.select(key).collect()} == {"A", "B", "C"}
+    values = {v for r in got.collect() for v in r}
+    assert "line one\nline two" in values
+    H.write_extract(inputs, H.DAY2, "MEDICAMENT", ["brand;cat;box;turned;D"], turned)
+    follow(wh, str(inputs), C.MEDICAMENT, seen).awaitTermination()
+    assert [r[0] for r in wh.read(STG, "MEDICAMENT").select(key).collect()] == ["D"]
+
+
+def test_followed_day_without_rows_is_refused(spark, tmp_path):
+    inputs = tmp_path / "in"
+    H.write_extract(inputs, H.DAY1, "MEDICAMENT", [])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    with pytest.raises(Exception, match="invalid extract"):
+        follow(wh, str(inputs), C.MEDICAMENT, str(tmp_path / "seen")).awaitTermination()
+
+
 def test_archive(spark, tmp_path):
     path, at = str(tmp_path / "obs"), datetime(2026, 4, 29, 6)
     rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")

@@ -8,11 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keys followed while looking for frequent ones, and how many of them are used.
-_TRACKED = 2000
-_USED = 200
 # Tasks that merge the sketches of all map tasks before the last one does.
 _MERGERS = 256
+# What a sketch may follow at most.
+_MOST_TRACKED = 1_000_000
 
 
 def _code(keys: Sequence[str]) -> Column:
@@ -20,37 +19,57 @@ def _code(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> dict[int, int]:
-    """Keys with more rows than an average shuffle partition, by hash code.
+    """The hot keys of one set of key columns; see :func:`hot_keys_of`."""
+    return hot_keys_of(facts, [keys])[0]
 
-    The value says over how many partitions' worth of rows the key extends. One
-    pass over the key columns into sketches of fixed size, merged in two steps;
-    nothing is shuffled by key. The sketch may miss a key near the limit, which
-    only affects where rows are joined, never the result.
+
+def hot_keys_of(facts: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[dict[int, int]]:
+    """For each set of key columns, the keys with more rows than an average shuffle partition.
+
+    Keys are given by hash code, with the number of partitions' worth of rows
+    they extend over. There are fewer of them than shuffle partitions, and the
+    sketches are sized by that number. One pass over all key columns, merged in
+    two steps; nothing is shuffled by key. A sketch may miss a key near the
+    limit, which only affects where rows are joined, never the result.
     """
     parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(_MOST_TRACKED, max(2000, 10 * parts))
+    names = [f"_sketch{n}" for n in range(len(key_sets))]
     row = (
-        facts.select(_code(keys).alias("_code"))
+        facts.select(*[_code(keys).alias(f"_code{n}") for n, keys in enumerate(key_sets)])
         .groupBy((F.spark_partition_id() % _MERGERS).alias("_merger"))
         .agg(
-            F.expr(f"approx_top_k_accumulate(_code, {_TRACKED})").alias("_sketch"),
             F.count("*").alias("n"),
+            *[
+                F.expr(f"approx_top_k_accumulate(_code{n}, {tracked})").alias(name)
+                for n, name in enumerate(names)
+            ],
         )
         # Grouped on a constant, so that no rows give no sketch.
         .groupBy(F.lit(0).alias("_all"))
         .agg(
-            F.expr(f"approx_top_k_combine(_sketch, {_TRACKED})").alias("_sketch"),
             F.sum("n").alias("n"),
+            *[F.expr(f"approx_top_k_combine({name}, {tracked})").alias(name) for name in names],
+        )
+        .select(
+            "n",
+            *[
+                F.expr(f"approx_top_k_estimate({name}, {min(parts, tracked)})").alias(name)
+                for name in names
+            ],
         )
-        .select(F.expr(f"approx_top_k_estimate(_sketch, {_USED})").alias("top"), "n")
         .first()
     )
     if row is None:
-        return {}
-    return {
-        t["item"]: math.ceil(t["count"] * parts / row["n"])
-        for t in row["top"]
-        if t["count"] * parts > row["n"] and t["count"] > 1
-    }
+        return [{} for _ in key_sets]
+    return [
+        {
+            t["item"]: math.ceil(t["count"] * parts / row["n"])
+            for t in row[name]
+            if t["count"] * parts > row["n"] and t["count"] > 1
+        }
+        for name in names
+    ]
 
 
 def join_dimension(
@@ -60,6 +79,7 @@ def join_dimension(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     hot_in: DataFrame | None = None,
+    hot: dict[int, int] | None = None,
 ) -> DataFrame:
     """Join facts to rows that are unique on the key, without hot tasks.
 
@@ -71,8 +91,9 @@ def join_dimension(
 
     ``spread_by`` should tell facts apart, such as their own key. ``hot_in`` is
     the table whose key columns are looked through, by default the facts: name
-    it where the facts are themselves the result of a join. The key columns must
-    have the same names and types on both sides.
+    it where the facts are themselves the result of a join. ``hot`` gives the
+    hot keys where the caller has found them. The key columns must have the same
+    names and types on both sides.
     """
     fact_types, dimension_types = dict(facts.dtypes), dict(dimension.dtypes)
     for key in keys:
@@ -80,15 +101,26 @@ def join_dimension(
             raise ValueError(
                 f"{key} is {fact_types[key]} in the facts, {dimension_types[key]} in the dimension"
             )
-    hot = hot_keys(facts if hot_in is None else hot_in, keys)
+    if hot is None:
+        hot = hot_keys(facts if hot_in is None else hot_in, keys)
     if not hot:
         return facts.join(dimension, list(keys), how)
-    shares = F.create_map(*[F.lit(v).cast("bigint") for pair in hot.items() for v in pair])
-    share = F.coalesce(F.try_element_at(shares, _code(keys)), F.lit(1).cast("bigint"))
-    dealt = facts.withColumn(
-        "_share", F.pmod(F.xxhash64(*(spread_by or facts.columns)), share)
+    # Fewer rows than shuffle partitions.
+    shares = F.broadcast(
+        facts.sparkSession.createDataFrame(list(hot.items()), "_code long, _shares long")
+    )
+
+    def with_shares(df: DataFrame) -> DataFrame:
+        coded = df.withColumn("_code", _code(keys)).join(shares, "_code", "left")
+        return coded.withColumn("_shares", F.coalesce("_shares", F.lit(1).cast("bigint")))
+
+    dealt = with_shares(facts).withColumn(
+        "_share", F.pmod(F.xxhash64(*(spread_by or facts.columns)), "_shares")
+    )
+    repeated = with_shares(dimension).withColumn(
+        "_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_shares") - 1))
     )
-    repeated = dimension.withColumn(
-        "_share", F.explode(F.sequence(F.lit(0).cast("bigint"), share - 1))
+    joined = dealt.drop("_code", "_shares").join(
+        repeated.drop("_code", "_shares"), [*keys, "_share"], how
     )
-    return dealt.join(repeated, [*keys, "_share"], how).drop("_share")
+    return joined.drop("_share")

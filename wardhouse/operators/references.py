@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardhouse.contracts import FK_NOT_FOUND, Reference
 from wardhouse.operators.dedup import any_null
-from wardhouse.operators.joins import join_dimension
+from wardhouse.operators.joins import hot_keys_of, join_dimension
 from wardhouse.operators.quality import OK, REJ, accepted, rejected
 
 
@@ -27,6 +27,8 @@ def check_references(
     columns = rows.columns
     checked = accepted(rows)
     lost = F.lit(None).cast("string")
+    # One pass over the rows finds the hot keys of all references.
+    hot = hot_keys_of(checked, [ref.columns for ref in references]) if references else []
     for n, ref in enumerate(references):
         parent = accepted(parents[ref.parent])
         if ref.parent_filter:
@@ -35,7 +37,7 @@ def check_references(
             parent.select(*[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)])
             .withColumn(f"_held{n}", F.lit(True))
         )
-        checked = join_dimension(checked, held, ref.columns, "left", hot_in=accepted(rows))
+        checked = join_dimension(checked, held, ref.columns, "left", hot=hot[n])
     for n, ref in reversed(list(enumerate(references))):
         missing = F.col(f"_held{n}").isNull() & ~any_null(ref.columns)
         lost = F.when(missing, F.lit(", ".join(ref.columns))).otherwise(lost)

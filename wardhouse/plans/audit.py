@@ -17,7 +17,6 @@ from wardhouse.sources.warehouse import utc_now
 # Statuses and run types.
 RUNNING, DONE, FAILED = "ENC", "OK", "KO"
 RUN_TYPES = ("INSTALL", "DAILY", "MANUAL")
-MESSAGE_LENGTH = 2000
 
 EVENTS = T.StructType(
     [
@@ -125,6 +124,6 @@ class RunLog:
             yield
         except BaseException as error:
             self._append(run_id=run_id, exec_id=exec_id, scrpt_name=name, stts_cd=FAILED,
-                         err_msg=str(error)[:MESSAGE_LENGTH], at=utc_now())
+                         err_msg=str(error), at=utc_now())
             raise
         self._append(run_id=run_id, exec_id=exec_id, scrpt_name=name, stts_cd=DONE, at=utc_now())

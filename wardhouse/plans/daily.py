@@ -95,9 +95,15 @@ def reload_from_archive(
 def ingest_table(
     wh: Warehouse, inputs: str, day: date, name: str, exec_id: int | None = None
 ) -> LoadResult:
-    """Load one extract; its columns are checked before anything is written."""
-    contract = table(name)
-    raw = read_batch(wh.spark, inputs, day, name)
+    """Load one extract of the batch."""
+    return ingest_contract(wh, inputs, day, table(name), exec_id)
+
+
+def ingest_contract(
+    wh: Warehouse, inputs: str, day: date, contract: Table, exec_id: int | None = None
+) -> LoadResult:
+    """Load the extract of a contract; its columns are checked before anything is written."""
+    raw = read_batch(wh.spark, inputs, day, contract.name)
     require_contract(raw, contract, day)
     return load_rows(wh, contract, raw, day, exec_id)
 

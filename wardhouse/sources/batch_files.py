@@ -34,10 +34,9 @@ def batch_glob(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{FOLDER_PREFIX}*/{name}_*.txt"
 
 
-def batch_date_of_path() -> Column:
-    """Batch date of the file a row was read from."""
-    digits = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{8})\.txt", 1)
-    return F.to_date(digits, "yyyyMMdd")
+def batch_date_of(path: Column) -> Column:
+    """Batch date in the path of an extract, or of a shard of one."""
+    return F.to_date(F.regexp_extract(path, r"_(\d{8})\.txt", 1), "yyyyMMdd")
 
 
 def text_schema(names) -> T.StructType:

@@ -9,41 +9,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardhouse.contracts import Table
-from wardhouse.plans.daily import load_rows
-from wardhouse.sources.batch_files import (
-    CSV_OPTIONS,
-    batch_date_of_path,
-    batch_glob,
-    text_schema,
-)
+from wardhouse.plans.daily import ingest_contract
+from wardhouse.sources.batch_files import batch_date_of, batch_glob
 from wardhouse.sources.warehouse import Warehouse
 
+# What the file source says of a file; only the path is read.
+_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
-def follow(
-    wh: Warehouse, inputs: str, contract: Table, checkpoint: str, multiline: bool = False
-) -> StreamingQuery:
-    """Load every new extract of one table, oldest batch first, then stop.
 
-    The file source remembers which files it has seen, so a later call takes up
-    only new ones. A micro-batch may hold several days; each is loaded on its
-    own, in order. Replaying a micro-batch gives the same table: a reload
-    replaces, an upsert of the same rows changes nothing. A day's extract must be
-    complete when it appears: a later file of the same day replaces the day in
-    the archive. Files must have the contract's header order; another header
-    fails the scan.
+def follow(wh: Warehouse, inputs: str, contract: Table, checkpoint: str) -> StreamingQuery:
+    """Load every day of one table that has new files, oldest day first, then stop.
+
+    The stream only learns which files are new; it does not open them. A day
+    with a new file is loaded as a batch is, from all its files, so that shards
+    that come later, records over several lines, another column order and a
+    broken contract are met as there. A replayed micro-batch gives the same
+    table: a reload replaces, an upsert of the same rows changes nothing.
     """
     arriving = (
-        wh.spark.readStream.schema(text_schema(contract.header))
-        .options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
-        .csv(batch_glob(inputs, contract.name))
-        .select("*", batch_date_of_path().alias("_batch_dt"))
+        wh.spark.readStream.format("binaryFile")
+        .schema(_FILE)
+        .load(batch_glob(inputs, contract.name))
+        .select(batch_date_of(F.col("path")).alias("_batch_dt"))
     )
 
-    def load(rows: DataFrame, _: int) -> None:
-        for day in batch_days(rows):
-            of_day = rows.filter(F.col("_batch_dt") == F.lit(day)).drop("_batch_dt")
-            load_rows(wh, contract, of_day, day)
+    def load(files: DataFrame, _: int) -> None:
+        for day in batch_days(files):
+            ingest_contract(wh, inputs, day, contract)
 
     return (
         arriving.writeStream.foreachBatch(load)
@@ -53,6 +45,6 @@ def follow(
     )
 
 
-def batch_days(rows: DataFrame) -> list[date]:
+def batch_days(files: DataFrame) -> list[date]:
     """Batch dates in a micro-batch, oldest first: one value per day of files."""
-    return [r["_batch_dt"] for r in rows.select("_batch_dt").distinct().orderBy("_batch_dt").collect()]
+    return [r["_batch_dt"] for r in files.select("_batch_dt").distinct().orderBy("_batch_dt").collect()]

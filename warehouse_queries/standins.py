@@ -146,20 +146,20 @@ def consultations(spark: SparkSession, sf_dir: str) -> DataFrame:
             "k + 80 AS blood_pressure",
             "nullif(event_type, 'view') AS pathology_description",
             "k > 80 AS diabetes_indicator",
-            "event_type = 'purchase' AS hospitalisation_indicator",
+            "k % 3 <> 0 AS hospitalisation_indicator",
         )
     )
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases: room is the user, length from the value, open for the last k's."""
+    """events as stays of a later event's consultation: room is the user, length from the
+    value, open for the last k's."""
     return (
         read(spark, sf_dir, "events")
-        .filter("event_type = 'purchase'")
         .withColumn("k", number_in_props())
         .selectExpr(
             "event_id AS hospi_id",
-            "event_id AS consultation_id",
+            "event_id + k AS consultation_id",
             "user_id AS room_number",
             "k AS responsible_staff_id",
             "ts AS started_at",
@@ -261,17 +261,17 @@ SQL: dict[str, str] = {
         CASE event_type WHEN 'click' THEN 'F' WHEN 'error' THEN 'K' ELSE 'C' END
             AS temperature_unit,
         k + 80 AS blood_pressure, nullif(event_type, 'view') AS pathology_description,
-        k > 80 AS diabetes_indicator, event_type = 'purchase' AS hospitalisation_indicator
+        k > 80 AS diabetes_indicator, k % 3 <> 0 AS hospitalisation_indicator
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
               FROM events))""",
     "stay": """stay AS (SELECT
-        event_id AS hospi_id, event_id AS consultation_id, user_id AS room_number,
+        event_id AS hospi_id, event_id + k AS consultation_id, user_id AS room_number,
         k AS responsible_staff_id, ts AS started_at,
         CASE WHEN k < 95 THEN ts + to_seconds(CAST(round(value * 3600) AS INTEGER) - 3600) END
             AS ended_at,
         CAST(value * 10 - 5 AS DECIMAL(10,2)) AS cost
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k
-              FROM events) WHERE event_type = 'purchase')""",
+              FROM events))""",
     "shipment": """shipment AS (SELECT
         l_orderkey * 8 + l_linenumber - 1 AS hospi_id, l_orderkey AS consultation_id,
         o_custkey AS room_number, l_suppkey AS responsible_staff_id, o_orderdate AS started_at,
