@@ -56,10 +56,23 @@ def test_dedup_of_a_bucketed_table_needs_no_shuffle(bucketed):
     assert "Exchange" not in text and "WindowGroupLimit" in text
 
 
-def test_a_forgotten_table_is_read_from_its_files(bucketed):
-    current = bucketed._current(STG)["HOSPITALISATION"]
-    bucketed.spark.sql(f"DROP TABLE {current['bucketed_as']}")
-    assert bucketed.read(STG, "HOSPITALISATION").count() == 6
+def test_a_forgotten_table_is_registered_over_its_files(bucketed):
+    """As in another application, whose catalog knows none of the tables."""
+    for name in ("HOSPITALISATION", "CONSULTATION"):
+        bucketed.spark.sql(f"DROP TABLE {bucketed._current(STG)[name]['bucketed_as']}")
+    again = Warehouse(bucketed.spark, bucketed.root)
+    assert again.read(STG, "HOSPITALISATION").count() == 6
+    gated = work(stage(again.read(STG, "CONSULTATION"), C.CONSULTATION), C.CONSULTATION)
+    text = plan(gated)
+    assert "Exchange" not in text and "Bucketed: true" in text
+
+
+def test_an_empty_bucketed_snapshot_opens_again(bucketed):
+    empty = bucketed.read(STG, "PATIENT").limit(0)
+    bucketed.write(empty, "empty", "PATIENT", keys=["ID_PATIENT"])
+    bucketed.spark.sql(f"DROP TABLE {bucketed._current('empty')['PATIENT']['bucketed_as']}")
+    found = bucketed.read("empty", "PATIENT")
+    assert found.count() == 0 and found.columns == empty.columns
 
 
 def test_old_bucketed_snapshots_are_dropped(bucketed):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -23,6 +24,10 @@ _LOG = T.StructType(
         T.StructField("path", T.StringType()),
         # Catalog name of a bucketed snapshot, NULL for a plain one.
         T.StructField("bucketed_as", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("bucket_keys", T.ArrayType(T.StringType())),
+        # Columns and types of the snapshot, as JSON.
+        T.StructField("columns", T.StringType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("batch_dt", T.DateType()),
         T.StructField("exec_id", T.LongType()),
@@ -30,6 +35,9 @@ _LOG = T.StructType(
     ]
 )
 
+# What is needed to open a snapshot.
+_OPENING = ("version", "path", "bucketed_as", "buckets", "bucket_keys", "columns")
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -45,7 +53,8 @@ class Warehouse:
     With ``buckets`` the snapshots written with keys are bucketed on them and
     known to the session's catalog. An upsert then reads its target in place
     and only moves the batch, and deduplication on the key needs no shuffle.
-    Where the catalog has forgotten a table it is read as plain Parquet.
+    The log keeps each snapshot's columns, keys and buckets; an application
+    whose catalog does not know a table registers it over its files.
     """
 
     spark: SparkSession
@@ -72,7 +81,7 @@ class Warehouse:
             self._log()
             .filter(F.col("layer") == layer)
             .groupBy("name")
-            .agg(F.max_by(F.struct("version", "path", "bucketed_as"), "version").alias("s"))
+            .agg(F.max_by(F.struct(*_OPENING), "version").alias("s"))
         )
         return {row["name"]: row["s"] for row in latest.collect()}
 
@@ -97,10 +106,18 @@ class Warehouse:
         return {name: self._open(current[name]) for name in names}
 
     def _open(self, snapshot) -> DataFrame:
-        table = snapshot["bucketed_as"]
-        if table and self.spark.catalog.tableExists(table):
-            return self.spark.table(table)
-        return self.spark.read.parquet(self.path(snapshot["path"]))
+        table, path = snapshot["bucketed_as"], self.path(snapshot["path"])
+        schema = T.StructType.fromJson(json.loads(snapshot["columns"]))
+        if not table:
+            return self.spark.read.schema(schema).parquet(path)
+        if not self.spark.catalog.tableExists(table):
+            keys = ", ".join(f"`{k}`" for k in snapshot["bucket_keys"])
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(
+                f"CREATE TABLE {table} ({columns}) USING parquet"
+                f" CLUSTERED BY ({keys}) INTO {snapshot['buckets']} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(table)
 
     def _table_name(self, layer: str, name: str, version: int) -> str:
         # The root keeps warehouses in one catalog apart.
@@ -133,7 +150,10 @@ class Warehouse:
         else:
             writer.parquet(self.path(path))
         n_rows = seen.get["n"]
-        entry = (layer, name, version, path, table, n_rows, batch_dt, exec_id, utc_now())
+        layout = (table, self.buckets, list(keys)) if table else (None, None, None)
+        entry = (
+            layer, name, version, path, *layout, df.schema.json(), n_rows, batch_dt, exec_id, utc_now()
+        )
         self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").parquet(
             self._log_path
         )
