@@ -37,43 +37,45 @@ class Expect:
     present: tuple[tuple[str, str], ...] = field(default_factory=tuple)
 
 
-def _names(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
 # The checks declared on each layer.
 LOADED = {
-    "PATIENT": Expect(_names("ID_PATIENT NOM_PATIENT"), (("ID_PATIENT",),)),
-    "PERSONNEL": Expect(_names("ID_PERSONNEL"), (("ID_PERSONNEL",),)),
-    "CHAMBRE": Expect(_names("NO_CHAMBRE"), (("NO_CHAMBRE",),)),
-    "MEDICAMENT": Expect(_names("CD_MEDICAMENT")),
-    "CONSULTATION": Expect(_names("ID_CONSULT ID_PATIENT ID_PERSONNEL"), (("ID_CONSULT",),)),
-    "TRAITEMENT": Expect(_names("ID_TRAITEMENT ID_CONSULT"), (("ID_TRAITEMENT",),)),
-    "HOSPITALISATION": Expect(_names("ID_HOSPI ID_CONSULT"), (("ID_HOSPI",),)),
+    "PATIENT": Expect(("ID_PATIENT", "NOM_PATIENT"), (("ID_PATIENT",),)),
+    "PERSONNEL": Expect(("ID_PERSONNEL",), (("ID_PERSONNEL",),)),
+    "CHAMBRE": Expect(("NO_CHAMBRE",), (("NO_CHAMBRE",),)),
+    "MEDICAMENT": Expect(("CD_MEDICAMENT",)),
+    "CONSULTATION": Expect(("ID_CONSULT", "ID_PATIENT", "ID_PERSONNEL"), (("ID_CONSULT",),)),
+    "TRAITEMENT": Expect(("ID_TRAITEMENT", "ID_CONSULT"), (("ID_TRAITEMENT",),)),
+    "HOSPITALISATION": Expect(("ID_HOSPI", "ID_CONSULT"), (("ID_HOSPI",),)),
 }
 STAGED = {
     "PATIENT": Expect(
-        _names("patient_id last_name first_name created_at updated_at"), (("patient_id",),)
+        ("patient_id", "last_name", "first_name", "created_at", "updated_at"), (("patient_id",),)
     ),
-    "CHAMBRE": Expect(_names("room_number room_name day_rate created_date"), (("room_number",),)),
+    "CHAMBRE": Expect((
+        "room_number", "room_name", "day_rate", "created_date",
+    ), (("room_number",),)),
     "MEDICAMENT": Expect(
-        _names("medicine_code medicine_category manufacturer_brand"),
+        ("medicine_code", "medicine_category", "manufacturer_brand"),
         (("medicine_code", "medicine_category", "manufacturer_brand"),),
     ),
     "CONSULTATION": Expect(
-        _names("consultation_id patient_id staff_id ended_at"), (("consultation_id",),)
+        ("consultation_id", "patient_id", "staff_id", "ended_at"), (("consultation_id",),)
     ),
     "TRAITEMENT": Expect(
-        _names("treatment_id consultation_id medicine_code medicine_category manufacturer_brand"
-               " medicine_quantity"),
+        (
+            "treatment_id", "consultation_id", "medicine_code", "medicine_category",
+            "manufacturer_brand", "medicine_quantity",
+        ),
         (("treatment_id",),),
     ),
     "HOSPITALISATION": Expect(
-        _names("hospi_id consultation_id room_number responsible_staff_id"), (("hospi_id",),)
+        ("hospi_id", "consultation_id", "room_number", "responsible_staff_id"), (("hospi_id",),)
     ),
     "PERSONNEL": Expect(
-        _names("staff_id last_name first_name job_title work_start_at created_at updated_at"
-               " status_code"),
+        (
+            "staff_id", "last_name", "first_name", "job_title", "work_start_at", "created_at",
+            "updated_at", "status_code",
+        ),
         (("staff_id",),),
     ),
 }
@@ -95,42 +97,49 @@ def _gated(keys: tuple[str, ...]) -> Expect:
 WORK = {t.name: _gated(t.staged_keys) for t in TABLES.values()}
 MARTS = {
     "r_room": Expect(
-        _names("room_num room_name room_day_rate crtn_dt exec_id"), (("room_num",),),
+        ("room_num", "room_name", "room_day_rate", "crtn_dt", "exec_id"), (("room_num",),),
         never=("room_day_rate IS NULL OR room_day_rate <= 0",),
     ),
     "r_medc": Expect(
-        _names("medc_id medc_cd medc_catg manf_brnd exec_id"),
+        ("medc_id", "medc_cd", "medc_catg", "manf_brnd", "exec_id"),
         (("medc_id",), ("medc_cd", "medc_catg", "manf_brnd")),
     ),
     "r_part": Expect(
-        _names("part_id src_id src_typ exec_id"), (("part_id",), ("src_id", "src_typ")),
+        ("part_id", "src_id", "src_typ", "exec_id"), (("part_id",), ("src_id", "src_typ")),
         present=(
             ("src_typ = 'Patient'", "missing Patient population"),
             ("src_typ <> 'Patient'", "missing personnel population"),
         ),
     ),
     "r_indiv": Expect(
-        _names("indiv_id last_name first_name created_at updated_at exec_id"), (("indiv_id",),)
+        (
+            "indiv_id", "last_name", "first_name", "created_at", "updated_at", "exec_id",
+        ), (("indiv_id",),)
     ),
     "r_stf": Expect(
-        _names("staff_id last_name first_name job_title work_start_at status_code exec_id"),
+        (
+            "staff_id", "last_name", "first_name", "job_title", "work_start_at", "status_code",
+            "exec_id",
+        ),
         (("staff_id",),),
     ),
     "r_addr": Expect(
-        _names("indiv_id exec_id"), (("indiv_id",),),
+        ("indiv_id", "exec_id"), (("indiv_id",),),
         parents=(Parent(("indiv_id",), "r_indiv", ("indiv_id",)),),
     ),
     "r_tel": Expect(
-        _names("indiv_id phone_number exec_id"), (("indiv_id",),),
+        ("indiv_id", "phone_number", "exec_id"), (("indiv_id",),),
         parents=(Parent(("indiv_id",), "r_indiv", ("indiv_id",)),),
     ),
     "r_trmt": Expect(
-        _names("treatment_id consultation_id medicine_code medicine_category manufacturer_brand"
-               " exec_id"),
+        (
+            "treatment_id", "consultation_id", "medicine_code", "medicine_category",
+            "manufacturer_brand", "exec_id",
+        ),
         (("treatment_id",),),
     ),
     "r_hospi": Expect(
-        _names("hospi_id consultation_id room_number started_at exec_id"),
+        ("hospi_id", "consultation_id", "room_number", "started_at", "exec_id"),
         (("hospi_id",),),
         parents=(
             Parent(("room_number",), "r_room", ("room_num",)),
@@ -138,7 +147,7 @@ MARTS = {
         ),
     ),
     "fait_consult": Expect(
-        _names("consultation_id patient_id staff_id started_at exec_id"),
+        ("consultation_id", "patient_id", "staff_id", "started_at", "exec_id"),
         (("consultation_id",),),
         parents=(
             Parent(("patient_id",), "r_indiv", ("indiv_id",)),
@@ -149,26 +158,28 @@ MARTS = {
 }
 VIEWS = {
     "vw_avg_age_by_pathology": Expect(
-        _names("pathology_description patient_id report_date age_at_consultation"),
+        ("pathology_description", "patient_id", "report_date", "age_at_consultation"),
         never=("age_at_consultation < 0",),
     ),
     "vw_top_medication_by_pathology": Expect(
-        _names("pathology_description report_date medicine_code medicine_name medicine_category"
-               " manufacturer_brand total_quantity"),
+        (
+            "pathology_description", "report_date", "medicine_code", "medicine_name",
+            "medicine_category", "manufacturer_brand", "total_quantity",
+        ),
         never=("total_quantity < 0",),
     ),
     "vw_rooms_by_pathology": Expect(
-        _names("pathology_description room_number report_date"), never=("room_number = 0",)
+        ("pathology_description", "room_number", "report_date"), never=("room_number = 0",)
     ),
     "vw_doctor_speciality_by_pathology": Expect(
-        _names("pathology_description staff_id specialty report_date")
+        ("pathology_description", "staff_id", "specialty", "report_date")
     ),
     "vw_patients_one_night": Expect(
-        _names("report_date total_hospitalisations one_night_plus_count one_night_plus_pct"),
+        ("report_date", "total_hospitalisations", "one_night_plus_count", "one_night_plus_pct"),
         never=("one_night_plus_count > total_hospitalisations", "one_night_plus_pct < 0"),
     ),
     "vw_empty_rooms": Expect(
-        _names("report_date room_num room_name is_occupied occupancy_status"),
+        ("report_date", "room_num", "room_name", "is_occupied", "occupancy_status"),
         accepted=(
             Values("is_occupied", (0, 1)),
             Values("occupancy_status", ("Occupée", "Libre")),

@@ -224,29 +224,33 @@ _register(
         PARTITION BY pathology_description, period) AS BIGINT) AS share_pct FROM n""",
 )
 
-_NIGHT = """SELECT CAST(started_at AS DATE) AS report_date,
-        count(*) AS total_hospitalisations, CAST(sum(f) AS BIGINT) AS one_night_plus_count,
-        round(100.0::DOUBLE * sum(f) / count(*), 2) AS one_night_plus_pct
-    FROM (SELECT started_at, CASE WHEN CAST(ended_at AS DATE) > CAST(started_at AS DATE)
-        AND date_diff('hour', started_at, ended_at) >= 8 THEN 1 ELSE 0 END AS f FROM stay_ok)
-    GROUP BY ALL"""
+_NIGHT = """SELECT CAST(started_at AS DATE) AS report_date, count(*) AS total_hospitalisations,
+        count(*) FILTER (WHERE night) AS one_night_plus_count,
+        round(100.0::DOUBLE * count(*) FILTER (WHERE night) / count(*), 2) AS one_night_plus_pct
+    FROM (SELECT started_at, date_trunc('day', ended_at) > date_trunc('day', started_at)
+            AND date_trunc('hour', ended_at) >= date_trunc('hour', started_at) + INTERVAL 8 HOUR
+            AS night
+        FROM stay_ok)
+    GROUP BY report_date"""
 _register(
     "kpi_one_night",
     lambda spark, sf: kpis.patients_one_night(stays(spark, sf)),
     f"{S.sql_work('stay')} {_NIGHT}",
 )
 
-_OCC = """SELECT p.report_date, r.room_number AS room_num, room_name, room_type AS room_typ,
-        building_name AS buld_name,
-        CASE WHEN o.room_number IS NOT NULL THEN 1 ELSE 0 END AS is_occupied,
-        CASE WHEN o.room_number IS NOT NULL THEN 'Occupée' ELSE 'Libre' END AS occupancy_status
-    FROM (SELECT DISTINCT CAST(started_at AS DATE) AS report_date FROM consultation_ok) p
-    CROSS JOIN room_ok r LEFT JOIN (
-        SELECT DISTINCT room_number, report_date FROM stay_ok s
-        JOIN (SELECT DISTINCT CAST(started_at AS DATE) AS report_date FROM consultation_ok) d
-        ON CAST(s.started_at AS DATE) <= d.report_date
-            AND (s.ended_at IS NULL OR CAST(s.ended_at AS DATE) >= d.report_date)) o
-    ON r.room_number = o.room_number AND p.report_date = o.report_date"""
+# One row for every day of every stay, an open one lasting to the last consultation.
+_OCC = """SELECT day AS report_date, room_number AS room_num, any_value(room_name) AS room_name,
+        any_value(room_type) AS room_typ, any_value(building_name) AS buld_name,
+        CAST(least(count(slept), 1) AS INTEGER) AS is_occupied,
+        if(count(slept) = 0, 'Libre', 'Occupée') AS occupancy_status
+    FROM (SELECT room_ok.*, day FROM room_ok,
+            (SELECT DISTINCT CAST(started_at AS DATE) AS day FROM consultation_ok))
+    LEFT JOIN (SELECT room_number, 1 AS slept, CAST(unnest(generate_series(
+            date_trunc('day', CAST(started_at AS TIMESTAMP)),
+            coalesce(ended_at, (SELECT max(started_at) FROM consultation_ok)),
+            INTERVAL 1 DAY)) AS DATE) AS day
+        FROM stay_ok) USING (room_number, day)
+    GROUP BY day, room_number"""
 
 
 def kpi_occupancy(spark, sf_dir):
