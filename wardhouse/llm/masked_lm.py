@@ -24,7 +24,7 @@ SIDE, WIDTH, HIDDEN = 2, 12, 32
 #: Share of the positions that are masked for training in each round, in all texts.
 MASKED = 0.08
 ROUNDS = 2
-BATCH, RATE = 256, 0.1
+BATCH, RATE = 1024, 2.0
 #: Positions that are scored at once.
 STEP = 16_384
 
@@ -114,7 +114,9 @@ def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray,
     d_x = d_z @ w["hidden"].T
     w["hidden"] -= rate / n * (x.T @ d_z)
     w["shift"] -= rate / n * d_z.sum(0)
-    np.subtract.at(w["words"], around.ravel(), rate / n * d_x.reshape(-1, WIDTH))
+    used, each = around.ravel(), d_x.reshape(-1, WIDTH)
+    for k in range(WIDTH):
+        w["words"][:, k] -= rate / n * np.bincount(used, each[:, k], TOKENS + 1).astype(w["words"].dtype)
 
 
 def joined(token: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -34,8 +34,8 @@ SPACE = "▁"
 #: Stands for U+2581 in a text itself; no text can hold half a surrogate pair.
 _LITERAL = "\udc81"
 #: Texts longer than this many characters are cut into chunks of CHUNK.
-GIANT = 16_384
-CHUNK = 8_192
+GIANT = 65_536
+CHUNK = 16_384
 #: Matrices that are combined in one step.
 FAN = 64
 #: Best paths that a task keeps at most; a fuller store is emptied and filled anew.
