@@ -20,8 +20,8 @@ class Encoder:
     The file's pre-tokenizer (byte level, with its pattern) never joins a blank
     to what stands before it. So a text may be cut before any single blank that
     has other characters than white space on both sides, and the ids of the
-    parts, put together, are those of the whole text. Parts that come again are
-    encoded once. ``safe`` tells whether the file has that pre-tokenizer and no
+    parts, put together, are those of the whole text; likewise at a single line
+    break between words. Parts that come again are encoded once. ``safe`` tells whether the file has that pre-tokenizer and no
     normalizer; any other file encodes whole texts.
     """
 
@@ -54,7 +54,10 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            letters = word.encode().decode("latin-1").translate(self._byte_letters)
+            if word.isascii() and word != "\n":
+                letters = "\u0120" + word[1:] if word[0] == " " else word
+            else:
+                letters = word.encode().decode("latin-1").translate(self._byte_letters)
             found = self.words[word] = self._ids(letters)
         return found
 
@@ -63,18 +66,15 @@ class Encoder:
         if plain:
             word, marks = plain.groups()
             return self._word(word) + self._word(marks) if marks else self._word(word)
-        if "\n" in piece:
-            lines = piece.split("\n")
-            if all(map(_bounded, [lines[0].removeprefix(" "), *lines[1:]])):
-                head = self._after_blank(lines[0][1:]) if lines[0][0] == " " else self._piece(lines[0])
-                return self._word("\n").join([head, *map(self._piece, lines[1:])])
         parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
         return b"".join([self._ids(letters) for letters, _ in parts])
 
-    def _after_blank(self, part: str) -> bytes:
+    def _part(self, part: str) -> bytes:
+        """Ids of what follows a blank, or of a line break and the word after it."""
         found = self.pieces.get(part)
         if found is None:
-            found = self.pieces[part] = self._piece(" " + part)
+            found = self._word("\n") + self._piece(part[1:]) if part[0] == "\n" else self._piece(" " + part)
+            self.pieces[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
@@ -83,21 +83,21 @@ class Encoder:
         for store in (self.pieces, self.words):
             if len(store) > KEPT_PIECES:
                 store.clear()
-        first, *rest = text.split(" ")
+        # A single line break between words is a part of its own, too.
+        first, *rest = text.replace("\n", " \n").split(" ")
         if not rest:
             return self._piece(first) if first else b""
-        if not first or first[-1].isspace():
+        if not _bounded(first):
             return self._uneven(text)
         try:
-            tail = b"".join(map(self.pieces.__getitem__, rest))
-        except KeyError:  # what is stored has no white space at its ends
+            return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
+        except KeyError:  # what is stored has no further white space at its ends
             new = set(rest).difference(self.pieces)
-            if not all(map(_bounded, new)):
+            if not all(map(_bounded, [p.removeprefix("\n") for p in new])):
                 return self._uneven(text)
-            ids = {p: self._piece(" " + p) for p in new}
-            self.pieces.update((p, i) for p, i in ids.items() if "\n" not in p)
-            tail = b"".join([ids.get(p) or self.pieces[p] for p in rest])
-        return self._piece(first) + tail
+            for p in new:
+                self._part(p)
+            return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
 
     def _uneven(self, text: str) -> bytes:
         """For texts with other white space beside their blanks: cut only where it is allowed."""
@@ -112,7 +112,7 @@ class Encoder:
         ids = [self._piece(" ".join(out[0]))] if out[0] != [""] else []
         for run in out[1:]:
             part = " ".join(run)
-            ids.append(self._after_blank(part) if _bounded(part) else self._piece(" " + part))
+            ids.append(self._part(part) if _bounded(part) else self._piece(" " + part))
         return b"".join(ids)
 
 
