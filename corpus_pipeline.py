@@ -25,20 +25,21 @@ FEW_IDS = 1_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject.
+    """Documents that the toxicity classifier, fitted on the labelled rows of the whole table, does
+    not reject.
 
     A null or empty text holds nothing toxic and stays. Repeated rows are judged
     alike; an empty table stays empty; columns named score or predicted, which
     the classifier uses, come back as they were.
     """
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return _judged(docs, lambda d: toxicity.toxicity(d, model), "predicted = 0")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier finds good enough; nulls, repeats and clashing
     columns as in the stage before."""
-    model = compression.fit(docs, table(spark, sf_dir, "labels"))
+    model = compression.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return _judged(docs, lambda d: compression.compression_quality(d, model), "predicted = 1")
 
 
