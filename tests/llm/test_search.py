@@ -72,6 +72,8 @@ def test_near_duplicates_by_brute_force(spark, size, percent):
 
 def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "SHORT", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 6)
+    monkeypatch.setattr(neardup, "COLUMNS", 16)
     rows = near_cases()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = neardup.near_duplicates(docs, 4, 80).collect()

@@ -17,8 +17,11 @@ from wardhouse.llm.components import connected
 
 #: Values of a sketch.
 K = 64
-#: A list up to this length is joined with itself; a longer one is compared in blocks of this length.
+#: A list up to this length is joined with itself; a longer one is compared in blocks.
 SHORT = 256
+BLOCK = 1024
+#: Shingles whose holders are multiplied at once inside a block.
+COLUMNS = 4096
 #: Up to so many texts are picked out by a broadcast of their 16-byte keys, more by a shuffle.
 FEW_TEXTS = 500_000
 #: Chance that a pair at the threshold is missed by the sketches.
@@ -140,18 +143,22 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.size(shared) >= need).where(both >= floor * F.size(union)).select("a", "b")
 
 
+def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """(node, text) of distinct nodes, written: one text of each class."""
+    keys = written(classes.select("node", "text_key").join(nodes, "node"), "text-keys")
+    wanted = keys.select("text_key")
+    text_key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    keyed = docs.select(text_key.alias("text_key"), F.col(text_col).alias("text"))
+    few = keys.count() <= FEW_TEXTS
+    keyed = keyed.join(F.broadcast(wanted) if few else wanted, "text_key", "left_semi")
+    return written(keyed.dropDuplicates(["text_key"]).join(keys, "text_key").select("node", "text"), "texts")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, text_col: str) -> DataFrame:
     """The pairs whose full shingle sets have the similarity, compared word by word."""
     pairs = written(pairs, "pairs")
-    keys = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = written(classes.select("node", "text_key").join(keys, "node"), "pair-keys")
-    chosen = keys.count()
-    if chosen == 0:
-        return pairs
-    keyed = docs.select(F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("text_key"), F.col(text_col).alias("text"))
-    wanted = keys.select("text_key")
-    keyed = keyed.join(F.broadcast(wanted) if chosen <= FEW_TEXTS else wanted, "text_key", "left_semi")
-    texts = written(keyed.dropDuplicates(["text_key"]).join(keys, "text_key").select("node", "text"), "pair-texts")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = texts_of(nodes, classes, docs, text_col)
     joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
         texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a"
     )
@@ -171,6 +178,17 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     return written(joined.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long"), "links")
 
 
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int, text_col: str) -> DataFrame:
+    """(node, hashes) of distinct nodes: all their shingles' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            sets = [shingle_hashes(words_of(t), size) for t in piece.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
+
+    return texts_of(nodes, classes, docs, text_col).mapInArrow(run, "node long, hashes array<long>")
+
+
 def shingle_set(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
     if not words:
         return set()
@@ -203,13 +221,60 @@ def hub_pairs(entries: DataFrame, labels: DataFrame, hub: Column, shift: float,
     return best.select("a", F.col("best.b").alias("b"), "a_n", F.col("best.b_n").alias("b_n"))
 
 
-def cross_pairs(entries: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of hashes of one block are similar to which of another, by matrix products.
+
+    Hashes that one set alone holds count for its size only.
+    """
+    sizes = np.array([len(s) for s in (*left, *right)])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, at, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    shared = times[at] > 1
+    owner, at = owner[shared], at[shared]
+    _, at = np.unique(at, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    n = len(left)
+    both = np.zeros((n, len(right)), np.float32)
+    for begin in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        part = slice(*np.searchsorted(at, [begin, begin + COLUMNS]))
+        held = np.zeros((len(sizes), COLUMNS), np.float32)
+        held[owner[part], at[part] - begin] = 1
+        both += held[:n] @ held[n:].T
+    return 100 * both >= percent * (sizes[:n, None] + sizes[None, n:] - both)
+
+
+def spanning(similar: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row, column) that connect whatever the given links connect, no more than needed."""
+    rows, columns = similar.shape
+    group = list(range(rows + columns))
+
+    def root(k: int) -> int:
+        while group[k] != k:
+            group[k] = group[group[k]]
+            k = group[k]
+        return k
+
+    out = []
+    for i in range(rows):
+        for j in np.flatnonzero(similar[i]).tolist():
+            a, b = root(i), root(rows + j)
+            if a != b:
+                group[a] = b
+                out.append((i, j))
+    return out
+
+
+def cross_pairs(
+    entries: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, text_col: str
+) -> tuple[DataFrame, DataFrame]:
     """All pairs of a list whose nodes are in different components yet.
 
-    The first result has the pairs of short lists, to be estimated; the second
-    those of long lists, estimated already. A long list is dealt into blocks,
-    every two blocks meet in one bounded group, and only pairs that pass the
-    estimate leave it.
+    The first result has the pairs of short lists, to be estimated. A long list
+    is dealt into blocks, every two blocks meet in one bounded group, all their
+    pairs are compared on the full sets of hashes, and what leaves the group
+    (the second result) are links that connect the same nodes, fewer than it
+    has nodes.
     """
     rows = entries.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = (
@@ -232,45 +297,30 @@ def cross_pairs(entries: DataFrame, labels: DataFrame, classes: DataFrame, perce
         .select("a", "b", "a_n", "b_n")
         .distinct()
     )
-    blocks = F.ceil(F.col("length") / SHORT).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    if long.isEmpty():
+        return pairs, pairs.sparkSession.createDataFrame([], "a long, b long")
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     dealt = (
-        long.join(classes.select("node", "sketch"), "node")
-        .withColumn("mine", mine)
+        long.join(full_sets(long.select("node").distinct(), classes, docs, size, text_col), "node")
+        .withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("low", F.least("mine", "other"))
         .withColumn("high", F.greatest("mine", "other"))
+        .select("value", "low", "high", "mine", "node", "comp", "hashes")
     )
-    floor = least_shared(percent)
 
     def compare(frame):
         import pandas as pd
 
-        low = frame["low"].iloc[0]
-        high = frame["high"].iloc[0]
-        first = frame[frame["mine"] == low].reset_index(drop=True)
-        second = frame[frame["mine"] == high].reset_index(drop=True)
-        found = []
-        values, at = np.unique(np.concatenate([*first["sketch"], *second["sketch"]]), return_inverse=True)
-        sizes = [len(s) for s in (*first["sketch"], *second["sketch"])]
-        held = np.zeros((len(sizes), len(values)), np.float32)
-        held[np.repeat(np.arange(len(sizes)), sizes), at] = 1
-        left, right = held[: len(first)], held[len(first) :]
-        for k in range(len(first)):
-            n, others = first["n"][k], second["n"].to_numpy()
-            maybe = (
-                (right @ left[k] >= min(floor, math.ceil(n * percent / 100)))
-                & (second["comp"].to_numpy() != first["comp"][k])
-                & (100 * np.minimum(n, others) >= percent * np.maximum(n, others))
-            )
-            if low == high:
-                maybe &= second["node"].to_numpy() > first["node"][k]
-            for j in np.flatnonzero(maybe):
-                mine, its = left[k] > 0, right[j] > 0
-                union = np.flatnonzero(mine | its)[:K]
-                if (mine & its)[union].sum() >= floor / K * len(union):
-                    found.append((first["node"][k], second["node"][j]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        first = frame[frame["mine"] == frame["low"]]
+        second = frame[frame["mine"] == frame["high"]]
+        if not len(first) or not len(second):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        similar = linked(first["hashes"].tolist(), second["hashes"].tolist(), percent)
+        similar &= first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :]
+        a, b = first["node"].to_numpy(), second["node"].to_numpy()
+        found = [(a[i], b[j]) for i, j in spanning(similar)]
+        return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"], dtype="int64")
 
     met = dealt.groupBy("value", "low", "high").applyInPandas(compare, "a long, b long").distinct()
     return pairs, met
@@ -317,7 +367,7 @@ def near_duplicates(
         pairs = estimated(hub_pairs(entries, labels, hub, shift, percent), classes, percent)
         links = links.union(verified(pairs, classes, docs, size, percent, text_col))
         labels = written(connected(links), "labels")
-    pairs, met = cross_pairs(entries, labels, classes, percent)
+    pairs, met = cross_pairs(entries, labels, classes, docs, size, percent, text_col)
     pairs = estimated(pairs, classes, percent).union(met).distinct()
     links = links.union(verified(pairs, classes, docs, size, percent, text_col))
     labels = connected(links)
