@@ -23,29 +23,39 @@ _CARRIED = r"password=|token ?= ?\"?"
 #: credential is assigned to.
 PATTERNS = {
     "email": (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
+        r"(?<![._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+"
         r"@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
     ),
-    "secret": rf"\bAKIA[0-9A-Z]{{16}}\b|\b(?:{_CARRIED})[^\s\"']{{6,}}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "secret": rf"(?:AKIA[0-9A-Z]{{16}}\b|(?:{_CARRIED})[^\s\"']{{6,}})",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": (
-        r"(?<![0-9])(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])"
-        r"|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])"
+        r"(?:(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])"
+        r"|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9]))"
     ),
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
-        r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])"
-        r"|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-        r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+        r"(?:(?<!\+)\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9])"
+        r"|(?<!\()\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+        r"|(?<![.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-]))"
     ),
     "ip": (
-        r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}"
+        r"(?<!\.)(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}"
         r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
     ),
-    "name_f": rf"\b(?:{_FEMALE}){_NAME}",
-    "name_m": rf"\b(?:{_MALE}){_NAME}",
+    "name_f": rf"(?:{_FEMALE}){_NAME}",
+    "name_m": rf"(?:{_MALE}){_NAME}",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# A mention begins where no ASCII letter or digit stands before it. What it begins
+# with decides which kinds are tried there.
+_FIRST = {"[0-9+(]": ("card", "ssn", "phone", "ip"), "[A-Za-z]": ("secret",), "[A-Z]": ("iban",)}
+_FIRST["[MFSHгГ]"] = ("name_f", "name_m")
+PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(
+    [PATTERNS["email"]] + [f"(?={first})(?:{'|'.join(PATTERNS[k] for k in kinds)})" for first, kinds in _FIRST.items()]
+) + ")"
+#: Every mention has one of these; a text without them is not looked through.
+_SIGNS = r"[0-9@=]|AKIA|(?<![A-Za-z0-9])[MFSHгГ](?:" + "|".join(
+    title[1:] for title in f"{_FEMALE}|{_MALE}".split("|")
+) + r")\b"
 
 # Names that stand in for others, by gender and script.
 _GIVEN = {
@@ -263,7 +273,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
     text = F.col(f"`{text_col}`")
     docs = without(docs, [count_col])
     order = [F.col(f"`{c}`") for c in docs.columns]
-    has = F.coalesce(text.rlike(PATTERN), F.lit(False))
+    has = F.coalesce(text.rlike(_SIGNS) & text.rlike(PATTERN), F.lit(False))
     plain = docs.where(~has).select(*order, F.lit(0).cast("long").alias(count_col))
     text_key = "__text_key"
     hit = docs.where(has).withColumn(text_key, F.md5(text))
