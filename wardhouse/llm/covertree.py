@@ -25,8 +25,9 @@ QUERY_BLOCK = 512
 PIVOTS = 256
 #: Data trees that one task holds at once.
 TREES = 16
-#: Points scored at once.
-CHUNK = 512
+#: Points scored at once, and queries that go down a data tree together.
+CHUNK = 2048
+GROUP = 64
 
 
 @dataclass
@@ -77,6 +78,16 @@ class CoverTree:
         start, end, radius, low, high = (np.array(c) for c in zip(*nodes, strict=True))
         return cls(points[order], np.asarray(rows)[order], np.asarray(ids)[order], start, end, radius, low, high)
 
+    def packed(self) -> bytes:
+        """The arrays; the points, whole numbers, in four bytes each where that holds them."""
+        kind = np.int32 if np.abs(self.points).max() < 1 << 31 else np.float64
+        return pickle.dumps((self.points.astype(kind), *list(vars(self).values())[1:]))
+
+    @classmethod
+    def unpacked(cls, raw: bytes) -> CoverTree:
+        points, *rest = pickle.loads(raw)
+        return cls(points.astype(float), *rest)
+
 
 class Best:
     """The k highest scores of each query so far, ties to the smaller id."""
@@ -91,17 +102,31 @@ class Best:
         return self.score[part, -1]
 
     def add(self, part: slice, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        use = np.flatnonzero((score >= self.score[part, -1][:, None]).any(0))
-        if not len(use):
+        bar = self.score[part, -1]
+        if score.shape[1] > self.k:
+            bar = np.maximum(bar, np.partition(score, -self.k, axis=1)[:, -self.k])
+        q, c = np.nonzero((score >= bar[:, None]) & (score > -np.inf))
+        if not len(q):
             return
-        shape = (score.shape[0], len(use))
-        scores = np.concatenate([self.score[part], score[:, use]], 1)
-        names = np.concatenate([self.id[part], np.broadcast_to(ids[use], shape)], 1)
-        places = np.concatenate([self.row[part], np.broadcast_to(rows[use], shape)], 1)
-        top = np.lexsort((places, names, -scores), axis=1)[:, : self.k]
-        self.score[part] = np.take_along_axis(scores, top, 1)
-        self.id[part] = np.take_along_axis(names, top, 1)
-        self.row[part] = np.take_along_axis(places, top, 1)
+        n = score.shape[0]
+        owner = np.concatenate([np.repeat(np.arange(n), self.k), q])
+        scores = np.concatenate([self.score[part].ravel(), score[q, c]])
+        names = np.concatenate([self.id[part].ravel(), ids[c]])
+        places = np.concatenate([self.row[part].ravel(), rows[c]])
+        order = np.lexsort((places, names, -scores, owner))
+        first = np.searchsorted(owner[order], np.arange(n))
+        top = order[(first[:, None] + np.arange(self.k)[None, :]).ravel()]
+        shape = (n, self.k)
+        self.score[part] = scores[top].reshape(shape)
+        self.id[part] = names[top].reshape(shape)
+        self.row[part] = places[top].reshape(shape)
+
+
+def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers first[k] up to last[k] of every k, one after the other."""
+    sizes = last - first
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
 
 
 def search(queries: CoverTree, data: CoverTree, best: Best) -> None:
@@ -110,53 +135,71 @@ def search(queries: CoverTree, data: CoverTree, best: Best) -> None:
     For a query node (centre p, radius r) and a data node (centre x, radius s)
     no inner product is above p.x + r|x| + s|p| + rs. A pair whose bound is
     below the lowest kth score of the node's queries is left out, with all
-    below it; at equality it is kept, for ties.
+    below it; at equality it is kept, for ties. Leaves of one query node go
+    down the data tree together, GROUP queries at a time: a data node is left
+    out where every one of them leaves it out.
     """
     norm = np.sqrt((data.points[data.first] ** 2).sum(1))
 
-    def possible(q: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        centre, r = queries.points[queries.first[q]], queries.radius[q]
+    def possible(group: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        centres, r = queries.points[queries.first[group]], queries.radius[group]
+        part = slice(queries.first[group[0]], queries.last[group[-1]])
+        worst = np.minimum.reduceat(best.worst(part), queries.first[group] - queries.first[group[0]])
         s = data.radius[nodes]
-        bound = data.points[data.first[nodes]] @ centre + r * norm[nodes] + s * np.sqrt(centre @ centre) + r * s
-        part = slice(queries.first[q], queries.last[q])
-        keep = bound * (1 + 1e-12 * np.sign(bound)) + 0.5 >= best.worst(part).min()
-        order = np.argsort(-bound[keep], kind="stable")
-        return nodes[keep][order], bound[keep][order]
-
-    def visit(q: int, nodes: np.ndarray) -> None:
-        nodes, bound = possible(q, nodes)
+        bound = data.points[data.first[nodes]] @ centres.T + norm[nodes][:, None] * r
+        bound += s[:, None] * (np.sqrt((centres**2).sum(1)) + r)
+        bound += 0.5 + 1e-12 * np.abs(bound)
+        keep = (bound >= worst).any(1)
+        top = bound[keep].max(1) if keep.any() else np.empty(0)
+        order = np.argsort(-top, kind="stable")
+        return nodes[keep][order], top[order]
+
+    def visit(group: np.ndarray, nodes: np.ndarray) -> None:
+        nodes, bound = possible(group, nodes)
         if not len(nodes):
             return
-        if queries.child_to[q]:
-            for child in range(queries.child_from[q], queries.child_to[q]):
-                visit(child, nodes)
+        if queries.child_to[group[0]]:
+            for some in families(group[0]):
+                visit(some, nodes)
             return
-        part = slice(queries.first[q], queries.last[q])
+        part = slice(queries.first[group[0]], queries.last[group[-1]])
         while len(nodes):
             leaf = data.child_to[nodes] == 0
-            score_leaves(q, part, nodes[leaf], bound[leaf])
+            score_leaves(part, nodes[leaf], bound[leaf])
             inner = nodes[~leaf]
             if not len(inner):
                 return
-            below = [np.arange(data.child_from[d], data.child_to[d]) for d in inner]
-            nodes, bound = possible(q, np.concatenate(below))
-
-    def score_leaves(q: int, part: slice, nodes: np.ndarray, bound: np.ndarray) -> None:
-        sizes = (data.last - data.first)[nodes]
-        ends = np.cumsum(sizes)
+            nodes, bound = possible(group, ranges(data.child_from[inner], data.child_to[inner]))
+
+    def families(q: int) -> list[np.ndarray]:
+        """The children of a node: inner ones alone, neighbouring leaves up to GROUP queries."""
+        out, held, size = [], [], 0
+        for kid in range(queries.child_from[q], queries.child_to[q]):
+            points = queries.last[kid] - queries.first[kid]
+            inner = queries.child_to[kid] > 0
+            if held and (inner or size + points > GROUP):
+                out.append(np.array(held))
+                held, size = [], 0
+            if inner:
+                out.append(np.array([kid]))
+            else:
+                held.append(kid)
+                size += points
+        return out + [np.array(held)] if held else out
+
+    def score_leaves(part: slice, nodes: np.ndarray, bound: np.ndarray) -> None:
+        ends = np.cumsum((data.last - data.first)[nodes])
         begin = 0
-        while begin < len(nodes):
+        while begin < len(nodes) and bound[begin] >= best.worst(part).min():  # the bounds fall
             done = ends[begin - 1] if begin else 0
             stop = max(begin + 1, int(np.searchsorted(ends, done + CHUNK, side="right")))
-            if bound[begin] + 0.5 < best.worst(part).min():
-                return  # the bounds fall
-            points = np.concatenate([np.arange(data.first[d], data.last[d]) for d in nodes[begin:stop]])
+            points = ranges(data.first[nodes[begin:stop]], data.last[nodes[begin:stop]])
             score = queries.points[part] @ data.points[points].T
             own = queries.rows[part][:, None] == data.rows[points][None, :]
             best.add(part, np.where(own, -np.inf, score), data.ids[points], data.rows[points])
             begin = stop
 
-    visit(0, np.array([0]))
+    visit(np.array([0]), np.array([0]))
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -225,11 +268,17 @@ def top_k(
     sizes = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.count_if(query).alias("q")).collect()
     # Blocks are numbered through; at most PIVOTS cells for each vector length.
     layout, data_blocks, query_blocks = [], {}, {}
+    space: dict[int, int] = {}
     for cell in sorted(sizes, key=lambda r: (r.dim, r.cell)):
-        parts, asks = -(-cell.n // DATA_BLOCK), -(-cell.q // QUERY_BLOCK)
-        layout.append((cell.dim, cell.cell, data_blocks.get(cell.dim, 0), parts, query_blocks.get(cell.dim, 0), asks))
-        data_blocks[cell.dim] = data_blocks.get(cell.dim, 0) + parts
-        query_blocks[cell.dim] = query_blocks.get(cell.dim, 0) + asks
+        dim, parts, asks = cell.dim, -(-cell.n // DATA_BLOCK), -(-cell.q // QUERY_BLOCK)
+        shared = 0 < cell.q <= space.get(dim, 0)  # the queries of small cells share a tree
+        if not shared and asks:
+            query_blocks[dim] = query_blocks.get(dim, 0) + asks
+            space[dim] = asks * QUERY_BLOCK
+        space[dim] = space.get(dim, 0) - cell.q
+        ask_base = query_blocks.get(dim, 0) - (1 if shared else asks)
+        layout.append((dim, cell.cell, data_blocks.get(dim, 0), parts, ask_base, 1 if shared else asks))
+        data_blocks[dim] = data_blocks.get(dim, 0) + parts
     table = spark.createDataFrame(layout, "dim int, cell long, base long, parts long, ask_base long, asks long")
     placed = placed.join(F.broadcast(table), ["dim", "cell"])
     spread = F.xxhash64("row")
@@ -239,14 +288,14 @@ def top_k(
 
         tree = CoverTree.build(np.array(frame["vector"].tolist(), float), frame["row"].to_numpy(), frame["id"].to_numpy())
         head = {c: [frame[c].iloc[0]] for c in ("dim", "block")}
-        return pd.DataFrame({**head, "tree": [pickle.dumps(tuple(vars(tree).values()))]})
+        return pd.DataFrame({**head, "tree": [tree.packed()]})
 
     def trees(frame: DataFrame) -> DataFrame:
         columns = frame.select("dim", "block", "row", "id", "vector")
         return columns.groupBy("dim", "block").applyInPandas(tree_of, "dim int, block long, tree binary")
 
     totals = spark.createDataFrame(
-        [(d, query_blocks[d], -(-data_blocks[d] // TREES)) for d in counts], "dim int, asks long, stores long"
+        [(d, query_blocks.get(d, 0), -(-data_blocks[d] // TREES)) for d in counts], "dim int, asks long, stores long"
     )
     data = written(trees(placed.withColumn("block", F.col("base") + F.pmod(spread, "parts"))), "data-trees")
     asked = trees(placed.where(query).withColumn("block", F.col("ask_base") + F.pmod(spread, "asks")))
@@ -268,8 +317,9 @@ def top_k(
     def meet(frame):
         import pandas as pd
 
-        asking = [CoverTree(*pickle.loads(t)) for t in frame["tree"][frame["is_query"]]]
-        stores = [CoverTree(*pickle.loads(t)) for t in frame["tree"][~frame["is_query"]]]
+        # A query tree meets the nearest data first, which raises its kth scores soonest.
+        asking = [CoverTree.unpacked(t) for t in frame["tree"][frame["is_query"]]]
+        stores = [CoverTree.unpacked(t) for t in frame["tree"][~frame["is_query"]]]
         out = []
         for tree in asking:
             best = Best(len(tree.points), k)
