@@ -11,11 +11,13 @@ of each plane, then the planes. Plane k holds bits [k * width, (k + 1) * width)
 of every id, in id order, packed to bytes and compressed with zstandard. Planes
 above the largest id of the block are left out.
 
-Kind 1, the last record, is the index: zstandard over the file's number (u64),
+Kind 2, the last record, has the file's number and its count of ids (u64 each,
+big endian), so that a file can be placed by its last bytes. Kind 1, before it,
+is the index: zstandard over the file's number (u64),
 the number of blocks and of documents (u64 each), then for each block its byte
 offset, first id and count (u64 each), and for each document its id (i64),
 whether that id is null (u8) and its count of ids (u64), column after column.
-All numbers are little endian.
+All other numbers are little endian.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ HEAD = "<4sBBHIQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 #: Ids in a block.
 BLOCK = 65_536
-LEVEL = 3
+LEVEL = 1
 #: Up to so many files their places, 16 bytes each, are broadcast; more are joined by shuffle.
 FEW_FILES = 100_000
 
@@ -157,7 +159,11 @@ def write_token_files(
         if held:
             yield rows_of([record(len(held) // 4)])
         if index:
-            yield rows_of([pack_index(TaskContext.get().partitionId(), blocks, index)])
+            number = TaskContext.get().partitionId()
+            total = struct.pack(">2Q", number, first)
+            yield rows_of(
+                [pack_index(number, blocks, index), struct.pack(HEAD, MAGIC, 2, 0, 0, 0, len(total)) + total]
+            )
 
     records = ranges.mapInArrow(run, "record binary")
     # The text writer puts the bytes of a string out as they are, and a line feed after each.
@@ -168,17 +174,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the files below ``path``.
 
     ``start`` counts the ids of all documents before it, in file order; ``ids``
-    are little-endian unsigned 32-bit numbers. Only the indexes are read to
-    place the files; the ids are decoded block after block.
+    are little-endian unsigned 32-bit numbers. Files are placed by their
+    last bytes; the ids are decoded block after block.
     """
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                number, _, _, counts = read_index(memoryview(content.as_buffer()))
-                yield pa.RecordBatch.from_pydict({"file": [number], "total": [int(counts.sum())]})
-
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
@@ -213,9 +213,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names)
 
     before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
-    bases = files.mapInArrow(totals, "file long, total long").select(
-        "file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")
-    )
+    last = [F.hex(F.substring("content", F.length("content") - 16 + 8 * k, F.lit(8))) for k in (0, 1)]
+    totals = files.select(*(F.conv(x, 16, 10).cast("long").alias(n) for x, n in zip(last, ("file", "total"), strict=True)))
+    bases = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     if files.count() <= FEW_FILES:
         bases = F.broadcast(bases)
     docs = files.mapInArrow(documents, "file long, doc_id long, at long, n_tokens long, ids binary")
