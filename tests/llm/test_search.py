@@ -1,3 +1,4 @@
+from collections import Counter
 import math
 import random
 
@@ -265,6 +266,25 @@ def test_pseudo_likelihood_by_brute_force(spark, empty_docs):
     assert masked_lm.pseudo_likelihood(empty_docs, masked_lm.fit(empty_docs)).count() == 0
 
 
+def test_vocabulary_follows_the_corpus(spark):
+    """More words make more tokens; words without one of their own still have their exact counts."""
+    rows = [(k, " ".join(f"w{(k * 1000 + j) ** 2 % 30_011}" for j in range(1000))) for k in range(1500)]
+    rows += [(5000, "once only"), (5001, "twice"), (5002, "twice"), (5002, "twice")]
+    model = masked_lm.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    counts = Counter(w for _, t in rows for w in t.encode().split())
+    assert {bytes(r.word): r.n for r in model.counts.collect()} == counts
+    edge = len(model.weights["words"]) - 1
+    assert edge > masked_lm.TOKENS and len(model.token) == model.token.first > 896
+    assert {counts[w] for w in model.token} >= {max(counts.values())} and b"once" not in model.token
+    docs = spark.createDataFrame([(1, "once"), (2, "twice"), (2, "twice"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in masked_lm.pseudo_likelihood(docs, model).collect()}
+    for k, word in ((1, b"once"), (2, b"twice")):
+        around, target = np.full((1, 4), edge), np.array([model.token[word]])
+        alone = masked_lm.log_probability(model.weights, around, target)[0]
+        assert abs(got[k] - (alone + np.log(counts[word]) + model.own[word])) < 1e-3
+    assert got[3] == 0
+
+
 def test_token_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     w = masked_lm.fresh_weights(np.full(masked_lm.TOKENS, 1 / masked_lm.TOKENS))

@@ -2,66 +2,106 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardhouse.llm.common import append_columns, slices
+from wardhouse.llm.common import append_columns, slices, without, written
 
-#: Words are hashed into so many buckets, whose counts over all texts are taken.
-BUCKETS = 1 << 16
-#: Tokens: the most frequent buckets have their own, the others share the last RARE ones.
-CLASSES, MEMBERS, RARE = 32, 32, 128
+#: The least network: so many classes of so many tokens. Both grow with the fourth root of the number
+#: of words in the corpus, the tokens with its square root.
+CLASSES, MEMBERS = 32, 32
 TOKENS = CLASSES * MEMBERS
+#: One of so many tokens is shared by the words that have none of their own and end alike.
+SHARED = 8
 #: Words on either side, numbers for each word, and hidden units.
 SIDE, WIDTH, HIDDEN = 2, 12, 32
-#: Share of the positions that are masked for training in each round, in all texts.
-MASKED = 0.08
+#: Every position is masked in one of the rounds.
 ROUNDS = 2
-BATCH, RATE = 1024, 2.0
+BATCH, RATE = 4096, 2.0
 #: Positions that are scored at once.
 STEP = 16_384
+#: Distinct words a task counts before it passes them on, and weights in a row of the shuffle.
+HELD, BLOCK = 200_000, 16_384
+#: The count of a word that the counted texts do not have.
+UNSEEN = 1e-3
+
+
+class Tokens(dict):
+    """The token of each word (bytes): its own, or from ``first`` on one of ``shared`` by its ending."""
+
+    def __init__(self, words: list[bytes], shared: int):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.first, self.shared = 0, shared
+
+    def __missing__(self, word: bytes) -> int:
+        return self.first + zlib.crc32(word[-3:]) % self.shared
+
+    def __reduce__(self):
+        return _tokens, (list(self), self.first, self.shared)
+
+
+def _tokens(words: list[bytes], first: int, shared: int) -> Tokens:
+    out = Tokens(words, shared)
+    out.first = first
+    return out
+
+
+class Shares(dict):
+    """What a word's log-probability has beside its token's: 0 for a token of its own, else minus the
+    log of the shared token's count; the log of the word's own count is added by a join."""
+
+    def __init__(self, token: Tokens, held: np.ndarray):
+        super().__init__()
+        self.token, self.logs = token, np.log(held)
+
+    def __missing__(self, word: bytes) -> float:
+        return 0.0 if word in self.token else -float(self.logs[self.token[word]])
 
 
 @dataclass(frozen=True)
 class MaskedModel:
-    """token[b] is a bucket's token, own[b] the log of the bucket's share in it."""
+    """Tokens and shares of words, the network, and the exact (word, n) of all texts as a table."""
 
-    token: np.ndarray
-    own: np.ndarray
+    token: Tokens
+    own: Shares
     weights: dict[str, np.ndarray]
+    counts: DataFrame
 
 
-def buckets(text: str | None) -> np.ndarray:
-    words = (text or "").encode().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).astype(np.int64) & (BUCKETS - 1)
+def buckets(text: str | None) -> list[bytes]:
+    """The words of a text."""
+    return (text or "").encode().split()
 
 
 def fresh_weights(shares: np.ndarray) -> dict[str, np.ndarray]:
     """First weights: small and the same everywhere; the offsets give the tokens' shares."""
     rng = np.random.default_rng(7)
-    table = np.log(shares.reshape(CLASSES, MEMBERS))
+    side = math.isqrt(len(shares))
+    table = np.log(shares.reshape(side, side))
     top = np.logaddexp.reduce(table, axis=1)
     return {
-        "words": rng.normal(0, 0.1, (TOKENS + 1, WIDTH)).astype(np.float32),
+        "words": rng.normal(0, 0.1, (len(shares) + 1, WIDTH)).astype(np.float32),
         "hidden": rng.normal(0, 0.2, (2 * SIDE * WIDTH, HIDDEN)).astype(np.float32),
         "shift": np.zeros(HIDDEN, np.float32),
-        "classes": np.zeros((HIDDEN, CLASSES), np.float32),
+        "classes": np.zeros((HIDDEN, side), np.float32),
         "class_shift": top.astype(np.float32),
-        "members": np.zeros((CLASSES, HIDDEN, MEMBERS), np.float32),
+        "members": np.zeros((side, HIDDEN, side), np.float32),
         "member_shift": (table - top[:, None]).astype(np.float32),
     }
 
 
 def contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The words around each position; ``tokens`` has SIDE marks of an edge (TOKENS) at either end
-    and between texts."""
+    """The words around each position; ``tokens`` has SIDE marks of an edge (the number of tokens) at
+    either end and between texts."""
     steps = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
     return tokens[at[:, None] + steps[None, :]]
 
@@ -81,11 +121,12 @@ def forward(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, n
 def log_probability(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target token: of its class, and of it within the class."""
     _, h, tops = forward(w, around)
-    group, member = target // MEMBERS, target % MEMBERS
+    classes, _, members = w["members"].shape
+    group, member = target // members, target % members
     out = tops[np.arange(len(target)), group]
     order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+    ends = np.searchsorted(group[order], np.arange(classes + 1))
+    for c in range(classes):
         rows = order[ends[c] : ends[c + 1]]
         if len(rows):
             inner = _normed(h[rows] @ w["members"][c] + w["member_shift"][c])
@@ -97,18 +138,20 @@ def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray,
     """One step down the gradient of the mean loss, in place."""
     n = len(target)
     x, h, tops = forward(w, around)
-    group, member = target // MEMBERS, target % MEMBERS
+    group, member = np.divmod(target, w["members"].shape[2])
     d_top = np.exp(tops)
     d_top[np.arange(n), group] -= 1
     d_h = d_top @ w["classes"].T
     w["classes"] -= rate / n * (h.T @ d_top)
     w["class_shift"] -= rate / n * d_top.sum(0)
-    for c in np.unique(group):
-        rows = np.flatnonzero(group == c)
-        d = np.exp(_normed(h[rows] @ w["members"][c] + w["member_shift"][c]))
+    order = np.argsort(group, kind="stable")
+    some, starts = np.unique(group[order], return_index=True)
+    for c, rows in zip(some, np.split(order, starts[1:]), strict=True):
+        inner = h[rows]
+        d = np.exp(_normed(inner @ w["members"][c] + w["member_shift"][c]))
         d[np.arange(len(rows)), member[rows]] -= 1
         d_h[rows] += d @ w["members"][c].T
-        w["members"][c] -= rate / n * (h[rows].T @ d)
+        w["members"][c] -= rate / n * (inner.T @ d)
         w["member_shift"][c] -= rate / n * d.sum(0)
     d_z = d_h * (1 - h * h)
     d_x = d_z @ w["hidden"].T
@@ -116,94 +159,158 @@ def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray,
     w["shift"] -= rate / n * d_z.sum(0)
     used, each = around.ravel(), d_x.reshape(-1, WIDTH)
     for k in range(WIDTH):
-        w["words"][:, k] -= rate / n * np.bincount(used, each[:, k], TOKENS + 1).astype(w["words"].dtype)
+        w["words"][:, k] -= rate / n * np.bincount(used, each[:, k], len(w["words"])).astype(w["words"].dtype)
 
 
-def joined(token: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def joined(found: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of several texts with edge marks around each, and where the words lie."""
-    edge = np.full(SIDE, TOKENS)
-    parts, at, start = [edge], [], SIDE
+    marks = np.full(SIDE, edge)
+    parts, at, start = [marks], [], SIDE
     for b in found:
-        parts += [token[b], edge]
+        parts += [b, marks]
         at.append(np.arange(start, start + len(b)))
         start += len(b) + SIDE
     return np.concatenate(parts), np.concatenate(at) if at else np.empty(0, np.int64)
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> MaskedModel:
-    """Count all words, then train the network on masked positions of all texts.
+def tokens_of(token: Tokens, words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(token.__getitem__, words), np.int64, len(words))
 
-    In each of ROUNDS rounds every task goes through its rows from the same
-    weights, masking each position with chance MASKED (by a hash of its place
-    and bucket), and the tasks' weights are averaged, by the positions they saw,
-    in a shuffle. The driver gets BUCKETS counts and one set of weights.
-    """
-    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text is not null")
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n): every distinct word of the column text, counted exactly."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total: Counter = Counter()
+
+        def passed_on() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(total, pa.binary()), pa.array(total.values(), pa.int64())], ["word", "n"])
+
         for batch in slices(batches, "text"):
             for text in batch.column(0).to_pylist():
-                places, times = np.unique(buckets(text), return_counts=True)
-                total[places] += times
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"bucket": held.astype(np.int32), "n": total[held]})
-
-    counts = np.zeros(BUCKETS)
-    sums = texts.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts[sums.bucket.to_numpy()] = sums.n.to_numpy()
-    order = np.lexsort((np.arange(BUCKETS), -counts))
-    token = np.empty(BUCKETS, np.int32)
-    frequent = TOKENS - RARE
-    token[order[:frequent]] = np.arange(frequent)
-    token[order[frequent:]] = frequent + np.arange(BUCKETS - frequent) % RARE
-    held = np.bincount(token, counts + 1e-3, TOKENS)
-    own = (np.log(counts + 1e-3) - np.log(held[token])).astype(np.float32)
+                total.update(buckets(text))
+                if len(total) >= HELD:
+                    yield passed_on()
+                    total.clear()
+        yield passed_on()
+
+    return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> MaskedModel:
+    """Count all words exactly, then train the network on every position of all texts.
+
+    Of N words, about sqrt(N) tokens (TOKENS at least): the most frequent words
+    have their own, the others share one of SHARED by their ending and are told
+    apart by their counts. In each of ROUNDS rounds every task goes through its
+    rows from the same weights, masking its share of the positions, and the
+    tasks' weights are averaged, by the positions they saw, in a shuffle. The
+    driver gets the frequent words and one set of weights; the counts stay a table.
+    """
+    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text is not null")
+    counts = written(word_counts(texts), "word-counts")
+    size = counts.agg(F.sum("n")).first()[0] or 0
+    side = max(MEMBERS, math.isqrt(math.isqrt(size)) + 1)
+    tokens = side * side
+    shared = tokens // SHARED
+    top = counts.orderBy(F.desc("n"), "word").limit(tokens - shared).toPandas()
+    token = _tokens([bytes(w) for w in top.word], tokens - shared, shared)
+    held = np.full(tokens, UNSEEN)
+    held[: len(top)] += top.n.to_numpy()
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(tokens, np.int64)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            rare = np.fromiter((w not in token for w in words), bool, len(words))
+            np.add.at(total, tokens_of(token, words)[rare], batch.column(1).to_numpy()[rare])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["token", "n"])
+
+    sums = counts.select("word", "n").mapInArrow(rest, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    held[sums.token.to_numpy(int)] += sums.n.to_numpy(float)
     weights = fresh_weights(held / held.sum())
     for step in range(ROUNDS):
         weights = _trained(texts, token, weights, step)
-    return MaskedModel(token, own, weights)
+    return MaskedModel(token, Shares(token, held), weights, counts)
+
 
+def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], step: int) -> dict[str, np.ndarray]:
+    edge = len(weights["words"]) - 1
 
-def _trained(texts: DataFrame, token: np.ndarray, weights: dict[str, np.ndarray], step: int) -> dict[str, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = {k: v.copy() for k, v in weights.items()}
         seen = 0
         for batch in slices(batches, "text"):
-            found = [buckets(t) for t in batch.column(0).to_pylist()]
-            tokens, at = joined(token, found)
-            mixed = (np.concatenate(found) + 1 if found else at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed + np.arange(len(at), dtype=np.uint64) + np.uint64(step)) * np.uint64(0xC2B2AE3D27D4EB4F)
-            at = at[(mixed >> np.uint64(40)) < np.uint64(int(MASKED * (1 << 24)))]
+            found = [tokens_of(token, buckets(t)) for t in batch.column(0).to_pylist()]
+            tokens, at = joined(found, edge)
+            places = np.concatenate([np.arange(len(b)) for b in found]) if found else at
+            at = at[places % ROUNDS == step]
             for begin in range(0, len(at), BATCH):
                 part = at[begin : begin + BATCH]
                 train_step(mine, contexts(tokens, part), tokens[part], RATE * len(part) / BATCH)
-                seen += len(part)
+            seen += len(at)
         if seen:
-            flat = np.concatenate([v.ravel() for v in mine.values()]).astype(float)
-            yield pa.RecordBatch.from_pydict(
-                {"place": np.arange(len(flat), dtype=np.int32), "total": flat * seen, "seen": np.full(len(flat), seen)}
-            )
-
-    rows = texts.mapInArrow(run, "place int, total double, seen long").groupBy("place")
-    means = rows.agg((F.sum("total") / F.sum("seen")).alias("mean")).toPandas().sort_values("place")
+            flat = np.concatenate([v.ravel() for v in mine.values()])
+            for block, begin in enumerate(range(0, len(flat), BLOCK)):
+                part = flat[begin : begin + BLOCK].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([seen]), pa.array([part])], ["block", "seen", "part"])
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict = {}
+        for batch in batches:
+            for block, seen, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                old, before = total.get(block, (0.0, 0))
+                total[block] = old + np.frombuffer(part, np.float32).astype(float) * seen, before + seen
+        parts = [(s / n).astype(np.float32).tobytes() for s, n in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
+
+    rows = texts.mapInArrow(run, "block int, seen long, part binary").repartition("block")
+    means = rows.mapInArrow(mean, "block int, part binary").toPandas().sort_values("block")
     if not len(means):
         return weights
-    flat, out, start = means["mean"].to_numpy(np.float32), {}, 0
+    flat, out, start = np.frombuffer(b"".join(means["part"]), np.float32), {}, 0
     for name, old in weights.items():
         out[name] = flat[start : start + old.size].reshape(old.shape)
         start += old.size
     return out
 
 
-def word_scores(model: MaskedModel, found: list[np.ndarray]) -> np.ndarray:
-    """Log-probability of every word of some texts (given as buckets), one after the other."""
-    tokens, at = joined(model.token, found)
+def word_scores(token: Tokens, own: Shares, weights: dict[str, np.ndarray], found: list[list[bytes]]) -> np.ndarray:
+    """Log-probability of every word of some texts, one after the other, without the logs of the
+    counts of words that share a token."""
+    ids = [tokens_of(token, words) for words in found]
+    tokens, at = joined(ids, len(weights["words"]) - 1)
     out = np.zeros(len(at))
     for begin in range(0, len(at), STEP):
         part = at[begin : begin + STEP]
-        out[begin : begin + STEP] = log_probability(model.weights, contexts(tokens, part), tokens[part])
-    return out + model.own[np.concatenate(found)] if found else out
+        out[begin : begin + STEP] = log_probability(weights, contexts(tokens, part), tokens[part])
+    logs = np.where(np.arange(len(own.logs)) < token.first, 0.0, own.logs)
+    return out - logs[tokens[at]]
+
+
+def shared_counts(texts: DataFrame, model: MaskedModel) -> DataFrame:
+    """(key, logs): for each distinct text of (key, text), the sum of the logs of the counts of its
+    words that share a token."""
+    token = model.token
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            keys, words, times, each = [], [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = Counter(w for w in buckets(text) if w not in token)
+                keys += [key] * len(found)
+                words += found
+                times += found.values()
+                each += [len(found)] * len(found)
+            columns = [pa.array(keys, pa.binary()), pa.array(words, pa.binary()), pa.array(times, pa.int64()), pa.array(each, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "word", "times", "each"])
+
+    rows = texts.mapInArrow(rare, "key binary, word binary, times long, each long")
+    known = rows.join(model.counts, "word", "left")
+    logs = F.col("times") * F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN)))
+    # Copies of a text have a key in common and give their rows once each.
+    return known.groupBy("key").agg((F.sum(logs) * F.max("each") / F.count("*")).alias("logs"))
 
 
 def pseudo_likelihood(docs: DataFrame, model: MaskedModel, text_col: str = "text") -> DataFrame:
@@ -213,21 +320,28 @@ def pseudo_likelihood(docs: DataFrame, model: MaskedModel, text_col: str = "text
     null. Columns with these names are replaced; repeated rows are scored each
     by itself; an empty table gives an empty result.
     """
-    fields = [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("log_likelihood", T.DoubleType()),
-        T.StructField("per_word", T.DoubleType()),
-    ]
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType())]
+    token, own, weights = model.token, model.own, model.weights
 
     def make():
         def compute(texts: list) -> list:
             found = [buckets(t) for t in texts]
             counts = [len(b) for b in found]
-            scores = word_scores(model, found)
+            scores = word_scores(token, own, weights, found)
             owner = np.repeat(np.arange(len(found)), counts)
-            totals = np.bincount(owner, scores, len(found)).tolist()
-            return [counts, totals, [s / n if n else None for s, n in zip(totals, counts, strict=True)]]
+            return [counts, np.bincount(owner, scores, len(found)).tolist()]
 
         return compute
 
-    return append_columns(docs, text_col, fields, make)
+    key = "__text_key"
+    docs = without(docs, ["n_words", "log_likelihood", "per_word"])
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.col(f"`{text_col}`"))))
+    logs = shared_counts(keyed.select(F.col(key).alias("key"), F.col(f"`{text_col}`").alias("text")).where("text is not null"), model)
+    scored = append_columns(keyed, text_col, fields, make).join(logs.withColumnRenamed("key", key), key, "left")
+    total = F.col("log_likelihood") + F.coalesce("logs", F.lit(0.0))
+    return scored.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        "n_words",
+        total.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("per_word"),
+    )
