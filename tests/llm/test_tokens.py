@@ -221,3 +221,23 @@ def test_encode_and_decode(spark, model, words, texts, empty_docs):
         assert r.text == (r.original or "")
         assert (r.score, r.ids) == words.encode(words.prepared(r.original or ""))
     assert pieces.encode(empty_docs, model).count() == 0
+
+
+def test_merges_equal_the_library(spark, model, words, texts, empty_docs):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    rng = random.Random(3)
+    some = ["the", "this", "able", "  two  blanks ", "a\nb \n c", "aaaaaaaaa" * 700, " " * 900, "日ßx é"]
+    some += ["".join(rng.choice("theanin g   \né日xs.,") for _ in range(rng.randrange(1, 300))) for _ in range(300)]
+    some += ["the people walk along this able river " * 60]
+    for text in some:
+        ids = words.encode_merged(words.prepared(text))[1]
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+    docs = texts.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(some, 1000)), "doc_id long, text string"))
+    rows = pieces.encode(docs, model, giant=600, chunk=100, merges=True).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(r.text or "")
+        assert (r.score, r.ids) == words.encode_merged(words.prepared(r.text or ""))
+    assert pieces.encode(empty_docs, model, merges=True).count() == 0

@@ -1,4 +1,10 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
+"""SentencePiece encoding and decoding: by merges, or by a max-plus parallel scan.
+
+A model trained by merges joins neighbours, the pair with the highest score (the
+leftmost of equal ones) first, until no two make a piece. Nothing is joined across
+the parts of a text, so a giant text is cut between parts and its chunks are
+encoded by themselves; a part is never cut. The rest of this text is about the
+scan, for models whose scores are to be summed.
 
 A text's best segmentation is the one with the highest sum of piece scores; of
 equal sums the one whose last piece is longest, then the one before it, and so
@@ -15,6 +21,7 @@ states fix those inside it, and at last every chunk is traced back by itself.
 
 from __future__ import annotations
 
+import heapq
 import re
 import sys
 import types
@@ -24,7 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +66,7 @@ class Vocabulary:
     scale: int
     tree: dict
     kept: dict[str, tuple[int, bytes]] = field(default_factory=dict)
+    kept_merged: dict[str, tuple[int, bytes]] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -173,6 +181,53 @@ class Vocabulary:
         found = [self.best(p) for p in self.parts(text)]
         return sum(s for s, _ in found), b"".join([i for _, i in found])
 
+    def merged(self, text: str) -> tuple[int, bytes]:
+        """Summed scores and ids of a part whose neighbours are joined, best pair first."""
+        found = self.kept_merged.get(text)
+        if found is None:
+            score, out = 0, array("I")
+            for piece in self._joined(text):
+                k = self.ids.get(piece)
+                if k is None:
+                    out.extend(self.bytes_from[b] for b in piece.replace(_LITERAL, SPACE).encode())
+                    score += self.unknown
+                else:
+                    out.append(k)
+                    score += self.scores[piece]
+            found = score, out.tobytes()
+            if len(text) <= 64:
+                if len(self.kept_merged) >= KEPT:
+                    self.kept_merged.clear()
+                self.kept_merged[text] = found
+        return found
+
+    def _joined(self, text: str) -> list[str]:
+        n, scores = len(text), self.scores
+        piece: list[str] = list(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(-scores[p], i, p) for i in range(n - 1) if (p := text[i : i + 2]) in scores]
+        heapq.heapify(heap)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            # Pairs of which one side has been joined to something else since are no more.
+            if j >= n or not piece[i] or piece[i] + piece[j] != both:
+                continue
+            piece[i], piece[j] = both, ""
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (p := both + piece[k]) in scores:
+                    heapq.heappush(heap, (-scores[p], i, p))
+            if (k := before[i]) >= 0 and (p := piece[k] + both) in scores:
+                heapq.heappush(heap, (-scores[p], k, p))
+        return [p for p in piece if p]
+
+    def encode_merged(self, text: str) -> tuple[int, bytes]:
+        """Score and ids of a prepared text, as a model trained by merges has them."""
+        found = [self.merged(p) for p in self.parts(text)]
+        return sum(s for s, _ in found), b"".join([i for _, i in found])
+
     def decode(self, ids: bytes) -> str:
         shown = self.shown
         text = b"".join([shown[k] or b"" for k in array("I", ids)]).decode("utf-8", "replace")
@@ -344,14 +399,17 @@ def _scan(chunks: DataFrame, most: int) -> DataFrame:
     return known.withColumnRenamed("at", "chunk")
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, text_col: str = "text", giant: int = GIANT, chunk: int = CHUNK, merges: bool = False
+) -> DataFrame:
     """Adds ids (little-endian unsigned 32-bit numbers) and score (scaled sum) of every whole text.
 
-    Texts up to ``giant`` characters are encoded where they are; longer ones are
-    cut into chunks that are spread over the tasks (see the module). A null or
-    empty text has no ids and score 0. Columns named ids or score are replaced;
-    repeated rows are encoded each by itself; an empty table gives an empty
-    result.
+    With ``merges`` the ids are those of a model trained by merges, otherwise
+    those of the highest sum. Texts up to ``giant`` characters are encoded where
+    they are; longer ones are cut into chunks that are spread over the tasks (see
+    the module). A null or empty text has no ids and score 0. Columns named ids
+    or score are replaced; repeated rows are encoded each by itself; an empty
+    table gives an empty result.
     """
     text = F.col(f"`{text_col}`")
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("score", T.LongType())]
@@ -362,7 +420,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", giant: int = GIA
         words = vocabulary(model)
 
         def compute(texts: list) -> list:
-            found = [words.encode(words.prepared(t or "")) for t in texts]
+            whole = words.encode_merged if merges else words.encode
+            found = [whole(words.prepared(t or "")) for t in texts]
             return [[i for _, i in found], [s for s, _ in found]]
 
         return compute
@@ -372,6 +431,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", giant: int = GIA
     most = giants.agg(F.max(F.length(text))).first()[0]
     if most is None:
         return small
+    if merges:
+        return small.unionByName(_gathered(giants, _merged_chunks(giants, model, text, chunk)))
     chunk = max(chunk, vocabulary(model).longest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,12 +482,46 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", giant: int = GIA
             yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "ids", "score"])
 
     traced = found.mapInArrow(trace, "row long, chunk long, ids binary, score long")
+    return small.unionByName(_gathered(giants, traced))
+
+
+def _gathered(giants: DataFrame, traced: DataFrame) -> DataFrame:
+    """The giant texts with the ids and scores of their chunks put together."""
     whole = traced.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"), F.sum("score").alias("score")
     )
     joined = F.aggregate("parts.ids", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x))
     whole = whole.select(F.col("row").alias("__row"), joined.alias("ids"), "score")
-    return small.unionByName(giants.join(whole, "__row").drop("__row"))
+    return giants.join(whole, "__row").drop("__row")
+
+
+def _merged_chunks(giants: DataFrame, model: str, text: Column, chunk: int) -> DataFrame:
+    """(row, chunk, ids, score) of chunks of whole parts, of ``chunk`` characters or one longer part."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(model)
+        for batch in slices(batches, "t"):
+            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                chunks, size = [[]], 0
+                for part in words.parts(words.prepared(raw)):
+                    if size and size + len(part) > chunk:
+                        chunks.append([])
+                        size = 0
+                    chunks[-1].append(part)
+                    size += len(part)
+                made = ["".join(c).encode("utf-8", "surrogatepass") for c in chunks]
+                columns = [pa.array([row] * len(made)), pa.array(range(len(made)), pa.int64()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "part"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(model)
+        for batch in batches:
+            found = [words.encode_merged(p.decode("utf-8", "surrogatepass")) for p in batch.column(2).to_pylist()]
+            columns = [pa.array([i for _, i in found], pa.binary()), pa.array([s for s, _ in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "chunk", "ids", "score"])
+
+    chunks = giants.select(F.col("__row").alias("row"), text.alias("t")).mapInArrow(cut, "row long, chunk long, part binary")
+    return chunks.repartition("row", "chunk").mapInArrow(run, "row long, chunk long, ids binary, score long")
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:

@@ -47,7 +47,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("original"), "text")
     model = tokenizer_path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(docs, model), model)
+    rows = pieces.decode(pieces.encode(docs, model, merges=True), model)
     return rows.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_pieces"),
