@@ -14,8 +14,23 @@ ROUNDS = 6
 
 _FEMALE = "Mrs|Ms|Miss|Frau|Sra|Mme|Madame|Mademoiselle|Señora|госпожа|Госпожа"
 _MALE = "Mr|Herr|Sr|Monsieur|Señor|господин|Господин"
-_NAME = r"\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,2}"
-_CARRIED = r"password=|token ?= ?\"?"
+#: A word of a name: capitals may stand inside it, and hyphens or apostrophes before them.
+_WORD = r"(?=\p{Lu}[\p{Lu}'’\-]*\p{Ll})\p{Lu}(?:\p{L}|['’\-](?=\p{Lu}))*"
+_NAME = rf"\.? {_WORD}(?: {_WORD}){{0,2}}"
+#: Names of what holds a credential, in any case, perhaps as the end of a longer name, and what
+#: stands between it and the credential. A Bearer credential has digits, or it may be a word.
+_CARRIER = (
+    r"(?:[a-z0-9]{1,20}[_-]){0,4}(?:password|passwd|passphrase|pwd|token|secret|credentials?"
+    r"|(?:api|access|secret|private|auth|account|client)[_-]?key|client[_-]?secret|apikey)"
+)
+_CARRIED = rf"(?i:{_CARRIER}[\"']?\s{{0,4}}(?::=|=>|[:=])\s{{0,4}}(?:bearer\s{{1,4}})?[\"']?|bearer\s{{1,4}}(?=[^\s\"']{{0,512}}[0-9]))"
+#: Prefixes that say that what follows is a key, and whole key blocks.
+_PREFIXED = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{20,255}|github_pat_[A-Za-z0-9_]{20,255}"
+    r"|glpat-[A-Za-z0-9_-]{20,255}|xox[abprs]-[A-Za-z0-9-]{10,255}|sk-[A-Za-z0-9_-]{20,255}"
+    r"|[rs]k_(?:live|test)_[A-Za-z0-9]{16,255}|AIza[A-Za-z0-9_-]{35}"
+)
+_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]{1,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----"
 
 #: What is looked for, in this order: an earlier kind wins where two begin at one
 #: place. A mention may begin with words that stay: a form of address, or what a
@@ -25,7 +40,8 @@ PATTERNS = {
         r"(?<![._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+"
         r"@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
     ),
-    "secret": rf"(?:AKIA[0-9A-Z]{{16}}\b|(?:{_CARRIED})[^\s\"']{{6,}})",
+    "secret": rf"(?:{_PREFIXED}|{_CARRIED}[^\s\"']{{6,}})",
+    "block": _BLOCK,
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": (
         r"(?:(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9])"
@@ -47,12 +63,13 @@ PATTERNS = {
 # A mention begins where no ASCII letter or digit stands before it. What it begins
 # with decides which kinds are tried there.
 _FIRST = {"[0-9+(]": ("card", "ssn", "phone", "ip"), "[A-Za-z]": ("secret",), "[A-Z]": ("iban",)}
+_FIRST["-"] = ("block",)
 _FIRST["[MFSHгГ]"] = ("name_f", "name_m")
 PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(
     [PATTERNS["email"]] + [f"(?={first})(?:{'|'.join(PATTERNS[k] for k in kinds)})" for first, kinds in _FIRST.items()]
 ) + ")"
 #: Every mention has one of these; a text without them is not looked through.
-_SIGNS = r"[0-9@=]|AKIA|(?<![A-Za-z0-9])[MFSHгГ](?:" + "|".join(
+_SIGNS = r"[0-9@=:]|[Bb][Ee][Aa][Rr][Ee][Rr]|PRIVATE KEY|AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[rs]k[-_]|AIza|(?<![A-Za-z0-9])[MFSHгГ](?:" + "|".join(
     title[1:] for title in f"{_FEMALE}|{_MALE}".split("|")
 ) + r")\b"
 
@@ -92,12 +109,13 @@ def parts_of(mention: Column) -> Column:
         )
         return F.concat(F.array(piece(None, title)), F.flatten(named))
 
-    carried = F.regexp_extract(mention, rf"^({_CARRIED})", 1)
+    known = mention.rlike(rf"^(?:{_PREFIXED}|{_BLOCK})$")
+    carried = F.when(known, "").otherwise(F.regexp_extract(mention, rf"^({_CARRIED})", 1))
     secret = F.array(
         piece(None, carried), piece("secret", F.substring(mention, F.length(carried) + 1, F.length(mention)))
     )
     found = F.when(mention.rlike(f"^(?:{PATTERNS['email']})$"), F.array(piece("email", mention)))
-    found = found.when(mention.rlike(rf"^(?:AKIA|{_CARRIED})"), secret)
+    found = found.when(known | mention.rlike(f"^{_CARRIED}"), secret)
     for kind in ("iban", "card", "ssn", "phone", "ip"):
         found = found.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), F.array(piece(kind, mention)))
     return found.when(mention.rlike(rf"^(?:{_FEMALE})\.? "), person("f", _FEMALE)).otherwise(person("m", _MALE))
