@@ -71,7 +71,7 @@ PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(
 #: Every mention has one of these; a text without them is not looked through.
 _SIGNS = r"[0-9@=:]|[Bb][Ee][Aa][Rr][Ee][Rr]|PRIVATE KEY|AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[rs]k[-_]|AIza|(?<![A-Za-z0-9])[MFSHгГ](?:" + "|".join(
     title[1:] for title in f"{_FEMALE}|{_MALE}".split("|")
-) + r")\b"
+) + r")(?=[. ])"
 
 # Names that stand in for others, by gender and script.
 _GIVEN = {
