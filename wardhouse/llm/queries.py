@@ -17,6 +17,7 @@ from wardhouse.llm import (
     quality_rules,
     token_files,
     toxicity,
+    vector_codes,
 )
 from wardhouse.llm.common import fold, table
 from wardhouse.llm.token_ids import tokenizer_path
@@ -94,6 +95,10 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _NEAR = r"""
@@ -155,4 +161,62 @@ WITH v AS (
 SELECT * FROM ranked WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op5_near_duplicates": _NEAR, "op10_exact_topk": _TOP}
+_CODES = """
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS place,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, place, part, q[part * (len(q) // 16) + 1 : (part + 1) * (len(q) // 16)] AS x
+  FROM v, range(16) r(part)
+), c0 AS (
+  SELECT part, place AS entry, x FROM parts WHERE place < 64
+), a1 AS (
+  SELECT vec_id, part, any_value(x) AS x, min(d * 64 + entry) AS best FROM (
+    SELECT p.vec_id, p.part, p.x, c.entry, CAST(list_sum(list_transform(
+      range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i]))) AS BIGINT) AS d
+    FROM parts p JOIN c0 c USING (part))
+  GROUP BY vec_id, part
+), c1 AS (
+  SELECT part, entry, coalesce(m.x, c.x) AS x FROM c0 c LEFT JOIN (
+    SELECT part, entry, list(CAST((total - ((total % n) + n) % n) / n AS BIGINT) ORDER BY pos) AS x
+    FROM (
+      SELECT part, best % 64 AS entry, pos, CAST(sum(x[pos]) AS BIGINT) AS total, count(*) AS n
+      FROM a1, unnest(range(1, len(x) + 1)) u(pos) GROUP BY ALL)
+    GROUP BY part, entry) m USING (part, entry)
+), a2 AS (
+  SELECT vec_id, part, any_value(x) AS x, min(d * 64 + entry) AS best FROM (
+    SELECT p.vec_id, p.part, p.x, c.entry, CAST(list_sum(list_transform(
+      range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i]))) AS BIGINT) AS d
+    FROM parts p JOIN c1 c USING (part))
+  GROUP BY vec_id, part
+), c2 AS (
+  SELECT part, entry, coalesce(m.x, c.x) AS x FROM c1 c LEFT JOIN (
+    SELECT part, entry, list(CAST((total - ((total % n) + n) % n) / n AS BIGINT) ORDER BY pos) AS x
+    FROM (
+      SELECT part, best % 64 AS entry, pos, CAST(sum(x[pos]) AS BIGINT) AS total, count(*) AS n
+      FROM a2, unnest(range(1, len(x) + 1)) u(pos) GROUP BY ALL)
+    GROUP BY part, entry) m USING (part, entry)
+), a3 AS (
+  SELECT vec_id, part, any_value(x) AS x, min(d * 64 + entry) AS best FROM (
+    SELECT p.vec_id, p.part, p.x, c.entry, CAST(list_sum(list_transform(
+      range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i]))) AS BIGINT) AS d
+    FROM parts p JOIN c2 c USING (part))
+  GROUP BY vec_id, part
+), coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', best % 64)), '' ORDER BY part) AS code,
+    CAST(sum(best // 64) AS BIGINT) AS error
+  FROM a3 GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM c2) AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_near_duplicates": _NEAR,
+    "op10_exact_topk": _TOP,
+    "op13_vector_codes": _CODES,
+}
