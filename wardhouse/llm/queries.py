@@ -15,9 +15,11 @@ from wardhouse.llm import (
     pieces,
     pii,
     quality_rules,
+    spelling,
     token_files,
     toxicity,
     vector_codes,
+    warc,
 )
 from wardhouse.llm.common import fold, table
 from wardhouse.llm.token_ids import tokenizer_path
@@ -95,6 +97,18 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, slip=97)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    captures = warc.read_archives(spark, path, payloads=False)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
 
@@ -110,6 +124,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_warc": op12_warc,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -161,6 +177,71 @@ WITH v AS (
 SELECT * FROM ranked WHERE rank <= 20
 """
 
+# The checksum's table is built bit by bit; words of one edit apart meet by what is left of them
+# without one code point.
+_SPELLING = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), met AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents)
+  GROUP BY ALL
+), bytes AS (
+  SELECT run, n, hex(encode(concat(doc_id, ':', run))) AS h FROM met WHERE length(run) >= 5
+), coded AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(0, length(h) // 2), lambda i: CAST(concat('0x', h[2 * i + 1 : 2 * i + 2]) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS code
+  FROM bytes, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN code % 97 = 0
+      THEN concat(run[1 : code % length(run)], run[code % length(run) + 2 :]) ELSE run END AS word
+    FROM coded)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), holes AS (
+  SELECT word, n, length(word) AS size, i, concat(word[1 : i - 1], word[i + 1 :]) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) u(i)
+), pairs AS (
+  SELECT a.word AS a, a.n AS an, b.word AS b, b.n AS bn
+  FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT w.word, w.n, h.word, h.n FROM words w JOIN holes h ON h.rest = w.word
+  UNION
+  SELECT h.word, h.n, w.word, w.n FROM words w JOIN holes h ON h.rest = w.word
+), near AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, (-bn, encode(b))) AS best, max(bn) AS best_n
+  FROM pairs GROUP BY a
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word)
+), path(word, spot) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT path.word, forms.form FROM path JOIN forms ON forms.word = path.spot WHERE forms.form IS NOT NULL
+), roots AS (
+  SELECT path.word, path.spot AS root FROM path JOIN forms ON forms.word = path.spot WHERE forms.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+_WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN size >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN size >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 _CODES = """
 WITH v AS (
   SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS place,
@@ -218,5 +299,7 @@ FROM coded JOIN v USING (vec_id)
 ORACLE: dict[str, str] = {
     "op5_near_duplicates": _NEAR,
     "op10_exact_topk": _TOP,
+    "op11_spelling_variants": _SPELLING,
+    "op12_warc": _WARC,
     "op13_vector_codes": _CODES,
 }
