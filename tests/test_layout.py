@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import hospital as H
 from wardhouse import contracts as C
-from wardhouse.operators.load import upsert
+from wardhouse.operators.load import merge_day
 from wardhouse.plans import daily, kpis
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import work
@@ -41,7 +41,7 @@ def test_bucketed_tables_hold_the_same_rows(bucketed):
 def test_an_upsert_reads_a_bucketed_target_in_place(bucketed):
     target = bucketed.read(STG, "PATIENT")
     batch = replay(bucketed.spark, bucketed.path(OBS, "PATIENT"), H.DAY2)
-    text = plan(upsert(target, batch, C.PATIENT.keys, C.PATIENT.guard))
+    text = plan(merge_day(target, batch, H.DAY2, C.PATIENT.keys, C.PATIENT.guard))
     # Every shuffle has the archived batch below it, none the target.
     for shuffle in re.finditer("Exchange hashpartitioning", text):
         scan = re.search(r"FileScan parquet[^\n]*", text[shuffle.end():])[0]

@@ -3,18 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardhouse.contracts import Table
-from wardhouse.functions.casts import safe_cast
+from wardhouse.functions.casts import blank_to_null, safe_cast
 from wardhouse.operators.dedup import any_null, latest_per_key
 
 
-def typed(raw: DataFrame, table: Table) -> DataFrame:
-    """All-text columns by header name -> loaded names and types."""
-    return raw.select(*[safe_cast(F.col(c.source), c.kind).alias(c.target) for c in table.columns])
+def typed(raw: DataFrame, table: Table, wrong: bool = False) -> DataFrame:
+    """All-text columns by header name -> loaded names and types.
+
+    ``wrong`` adds a column with the header names whose filled text does not fit
+    its type, NULL where all fit: after the cast such a value is only missing.
+    """
+    columns = [safe_cast(F.col(c.source), c.kind).alias(c.target) for c in table.columns]
+    if wrong:
+        columns.append(_misfits(table).alias(WRONG))
+    return raw.select(*columns)
+
+
+def _misfits(table: Table) -> Column:
+    bad = [
+        F.when(
+            blank_to_null(F.col(c.source)).isNotNull() & safe_cast(F.col(c.source), c.kind).isNull(),
+            F.lit(c.source),
+        )
+        for c in table.columns
+        if c.kind != "varchar"
+    ]
+    names = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    return F.when(F.size(names) > 0, names)
 
 
 def latest_in_batch(batch: DataFrame, keys: Sequence[str], guard: str | None = None) -> DataFrame:
@@ -113,3 +134,94 @@ def upsert_counts(
         "updated_rows",
         "kept_rows",
     )
+
+
+# Columns a loaded table keeps for itself: the day its row came with, the first
+# day its key came with, the row that waits, and what did not fit its type.
+DAY, FIRST, WAITING = "_batch_dt", "_first_dt", "_waiting"
+WRONG = "_wrong_types"
+OWN = (DAY, FIRST, WAITING, WRONG)
+
+
+def dated(rows: DataFrame, day: date, guard: str | None = None) -> DataFrame:
+    """Rows of one batch in the form of the table that :func:`merge_day` keeps."""
+    out = rows.withColumn(DAY, F.lit(day))
+    if guard is None:
+        return out
+    waiting = F.struct(*rows.columns, DAY)
+    return out.withColumns({FIRST: F.lit(day), WAITING: F.when(F.lit(False), waiting)})
+
+
+def merge_day(
+    target: DataFrame,
+    batch: DataFrame,
+    day: date,
+    keys: Sequence[str],
+    guard: str | None = None,
+    updates: Observation | None = None,
+    inserts: Observation | None = None,
+) -> DataFrame:
+    """The target after merging the batch of one day, whatever days were merged before.
+
+    Days may come in any order, and again: the result is that of :func:`upsert`
+    over all days, oldest first. Without ``guard`` a key has its row of the newest
+    day that names it. With one it has its row of the greatest guard, the older
+    day's at a tie; but a NULL guard on the first day stays, as nothing is greater
+    than NULL. Such a key's best row otherwise waits beside it, since an older day
+    may still come and set it free. Rows with a NULL key match nothing: all days'
+    rows are kept, and a day that comes again replaces its own.
+
+    The target has the batch's columns and those of :func:`dated`. Joins are those
+    of :func:`upsert`: the target is never moved for a small batch.
+    """
+    business = [c for c in target.columns if c not in (DAY, FIRST, WAITING)]
+    others = [c for c in business if c not in keys]
+    source = latest_in_batch(batch, keys, guard).select(*business)
+    keyed = source.select(*keys, F.struct(*business, F.lit(day).alias(DAY)).alias("_new"))
+    held = target.filter(~any_null(keys))
+    joined = held.join(keyed, list(keys), "left")
+    new, old = F.col("_new"), F.struct(*business, DAY)
+    none = F.when(F.lit(False), old)
+
+    if guard is None:
+        shown = F.when(new.isNotNull() & (new[DAY] >= F.col(DAY)), new)
+    else:
+        waiting = F.col(WAITING)
+        earlier = new[DAY] < F.col(FIRST)
+
+        def better(row: Column, than: Column) -> Column:
+            greater = (row[guard] > than[guard]) | ((row[guard] == than[guard]) & (row[DAY] < than[DAY]))
+            return row[guard].isNotNull() & (than[guard].isNull() | F.coalesce(greater, F.lit(False)))
+
+        ahead = F.when(better(new, waiting), new).otherwise(waiting)
+        blocked = F.col(guard).isNull()
+        unguarded = new.isNotNull() & new[guard].isNull()
+        freed = new[guard].isNotNull() & blocked & earlier
+        shown = (
+            F.when(unguarded & earlier, new)
+            .when(freed, ahead)
+            .when(~blocked & better(new, old), new)
+        )
+        joined = joined.withColumn(
+            "_next",
+            F.when(unguarded & earlier & ~blocked, old)
+            .when(freed, none)
+            .when(blocked & new[guard].isNotNull(), ahead)
+            .otherwise(waiting),
+        )
+    merged = joined.withColumn("_shown", shown)
+    if updates is not None:
+        merged = merged.observe(updates, F.count_if(F.col("_shown").isNotNull()).alias("n"))
+    taken = F.col("_shown").isNotNull()
+    columns = [F.col(k) for k in keys]
+    columns += [F.when(taken, F.col("_shown")[c]).otherwise(F.col(c)).alias(c) for c in (*others, DAY)]
+    if guard is not None:
+        columns += [F.least(FIRST, F.col("_new")[DAY]).alias(FIRST), F.col("_next").alias(WAITING)]
+    merged = merged.select(*columns).select(*target.columns)
+
+    loose = target.filter(any_null(keys) & (F.col(DAY) != F.lit(day)))
+    added = new_rows(held, source, keys).unionByName(batch.filter(any_null(keys)).select(*business))
+    if inserts is not None:
+        added = added.observe(inserts, F.count("*").alias("n"))
+    added = dated(added, day, guard).select(*target.columns)
+    return merged.unionByName(loose).unionByName(added)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardhouse.contracts import TABLES, Table, table
-from wardhouse.operators.load import typed, upsert
+from wardhouse.operators.load import dated, merge_day, typed
 from wardhouse.operators.quality import NO_EXEC
 from wardhouse.operators.rejects import (
     all_rejects,
@@ -55,7 +55,7 @@ def land(
     """
     seen = Observation()
     path = wh.path(OBS, contract.name)
-    rows = typed(raw, contract).observe(seen, F.count("*").alias("n"))
+    rows = typed(raw, contract, wrong=True).observe(seen, F.count("*").alias("n"))
     write_archive(archived(rows, day, utc_now(), NO_EXEC if exec_id is None else exec_id), path)
     return replay(wh.spark, path, day), seen.get["n"]
 
@@ -63,33 +63,55 @@ def land(
 def load_rows(
     wh: Warehouse, contract: Table, raw: DataFrame, day: date, exec_id: int | None = None
 ) -> LoadResult:
-    """Reload or upsert one loaded table from the text rows of a batch."""
+    """Reload or upsert one loaded table from the text rows of a batch.
+
+    Days may arrive in any order: the table is the one that loading them oldest
+    first gives.
+    """
     started = time.perf_counter()
     batch, n_read = land(wh, contract, raw, day, exec_id)
-    if contract.load == "full":
-        n_affected = wh.write(batch, STG, contract.name, day, exec_id, contract.keys)
-    else:
-        updates, inserts = Observation(), Observation()
-        current = wh.find(STG, contract.name)
-        target = batch.limit(0) if current is None else current
-        merged = upsert(target, batch, contract.keys, contract.guard, updates, inserts)
-        wh.write(merged, STG, contract.name, day, exec_id, contract.keys)
-        n_affected = updates.get["n"] + inserts.get["n"]
+    n_affected = _merged(wh, contract, batch, day, exec_id)
     return LoadResult(
         contract.name, contract.load, n_read, n_affected, 0, time.perf_counter() - started
     )
 
 
+def _merged(wh: Warehouse, contract: Table, batch: DataFrame, day: date, exec_id: int | None) -> int:
+    """Bring a table's rows of one day into it; how many rows of the table that changed.
+
+    A reload is left alone by a day before the one it holds. An upsert writes the
+    folders that the batch's keys fall into, or, in a bucketed warehouse, the
+    next snapshot.
+    """
+    name, keys, guard = contract.name, contract.keys, contract.guard
+    if contract.load == "full":
+        held = wh.batch_date(STG, name)
+        if held is not None and held > day:
+            return 0
+        return wh.write(batch, STG, name, day, exec_id, keys)
+    updates, inserts = Observation(), Observation()
+
+    def merged(target: DataFrame, rows: DataFrame) -> DataFrame:
+        return merge_day(target, rows, day, keys, guard, updates, inserts)
+
+    empty = dated(batch, day, guard).limit(0)
+    if wh.buckets:
+        current = wh.find(STG, name)
+        wh.write(merged(empty if current is None else current, batch), STG, name, day, exec_id, keys)
+    else:
+        table = wh.keyed(STG, name, keys)
+        table.merge(batch, empty, merged)
+        wh.enter(STG, name, table, day, exec_id)
+    return updates.get["n"] + inserts.get["n"]
+
+
 def reload_from_archive(
     wh: Warehouse, name: str, day: date, exec_id: int | None = None
 ) -> int:
-    """Load a past batch again from the archive, without its files."""
+    """Load a past batch again from the archive, without its files; rows of the table after that."""
     contract = table(name)
-    batch = replay(wh.spark, wh.path(OBS, name), day)
-    current = wh.find(STG, name)
-    if contract.load != "full" and current is not None:
-        batch = upsert(current, batch, contract.keys, contract.guard)
-    return wh.write(batch, STG, name, day, exec_id, contract.keys)
+    _merged(wh, contract, replay(wh.spark, wh.path(OBS, name), day), day, exec_id)
+    return wh.read(STG, name).count()
 
 
 def ingest_table(

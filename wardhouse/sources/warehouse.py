@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardhouse.sources.files import drop_folder
+from wardhouse.sources.keyed import KeyedTable
 
 STG, WRK, REJECTS, SOC, OBS, TCH = "stg", "wrk", "rej", "soc", "obs", "tch"
 
@@ -32,11 +33,17 @@ _LOG = T.StructType(
         T.StructField("batch_dt", T.DateType()),
         T.StructField("exec_id", T.LongType()),
         T.StructField("written_at", T.TimestampNTZType()),
+        # Folder column of a snapshot whose rows are not all for every reader, and
+        # the values that only read_parts shows.
+        T.StructField("part", T.StringType()),
+        T.StructField("hidden", T.ArrayType(T.StringType())),
     ]
 )
 
 # What is needed to open a snapshot.
-_OPENING = ("version", "path", "bucketed_as", "buckets", "bucket_keys", "columns")
+_OPENING = (
+    "version", "path", "bucketed_as", "buckets", "bucket_keys", "columns", "batch_dt", "part", "hidden",
+)
 
 
 def utc_now() -> datetime:
@@ -60,6 +67,8 @@ class Warehouse:
     spark: SparkSession
     root: str
     buckets: int = 0
+    #: Folders of a keyed table; see :meth:`keyed`.
+    slots: int = 64
 
     def __post_init__(self) -> None:
         none = self.spark.createDataFrame([], _LOG)
@@ -105,7 +114,29 @@ class Warehouse:
             raise LookupError(f"no snapshot of {layer}.{unknown} under {self.root}")
         return {name: self._open(current[name]) for name in names}
 
+    def batch_date(self, layer: str, name: str) -> date | None:
+        """Batch date of the current snapshot, if it has one."""
+        current = self._current(layer).get(name)
+        return current["batch_dt"] if current else None
+
+    def keyed(self, layer: str, name: str, keys: Sequence[str]) -> KeyedTable:
+        """The table as one that batches rewrite in part; :meth:`enter` makes its state current."""
+        path = self.path(layer, name, f"by_key_{self.slots}")
+        return KeyedTable(self.spark, path, tuple(keys), self.slots)
+
+    def read_parts(self, layer: str, name: str, values: Sequence[str]) -> DataFrame:
+        """The rows of the current snapshot in the given parts; no other part is read."""
+        snapshot = self._current(layer)[name]
+        return self._all_parts(snapshot).filter(F.col(snapshot["part"]).isin(*values)).drop(snapshot["part"])
+
     def _open(self, snapshot) -> DataFrame:
+        rows = self._all_parts(snapshot)
+        if not snapshot["part"]:
+            return rows
+        shown = ~F.col(snapshot["part"]).isin(*snapshot["hidden"])
+        return rows.filter(shown).drop(snapshot["part"])
+
+    def _all_parts(self, snapshot) -> DataFrame:
         table, path = snapshot["bucketed_as"], self.path(snapshot["path"])
         schema = T.StructType.fromJson(json.loads(snapshot["columns"]))
         if not table:
@@ -131,39 +162,63 @@ class Warehouse:
         batch_dt: date | None = None,
         exec_id: int | None = None,
         keys: Sequence[str] = (),
+        part: str | None = None,
+        hidden: Sequence[str] = (),
     ) -> int:
         """Write the next snapshot and make it current. Returns its row count.
 
-        ``keys`` are what the table is looked up and deduplicated by.
+        ``keys`` are what the table is looked up and deduplicated by. With
+        ``part`` the rows are written into a folder for each of that column's few
+        values; readers do not see the column, nor the rows of ``hidden`` values,
+        which :meth:`read_parts` shows. Such a snapshot is not bucketed.
         """
         current = self._current(layer).get(name)
         version = (current["version"] if current else 0) + 1
         path = f"{layer}/{name}/v{version:06d}"
         seen = Observation()
         observed = df.observe(seen, F.count("*").alias("n"))
-        table = self._table_name(layer, name, version) if self.buckets and keys else None
+        bucketed = self.buckets and keys and not part
+        table = self._table_name(layer, name, version) if bucketed else None
         # A leftover of a failed attempt at this version is replaced.
         writer = observed.write.mode("overwrite")
         if table:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             writer.bucketBy(self.buckets, *keys).option("path", self.path(path)).saveAsTable(table)
         else:
-            writer.parquet(self.path(path))
+            (writer.partitionBy(part) if part else writer).parquet(self.path(path))
         n_rows = seen.get["n"]
         layout = (table, self.buckets, list(keys)) if table else (None, None, None)
-        entry = (
-            layer, name, version, path, *layout, df.schema.json(), n_rows, batch_dt, exec_id, utc_now()
+        self._log_entry(
+            layer, name, version, path, *layout, df.schema.json(), n_rows, batch_dt, exec_id, utc_now(),
+            part, list(hidden) if part else None,
+        )
+        return n_rows
+
+    def enter(
+        self, layer: str, name: str, table: KeyedTable, batch_dt: date | None, exec_id: int | None
+    ) -> int:
+        """Make the present state of a keyed table the current one; its row count."""
+        rows = table.rows()
+        current = self._current(layer).get(name)
+        version, n_rows = (current["version"] if current else 0) + 1, rows.count()
+        path = table.path.removeprefix(self.path(""))
+        self._log_entry(
+            layer, name, version, path, None, None, None, rows.schema.json(), n_rows, batch_dt, exec_id,
+            utc_now(), None, None,
         )
+        return n_rows
+
+    def _log_entry(self, *entry) -> None:
         self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").parquet(
             self._log_path
         )
-        return n_rows
 
     def drop_old(self, layer: str, name: str, keep: int = 2) -> list[str]:
-        """Delete all but the newest snapshots of a table."""
+        """Delete all but the newest snapshots of a table. A keyed table has one folder for all."""
         wanted = (F.col("layer") == layer) & (F.col("name") == name)
         newest = self._log().filter(wanted).orderBy(F.desc("version"))
-        old = newest.select("path", "bucketed_as").offset(keep).collect()
+        kept = {r["path"] for r in newest.select("path").limit(keep).collect()}
+        old = [r for r in newest.select("path", "bucketed_as").offset(keep).collect() if r["path"] not in kept]
         for row in old:
             if row["bucketed_as"]:
                 self.spark.sql(f"DROP TABLE IF EXISTS {row['bucketed_as']}")

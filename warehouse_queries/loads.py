@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -13,6 +14,7 @@ from wardhouse.contracts import Column, Table
 from wardhouse.functions.casts import safe_cast
 from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
+from wardhouse.plans.daily import load_rows
 from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
@@ -27,7 +29,7 @@ from wardhouse.sources.export import BOM, export_view
 from wardhouse.sources.warehouse import STG, Warehouse
 from wardhouse.streaming.incremental import follow
 from warehouse_queries import standins as S
-from warehouse_queries.gates import plain
+from warehouse_queries.gates import plain, written
 from warehouse_queries.stars import QUERIES as STARS
 
 QUERIES = {}
@@ -315,19 +317,29 @@ ORACLE["delta_upsert_composite"] = """
         WHERE b.l_orderkey = t.l_orderkey AND b.l_linenumber = t.l_linenumber)"""
 
 
+_DAYS = {
+    date(1997, 12, 31): "ORDERED_AT < '1998'",
+    date(1999, 12, 31): "ORDERED_AT >= '1998' AND ORDERED_AT < '2000'",
+    date(2001, 12, 31): "ORDERED_AT >= '2000'",
+}
+
+
+def _loaded(wh, contract):
+    """A loaded table without the columns it keeps for itself."""
+    return plain(wh.read(STG, contract.name).select(*[c.target for c in contract.columns]))
+
+
 def stream_upsert(spark, sf_dir):
-    """Three batches of orders as files, followed by a file stream into one table."""
-    inputs = work_path(spark, "incoming")
+    """Three batches of orders as files, the middle day's last, followed by a file stream."""
+    inputs, seen = work_path(spark, "incoming"), work_path(spark, "seen")
     texts = order_texts(spark, sf_dir)
-    for day, rows in (
-        (date(1997, 12, 31), "ORDERED_AT < '1998'"),
-        (date(1999, 12, 31), "ORDERED_AT >= '1998' AND ORDERED_AT < '2000'"),
-        (date(2001, 12, 31), "ORDERED_AT >= '2000'"),
-    ):
-        _as_extract(texts.filter(rows), batch_file(inputs, day, "ORDERS"))
     wh = Warehouse(spark, work_path(spark, "followed"))
-    follow(wh, inputs, ORDERS, work_path(spark, "seen")).awaitTermination()
-    return plain(wh.read(STG, "ORDERS"))
+    first, late, last = _DAYS
+    for days in ((first, last), (late,)):
+        for day in days:
+            _as_extract(texts.filter(_DAYS[day]), batch_file(inputs, day, "ORDERS"))
+        follow(wh, inputs, ORDERS, seen).awaitTermination()
+    return _loaded(wh, ORDERS)
 
 
 QUERIES["stream_upsert"] = stream_upsert
@@ -336,6 +348,57 @@ ORACLE["stream_upsert"] = f"""WITH {_ORDERS_SQL}
         ORDER BY ORDERED_AT DESC, ORDER_NO, STATUS, AMOUNT) AS rn FROM orders_typed) WHERE rn = 1"""
 
 
+# Orders again, without a guard: a key has its row of the last day that names it.
+UNGUARDED = replace(ORDERS, name="ORDERS_BY_DAY", guard=None)
+
+
+def late_days(spark, sf_dir):
+    """Three days of orders loaded newest first, one of them twice, into a table without a guard."""
+    wh = Warehouse(spark, work_path(spark, "late"), slots=16)
+    texts = order_texts(spark, sf_dir)
+    first, middle, last = _DAYS
+    for day in (last, first, middle, first):
+        load_rows(wh, UNGUARDED, texts.filter(_DAYS[day]), day)
+    return _loaded(wh, UNGUARDED)
+
+
+QUERIES["late_days"] = late_days
+ORACLE["late_days"] = f"""WITH {_ORDERS_SQL}, d AS (SELECT *, CASE WHEN ORDERED_AT < DATE '1998-01-01'
+        THEN 1 WHEN ORDERED_AT < DATE '2000-01-01' THEN 2 ELSE 3 END AS part FROM orders_typed)
+    SELECT * EXCLUDE (part, rn) FROM (SELECT *, row_number() OVER (PARTITION BY CUSTOMER
+        ORDER BY part DESC, ORDER_NO, STATUS, AMOUNT) AS rn FROM d) WHERE rn = 1"""
+
+
+def keyed_merge(spark, sf_dir):
+    """A day that names few customers rewrites their folders only: how many, and which rows."""
+    wh = Warehouse(spark, work_path(spark, "keyed"), slots=256)
+    texts = order_texts(spark, sf_dir)
+    load_rows(wh, ORDERS, texts, date(2001, 12, 31))
+    table = wh.keyed(STG, ORDERS.name, ORDERS.keys)
+    rows = F.col("_metadata.file_path").alias("path")
+    before = table.rows().select("CUSTOMER", rows)
+    before = written(before)
+    few = texts.filter("CAST(CUSTOMER AS BIGINT) < 8").withColumns(
+        {"ORDERED_AT": F.lit("2002-01-01 00:00:00"), "STATUS": F.lit("N")}
+    )
+    load_rows(wh, ORDERS, few, date(2002, 1, 1))
+    now = table.rows().select("CUSTOMER", "STATUS", rows)
+    moved = F.col("old.path") != F.col("now.path")
+    few_keys = F.col("CUSTOMER") < 8
+    return now.alias("now").join(before.alias("old"), "CUSTOMER").agg(
+        F.count_if(few_keys & moved).alias("n_named_rewritten"),
+        F.count_if(few_keys & (F.col("STATUS") == "N")).alias("n_named_updated"),
+        F.count_if(F.col("STATUS") == "N").alias("n_updated"),
+        (F.count_if(moved) * 4 < F.count("*")).alias("most_rows_untouched"),
+    )
+
+
+QUERIES["keyed_merge"] = keyed_merge
+ORACLE["keyed_merge"] = """SELECT count(DISTINCT o_custkey) AS n_named_rewritten,
+    count(DISTINCT o_custkey) AS n_named_updated, count(DISTINCT o_custkey) AS n_updated,
+    true AS most_rows_untouched FROM orders WHERE o_custkey < 8"""
+
+
 def archive_replay(spark, sf_dir):
     """Events archived by day, one day received again, that day replayed."""
     path = work_path(spark, "archive")
