@@ -1,12 +1,15 @@
 """Two daily batches from files to indicator views."""
 
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import hospital as H
 from wardhouse.contracts import TABLES
+from wardhouse.operators import rejects
 from wardhouse.plans import daily
 from wardhouse.plans.audit import RunLog, lineage, run_state, step_state
 from wardhouse.sources.export import run_export
@@ -133,8 +136,9 @@ def test_run_log(two_days):
     }
     steps = {r["exec_id"]: (r["run_id"], r["scrpt_name"], r["exec_stts_cd"])
              for r in step_state(events).collect()}
-    assert len(steps) == 2 * (1 + 7 + 10)
-    assert steps[200] == (2, "ingest_stg", "OK") and steps[117] == (1, "r_hospi", "OK")
+    assert len(steps) == 2 * (1 + 7 + 1 + 10)
+    assert steps[200] == (2, "ingest_stg", "OK") and steps[118] == (1, "r_hospi", "OK")
+    assert steps[108] == (1, "rej_record", "OK")
     # Rows lead back to the step that accepted them, and to its run.
     found = lineage(wh.read(SOC, "r_room"), step_state(events), run_state(events))
     got = found.select("exec_id", "scrpt_name", "run_id", "run_stts_cd").distinct().collect()
@@ -158,6 +162,11 @@ def test_checks_find_only_the_known_gaps(two_days):
     # Rejected rows keep their NULL key in the work layer.
     assert ("work", "MEDICAMENT", "not_null", "medicine_code", 1) in failed
     assert not [f for f in failed if f[0] == "views"]
+    # Two of the six stays with all ids end early or cost less than nothing.
+    assert [f[1:] for f in failed if f[0] == "reconciled"] == [
+        ("vw_patients_one_night", "reconcile", "every valid stay", 1),
+    ]
+    assert ("declared", "PATIENT", "not_null", "TS_MAJ_PATIENT", 1) in failed
     assert not [f for f in failed if f[1] == "r_part"]
 
 
@@ -196,15 +205,24 @@ def test_a_failing_run_is_closed_ko(spark, tmp_path):
 def test_reject_table_and_party_model(two_days):
     wh = two_days[0]
     n = daily.build_rejects(wh, H.DAY2)
-    # One room, one medication, one staff member, two patients, two consultations,
-    # two stays. The treatment without dosage was completed by the second batch.
-    assert n == 9 and daily.build_rejects(wh, H.DAY2) == 9
-    records = wh.spark.read.parquet(daily.reject_path(wh))
-    assert records.count() == 9
+    # Each row has a finding for everything it breaks, whether it is held back or not.
+    assert n == 18 and daily.build_rejects(wh, H.DAY2) == 18
+    records = wh.spark.read.parquet(daily.reject_path(wh)).filter(F.col("batch_dt") == H.DAY2)
+    found = Counter((r["src_table"], r["rej_cod"], r["wrk_stts_cd"]) for r in records.collect())
+    assert found == {
+        ("PATIENT", "WRONG_FORMAT", "REJ"): 1, ("PATIENT", "NULL_MANDATORY", "REJ"): 2,
+        ("PERSONNEL", "WRONG_FORMAT", "REJ"): 1, ("CHAMBRE", "WRONG_FORMAT", "REJ"): 1,
+        ("MEDICAMENT", "NULL_MANDATORY", "REJ"): 1, ("MEDICAMENT", "DUPLICATE_PK", "REJ"): 2,
+        ("CONSULTATION", "WRONG_FORMAT", "REJ"): 1, ("CONSULTATION", "NULL_MANDATORY", "REJ"): 1,
+        ("CONSULTATION", "WRONG_TYPE", "REJ"): 1, ("CONSULTATION", "NORM_FAILURE", "OK"): 1,
+        ("TRAITEMENT", "FK_NOT_FOUND", "OK"): 1, ("HOSPITALISATION", "FK_NOT_FOUND", "OK"): 1,
+        ("HOSPITALISATION", "FK_NOT_FOUND", "REJ"): 2, ("HOSPITALISATION", "WRONG_FORMAT", "REJ"): 2,
+    }
+    assert records.select("rej_id").distinct().count() == 18
     fixed = records.filter("src_table = 'PATIENT'").select("rej_id", "src_row_json")
     daily.recycle_rejects(wh, fixed, H.DAY2, 33)
-    again = wh.spark.read.parquet(daily.reject_path(wh)).groupBy("recycl_ind").count()
-    assert {tuple(r) for r in again.collect()} == {(0, 7), (1, 2)}
+    again = wh.spark.read.parquet(daily.reject_path(wh)).filter(F.col("batch_dt") == H.DAY2)
+    assert {tuple(r) for r in again.groupBy("recycl_ind").count().collect()} == {(0, 15), (1, 3)}
     tables = daily.build_party_tables(wh, H.DAY2, 32)
     counts = {name: df.count() for name, df in tables.items()}
     assert counts == {"o_indv": 23, "o_stff": 19, "o_telp": 1, "o_addr": 2, "o_cons": 4,
@@ -220,3 +238,53 @@ def test_old_snapshots_are_dropped(two_days):
     wh = two_days[0]
     assert len(wh.drop_old(SOC, "r_room", keep=1)) >= 1
     assert wh.read(SOC, "r_room").count() == 786
+
+
+def test_corrected_rejects_go_back_once(two_days):
+    wh = two_days[0]
+    records = wh.spark.read.parquet(daily.reject_path(wh)).filter(F.col("batch_dt") == H.DAY2)
+    wrong = records.filter("src_table = 'PATIENT' AND src_pk_val = '5'")
+    row = F.from_json("src_row_json", "map<string,string>")
+    fixed = wrong.select(
+        "rej_id",
+        F.to_json(F.map_concat(row, F.create_map(*[F.lit(x) for x in (
+            "first_name", "Eve", "updated_at", "2026-04-30T08:00:00.000")]))).alias("src_row_json"),
+    )
+    assert daily.submit_corrections(wh, fixed, 40) == 2
+    # Sent again, they are no new attempt.
+    assert daily.submit_corrections(wh, fixed, 41) == 0
+    assert daily.recycle(wh, H.DAY2, 42) == 2 and daily.recycle(wh, H.DAY2, 43) == 0
+    patient = wh.read(STG, "PATIENT").filter("ID_PATIENT = 5").collect()
+    assert [(r["PRENOM_PATIENT"], r["NOM_PATIENT"]) for r in patient] == [("Eve", "Cinq")]
+    daily.check_table(wh, TABLES["PATIENT"], H.DAY2, 44)
+    states = {r["patient_id"]: r["wrk_stts_cd"] for r in wh.read(WRK, "PATIENT").collect()}
+    assert states == {0: "REJ", 1: "OK", 2: "OK", 3: "OK", 4: "OK", 5: "OK"}
+    state = {(r["src_pk_val"], r["recycl_ind"], r["n_attempts"], r["recycl_exec_id"])
+             for r in daily.reject_states(wh).filter("src_table = 'PATIENT'").collect()
+             if r["batch_dt"] == H.DAY2}
+    assert state == {("5", 1, 1, 42), ("0", 0, 0, None)}
+    # A second correction is a second attempt, and a reload of the day does not undo it.
+    better = fixed.limit(1).withColumn("src_row_json", F.replace("src_row_json", F.lit("Eve"), F.lit("Ève")))
+    assert daily.submit_corrections(wh, better, 45) == 1 and daily.recycle(wh, H.DAY2, 46) == 1
+    patient = wh.read(STG, "PATIENT").filter("ID_PATIENT = 5").collect()
+    assert [r["PRENOM_PATIENT"] for r in patient] == ["Ève"]
+
+
+def test_the_gate_stops_on_each_condition(two_days):
+    wh = two_days[0]
+    figures = wh.spark.createDataFrame(
+        [("A", 100, 5, None, None), ("B", 100, 6, None, None), ("C", None, None, "A", 0),
+         ("C", None, None, "B", 2), ("D", 0, 0, None, None)], rejects.FIGURES,
+    )
+    states = wh.spark.createDataFrame([("x", "OK"), ("y", "KO"), ("z", "ENC")], "scrpt_name string, exec_stts_cd string")
+    ok = states.filter("exec_stts_cd = 'OK'")
+
+    def blocks(steps, rate, lost):
+        return sorted(map(tuple, rejects.promotion_blocks(figures, steps, rate, lost).collect()))
+
+    assert blocks(ok, None, None) == [] and blocks(ok, 0.06, 2) == []
+    assert blocks(ok, 0.05, 2) == [("reject rate", "B", "6 of 100")]
+    assert blocks(ok, 0.06, 0) == [("unresolved keys", "B of C", "2")]
+    assert blocks(states, None, None) == [("step", "y", "KO"), ("step", "z", "ENC")]
+    with pytest.raises(ValueError, match="not promoted: unresolved keys B of C: 2"):
+        rejects.require_unblocked(rejects.promotion_blocks(figures, ok, None, 0))

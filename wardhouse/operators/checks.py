@@ -24,6 +24,64 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], where: str | None = None)
     )
 
 
+def repeated_keys(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], where: str | None = None
+) -> DataFrame:
+    """(key_set, n_failed): for each set of key columns by position, the rows whose key repeats.
+
+    All sets share one shuffle, of a hash of each whole key, summed before it. Only
+    keys whose hash repeats, normally none, are grouped by their values afterwards.
+    Sets without a repeat have no row.
+    """
+    rows = df.filter(where) if where else df
+    tags = [
+        F.when(
+            reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]),
+            F.struct(
+                F.lit(n).alias("key_set"), F.xxhash64(*keys).alias("_code"),
+                F.to_json(F.struct(*keys)).alias("_key"),
+            ),
+        )
+        for n, keys in enumerate(key_sets)
+    ]
+    tagged = rows.select(F.inline(F.array_compact(F.array(*tags))))
+    met = tagged.groupBy("key_set", "_code").agg(F.count("*").alias("n")).filter("n > 1")
+    exact = tagged.join(met, ["key_set", "_code"], "left_semi").groupBy("key_set", "_key")
+    repeated = exact.agg(F.count("*").alias("n")).filter("n > 1")
+    return repeated.groupBy("key_set").agg(F.sum("n").alias("n_failed"))
+
+
+def lost_by_parent(
+    parent: DataFrame,
+    parent_columns: Sequence[str],
+    children: Sequence[tuple[DataFrame, Sequence[str], str | None]],
+) -> DataFrame:
+    """(child, n_failed): for each child by position, the rows that name no row of the parent.
+
+    The keys of the parent and of all children are one tagged union, grouped once.
+    Rows are summed per key before the shuffle. A NULL names no parent; children
+    without a lost row have no row here.
+    """
+    names = [f"_k{n}" for n in range(len(parent_columns))]
+    union = parent.select(
+        *[F.col(c).alias(n) for c, n in zip(parent_columns, names)], F.lit(None).cast("int").alias("child")
+    )
+    for n, (child, columns, where) in enumerate(children):
+        rows = child.filter(where) if where else child
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        keys = [F.col(c).alias(k) for c, k in zip(columns, names)]
+        union = union.union(rows.filter(whole).select(*keys, F.lit(n).alias("child")))
+    counts = [F.count_if(F.col("child") == n).alias(f"n{n}") for n in range(len(children))]
+    grouped = union.groupBy(*names).agg(
+        F.bool_or(F.col("child").isNull()).alias("_held"), *counts
+    )
+    each = F.array(
+        *[F.struct(F.lit(n).alias("child"), F.col(f"n{n}").alias("n")) for n in range(len(children))]
+    )
+    lost = grouped.filter("NOT _held").select(F.inline(each)).filter("n > 0")
+    return lost.groupBy("child").agg(F.sum("n").alias("n_failed"))
+
+
 def unexpected_values(
     df: DataFrame, name: str, values: Iterable, where: str | None = None
 ) -> DataFrame:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardhouse.operators.joins import hot_keys
+
 _ORDER = re.compile(r"^(\w+)(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?$", re.IGNORECASE)
 
 
@@ -49,6 +51,46 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     return df.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
 
 
+def ranked(
+    df: DataFrame,
+    keys: Sequence[str],
+    latest_by: Sequence[str],
+    among: Column,
+    kept: str,
+    copy: str,
+    hot: dict[int, int] | None = None,
+) -> DataFrame:
+    """All rows, with ``kept``, whether a row is the first of its key among those that count.
+
+    One shuffle on the key. Rows that do not count are spread by their content
+    instead. A hot key is dealt out by its rows' content too; the first of each
+    share then meet in a second window, which all other rows pass by their content.
+    ``copy`` numbers the rows of a key and share, so that equal rows differ by it.
+    ``hot`` gives the hot keys where the caller has found them.
+    """
+    content = F.xxhash64(*df.columns)
+    if hot is None:
+        hot = hot_keys(df, keys)
+    share = F.lit(0).cast("long")
+    if hot:
+        # Fewer keys than shuffle partitions.
+        shares = F.create_map(*[F.lit(x).cast("long") for item in hot.items() for x in item])
+        n = F.coalesce(F.element_at(shares, F.xxhash64(*keys)), F.lit(1).cast("long"))
+        share = F.when(n > 1, F.pmod(content, n)).otherwise(share)
+    order = total_order(df, latest_by, keys)
+    spread = df.withColumns({"_counts": among, "_share": F.when(among, share).otherwise(content)})
+    window = Window.partitionBy(*keys, "_share").orderBy(*order)
+    placed = spread.withColumn(copy, F.row_number().over(window))
+    first = F.col("_counts") & (F.col(copy) == 1)
+    if hot:
+        meeting = F.when(first, F.lit(0).cast("long")).otherwise(content)
+        again = Window.partitionBy(*keys, "_meeting").orderBy(F.col("_first").desc(), *order)
+        placed = placed.withColumns({"_first": first, "_meeting": meeting})
+        placed = placed.withColumn("_place", F.row_number().over(again))
+        first = F.col("_first") & (F.col("_place") == 1)
+    return placed.select(*df.columns, first.alias(kept), copy)
+
+
 def any_null(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
 

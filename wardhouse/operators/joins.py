@@ -14,6 +14,14 @@ _MERGERS = 256
 _MOST_TRACKED = 1_000_000
 
 
+def small(df: DataFrame) -> bool:
+    """Whether Spark will broadcast the frame in a join, by its estimate of the bytes it reads."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    most = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= most
+
+
 def _code(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
@@ -83,7 +91,8 @@ def join_dimension(
 ) -> DataFrame:
     """Join facts to rows that are unique on the key, without hot tasks.
 
-    Where no key is hot this is a plain join. Otherwise the facts of a hot key
+    Where the dimension is small enough to be broadcast, or no key is hot, this is
+    a plain join, and in the first case the facts are not looked through. Otherwise the facts of a hot key
     are dealt out by a hash of ``spread_by`` (by default the whole row) and its
     dimension row is repeated once per share; all shares together are at most
     as many as there are shuffle partitions and hot keys. Every fact still meets
@@ -102,7 +111,9 @@ def join_dimension(
                 f"{key} is {fact_types[key]} in the facts, {dimension_types[key]} in the dimension"
             )
     if hot is None:
-        hot = hot_keys(facts if hot_in is None else hot_in, keys)
+        # A dimension that is broadcast meets the facts where they are.
+        broadcast = how in ("inner", "left", "left_semi", "left_anti") and small(dimension)
+        hot = {} if broadcast else hot_keys(facts if hot_in is None else hot_in, keys)
     if not hot:
         return facts.join(dimension, list(keys), how)
     # Fewer rows than shuffle partitions.

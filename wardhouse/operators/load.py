@@ -225,3 +225,11 @@ def merge_day(
         added = added.observe(inserts, F.count("*").alias("n"))
     added = dated(added, day, guard).select(*target.columns)
     return merged.unionByName(loose).unionByName(added)
+
+
+def replace_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target with the given rows in place of those of their keys; repeats of a key are reduced
+    to one. Rows without a whole key are left out. The rows have the target's columns."""
+    new = latest_in_batch(rows, keys).select(*target.columns)
+    kept = target.filter(~any_null(keys)).join(new.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(target.filter(any_null(keys))).unionByName(new)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardhouse.contracts import NULL_MANDATORY, TABLES, WRONG_FORMAT
+from wardhouse.contracts import TABLES, Table
 from wardhouse.operators import checks
 
 
@@ -82,19 +83,21 @@ STAGED = {
 _REJECTED = "wrk_stts_cd = 'REJ'"
 
 
-def _gated(keys: tuple[str, ...]) -> Expect:
+def _gated(table: Table) -> Expect:
+    keys = table.staged_keys
     return Expect(
         (*keys, "wrk_stts_cd", "batch_dt", "exec_id"),
         (keys,),
         "wrk_stts_cd = 'OK'",
         (
             Values("wrk_stts_cd", ("OK", "REJ")),
-            Values("rej_cod", (NULL_MANDATORY, WRONG_FORMAT), _REJECTED),
+            # The codes that the table's own rules can give.
+            Values("rej_cod", tuple(dict.fromkeys(r.code for r in table.rules)), _REJECTED),
         ),
     )
 
 
-WORK = {t.name: _gated(t.staged_keys) for t in TABLES.values()}
+WORK = {t.name: _gated(t) for t in TABLES.values()}
 MARTS = {
     "r_room": Expect(
         ("room_num", "room_name", "room_day_rate", "crtn_dt", "exec_id"), (("room_num",),),
@@ -205,18 +208,24 @@ def run_checks(
 ) -> DataFrame:
     """Failing checks of a layer: table, check, detail, number of failures.
 
-    Everything that one pass over a table can count shares that pass; unique
-    and parent checks each need their own grouping.
+    Everything that one pass over a table can count shares that pass; all unique
+    checks of a table share one shuffle, and so do all references to one parent.
     """
     parents = parents or tables
-    out = None
+    parts, children = [], {}
     for name, expect in expected.items():
-        for part in _failures(tables[name], name, expect, parents):
-            out = part if out is None else out.unionByName(part)
-    return out
+        parts += _failures(tables[name], name, expect)
+        for p in expect.parents:
+            children.setdefault((p.table, p.parent_columns), []).append((name, p))
+    for (table, columns), named in children.items():
+        lost = checks.lost_by_parent(
+            parents[table], columns, [(tables[name], p.columns, p.where) for name, p in named]
+        )
+        parts.append(_labelled(lost, "child", [(n, f"parent {table}", p.columns) for n, p in named]))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _failures(df: DataFrame, name: str, expect: Expect, parents: dict[str, DataFrame]):
+def _failures(df: DataFrame, name: str, expect: Expect):
     def row(check: str, detail: str, count: Column):
         return F.struct(
             F.lit(name).alias("src_table"), F.lit(check).alias("check"),
@@ -235,20 +244,22 @@ def _failures(df: DataFrame, name: str, expect: Expect, parents: dict[str, DataF
         counted.append(row("population", reason, absent))
     if counted:
         yield df.agg(F.array(*counted).alias("r")).select(F.inline("r")).filter("n_failed > 0")
-    for keys in expect.unique:
-        repeated = checks.duplicate_keys(df, keys, expect.unique_where)
-        yield _summed(repeated, "cnt", name, "unique", keys)
-    for p in expect.parents:
-        lost = checks.orphans(df, p.columns, parents[p.table], p.parent_columns, p.where)
-        yield _summed(lost, "n_failed", name, f"parent {p.table}", p.columns)
-
-
-def _summed(failures: DataFrame, count: str, name: str, check: str, columns) -> DataFrame:
-    return (
-        failures.agg(F.sum(count).cast("bigint").alias("n_failed"))
-        .filter("n_failed > 0")
-        .select(
-            F.lit(name).alias("src_table"), F.lit(check).alias("check"),
-            F.lit(", ".join(columns)).alias("detail"), "n_failed",
-        )
+    if expect.unique:
+        repeated = checks.repeated_keys(df, expect.unique, expect.unique_where)
+        yield _labelled(repeated, "key_set", [(name, "unique", keys) for keys in expect.unique])
+
+
+def _labelled(failures: DataFrame, position: str, labels: list[tuple]) -> DataFrame:
+    """Failures counted by position, under the table, check and columns at that position."""
+    named = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("src_table"), F.lit(check).alias("check"),
+                F.lit(", ".join(columns)).alias("detail"),
+            )
+            for name, check, columns in labels
+        ]
+    )
+    return failures.withColumn("_l", F.get(named, F.col(position))).select(
+        "_l.src_table", "_l.check", "_l.detail", F.col("n_failed").cast("bigint").alias("n_failed")
     )

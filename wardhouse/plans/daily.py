@@ -7,27 +7,39 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardhouse.contracts import TABLES, Table, table
-from wardhouse.operators.load import dated, merge_day, typed
-from wardhouse.operators.quality import NO_EXEC
+from wardhouse.operators.load import WRONG, dated, merge_day, replace_rows, typed
+from wardhouse.operators.findings import CLEAN, FATE, NOTED, SUPERSEDED
+from wardhouse.operators.quality import NO_EXEC, accepted
 from wardhouse.operators.rejects import (
-    all_rejects,
+    CORRECTIONS,
+    FIGURES,
+    RECYCLED,
+    all_findings,
+    corrected_rows,
+    figure_rows,
     mark_recycled,
-    reject_rates,
-    require_promotion,
+    new_attempts,
+    promotion_blocks,
+    require_unblocked,
+    waiting_attempts,
+    with_recycling,
+    work_figures,
 )
 from wardhouse.plans import assertions
-from wardhouse.plans.audit import RunLog
+from wardhouse.plans.audit import RunLog, step_state
 from wardhouse.plans.kpis import build_views
 from wardhouse.plans.marts import MART_KEYS, MARTS
 from wardhouse.plans.party import build_party
+from wardhouse.plans.reconciliation import layer_failures, view_failures
 from wardhouse.plans.staging import stage
-from wardhouse.plans.work import work
+from wardhouse.plans.work import checked
 from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import read_batch, require_contract
@@ -174,17 +186,42 @@ def _step(steps: Steps | None, name: str, exec_id: int):
 
 
 def build_work(
-    wh: Warehouse, day: date, exec_id: int = NO_EXEC, steps: Steps | None = None
+    wh: Warehouse, day: date, exec_id: int = NO_EXEC, steps: Steps | None = None,
+    strict: bool = False, figures: list[tuple] | None = None,
 ) -> dict[str, DataFrame]:
-    """Gate all staged tables and write the work layer."""
-    for name, staged in staged_tables(wh).items():
-        contract = TABLES[name]
+    """Check all loaded tables and write the work layer, parents before their children.
+
+    ``figures`` is filled with what the gate asks. ``strict`` lets every finding
+    reject its row.
+    """
+    for name, contract in TABLES.items():
         with _step(steps, f"wrk_{name.lower()}", exec_id) as step_id:
-            gated = work(staged, contract, day, step_id)
-            wh.write(gated, WRK, name, day, step_id, contract.staged_keys)
+            asked = check_table(wh, contract, day, step_id, strict)
+        if figures is not None:
+            figures += asked
     return wh.read_all(WRK, TABLES)
 
 
+def check_table(
+    wh: Warehouse, contract: Table, day: date, exec_id: int = NO_EXEC, strict: bool = False
+) -> list[tuple]:
+    """Check one loaded table against its rules and its parents' work tables; its figures.
+
+    One plan finds all that its rows break, and one write puts accepted and rejected
+    rows and the versions not kept into folders of their own. The figures are
+    observed in that write.
+    """
+    loaded = wh.read(STG, contract.name)
+    staged = stage(loaded, contract, [c for c in (WRONG,) if c in loaded.columns])
+    parents = {r.parent: accepted(wh.read(WRK, r.parent)) for r in contract.references}
+    rows = checked(staged, contract, parents, day, exec_id, strict)
+    seen = Observation()
+    asked = work_figures(rows, contract.references)
+    rows = rows.observe(seen, *[c.alias(n) for n, c in asked.items()])
+    wh.write(rows, WRK, contract.name, day, exec_id, contract.staged_keys, FATE, (SUPERSEDED,))
+    return figure_rows(contract.name, seen.get)
+
+
 def build_star(
     wh: Warehouse, day: date, exec_id: int = NO_EXEC, steps: Steps | None = None
 ) -> dict[str, DataFrame]:
@@ -196,14 +233,17 @@ def build_star(
     return wh.read_all(SOC, MARTS)
 
 
-def build_rejects(wh: Warehouse, day: date) -> int:
-    """Record the rejects of a day's work layer; how many there are.
+def build_rejects(wh: Warehouse, day: date, tables: Iterable[Table] = tuple(TABLES.values())) -> int:
+    """Record everything that a day's rows break; how many findings there are.
 
-    The reject table is partitioned by batch: recording a batch again replaces
-    its partition and touches no other.
+    Only the folders of rows with findings are read. The reject table is
+    partitioned by batch: recording a batch again replaces its partition and
+    touches no other.
     """
-    gated = {n: (df, TABLES[n].staged_keys) for n, df in wh.read_all(WRK, TABLES).items()}
-    found = all_rejects(gated, utc_now()).filter(F.col("batch_dt") == F.lit(day))
+    noted = {
+        t.name: (wh.read_parts(WRK, t.name, (NOTED, SUPERSEDED)), t.staged_keys) for t in tables
+    }
+    found = all_findings(noted, utc_now()).filter(F.col("batch_dt") == F.lit(day))
     seen = Observation()
     write_archive(found.observe(seen, F.count("*").alias("n")), reject_path(wh))
     return seen.get["n"]
@@ -213,6 +253,95 @@ def reject_path(wh: Warehouse) -> str:
     return wh.path(REJECTS, "records")
 
 
+def _appended(wh: Warehouse, name: str, schema: str) -> DataFrame:
+    """An append-only table of the reject layer, empty before its first row."""
+    path = wh.path(REJECTS, name)
+    wh.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return wh.spark.read.schema(schema).parquet(path)
+
+
+def submit_corrections(wh: Warehouse, corrections: DataFrame, exec_id: int) -> int:
+    """Take in corrected rows (``rej_id``, ``src_row_json``) of recorded rejects; how many are new.
+
+    Each is an attempt, counted up for its reject. The row of the last attempt, sent
+    again, is none; nor is a reject that is not recorded.
+    """
+    earlier = _appended(wh, "corrections", CORRECTIONS)
+    known = wh.spark.read.parquet(reject_path(wh)).select("rej_id", "src_table")
+    new = new_attempts(corrections, known, earlier, utc_now(), exec_id)
+    path = work_path(wh.spark, "corrections")
+    new.write.parquet(path)
+    taken = wh.spark.read.schema(CORRECTIONS).parquet(path)
+    taken.write.mode("append").parquet(wh.path(REJECTS, "corrections"))
+    return taken.count()
+
+
+def recycle(
+    wh: Warehouse, day: date, exec_id: int, tables: Iterable[Table] = tuple(TABLES.values())
+) -> int:
+    """Bring corrected rows back into their loaded tables; how many attempts that were.
+
+    The last attempt of each reject that has not gone back yet replaces the rows of
+    its key, whatever their guard says; the next check then accepts or rejects it
+    like any other row. An attempt is logged as gone back after its table is written:
+    a run that is cut short, or repeated, writes the same rows again or none.
+    """
+    done = _appended(wh, "recycled", RECYCLED)
+    waiting = work_path(wh.spark, "waiting")
+    waiting_attempts(_appended(wh, "corrections", CORRECTIONS), done).write.parquet(waiting)
+    attempts = wh.spark.read.schema(CORRECTIONS).parquet(waiting)
+    named = {r[0] for r in attempts.select("src_table").distinct().collect()}
+    for contract in (t for t in tables if t.name in named):
+        staged = ", ".join(f"{c.staged} {wh_type(wh, contract, c)}" for c in contract.columns)
+        of_table = attempts.filter(F.col("src_table") == contract.name)
+        rows = corrected_rows(of_table, staged)
+        held = wh.read(STG, contract.name)
+        types = dict(held.dtypes)
+        rows = rows.select(*[F.col(c.staged).cast(types[c.target]).alias(c.target) for c in contract.columns])
+        if WRONG in types:
+            rows = rows.withColumn(WRONG, F.lit(None).cast(types[WRONG]))
+        _replaced(wh, contract, rows, day, exec_id)
+        gone = of_table.select("rej_id", "attempt").withColumns(
+            {
+                "recycl_dttm": F.lit(utc_now()).cast("timestamp_ntz"),
+                "recycl_exec_id": F.lit(exec_id).cast("bigint"),
+            }
+        )
+        gone.write.mode("append").parquet(wh.path(REJECTS, "recycled"))
+    return attempts.count()
+
+
+def wh_type(wh: Warehouse, contract: Table, column) -> str:
+    """Type of a staged column, by which its text in a reject is read."""
+    return column.staged_type or dict(wh.read(STG, contract.name).dtypes)[column.target]
+
+
+def _replaced(wh: Warehouse, contract: Table, rows: DataFrame, day: date, exec_id: int) -> None:
+    """Put rows in place of those of their keys, written as a batch of the table is."""
+    name, keys, guard = contract.name, contract.keys, contract.guard
+    if contract.load == "full" or wh.buckets:
+        held, kept = wh.read(STG, name), wh.batch_date(STG, name)
+        new = rows if contract.load == "full" else dated(rows, day, guard)
+        wh.write(replace_rows(held, new, keys), STG, name, kept, exec_id, keys)
+        return
+    table = wh.keyed(STG, name, keys)
+    table.merge(
+        rows, dated(rows, day, guard).limit(0),
+        lambda held, new: replace_rows(held, dated(new, day, guard), keys),
+    )
+    wh.enter(STG, name, table, wh.batch_date(STG, name), exec_id)
+
+
+def reject_states(wh: Warehouse) -> DataFrame:
+    """The reject table with what became of each reject: recycled, when, by which execution, and
+    how many attempts there were."""
+    return with_recycling(
+        wh.spark.read.parquet(reject_path(wh)),
+        _appended(wh, "corrections", CORRECTIONS),
+        _appended(wh, "recycled", RECYCLED),
+    )
+
+
 def recycle_rejects(
     wh: Warehouse, corrections: DataFrame, batch_dt: date, exec_id: int
 ) -> None:
@@ -244,10 +373,16 @@ def views(wh: Warehouse) -> dict[str, DataFrame]:
     return build_views(wh.read_all(SOC, assertions.MARTS))
 
 
-def check_warehouse(
-    wh: Warehouse, layers: Sequence[str] = ("loaded", "staged", "work", "marts", "views")
-) -> DataFrame:
-    """Failing checks of the given layers."""
+LAYERS = ("loaded", "declared", "staged", "work", "marts", "views", "reconciled")
+
+
+def archived_sources(wh: Warehouse) -> dict[str, DataFrame]:
+    """All archived days of every extract, under their loaded names."""
+    return {name: wh.spark.read.parquet(wh.path(OBS, name)) for name in TABLES}
+
+
+def check_warehouse(wh: Warehouse, layers: Sequence[str] = LAYERS) -> DataFrame:
+    """Failing checks of the given layers; ``reconciled`` compares the layers with each other."""
     marts = wh.read_all(SOC, assertions.MARTS)
     tables = {
         "loaded": lambda: wh.read_all(STG, TABLES),
@@ -257,33 +392,45 @@ def check_warehouse(
         "marts": lambda: marts,
         "views": lambda: build_views(marts),
     }
-    out = None
-    for layer in layers:
-        failed = assertions.run_checks(tables[layer](), assertions.LAYERS[layer], marts)
-        failed = failed.withColumn("layer", F.lit(layer))
-        out = failed if out is None else out.unionByName(failed)
-    return out
+
+    def failures(layer: str) -> DataFrame:
+        if layer != "reconciled":
+            return assertions.run_checks(tables[layer](), assertions.LAYERS[layer], marts)
+        everything = {n: wh.read_parts(WRK, n, (CLEAN, NOTED, SUPERSEDED)) for n in TABLES}
+        return layer_failures(staged_tables(wh), everything).unionByName(
+            view_failures(build_views(marts), marts["r_room"], archived_sources(wh))
+        )
+
+    found = [failures(layer).withColumn("layer", F.lit(layer)) for layer in layers]
+    return reduce(DataFrame.unionByName, found)
 
 
 def run_day(
     wh: Warehouse, inputs: str, day: date, run_id: int, first_exec_id: int,
     run_typ: str = "DAILY", max_reject_rate: float | None = None,
+    max_lost_keys: int | None = None, strict: bool = False,
 ) -> dict[str, DataFrame]:
-    """Load, gate, promote: one tracked run. Returns the indicator views.
+    """Load, check, record rejects, promote: one tracked run. Returns the indicator views.
 
     Each step has its own execution id, counted up from ``first_exec_id``: the
-    load, then one per work table and one per mart. Rows carry the id of the work
-    step that accepted them. With ``max_reject_rate`` the star schema is only
-    rebuilt when no table exceeds it.
+    load, then one per work table, the reject table and one per mart. Rows carry the
+    id of the work step that accepted them. With ``max_reject_rate`` or
+    ``max_lost_keys`` the star schema is only rebuilt when every step so far is
+    logged as OK, no table has a larger share of rejects, and no reference more
+    accepted rows without their parent.
     """
     log = RunLog(wh.spark, wh.path(TCH, "events"))
     steps = Steps(log, run_id, count(first_exec_id))
+    figures: list[tuple] = []
     with log.run(run_id, run_typ, day):
         with steps.table("ingest_stg") as load_id:
             ingest_batch(wh, inputs, day, load_id)
-        gated = build_work(wh, day, steps=steps)
-        if max_reject_rate is not None:
-            # Reached only when every step before ended OK.
-            require_promotion(reject_rates(gated, max_reject_rate), {})
+        build_work(wh, day, steps=steps, strict=strict, figures=figures)
+        with steps.table("rej_record"):
+            build_rejects(wh, day)
+        if max_reject_rate is not None or max_lost_keys is not None:
+            states = step_state(log.events()).filter(F.col("run_id") == run_id)
+            observed = wh.spark.createDataFrame(figures, FIGURES)
+            require_unblocked(promotion_blocks(observed, states, max_reject_rate, max_lost_keys))
         build_star(wh, day, steps=steps)
     return views(wh)

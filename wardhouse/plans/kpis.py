@@ -8,6 +8,7 @@ distinct things afterwards: daily counts must never be summed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -260,3 +261,114 @@ def occupancy_rollup(view: DataFrame, period: str) -> DataFrame:
         )
         .withColumn("free_rooms", F.col("total_rooms") - F.col("occupied_rooms"))
     )
+
+
+def daily_state(
+    view: DataFrame, by: Sequence[str], id_col: str, sums: Sequence[str] = ()
+) -> DataFrame:
+    """What a roll-up needs of each day: rows, sums, and which ids were there, as bitmaps.
+
+    One row per group, day and range of 32,768 ids; dense ids, such as surrogate
+    keys, fill few of them. States of a view can be kept and added to day by day.
+    """
+    return view.groupBy(
+        *by, "report_date", F.bitmap_bucket_number(id_col).alias("id_range")
+    ).agg(
+        F.count("*").alias("n_rows"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(id_col)).alias("ids"),
+        *[F.sum(c).alias(f"sum_{c}") for c in sums],
+    )
+
+
+def state_rollup(state: DataFrame, by: Sequence[str], period: str) -> DataFrame:
+    """Rows, sums and distinct ids (``n_ids``) per group and period, from the states of its days.
+
+    Days are united by OR and their bits counted: nothing is counted distinct and no
+    detail is read again.
+    """
+    sums = [c for c in state.columns if c.startswith("sum_")]
+    united = (
+        _by_period(state, period)
+        .groupBy(*by, "period", "id_range")
+        .agg(
+            F.bitmap_or_agg("ids").alias("ids"),
+            F.sum("n_rows").alias("n_rows"),
+            *[F.sum(c).alias(c) for c in sums],
+        )
+    )
+    return united.groupBy(*by, "period").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum(F.bitmap_count("ids")).alias("n_ids"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
+AGE_STATE = {"by": ("pathology_description",), "id_col": "patient_id", "sums": ("age_at_consultation",)}
+ROOM_STATE = {"by": ("pathology_description",), "id_col": "room_number"}
+SPECIALTY_STATE = {"by": ("pathology_description", "specialty"), "id_col": "staff_id"}
+
+
+def age_from_states(state: DataFrame, period: str) -> DataFrame:
+    """:func:`age_rollup` from daily states."""
+    rolled = state_rollup(state, AGE_STATE["by"], period)
+    return rolled.select(
+        *AGE_STATE["by"],
+        "period",
+        (F.col("sum_age_at_consultation") / F.col("n_rows")).alias("avg_age"),
+        F.col("n_ids").alias("n_patients"),
+    )
+
+
+def rooms_from_states(state: DataFrame, period: str) -> DataFrame:
+    """:func:`rooms_rollup` from daily states."""
+    rolled = state_rollup(state, ROOM_STATE["by"], period)
+    return rolled.select(*ROOM_STATE["by"], "period", F.col("n_ids").alias("n_rooms"))
+
+
+def specialty_from_states(state: DataFrame, period: str) -> DataFrame:
+    """:func:`specialty_rollup` from daily states."""
+    rolled = state_rollup(state, SPECIALTY_STATE["by"], period)
+    counted = rolled.select(*SPECIALTY_STATE["by"], "period", F.col("n_ids").alias("n_doctors"))
+    total = F.sum("n_doctors").over(Window.partitionBy("pathology_description", "period"))
+    return counted.withColumn("share_pct", F.col("n_doctors") * F.lit(100.0) / total)
+
+
+def occupancy_periods(
+    fait_consult: DataFrame, r_hospi: DataFrame, r_room: DataFrame, period: str,
+    since: date | None = None, until: date | None = None,
+) -> DataFrame:
+    """:func:`occupancy_rollup` of :func:`empty_rooms` between two days, on month masks.
+
+    The days of each period in each month are one mask; a room is occupied in the
+    period if that meets the mask of its taken days. The grid of rooms and days is
+    never unfolded: a room has a row for each period it was taken in.
+    """
+    days = calendar(fait_consult, "started_at")
+    taken = taken_days(r_hospi, "room_number", "started_at", "ended_at", days)
+    dates = fait_consult.select(F.to_date("started_at").alias("report_date")).filter("report_date IS NOT NULL")
+    masks = (
+        _by_period(in_period(dates, since, until), period)
+        .groupBy("period", F.trunc("report_date", "MM").alias("month"))
+        .agg(F.expr("bit_or(shiftleft(1L, dayofmonth(report_date) - 1))").alias("days"))
+    )
+    rooms = r_room.select(F.col("room_num").alias("place"))
+    used = (
+        taken.join(rooms, "place", "left_semi")
+        .join(masks, "month")
+        .filter(F.bit_count(F.col("taken").bitwiseAND(F.col("days"))) > 0)
+        .groupBy("period", "place")
+        .agg(F.lit(1).alias("_used"))
+        .groupBy("period")
+        .agg(F.count("*").alias("occupied_rooms"))
+    )
+    n_rooms = r_room.agg(F.count("*").alias("n")).scalar()
+    return (
+        masks.select("period").distinct().join(used, "period", "left")
+        .select(
+            "period",
+            F.coalesce("occupied_rooms", F.lit(0).cast("long")).alias("occupied_rooms"),
+            n_rooms.alias("total_rooms"),
+        )
+        .filter("total_rooms > 0")
+        .withColumn("free_rooms", F.col("total_rooms") - F.col("occupied_rooms"))
+    )

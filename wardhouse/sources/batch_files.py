@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardhouse.contracts import FOLDER_PREFIX, SEPARATOR, TABLES, Table, table
+from wardhouse.session import work_path
 
 
 def parse_batch_date(text: str) -> date:
@@ -69,10 +70,13 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
+def _quotes() -> Column:
+    return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+
+
 def has_multiline_records(spark: SparkSession, path: str) -> bool:
     """Whether some line leaves a quote open, so that a record spans lines."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    row = spark.read.text(path).agg(F.max(quotes % 2).alias("odd")).first()
+    row = spark.read.text(path).agg(F.max(_quotes() % 2).alias("odd")).first()
     return bool(row["odd"])
 
 
@@ -81,23 +85,104 @@ def read_text_table(
 ) -> DataFrame:
     """All columns of an extract as text, by header name.
 
-    Text files split into many tasks only while no record spans lines. With
-    ``multiline`` left open one pass over the raw lines decides; a file that
-    needs it is read whole, file by file, and stays correct.
+    Files are read in splits by many tasks. With ``multiline`` left open one pass
+    over the raw lines decides whether records may span lines; if they do, they
+    are put together from the lines of the splits, see :func:`text_records`.
     """
     names = read_header(spark, path)
     if not names:
         return spark.createDataFrame([], T.StructType([]))
     if multiline is None:
         multiline = has_multiline_records(spark, path)
-    return (
-        spark.read.options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
-        .schema(text_schema(names))
-        .csv(path)
+    schema = text_schema(names)
+    if not multiline:
+        return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    options = {k: CSV_OPTIONS[k] for k in ("sep", "quote", "escape")} | {"multiLine": "true"}
+    rows = text_records(spark, path).select(F.from_csv("value", schema.simpleString(), options).alias("r"))
+    return rows.select("r.*")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines with their file, the start of their split, their place in it, and whether they
+    hold an odd number of quotes."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        (_quotes() % 2).alias("odd"),
+    )
+
+
+def split_states(lines: DataFrame) -> DataFrame:
+    """For each split: how many of its lines have an odd number of quotes, whether it begins
+    inside a record (``inside``) and the line that opened it (``opened``), and its first line.
+
+    A prefix sum over the splits of each file, one row a split. The line that opens a
+    record is told by its split and the number of odd lines before it there.
+    """
+    splits = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("n_odd"), F.min_by("value", "place").alias("first_line")
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last_odd = F.when(F.col("n_odd") > 0, F.struct("block", (F.col("n_odd") - 1).alias("n")))
+    return splits.withColumns(
+        {
+            "inside": F.coalesce(F.sum("n_odd").over(before), F.lit(0)) % 2,
+            "opened": F.last(last_odd, ignorenulls=True).over(before),
+        }
     )
 
 
+def text_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of delimited text (``value``), without the header, in parallel over splits.
+
+    A line is a record of its own where the quotes before it in its file are even and
+    its own are too. Splits that hold no odd line and begin outside a record, normally
+    nearly all, are taken as they are. In the others a running sum finds the record
+    that each line belongs to, and only lines of records over several lines are
+    grouped. All files must begin with the same header line. A quote that is never
+    closed makes the rest of its file one record, as for any reader.
+    """
+    lines = _lines(spark, path)
+    found = work_path(spark, "splits")
+    split_states(lines).write.parquet(found)
+    splits = spark.read.parquet(found)
+    headers = (
+        splits.filter("block = 0").select(_bare("first_line").alias("header")).distinct().limit(2).collect()
+    )
+    if len(headers) > 1:
+        raise ValueError(f"extracts below {path} begin with different header lines")
+    header = headers[0]["header"] if headers else None
+    marked = splits.filter("n_odd > 0 OR inside = 1").select("file", "block", "inside", "opened")
+    lines = lines.filter(~((F.col("block") == 0) & (_bare("value") == F.lit(header))))
+    plain = lines.join(marked, ["file", "block"], "left_anti").select("value")
+
+    order = Window.partitionBy("file", "block").orderBy("place")
+    run = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(marked, ["file", "block"]).withColumn("run", run)
+    placed = placed.withColumn("within", (F.col("inside") + F.col("run")) % 2)
+    own = F.when(F.col("within") == 0, F.col("run")).when(F.col("run") > 0, F.col("run") - 1)
+    placed = placed.withColumn(
+        "start", F.when(own.isNotNull(), F.struct("block", own.alias("n"))).otherwise(F.col("opened"))
+    )
+    alone = (F.col("within") == 0) & (F.col("odd") == 0)
+    single = placed.filter(alone).select("value")
+    joined = (
+        placed.filter(~alone)
+        .groupBy("file", "start")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("lines"))
+        .select(F.array_join(F.col("lines.value"), "\n").alias("value"))
+    )
+    ones = plain.unionAll(single).filter(F.trim(F.translate("value", "\r\t", "  ")) != "")
+    return ones.unionAll(joined).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
+
+
+def _bare(column: str) -> Column:
+    """A line without byte-order mark and carriage return."""
+    return F.regexp_replace(column, r"^\ufeff|\r\z", "")
+
+
 def read_batch(
     spark: SparkSession, root: str, day: date, name: str, multiline: bool | None = None
 ) -> DataFrame:

@@ -18,6 +18,18 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory())
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the files below a path: another state after files were added."""
+    fs, jvm_path = _fs(spark, path)
+    summary = fs.getContentSummary(jvm_path)
+    return summary.getFileCount(), summary.getLength()
+
+
+def has_file(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = _fs(spark, path)
+    return fs.exists(jvm_path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, jvm_path = _fs(spark, path)
     fs.delete(jvm_path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardhouse.operators.dedup import any_null
-from wardhouse.sources.files import child_folders, drop_folder
+from wardhouse.sources.files import child_folders, drop_folder, has_file
 
 SLOT = "_slot"
 #: The slot of rows without a whole key.
@@ -100,9 +100,3 @@ class KeyedTable:
                 .parquet(self.path)
             )
         drop_folder(self.spark, self._pending)
-
-
-def has_file(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)

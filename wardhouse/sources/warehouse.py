@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardhouse.sources.files import drop_folder
+from wardhouse.sources.files import drop_folder, folder_state
 from wardhouse.sources.keyed import KeyedTable
 
 STG, WRK, REJECTS, SOC, OBS, TCH = "stg", "wrk", "rej", "soc", "obs", "tch"
@@ -73,6 +73,7 @@ class Warehouse:
     def __post_init__(self) -> None:
         none = self.spark.createDataFrame([], _LOG)
         none.write.mode("ignore").parquet(self._log_path)
+        self._seen, self._known = None, {}
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -85,14 +86,20 @@ class Warehouse:
         return self.spark.read.schema(_LOG).parquet(self._log_path)
 
     def _current(self, layer: str) -> dict:
-        """Version and path of every table of a layer: one row per table name."""
-        latest = (
-            self._log()
-            .filter(F.col("layer") == layer)
-            .groupBy("name")
-            .agg(F.max_by(F.struct(*_OPENING), "version").alias("s"))
-        )
-        return {row["name"]: row["s"] for row in latest.collect()}
+        """Version and path of every table of a layer: one row per table name.
+
+        The log is read again when its files have changed.
+        """
+        state = folder_state(self.spark, self._log_path)
+        if state != self._seen:
+            latest = (
+                self._log()
+                .groupBy("layer", "name")
+                .agg(F.max_by(F.struct(*_OPENING), "version").alias("s"))
+            )
+            self._known = {(row["layer"], row["name"]): row["s"] for row in latest.collect()}
+            self._seen = state
+        return {name: s for (of, name), s in self._known.items() if of == layer}
 
     def exists(self, layer: str, name: str) -> bool:
         return name in self._current(layer)
@@ -196,17 +203,15 @@ class Warehouse:
 
     def enter(
         self, layer: str, name: str, table: KeyedTable, batch_dt: date | None, exec_id: int | None
-    ) -> int:
-        """Make the present state of a keyed table the current one; its row count."""
-        rows = table.rows()
+    ) -> None:
+        """Make the present state of a keyed table the current one. Its rows are not counted."""
         current = self._current(layer).get(name)
-        version, n_rows = (current["version"] if current else 0) + 1, rows.count()
+        version = (current["version"] if current else 0) + 1
         path = table.path.removeprefix(self.path(""))
         self._log_entry(
-            layer, name, version, path, None, None, None, rows.schema.json(), n_rows, batch_dt, exec_id,
-            utc_now(), None, None,
+            layer, name, version, path, None, None, None, table.rows().schema.json(), None, batch_dt,
+            exec_id, utc_now(), None, None,
         )
-        return n_rows
 
     def _log_entry(self, *entry) -> None:
         self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").parquet(

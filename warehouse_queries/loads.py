@@ -14,7 +14,7 @@ from wardhouse.contracts import Column, Table
 from wardhouse.functions.casts import safe_cast
 from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
-from wardhouse.plans.daily import load_rows
+from wardhouse.plans.daily import ingest_contract, load_rows
 from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
@@ -92,6 +92,52 @@ QUERIES["text_scan"] = text_scan
 ORACLE["text_scan"] = f"WITH {_ORDERS_SQL} SELECT * FROM orders_typed"
 
 
+def text_multiline(spark, sf_dir):
+    """orders with a status of three lines in some rows, in several files: scanned in splits."""
+    day = date(2026, 4, 29)
+    root = work_path(spark, "extracts")
+    status = F.when(
+        F.col("ORDER_NO").cast("bigint") % 3 == 0,
+        F.concat(F.lit('first; "'), F.col("STATUS"), F.lit('"\nsecond\n')),
+    ).otherwise(F.col("STATUS"))
+    texts = order_texts(spark, sf_dir).withColumn("STATUS", status).repartition(5, "ORDER_NO")
+    _as_extract(texts, batch_file(root, day, "ORDERS"))
+    raw = read_batch(spark, root, day, "ORDERS")
+    require_contract(raw, ORDERS, day)
+    return plain(typed(raw, ORDERS))
+
+
+QUERIES["text_multiline"] = text_multiline
+ORACLE["text_multiline"] = f"""WITH {_ORDERS_SQL} SELECT * REPLACE (CASE WHEN ORDER_NO % 3 = 0
+    THEN 'first; "' || STATUS || '"' || chr(10) || 'second' || chr(10) ELSE STATUS END AS STATUS)
+    FROM orders_typed"""
+
+
+def refused_extract(spark, sf_dir):
+    """A file that breaks its contract stops the load; the table keeps what it held."""
+    inputs, day = work_path(spark, "refused"), date(2026, 4, 29)
+    wh = Warehouse(spark, work_path(spark, "kept"))
+    texts = order_texts(spark, sf_dir)
+    load_rows(wh, ORDERS, texts, day)
+    _as_extract(texts.drop("AMOUNT").withColumn("EXTRA", F.lit("x")), batch_file(inputs, day, "ORDERS"))
+    said = ""
+    try:
+        ingest_contract(wh, inputs, day, ORDERS)
+    except ValueError as error:
+        said = str(error)
+    return _loaded(wh, ORDERS).agg(
+        F.count("*").alias("n_rows"), F.sum("ORDER_NO").alias("sum_order"), F.lit(said).alias("said")
+    )
+
+
+QUERIES["refused_extract"] = refused_extract
+ORACLE["refused_extract"] = f"""WITH {_ORDERS_SQL}, t AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number()
+        OVER (PARTITION BY CUSTOMER ORDER BY ORDERED_AT DESC, ORDER_NO, STATUS, AMOUNT) AS rn
+        FROM orders_typed) WHERE rn = 1)
+    SELECT count(*) AS n_rows, CAST(sum(ORDER_NO) AS BIGINT) AS sum_order,
+        'invalid extract ORDERS of 2026-04-29: missing=[''AMOUNT''] extra=[''EXTRA'']' AS said FROM t"""
+
+
 def contract_summary(spark, sf_dir):
     """lineitem under TRAITEMENT's header, with one column missing and one extra."""
     raw = S.read(spark, sf_dir, "lineitem").selectExpr(

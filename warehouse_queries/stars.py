@@ -264,7 +264,7 @@ _OCC_ROLLUP = """SELECT period, CAST(sum(u) AS BIGINT) AS occupied_rooms, count(
     GROUP BY ALL"""
 _register(
     "kpi_occupancy_period",
-    lambda spark, sf: kpis.occupancy_rollup(kpi_occupancy(spark, sf), "month"),
+    lambda spark, sf: kpis.occupancy_periods(fact(spark, sf), stays(spark, sf), rooms(spark, sf), "month"),
     f"{_ROOMS_WORK}, v AS ({_OCC}) "
     + _OCC_ROLLUP.format(period="CAST(date_trunc('month', report_date) AS DATE)"),
 )
@@ -276,3 +276,41 @@ _register(
     f"{_ROOMS_WORK}, v AS (SELECT * FROM ({_OCC}) WHERE report_date BETWEEN DATE '2024-01-08'"
     " AND DATE '2024-01-14') " + _OCC_ROLLUP.format(period="report_date"),
 )
+_register(
+    "kpi_occupancy_days",
+    lambda spark, sf: kpis.occupancy_periods(
+        fact(spark, sf), stays(spark, sf), rooms(spark, sf), "day", date(2024, 1, 3), date(2024, 1, 24)
+    ),
+    f"{_ROOMS_WORK}, v AS (SELECT * FROM ({_OCC}) WHERE report_date BETWEEN DATE '2024-01-03'"
+    " AND DATE '2024-01-24') "
+    + _OCC_ROLLUP.format(period="report_date"),
+)
+
+
+def _of_states(view, state, rollup, period):
+    """A roll-up from the written states of the days of a view."""
+    return lambda spark, sf: rollup(written(kpis.daily_state(view(spark, sf), **state)), period)
+
+
+_register(
+    "kpi_age_states", _of_states(kpi_age, kpis.AGE_STATE, kpis.age_from_states, "year"),
+    f"""{S.sql_work('consultation', 'patient')}, v AS ({_AGE})
+    SELECT pathology_description, CAST(date_trunc('year', report_date) AS DATE) AS period,
+        avg(age_at_consultation) AS avg_age, count(DISTINCT patient_id) AS n_patients
+    FROM v GROUP BY ALL""",
+)
+_register(
+    "kpi_rooms_states", _of_states(kpi_rooms, kpis.ROOM_STATE, kpis.rooms_from_states, "month"),
+    f"""{_ROOMS_WORK}, v AS ({_ROOMS})
+    SELECT pathology_description, CAST(date_trunc('month', report_date) AS DATE) AS period,
+        count(DISTINCT room_number) AS n_rooms FROM v GROUP BY ALL""",
+)
+_register(
+    "kpi_specialty_states",
+    _of_states(kpi_specialty, kpis.SPECIALTY_STATE, kpis.specialty_from_states, "year"),
+    f"""{_SPEC_WORK}, v AS ({_SPEC}), n AS (
+        SELECT pathology_description, CAST(date_trunc('year', report_date) AS DATE) AS period,
+            specialty, count(DISTINCT staff_id) AS n_doctors FROM v GROUP BY ALL)
+    SELECT *, n_doctors * 100.0::DOUBLE / CAST(sum(n_doctors) OVER (
+        PARTITION BY pathology_description, period) AS BIGINT) AS share_pct FROM n""",
+)
