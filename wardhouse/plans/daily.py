@@ -149,9 +149,11 @@ def ingest_batch(
     return [ingest_table(wh, inputs, day, name, exec_id) for name in TABLES]
 
 
-def replay_batches(wh: Warehouse, inputs: str, days: Iterable[date]) -> list[LoadResult]:
+def replay_batches(
+    wh: Warehouse, inputs: str, days: Iterable[date], exec_id: int | None = None
+) -> list[LoadResult]:
     """Load several batches, oldest first."""
-    return [r for day in sorted(days) for r in ingest_batch(wh, inputs, day)]
+    return [r for day in sorted(days) for r in ingest_batch(wh, inputs, day, exec_id)]
 
 
 def purge_archive(wh: Warehouse, as_of: date) -> dict[str, list[date]]:

@@ -2,28 +2,42 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from wardhouse import contracts as C
 from wardhouse.operators import checks
+from wardhouse.operators.fingerprint import differences, fingerprint
+from wardhouse.operators.fingerprint import merged as merged_prints
+from wardhouse.operators.load import WRONG, typed
 from wardhouse.operators.normalise import normalise_consultation, unit_rule, wrong_types
-from wardhouse.operators.quality import check_rows, gate
+from wardhouse.operators.quality import accepted, check_rows, gate
 from wardhouse.operators.references import check_references
 from wardhouse.operators.rejects import (
+    FIGURES,
+    all_findings,
     all_rejects,
     corrected_rows,
+    figure_rows,
     mark_recycled,
+    promotion_blocks,
     reject_rates,
     reject_report,
-)
-from wardhouse.plans import assertions, audit, marts, party
-from wardhouse.plans.work import work
+    work_figures,
+)
+from wardhouse.plans import assertions, audit, daily, kpis, marts, party
+from wardhouse.plans.reconciliation import view_failures
+from wardhouse.plans.staging import stage
+from wardhouse.plans.work import checked, work
+from wardhouse.session import work_path
+from wardhouse.sources.warehouse import STG, WRK, Warehouse
 from warehouse_queries import standins as S
 from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
-from warehouse_queries.loads import order_texts
-from warehouse_queries.stars import _NIGHT, _OCC, _ROOMS_WORK
+from warehouse_queries.loads import ORDERS, order_texts
+from warehouse_queries.stars import _AGE, _MED, _NIGHT, _OCC, _ROOMS, _ROOMS_WORK, _SPEC
 from warehouse_queries.stars import QUERIES as STARS
 from warehouse_queries.stars import fact, individuals, medications, rooms, staff, stays, treatments
 
@@ -234,33 +248,164 @@ _register(
 
 
 def _view_suite(spark, sf_dir):
-    """Checks of two views; every row of these passes."""
-    tables = {
-        "vw_patients_one_night": STARS["kpi_one_night"](spark, sf_dir),
-        "vw_empty_rooms": STARS["kpi_occupancy"](spark, sf_dir),
-    }
+    """Checks of two views of which some rows were spoiled."""
+    day = F.dayofmonth("report_date")
+    night = STARS["kpi_one_night"](spark, sf_dir).withColumns(
+        {
+            "one_night_plus_count": F.when(day % 5 == 0, F.col("total_hospitalisations") + 1).otherwise(
+                F.col("one_night_plus_count")
+            ),
+            "one_night_plus_pct": F.when(day % 7 != 0, F.col("one_night_plus_pct") - F.when(day == 8, 200).otherwise(0)),
+        }
+    )
+    grid = STARS["kpi_occupancy"](spark, sf_dir).withColumns(
+        {
+            "is_occupied": F.when(F.col("room_num") % 100 == 0, 2).otherwise(F.col("is_occupied")),
+            "occupancy_status": F.when(F.col("room_num") % 50 == 1, "Ouverte").when(
+                F.col("room_num") % 50 != 2, F.col("occupancy_status")
+            ),
+        }
+    )
+    tables = {"vw_patients_one_night": night, "vw_empty_rooms": grid}
     return assertions.run_checks(tables, {n: assertions.VIEWS[n] for n in tables})
 
 
-def _one_pass_sql(name, expect):
-    """The not-null, accepted-value and never checks of a table, as SQL over it."""
-    failing = [("not_null", c, f"{c} IS NULL") for c in expect.not_null]
-    failing += [("accepted_values", v.column, f"{v.column} NOT IN {v.accepted}")
-                for v in expect.accepted]
-    failing += [("never", p, p) for p in expect.never]
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS src_table, '{check}' AS \"check\", '{detail}' AS detail,"
-        f" count(*) AS n_failed FROM {name} WHERE {predicate} HAVING count(*) > 0"
-        for check, detail, predicate in failing
+_register(
+    "chk_view_suite", _view_suite,
+    f"""{_ROOMS_WORK}, night AS (SELECT *, day(report_date) AS d FROM ({_NIGHT})), grid AS ({_OCC})
+    SELECT 'vw_patients_one_night' AS src_table, 'never' AS "check",
+        'one_night_plus_count > total_hospitalisations' AS detail, count(*) AS n_failed
+    FROM night WHERE d % 5 = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'vw_patients_one_night', 'not_null', 'one_night_plus_pct', count(*)
+    FROM night WHERE d % 7 = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'vw_patients_one_night', 'never', 'one_night_plus_pct < 0', count(*)
+    FROM night WHERE d = 8 HAVING count(*) > 0
+    UNION ALL SELECT 'vw_empty_rooms', 'accepted_values', 'is_occupied', count(*)
+    FROM grid WHERE room_num % 100 = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'vw_empty_rooms', 'accepted_values', 'occupancy_status', count(*)
+    FROM grid WHERE room_num % 50 = 1 HAVING count(*) > 0
+    UNION ALL SELECT 'vw_empty_rooms', 'not_null', 'occupancy_status', count(*)
+    FROM grid WHERE room_num % 50 = 2 HAVING count(*) > 0""",
+)
+
+
+def _view_reconciliation(spark, sf_dir):
+    """Views against sources of which a third of the patients and late consultations are missing."""
+    tables = {
+        "r_room": rooms(spark, sf_dir), "r_indiv": individuals(spark, sf_dir),
+        "r_stf": staff(spark, sf_dir), "r_trmt": treatments(spark, sf_dir),
+        "r_medc": written(medications(spark, sf_dir)), "r_hospi": stays(spark, sf_dir),
+        "fait_consult": fact(spark, sf_dir),
+    }
+    loaded = {
+        name: source(spark, sf_dir) for name, source in (
+            ("PATIENT", S.patients), ("PERSONNEL", S.staff), ("CONSULTATION", S.consultations),
+            ("TRAITEMENT", S.treatments), ("HOSPITALISATION", S.stays),
+        )
+    }
+    sources = {
+        name: rows.select(*[F.col(c.staged).alias(c.target) for c in C.TABLES[name].columns if c.staged in rows.columns])
+        for name, rows in loaded.items()
+    }
+    sources["PATIENT"] = sources["PATIENT"].filter("ID_PATIENT % 3 <> 0")
+    consults = sources["CONSULTATION"].withColumn("batch_dt", F.to_date("TS_DEBUT_CONSULT"))
+    sources["CONSULTATION"] = consults.filter("batch_dt < DATE'2024-01-20'")
+    return view_failures(kpis.build_views(tables), tables["r_room"], sources)
+
+
+_register(
+    "chk_reconcile_views", _view_reconciliation,
+    f"""{S.sql_work('consultation', 'patient', 'treatment', 'medication', 'stay', 'room', 'staff')},
+    age AS ({_AGE}), med AS ({_MED}), used AS ({_ROOMS}), spec AS ({_SPEC}), night AS ({_NIGHT}),
+    grid AS ({_OCC}), f AS (SELECT
+        (SELECT min(report_date) FROM age) AS age_first, (SELECT max(report_date) FROM age) AS age_last,
+        (SELECT min(CAST(started_at AS DATE)) FROM consultation) AS first_batch,
+        (SELECT sum(total_quantity) FROM med) AS med_total,
+        (SELECT sum(medicine_quantity) FROM treatment) AS all_total,
+        (SELECT count(DISTINCT room_number) FROM used) AS n_used,
+        (SELECT count(DISTINCT room_num) FROM grid) AS n_grid,
+        (SELECT count(*) FROM room_ok) AS n_rooms,
+        (SELECT max(one_night_plus_pct) FROM night) AS most, (SELECT min(one_night_plus_pct) FROM night) AS least,
+        (SELECT sum(total_hospitalisations) FROM night) AS n_night,
+        (SELECT count(DISTINCT hospi_id) FROM stay WHERE hospi_id > 0) AS n_stays),
+    r(src_table, "check", detail, bad) AS (
+        SELECT 'vw_avg_age_by_pathology', 'reconcile', 'no day before the first batch', NOT age_first >= first_batch FROM f
+        UNION ALL SELECT 'vw_avg_age_by_pathology', 'reconcile', 'no day after the last batch',
+            NOT age_last <= DATE '2024-01-19' FROM f
+        UNION ALL SELECT 'vw_top_medication_by_pathology', 'reconcile', 'some quantity', NOT med_total > 0 FROM f
+        UNION ALL SELECT 'vw_top_medication_by_pathology', 'reconcile', 'no more than prescribed',
+            NOT med_total <= all_total FROM f
+        UNION ALL SELECT 'vw_rooms_by_pathology', 'reconcile', 'no more rooms than there are', NOT n_used <= n_rooms FROM f
+        UNION ALL SELECT 'vw_patients_one_night', 'reconcile', 'below 100 percent', NOT most < 100 FROM f
+        UNION ALL SELECT 'vw_patients_one_night', 'reconcile', 'not below 0 percent', NOT least >= 0 FROM f
+        UNION ALL SELECT 'vw_patients_one_night', 'reconcile', 'every valid stay', NOT n_night = n_stays FROM f
+        UNION ALL SELECT 'vw_empty_rooms', 'reconcile', 'every room', NOT n_grid = n_rooms FROM f)
+    SELECT src_table, "check", detail, CAST(1 AS BIGINT) AS n_failed FROM r WHERE bad
+    UNION ALL SELECT 'vw_avg_age_by_pathology', 'source PATIENT', 'patient_id', count(DISTINCT patient_id)
+        FROM age WHERE patient_id NOT IN (SELECT patient_id FROM patient WHERE patient_id % 3 <> 0) HAVING count(*) > 0
+    UNION ALL SELECT 'vw_doctor_speciality_by_pathology', 'source PERSONNEL', 'staff_id', count(DISTINCT staff_id)
+        FROM spec WHERE staff_id NOT IN (SELECT staff_id FROM staff) HAVING count(*) > 0""",
+)
+
+
+def _fingerprints(spark, sf_dir):
+    """Orders by month against a copy with one status changed and one month gone."""
+    orders = S.read(spark, sf_dir, "orders").withColumn("month", F.to_date(F.trunc("o_orderdate", "MM")))
+    copy = orders.filter("month <> DATE'1997-03-01'").withColumn(
+        "o_orderkey", F.when(F.col("o_orderkey") % 4000 == 7, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
     )
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
+    parts = [
+        fingerprint(df, ["month", F.pmod("o_custkey", F.lit(7)).alias("part")], ["o_orderkey"], ["o_custkey"], names)
+        for df in (orders, copy)
+    ]
+    prints = [merged_prints(df.drop("part"), ["month"]) for df in parts]
+    found = differences(*prints, by=["month"])
+    shown = F.col("figure") != "row_hash"
+    return found.withColumns({c: F.when(shown, F.col(c)) for c in ("left_value", "right_value")})
+
+
+_register(
+    "chk_fingerprint", _fingerprints,
+    """WITH o AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+            CASE WHEN o_orderkey % 4000 = 7 THEN -o_orderkey ELSE o_orderkey END AS k2 FROM orders),
+    g AS (SELECT month, count(*) AS n, sum(o_orderkey) AS s, sum(k2) AS s2, min(o_custkey) AS lo,
+            max(o_custkey) AS hi, month = DATE '1997-03-01' AS gone FROM o GROUP BY ALL)
+    SELECT month, 'sum_o_orderkey' AS figure, CAST(s AS VARCHAR) AS left_value,
+        CASE WHEN NOT gone THEN CAST(s2 AS VARCHAR) END AS right_value FROM g WHERE gone OR s <> s2
+    UNION ALL SELECT month, 'row_hash', NULL, NULL FROM g WHERE gone OR s <> s2
+    UNION ALL SELECT month, 'n_rows', CAST(n AS VARCHAR), NULL FROM g WHERE gone
+    UNION ALL SELECT month, 'min_o_custkey', CAST(lo AS VARCHAR), NULL FROM g WHERE gone
+    UNION ALL SELECT month, 'max_o_custkey', CAST(hi AS VARCHAR), NULL FROM g WHERE gone""",
+)
+
+
+def _key_suite(spark, sf_dir):
+    """Keys of the two marts with surrogate keys, each with some rows twice under new numbers."""
+    medications_twice = written(medications(spark, sf_dir))
+    again = medications_twice.filter("medc_id % 7 = 0").withColumn("medc_id", -F.col("medc_id"))
+    parties = written(_parts(spark, sf_dir))
+    renamed = parties.filter("part_id % 5 = 0").withColumn("src_id", -F.col("src_id"))
+    staff_only = "src_typ <> 'Patient'"
+    tables = {
+        "r_medc": medications_twice.unionByName(again),
+        "r_part": parties.filter(staff_only).unionByName(renamed.filter(staff_only)),
+    }
+    return assertions.run_checks(tables, {n: assertions.MARTS[n] for n in tables})
 
 
 _register(
-    "chk_view_suite", _view_suite,
-    f"{_ROOMS_WORK}, vw_patients_one_night AS ({_NIGHT}), vw_empty_rooms AS ({_OCC}) "
-    + " UNION ALL ".join(
-        _one_pass_sql(n, assertions.VIEWS[n]) for n in ("vw_patients_one_night", "vw_empty_rooms")
-    ),
+    "chk_key_suite", _key_suite,
+    f"""{S.sql_work('medication', 'patient', 'staff')}, m AS (SELECT row_number() OVER (
+            ORDER BY medicine_code, medicine_category, manufacturer_brand) AS id FROM medication_ok),
+    p AS (SELECT row_number() OVER (ORDER BY src_typ, src_id) AS id, src_typ
+        FROM (SELECT patient_id AS src_id, 'Patient' AS src_typ FROM patient_ok
+            UNION ALL SELECT staff_id, job_title FROM staff_ok))
+    SELECT 'r_medc' AS src_table, 'unique' AS "check", 'medc_cd, medc_catg, manf_brnd' AS detail,
+        2 * count(*) AS n_failed FROM m WHERE id % 7 = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'r_part', 'unique', 'part_id', 2 * count(*) FROM p
+        WHERE id % 5 = 0 AND src_typ <> 'Patient' HAVING count(*) > 0
+    UNION ALL SELECT 'r_part', 'population', 'missing Patient population', CAST(1 AS BIGINT)""",
 )
 
 
@@ -478,8 +623,6 @@ _register(
 
 def _wrong_type(spark, sf_dir):
     """Raw extract rows whose filled text does not fit the contract's type."""
-    from warehouse_queries.loads import ORDERS
-
     rows = wrong_types(order_texts(spark, sf_dir), ORDERS)
     return rows.select("ORDER_NO", "URGENT", "rej_cod", "rej_dsc")
 
@@ -700,3 +843,131 @@ _register(
         CAST(cost AS DOUBLE) AS hosp_finl_rate, part_id AS stff_id, CAST(7 AS BIGINT) AS exec_id
     FROM stay_ok LEFT JOIN staff_p ON responsible_staff_id = src_id""",
 )
+
+
+# Everything rows break, the gate, and recycling.
+
+
+def _checked(spark, sf_dir):
+    """Three staged tables and an extract with values of a wrong type, each checked in one read."""
+    patients = checked(S.patients(spark, sf_dir), C.PATIENT, {}, BATCH, EXEC)
+    parents = {
+        "PERSONNEL": accepted(gated(spark, sf_dir, "staff")),
+        "PATIENT": accepted(gated(spark, sf_dir, "patient")),
+    }
+    orders = replace(ORDERS, keys=("ORDER_NO",))
+    texts = stage(typed(order_texts(spark, sf_dir), orders, wrong=True), orders, (WRONG,))
+    return {
+        "PATIENT": (patients, C.PATIENT),
+        "MEDICAMENT": (checked(S.medications(spark, sf_dir), C.MEDICAMENT, {}, BATCH, EXEC), C.MEDICAMENT),
+        "CONSULTATION": (
+            checked(S.consultations(spark, sf_dir), C.CONSULTATION, parents, BATCH, EXEC), C.CONSULTATION,
+        ),
+        "ORDERS": (checked(texts, orders, {}, BATCH, EXEC), orders),
+    }
+
+
+def _findings(spark, sf_dir):
+    tables = {n: (df, t.staged_keys) for n, (df, t) in _checked(spark, sf_dir).items()}
+    return all_findings(tables, AT).select("src_table", "src_pk_val", "rej_cod", "rej_dsc", "wrk_stts_cd")
+
+
+_HELD = "consultation_id <= 0 OR ended_at IS NULL OR ended_at < started_at"
+_FINDINGS_WORK = S.sql_work("patient", "medication", "consultation", "staff")
+_register(
+    "reject_findings", _findings,
+    f"""{_FINDINGS_WORK}, c AS (SELECT *, CAST(consultation_id AS VARCHAR) AS pk,
+            CASE WHEN {_HELD} THEN 'REJ' ELSE 'OK' END AS state FROM consultation),
+    m AS (SELECT *, row_number() OVER (PARTITION BY {S._VERSIONS['medication'][0]}
+            ORDER BY {S._VERSIONS['medication'][1]}) AS rn FROM medication WHERE medicine_category IS NOT NULL)
+    SELECT 'PATIENT' AS src_table, CAST(patient_id AS VARCHAR) AS src_pk_val, 'NULL_MANDATORY' AS rej_cod,
+        'first_name is missing' AS rej_dsc, 'REJ' AS wrk_stts_cd FROM patient WHERE first_name IS NULL
+    UNION ALL SELECT 'PATIENT', CAST(patient_id AS VARCHAR), 'NULL_MANDATORY', 'updated_at is missing', 'REJ'
+        FROM patient WHERE updated_at IS NULL
+    UNION ALL SELECT 'PATIENT', CAST(patient_id AS VARCHAR), 'WRONG_FORMAT', 'patient_id is not above zero', 'REJ'
+        FROM patient WHERE patient_id <= 0
+    UNION ALL SELECT 'MEDICAMENT', medicine_code || '|?|' || manufacturer_brand, 'NULL_MANDATORY',
+        'medicine_category is missing', 'REJ' FROM medication WHERE medicine_category IS NULL
+    UNION ALL SELECT 'MEDICAMENT', medicine_code || '|' || medicine_category || '|' || manufacturer_brand,
+        'DUPLICATE_PK', 'a later version of medicine_code, medicine_category, manufacturer_brand was kept', 'REJ'
+        FROM m WHERE rn > 1
+    UNION ALL SELECT 'CONSULTATION', pk, 'WRONG_FORMAT', 'consultation_id is not above zero', state FROM c
+        WHERE consultation_id <= 0
+    UNION ALL SELECT 'CONSULTATION', pk, 'NULL_MANDATORY', 'ended_at is missing', state FROM c WHERE ended_at IS NULL
+    UNION ALL SELECT 'CONSULTATION', pk, 'WRONG_FORMAT', 'ended_at is before started_at', state FROM c
+        WHERE ended_at < started_at
+    UNION ALL SELECT 'CONSULTATION', pk, 'NORM_FAILURE', 'temperature_unit is neither C nor F', state FROM c
+        WHERE temperature_unit NOT IN ('C', 'F')
+    UNION ALL SELECT 'CONSULTATION', pk, 'FK_NOT_FOUND', 'no parent for staff_id', state FROM c
+        WHERE staff_id NOT IN (SELECT staff_id FROM staff_ok)
+    UNION ALL SELECT 'CONSULTATION', pk, 'FK_NOT_FOUND', 'no parent for patient_id', state FROM c
+        WHERE patient_id NOT IN (SELECT patient_id FROM patient_ok)
+    UNION ALL SELECT 'ORDERS', CAST(o_orderkey AS VARCHAR), 'WRONG_TYPE', 'URGENT is not of type boolean', 'OK'
+        FROM orders WHERE o_orderpriority = '3-MEDIUM'""",
+)
+
+
+def _gate(spark, sf_dir):
+    """What stops the promotion of two tables: figures observed as they are written, logged steps."""
+    figures = []
+    for name, (rows, table) in _checked(spark, sf_dir).items():
+        if name in ("MEDICAMENT", "CONSULTATION"):
+            seen = Observation()
+            asked = work_figures(rows, table.references)
+            written(rows.observe(seen, *[c.alias(n) for n, c in asked.items()]))
+            figures += figure_rows(name, seen.get)
+    steps = audit.step_state(_log(spark, sf_dir))
+    return promotion_blocks(spark.createDataFrame(figures, FIGURES), steps, 0.05, 0)
+
+
+_register(
+    "promotion_gate", _gate,
+    f"""{_FINDINGS_WORK}, {_LOG_SQL.removeprefix('WITH ')}, figures AS (
+        SELECT 'MEDICAMENT' AS name, (SELECT count(*) FROM medication_ok) + count(*) AS n, count(*) AS bad
+        FROM medication_q WHERE wrk_stts_cd = 'REJ'
+        UNION ALL SELECT 'CONSULTATION', (SELECT count(*) FROM consultation_ok) + count(*), count(*)
+        FROM consultation_q WHERE wrk_stts_cd = 'REJ')
+    SELECT 'reject rate' AS reason, name, bad || ' of ' || n AS value FROM figures WHERE bad / n > 0.05
+    UNION ALL SELECT 'unresolved keys', 'PERSONNEL of CONSULTATION', CAST(count(*) AS VARCHAR)
+        FROM consultation_ok WHERE staff_id NOT IN (SELECT staff_id FROM staff_ok) HAVING count(*) > 0
+    UNION ALL SELECT 'unresolved keys', 'PATIENT of CONSULTATION', CAST(count(*) AS VARCHAR)
+        FROM consultation_ok WHERE patient_id NOT IN (SELECT patient_id FROM patient_ok) HAVING count(*) > 0
+    UNION ALL SELECT 'step', scrpt_name, exec_stts_cd FROM (SELECT exec_id, max(scrpt_name) AS scrpt_name,
+            max(stts_cd) FILTER (rn = 1) AS exec_stts_cd FROM closed WHERE exec_id IS NOT NULL GROUP BY exec_id)
+        WHERE exec_stts_cd <> 'OK'""",
+)
+
+
+def _recycle_job(spark, sf_dir):
+    """Rejected rooms corrected, sent twice, taken back twice, and checked again."""
+    wh, contract = Warehouse(spark, work_path(spark, "recycled")), C.CHAMBRE
+    loaded = S.rooms(spark, sf_dir).toDF(*contract.header)
+    wh.write(loaded, STG, contract.name, BATCH, EXEC, contract.keys)
+    daily.check_table(wh, contract, BATCH, EXEC)
+    n_findings = daily.build_rejects(wh, BATCH, [contract])
+    rejects = spark.read.parquet(daily.reject_path(wh))
+    row = F.from_json("src_row_json", S.rooms(spark, sf_dir).schema)
+    row = row.withField("day_rate", F.greatest(row["day_rate"], F.lit(1))).withField(
+        "created_date", F.coalesce(row["created_date"], F.lit("1999-03-01").cast("date"))
+    )
+    fixed = rejects.select("rej_id", F.to_json(row).alias("src_row_json"))
+    sent = [daily.submit_corrections(wh, fixed, EXEC + 1) for _ in range(2)]
+    back = [daily.recycle(wh, BATCH, EXEC + 2, [contract]) for _ in range(2)]
+    daily.check_table(wh, contract, BATCH, EXEC + 3)
+    recycled = daily.reject_states(wh).agg(F.sum("recycl_ind"), F.sum("n_attempts")).first()
+    counts = [n_findings, *sent, *back, *recycled]
+    return wh.read(WRK, contract.name).select(
+        "room_number", "day_rate", "created_date", "wrk_stts_cd", "rej_cod",
+        F.lit(" ".join(map(str, counts))).alias("counts"),
+    )
+
+
+_register(
+    "recycle_job", _recycle_job,
+    f"""{S.sql_tables('room')}, n AS (SELECT CAST(sum((room_number <= 0)::INT + (day_rate <= 0)::INT
+        + (created_date IS NULL)::INT) AS BIGINT) AS k FROM room)
+    SELECT room_number, greatest(day_rate, 1) AS day_rate, coalesce(created_date, DATE '1999-03-01') AS created_date,
+        CASE WHEN room_number <= 0 THEN 'REJ' ELSE 'OK' END AS wrk_stts_cd,
+        CASE WHEN room_number <= 0 THEN 'WRONG_FORMAT' END AS rej_cod,
+        concat_ws(' ', k, k, 0, k, 0, k, k) AS counts FROM room, n""",
+)

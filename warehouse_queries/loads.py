@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +15,13 @@ from wardhouse.contracts import Column, Table
 from wardhouse.functions.casts import safe_cast
 from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
-from wardhouse.plans.daily import ingest_contract, load_rows
+from wardhouse.plans.audit import RunLog, step_state
+from wardhouse.plans.daily import Steps, ingest_contract, load_rows, replay_batches
 from wardhouse.session import work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
     batch_file,
+    parse_batch_date,
     passed,
     read_batch,
     read_text_table,
@@ -26,7 +29,7 @@ from wardhouse.sources.batch_files import (
     summarise,
 )
 from wardhouse.sources.export import BOM, export_view
-from wardhouse.sources.warehouse import STG, Warehouse
+from wardhouse.sources.warehouse import OBS, STG, TCH, Warehouse
 from wardhouse.streaming.incremental import follow
 from warehouse_queries import standins as S
 from warehouse_queries.gates import plain, written
@@ -98,7 +101,7 @@ def text_multiline(spark, sf_dir):
     root = work_path(spark, "extracts")
     status = F.when(
         F.col("ORDER_NO").cast("bigint") % 3 == 0,
-        F.concat(F.lit('first; "'), F.col("STATUS"), F.lit('"\nsecond\n')),
+        F.concat(F.lit('first; "'), F.col("STATUS"), F.lit('"\n\nthird')),
     ).otherwise(F.col("STATUS"))
     texts = order_texts(spark, sf_dir).withColumn("STATUS", status).repartition(5, "ORDER_NO")
     _as_extract(texts, batch_file(root, day, "ORDERS"))
@@ -109,7 +112,7 @@ def text_multiline(spark, sf_dir):
 
 QUERIES["text_multiline"] = text_multiline
 ORACLE["text_multiline"] = f"""WITH {_ORDERS_SQL} SELECT * REPLACE (CASE WHEN ORDER_NO % 3 = 0
-    THEN 'first; "' || STATUS || '"' || chr(10) || 'second' || chr(10) ELSE STATUS END AS STATUS)
+    THEN 'first; "' || STATUS || '"' || chr(10) || chr(10) || 'third' ELSE STATUS END AS STATUS)
     FROM orders_typed"""
 
 
@@ -499,3 +502,72 @@ ORACLE["export_scan"] = f"""{S.sql_work('consultation', 'staff')},
         WHERE pathology_description IS NOT NULL)
     SELECT SPECIALTY, REPORT_DATE, count(*) AS n_rows,
         (SELECT count(*) FROM v) AS n_exported FROM v GROUP BY ALL"""
+
+
+_SOURCES = {
+    "PATIENT": (S.patients, "patient", "patient_id"),
+    "PERSONNEL": (S.staff, "staff", "staff_id"),
+    "CHAMBRE": (S.rooms, "room", "room_number"),
+    "MEDICAMENT": (S.medications, "medication", "length(medicine_code)"),
+    "CONSULTATION": (S.consultations, "consultation", "consultation_id"),
+    "TRAITEMENT": (S.treatments, "treatment", "treatment_id"),
+    "HOSPITALISATION": (S.stays, "stay", "hospi_id"),
+}
+
+
+def replay_days(spark, sf_dir):
+    """All seven extracts of two days (keys by parity) as files, loaded oldest first in logged steps."""
+    inputs, day1, day2 = work_path(spark, "days"), *map(parse_batch_date, ("2026-04-29", "2026-04-30"))
+    for name, (source, _, key) in _SOURCES.items():
+        contract = C.TABLES[name]
+        rows = written(source(spark, sf_dir))
+        texts = [F.col(c.staged).cast("string").alias(c.source) for c in contract.columns]
+        for part, day in enumerate((day1, day2)):
+            of_day = rows.filter(F.pmod(F.expr(key), F.lit(2)) == part)
+            _as_extract(of_day.select(*texts), batch_file(inputs, day, name))
+    wh = Warehouse(spark, work_path(spark, "replayed"), slots=4)
+    log = RunLog(spark, wh.path(TCH, "events"))
+    with log.run(1, "MANUAL", day1):
+        with Steps(log, 1, count(1)).table("ingest_stg") as exec_id:
+            results = replay_batches(wh, inputs, [day2, day1], exec_id)
+    counts = spark.createDataFrame(
+        [(r.table, r.strategy, r.read_rows, r.affected_rows) for r in results],
+        "src_table string, strategy string, read_rows bigint, affected_rows bigint",
+    ).groupBy("src_table", "strategy").agg(
+        F.sum("read_rows").alias("read_rows"), F.sum("affected_rows").alias("affected_rows")
+    )
+    held, stamped = [], []
+    for name in _SOURCES:
+        held.append(wh.read(STG, name).agg(F.lit(name).alias("src_table"), F.count("*").alias("held_rows")))
+        archive = spark.read.parquet(wh.path(OBS, name))
+        stamped.append(
+            archive.agg(
+                F.lit(name).alias("src_table"), F.count_distinct("batch_dt").alias("n_days"),
+                F.bool_and((F.col("load_dttm") <= F.localtimestamp()) & (F.col("exec_id") == 1)).alias("is_stamped"),
+            )
+        )
+    state = step_state(log.events()).agg(F.max("exec_stts_cd")).scalar()
+    return (
+        counts.join(reduce(DataFrame.unionByName, held), "src_table")
+        .join(reduce(DataFrame.unionByName, stamped), "src_table")
+        .withColumn("step", state)
+    )
+
+
+def _replay_sql():
+    parts = []
+    for name, (_, table, key) in _SOURCES.items():
+        keys = ", ".join(C.TABLES[name].staged_keys)
+        full = C.TABLES[name].load == "full"
+        held = f"count(*) FILTER ({key} % 2 = 1)" if full else f"count(DISTINCT {keys})"
+        affected = "count(*)" if full else held
+        parts.append(
+            f"SELECT '{name}' AS src_table, '{C.TABLES[name].load}' AS strategy, count(*) AS read_rows,"
+            f" {affected} AS affected_rows, {held} AS held_rows, CAST(2 AS BIGINT) AS n_days,"
+            f" true AS is_stamped, 'OK' AS step FROM {table}"
+        )
+    return S.sql_tables(*[t for _, t, _ in _SOURCES.values()]) + " " + " UNION ALL ".join(parts)
+
+
+QUERIES["replay_days"] = replay_days
+ORACLE["replay_days"] = _replay_sql()
