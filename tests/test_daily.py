@@ -244,12 +244,11 @@ def test_corrected_rejects_go_back_once(two_days):
     wh = two_days[0]
     records = wh.spark.read.parquet(daily.reject_path(wh)).filter(F.col("batch_dt") == H.DAY2)
     wrong = records.filter("src_table = 'PATIENT' AND src_pk_val = '5'")
-    row = F.from_json("src_row_json", "map<string,string>")
-    fixed = wrong.select(
-        "rej_id",
-        F.to_json(F.map_concat(row, F.create_map(*[F.lit(x) for x in (
-            "first_name", "Eve", "updated_at", "2026-04-30T08:00:00.000")]))).alias("src_row_json"),
+    row = F.from_json("src_row_json", daily.staged_tables(wh)["PATIENT"].schema)
+    row = row.withField("first_name", F.lit("Eve")).withField(
+        "updated_at", F.lit("2026-04-30 08:00:00").cast("timestamp_ntz")
     )
+    fixed = wrong.select("rej_id", F.to_json(row).alias("src_row_json"))
     assert daily.submit_corrections(wh, fixed, 40) == 2
     # Sent again, they are no new attempt.
     assert daily.submit_corrections(wh, fixed, 41) == 0

@@ -33,9 +33,9 @@ def fingerprint(
 
 def merged(prints: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The fingerprint of all rows from those of their parts, as of the days of a table."""
-    ways = {"min": F.min, "max": F.max}
-    figures = [c for c in prints.columns if c not in by]
-    return prints.groupBy(*by).agg(*[ways.get(c.split("_")[0], F.sum)(c).alias(c) for c in figures])
+    ways = {"n": F.sum, "row": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    figures = [c for c in prints.columns if c not in by and c.split("_")[0] in ways]
+    return prints.groupBy(*by).agg(*[ways[c.split("_")[0]](c).alias(c) for c in figures])
 
 
 def differences(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:

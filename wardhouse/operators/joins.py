@@ -17,6 +17,8 @@ _MOST_TRACKED = 1_000_000
 def small(df: DataFrame) -> bool:
     """Whether Spark will broadcast the frame in a join, by its estimate of the bytes it reads."""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
     most = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= most
