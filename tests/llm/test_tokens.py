@@ -2,11 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from llm_cases import mixed
-from wardhouse.llm import packing, pieces, token_files
+from wardhouse.llm import packing, pieces, token_files, token_ids
 from wardhouse.llm.token_ids import Encoder, tokenizer_path
 
 ODD = " \t\n  　᠎\x1c\x85ab'sLßé1.!中́Ġ"
@@ -28,6 +29,31 @@ def test_encoder_equals_the_library(bpe):
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("kept", [500_000, 40])
+def test_many_texts_at_once_equal_the_library(bpe, monkeypatch, kept):
+    monkeypatch.setattr(token_ids, "KEPT_PIECES", kept)
+    monkeypatch.setattr(token_ids, "GATHERED", 97)
+    mine, library = Encoder(bpe), Tokenizer.from_file(bpe)
+    rng = random.Random(kept)
+    texts = odd_texts(3000, seed=2) + [mixed(300, k) for k in range(5)] + ["", "plain words\nand a line\n\nmore"]
+    rng.shuffle(texts)
+    at = 0
+    while at < len(texts):
+        some = texts[at : at + rng.randrange(1, 400)]
+        want = [library.encode(t, add_special_tokens=False).ids for t in some]
+        for end in (None, 7):
+            ids, counts = mine.encode_all(pa.array(some), end)
+            tail = [] if end is None else [end]
+            assert counts.tolist() == [len(w) + len(tail) for w in want]
+            assert ids.tolist() == [i for w in want for i in w + tail]
+        at += len(some)
+    ids, counts = mine.encode_all(pa.array([], pa.string()), 1)
+    assert len(ids) == len(counts) == 0
+    mine.safe = False
+    ids, counts = mine.encode_all(pa.array(["some text", ""]), 1)
+    assert ids.tolist() == library.encode("some text", add_special_tokens=False).ids + [1, 1]
+
+
 @pytest.mark.parametrize("width", [1, 8])
 def test_blocks_round_trip(width):
     rng = np.random.default_rng(0)

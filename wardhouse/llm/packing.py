@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -203,28 +202,35 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col
     names = ["key", "doc_id", "start", "length", "doc_tokens", "size", "run", "rank", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        end = struct.pack("<I", end_id)
+        encode_all = encoder(tokenizer).encode_all
         base = TaskContext.get().partitionId() << 33
         ranks: dict[int, int] = {}
-        count = 0
+        done = 0
         for batch in slices(batches, "text"):
-            out = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    if count % RUN == 0:
-                        ranks.clear()
-                    part = ids[4 * start : 4 * (start + length)]
-                    size = -(-len(part) // (4 * UNIT))
-                    rank = ranks.get(size, 0)
-                    ranks[size] = rank + 1
-                    out.append((base + count, key, start, len(part) // 4, total, size, (base + count) // RUN, rank, part))
-                    count += 1
-            columns = list(zip(*out, strict=True)) or [[]] * len(names)
-            kinds = [pa.int64()] * 8 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+            ids, totals = encode_all(batch.column(1), end_id)
+            pieces = -(-totals // length)
+            begin = np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = (np.arange(len(begin)) - begin) * length
+            total = np.repeat(totals, pieces)
+            size = np.minimum(length, total - start)
+            units = -(-size // UNIT)
+            keys = base + done + np.arange(len(size))
+            rank = []
+            for at, unit in enumerate(units.tolist(), done):
+                if at % RUN == 0:
+                    ranks.clear()
+                rank.append(ranks.get(unit, 0))
+                ranks[unit] = rank[-1] + 1
+            done += len(size)
+            ends = np.concatenate([[0], np.cumsum(4 * size)])
+            cut = pa.Array.from_buffers(
+                pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)]
+            ).cast(pa.binary())
+            doc_ids = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), pieces)))
+            numbers = [start, size, total, units, keys // RUN, rank]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), doc_ids, *[pa.array(c, pa.int64()) for c in numbers], cut], names
+            )
 
     schema = ", ".join(f"{n} long" for n in names[:-1]) + ", ids binary"
     return written(rows.mapInArrow(run, schema), "pieces")

@@ -133,8 +133,7 @@ def write_token_files(
     ranges = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        end = struct.pack("<I", end_id)
+        encode_all = encoder(tokenizer).encode_all
         held, offset, first = bytearray(), 0, 0
         blocks, index = [], []
 
@@ -150,12 +149,11 @@ def write_token_files(
             return pa.RecordBatch.from_pydict({"record": pa.array(records, pa.binary())})
 
         for batch in slices(batches, "text"):
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
-                index.append((key, len(ids) // 4))
-                held.extend(ids)
-                while len(held) >= 4 * BLOCK:
-                    yield rows_of([record(BLOCK)])
+            ids, counts = encode_all(batch.column(1), end_id)
+            index += zip(batch.column(0).to_pylist(), counts.tolist(), strict=True)
+            held.extend(ids.tobytes())
+            while len(held) >= 4 * BLOCK:
+                yield rows_of([record(BLOCK)])
         if held:
             yield rows_of([record(len(held) // 4)])
         if index:

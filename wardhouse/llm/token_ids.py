@@ -6,9 +6,15 @@ import re
 import sys
 import types
 from array import array
+from itertools import repeat
 
-#: Pieces whose ids a task keeps at most; a fuller store is emptied and filled anew.
-KEPT_PIECES = 300_000
+import numpy as np
+import pyarrow as pa
+
+#: Parts whose ids a task keeps, and words of them; a fuller store is emptied and filled anew.
+KEPT_PIECES = 500_000
+#: Parts whose ids are put together at once.
+GATHERED = 1 << 20
 
 #: A word of Latin letters and the ASCII marks after it: two parts for the byte-level pattern.
 _PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
@@ -21,8 +27,10 @@ class Encoder:
     to what stands before it. So a text may be cut before any single blank that
     has other characters than white space on both sides, and the ids of the
     parts, put together, are those of the whole text; likewise at a single line
-    break between words. Parts that come again are encoded once. ``safe`` tells whether the file has that pre-tokenizer and no
-    normalizer; any other file encodes whole texts.
+    break between words. Many texts are split and their parts numbered at once;
+    each distinct part is encoded once, and the ids are gathered by its number.
+    ``safe`` tells whether the file has that pre-tokenizer and no normalizer; any
+    other file encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -42,8 +50,8 @@ class Encoder:
         )
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self._forget()
         if self.safe:
             self._byte_letters = _byte_letters()
 
@@ -71,33 +79,94 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """Ids of what follows a blank, or of a line break and the word after it."""
-        found = self.pieces.get(part)
-        if found is None:
-            found = self._word("\n") + self._piece(part[1:]) if part[0] == "\n" else self._piece(" " + part)
-            self.pieces[part] = found
+        return self._word("\n") + self._piece(part[1:]) if part[0] == "\n" else self._piece(" " + part)
+
+    def _forget(self) -> None:
+        """Empty the stores: the number of each part, and for each number where its ids lie in
+        ``flat``, how many they are, and whether the part may stand by itself."""
+        self.words.clear()
+        self.numbers: dict[str, int] = {}
+        self.flat = np.empty(0, "<u4")
+        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.single = np.empty(0, bool)
+
+    def _numbered(self, parts: list[str]) -> np.ndarray:
+        """The number of each of the distinct parts; new ones are encoded."""
+        if len(self.numbers) > KEPT_PIECES or len(self.words) > KEPT_PIECES:
+            self._forget()
+        found = np.fromiter(map(self.numbers.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            found[new] = np.arange(len(self.starts), len(self.starts) + len(new))
+            ids, single = [], []
+            for k in new:
+                part = parts[k]
+                # What is stored has no further white space at its ends.
+                alone = _bounded(part[1:] if part[:1] == "\n" else part)
+                single.append(alone)
+                ids.append(self._part(part) if alone else b"")
+            self.numbers.update(zip([parts[k] for k in new], found[new].tolist(), strict=True))
+            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(counts) - counts)
+            self.counts = np.append(self.counts, counts)
+            self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), "<u4"))
+            self.single = np.append(self.single, single)
         return found
 
+    def encode_all(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each text's followed by ``end_id`` if that is
+        given, and how many ids each text has so. Texts are not null."""
+        import pyarrow.compute as pc
+
+        n = len(texts)
+        whole = np.full(n, not self.safe)
+        for special in self.special:
+            whole |= np.asarray(pc.match_substring(texts, special))
+        # A single line break between words is a part of its own, too.
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = np.asarray(lists.offsets, np.int64)
+        coded = lists.flatten().dictionary_encode()
+        codes = np.asarray(coded.indices, np.int64)
+        distinct = coded.dictionary.to_pylist()
+        first, size = offsets[:-1], np.diff(offsets)
+        firsts = [distinct[c] for c in codes[first].tolist()]
+        numbers = self._numbered(distinct)[codes] if n else codes
+        single = self.single[numbers]
+        single[first] = [_bounded(p) for p in firsts]
+        cut = (np.logical_and.reduceat(single, first) if n else whole) & ~whole
+        starts, counts = self.starts[numbers], self.counts[numbers]
+        # The first part has no blank before it; other texts are encoded as one.
+        heads = []
+        for k, (head, parts, apart) in enumerate(zip(firsts, size.tolist(), cut.tolist(), strict=True)):
+            if apart:
+                heads.append(self._piece(head))
+            elif parts == 1 and not whole[k]:
+                heads.append(self._piece(head) if head else b"")
+            else:
+                heads.append(self.encode(texts[k].as_py()))
+        held = np.fromiter(map(len, heads), np.int64, n) // 4
+        flat = np.append(self.flat, np.frombuffer(b"".join(heads), "<u4"))
+        counts[np.repeat(~cut, size)] = 0
+        starts[first], counts[first] = len(self.flat) + np.cumsum(held) - held, held
+        if end_id is not None:
+            starts = np.insert(starts, offsets[1:], len(flat))
+            counts = np.insert(counts, offsets[1:], 1)
+            flat = np.append(flat, np.array([end_id], "<u4"))
+            first, size = first + np.arange(n), size + 1
+        ids = np.empty(int(counts.sum()), "<u4")
+        at = 0
+        for begin in range(0, len(counts), GATHERED):
+            part = counts[begin : begin + GATHERED]
+            total = int(part.sum())
+            jump = np.repeat(starts[begin : begin + GATHERED] - (np.cumsum(part) - part), part)
+            ids[at : at + total] = flat[jump + np.arange(total)]
+            at += total
+        return ids, np.add.reduceat(counts, first) if n else np.empty(0, np.int64)
+
     def encode(self, text: str) -> bytes:
         if not self.safe or any(s in text for s in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        for store in (self.pieces, self.words):
-            if len(store) > KEPT_PIECES:
-                store.clear()
-        # A single line break between words is a part of its own, too.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if not rest:
-            return self._piece(first) if first else b""
-        if not _bounded(first):
-            return self._uneven(text)
-        try:
-            return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
-        except KeyError:  # what is stored has no further white space at its ends
-            new = set(rest).difference(self.pieces)
-            if not all(map(_bounded, [p.removeprefix("\n") for p in new])):
-                return self._uneven(text)
-            for p in new:
-                self._part(p)
-            return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
+        return self._uneven(text)
 
     def _uneven(self, text: str) -> bytes:
         """For texts with other white space beside their blanks: cut only where it is allowed."""
@@ -111,8 +180,7 @@ class Encoder:
         out.append(run)
         ids = [self._piece(" ".join(out[0]))] if out[0] != [""] else []
         for run in out[1:]:
-            part = " ".join(run)
-            ids.append(self._part(part) if _bounded(part) else self._piece(" " + part))
+            ids.append(self._piece(" " + " ".join(run)))
         return b"".join(ids)
 
 
