@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardhouse.operators.joins import join_dimension
+from wardhouse.session import work_path
+from wardhouse.sources.files import child_files, child_folders
 from wardhouse.sources.warehouse import utc_now
 
 # Statuses and run types.
@@ -33,6 +35,14 @@ EVENTS = T.StructType(
 )
 
 
+# Folder of an event.
+_DAY = "at_day"
+
+
+def _by_day(events: DataFrame) -> DataFrame:
+    return events.withColumn(_DAY, F.to_date("at"))
+
+
 def _latest(name: str):
     """Value of the closing event, or of the opening one while it runs."""
     rank = F.struct(F.when(F.col("stts_cd") == RUNNING, 0).otherwise(1), F.col("at"))
@@ -78,20 +88,44 @@ def lineage(rows: DataFrame, steps: DataFrame, runs: DataFrame) -> DataFrame:
 
 @dataclass
 class RunLog:
-    """Appends run and step events to one Parquet table. Ids come from the caller."""
+    """Appends run and step events to one Parquet table, a folder a day. Ids come from the caller."""
 
     spark: SparkSession
     path: str
 
     def _append(self, **event) -> None:
         row = tuple(event.get(f.name) for f in EVENTS.fields)
-        self.spark.createDataFrame([row], EVENTS).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        dated = _by_day(self.spark.createDataFrame([row], EVENTS)).coalesce(1)
+        dated.write.mode("append").partitionBy(_DAY).parquet(self.path)
 
     def events(self) -> DataFrame:
-        self.spark.createDataFrame([], EVENTS).write.mode("ignore").parquet(self.path)
-        return self.spark.read.schema(EVENTS).parquet(self.path)
+        none = _by_day(self.spark.createDataFrame([], EVENTS))
+        none.write.mode("ignore").partitionBy(_DAY).parquet(self.path)
+        return self.spark.read.schema(none.schema).parquet(self.path).drop(_DAY)
+
+    def compact(self, before: date) -> list[date]:
+        """Merge the events of each earlier day into one file; the days that were merged.
+
+        Days of one file are left alone. The merged events are written beside the log
+        first, and replace their days' folders only.
+        """
+        folders = child_folders(self.spark, self.path)
+        days = [date.fromisoformat(f.removeprefix(f"{_DAY}=")) for f in folders if f.startswith(f"{_DAY}=")]
+        days = [
+            d for d in days
+            if d < before and len(child_files(self.spark, f"{self.path}/{_DAY}={d}", ".parquet")) > 1
+        ]
+        if not days:
+            return []
+        merged = work_path(self.spark, "events")
+        of_days = _by_day(self.events()).filter(F.col(_DAY).isin(*days))
+        of_days.repartition(_DAY).write.partitionBy(_DAY).parquet(merged)
+        (
+            self.spark.read.schema(of_days.schema).parquet(merged).repartition(_DAY)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_DAY).parquet(self.path)
+        )
+        return sorted(days)
 
     def open_run(
         self, run_id: int, run_typ: str, batch_dt: date | None = None, at: datetime | None = None

@@ -159,21 +159,26 @@ def empty_rooms(fait_consult: DataFrame, r_hospi: DataFrame, r_room: DataFrame)
     )
 
 
+# Each view from the marts.
+VIEWS = {
+    "vw_avg_age_by_pathology": lambda m: avg_age_by_pathology(m["fait_consult"], m["r_indiv"]),
+    "vw_top_medication_by_pathology": lambda m: top_medication_by_pathology(
+        m["fait_consult"], m["r_trmt"], m["r_medc"]
+    ),
+    "vw_rooms_by_pathology": lambda m: rooms_by_pathology(
+        m["fait_consult"], m["r_hospi"], m["r_room"]
+    ),
+    "vw_doctor_speciality_by_pathology": lambda m: doctor_speciality_by_pathology(
+        m["fait_consult"], m["r_stf"]
+    ),
+    "vw_patients_one_night": lambda m: patients_one_night(m["r_hospi"]),
+    "vw_empty_rooms": lambda m: empty_rooms(m["fait_consult"], m["r_hospi"], m["r_room"]),
+}
+
+
 def build_views(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All six views from the marts, keyed by view name."""
-    fact, stays = marts["fait_consult"], marts["r_hospi"]
-    return {
-        "vw_avg_age_by_pathology": avg_age_by_pathology(fact, marts["r_indiv"]),
-        "vw_top_medication_by_pathology": top_medication_by_pathology(
-            fact, marts["r_trmt"], marts["r_medc"]
-        ),
-        "vw_rooms_by_pathology": rooms_by_pathology(fact, stays, marts["r_room"]),
-        "vw_doctor_speciality_by_pathology": doctor_speciality_by_pathology(
-            fact, marts["r_stf"]
-        ),
-        "vw_patients_one_night": patients_one_night(stays),
-        "vw_empty_rooms": empty_rooms(fact, stays, marts["r_room"]),
-    }
+    return {name: build(marts) for name, build in VIEWS.items()}
 
 
 def in_period(view: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:

@@ -18,6 +18,12 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str, ending: str) -> list[str]:
+    """Names of the files directly below a path that end so."""
+    fs, jvm_path = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.getPath().getName().endswith(ending))
+
+
 def folder_state(spark: SparkSession, path: str) -> tuple[int, int]:
     """Number and bytes of the files below a path: another state after files were added."""
     fs, jvm_path = _fs(spark, path)

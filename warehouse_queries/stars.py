@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from wardhouse import contracts as C
 from wardhouse.plans import kpis, marts
+from wardhouse.plans.refresh import refresh
 from wardhouse.plans.work import work
+from wardhouse.session import work_path
 from warehouse_queries import standins as S
 from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 
@@ -314,3 +318,37 @@ _register(
     SELECT *, n_doctors * 100.0::DOUBLE / CAST(sum(n_doctors) OVER (
         PARTITION BY pathology_description, period) AS BIGINT) AS share_pct FROM n""",
 )
+
+
+def view_refresh(spark, sf_dir):
+    """Ages by day, stored, then brought up to consultations and birth dates that changed on few days."""
+    new = {"fait_consult": fact(spark, sf_dir), "r_indiv": individuals(spark, sf_dir)}
+    others = ("r_trmt", "r_medc", "r_hospi", "r_room", "r_stf")
+    new |= {name: OTHERS[name](spark, sf_dir) for name in others}
+    late = (F.col("started_at") < "2024-01-05") | (F.col("consultation_id") % 997 != 5)
+    old = new | {
+        "fait_consult": new["fait_consult"].filter(late),
+        "r_indiv": new["r_indiv"].withColumn(
+            "birth_date", F.when(F.col("indiv_id") != 11, F.col("birth_date"))
+        ),
+    }
+    path = work_path(spark, "view")
+    name = "vw_avg_age_by_pathology"
+    refresh(spark, path, name, {n: df.limit(0) for n, df in old.items()}, old)
+    days = refresh(spark, path, name, old, new)
+    return spark.read.parquet(path).withColumn("n_days", F.lit(len(days)).cast("long"))
+
+
+OTHERS = {
+    "r_trmt": treatments, "r_medc": lambda spark, sf: written(medications(spark, sf)), "r_hospi": stays,
+    "r_room": rooms, "r_stf": staff,
+}
+_register(
+    "view_refresh", view_refresh,
+    f"""{S.sql_work('consultation', 'patient')}, v AS ({_AGE}), d AS (
+        SELECT CAST(started_at AS DATE) AS day FROM consultation_ok
+            WHERE started_at >= TIMESTAMP '2024-01-05' AND consultation_id % 997 = 5
+        UNION SELECT CAST(started_at AS DATE) FROM consultation_ok JOIN patient_ok USING (patient_id)
+            WHERE patient_id = 11 AND birth_date IS NOT NULL)
+    SELECT *, (SELECT count(DISTINCT day) FROM d) AS n_days FROM v""",
+)
