@@ -186,7 +186,14 @@ def test_hot_keys_are_spread_without_changing_the_join(spark, how):
     dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     hot = hot_keys(facts, ["k"])
     assert sorted(hot.values()) == [2, 3]
-    joined = join_dimension(facts, dim, ["k"], how, spread_by=["n"])
+    # A dimension that is broadcast needs no shares.
+    plain = join_dimension(facts, dim, ["k"], how, spread_by=["n"])
+    assert "_share" not in plain._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_dimension(facts, dim, ["k"], how, spread_by=["n"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     want = facts.join(dim, ["k"], how)
     assert joined.columns == want.columns
     assert joined.exceptAll(want).isEmpty() and want.exceptAll(joined).isEmpty()
