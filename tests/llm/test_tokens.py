@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from llm_cases import mixed
-from wardhouse.llm import packing, pieces, token_files, token_ids
+from wardhouse.llm import merge_scan, packing, pieces, token_files, token_ids
 from wardhouse.llm.token_ids import Encoder, tokenizer_path
 
 ODD = " \t\n  　᠎\x1c\x85ab'sLßé1.!中́Ġ"
@@ -249,6 +249,71 @@ def test_encode_and_decode(spark, model, words, texts, empty_docs):
     assert pieces.encode(empty_docs, model).count() == 0
 
 
+def merged_by_chunks(words, text, chunk):
+    ready = words.prepared(text)
+    count = max(len(ready) // chunk, 1)
+    chunks = []
+    for k in range(count):
+        size = chunk if k < count - 1 else len(ready) - k * chunk
+        lead = min(words.longest, k * chunk)
+        chunks.append(merge_scan.Chunk(words, ready[k * chunk - lead : k * chunk + size + words.longest - 1], lead, size))
+    middles = [words.encode_merged(c.middle) for c in chunks]
+    matrices = [merge_scan.unpack(merge_scan.pack(c.matrix(m[0]))) for c, m in zip(chunks, middles)]
+    found = merge_scan.states(matrices, merge_scan.FRESH, merge_scan.FRESH)
+    left, right = matrices[0], matrices[-1]
+    for m in matrices[1:]:
+        left = merge_scan.combine(left, m)
+    for m in matrices[-2::-1]:
+        right = merge_scan.combine(m, right)
+    assert left.tolist() == right.tolist()  # associative
+    ends = [merge_scan.FRESH] * 2
+    ids = b"".join(c.ids(a, b, m[1]) for c, a, b, m in zip(chunks, found, found[1:], middles))
+    return next(s for *e, s in left.T.tolist() if e == ends), ids
+
+
+def test_merge_scan_equals_the_library(words, model):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    rng = random.Random(6)
+    stems = ["a", "ab ", "  ", "the", "   x", "internationalization", "==", "ing\n"]
+    ends = ["the", "ing", "er", "station", "al", "e", "s", "tion", "in"]
+    for k in range(300):
+        if k % 3 == 0:
+            text = "".join(rng.choice("theanin g   \n▁é日x") for _ in range(rng.randrange(1, 400)))
+        elif k % 3 == 1:
+            text = rng.choice(stems) * rng.randrange(1, 90)
+        else:  # one part over many chunks
+            text = "".join(rng.choice(ends) for _ in range(rng.randrange(1, 90)))
+        found = merged_by_chunks(words, text, rng.choice([words.longest, words.longest + 1, 23, 64]))
+        assert found == words.encode_merged(words.prepared(text))
+        if "▁" not in text:
+            assert np.frombuffer(found[1], "<u4").tolist() == library.encode(text)
+
+
+@pytest.mark.parametrize("kept", [500_000, 30])
+def test_many_texts_merged_at_once(words, model, monkeypatch, kept):
+    import dataclasses
+
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "KEPT", kept)
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    own = dataclasses.replace(words, kept_merged={}, kept_pairs={})
+    rng = random.Random(8)
+    some = ["", " ", "     ", "\n", "\n\n  \n", "日本 ßx é", "x" * 65, "a" * 64 + " " + "ab" * 32, "the  people\n walk "]
+    some += ["".join(rng.choice("theanin g    \né日xs.,") for _ in range(rng.randrange(0, 200))) for _ in range(500)]
+    for texts in (some, [*some[:50], "a ▁ b", "nul \0 in it"], []):
+        ids, scores = own.merge_all([own.prepared(t) for t in texts])
+        want = [own.encode_merged(own.prepared(t)) for t in texts]
+        assert ids.to_pylist() == [i for _, i in want] and scores.tolist() == [s for s, _ in want]
+        for t, i in zip(texts, ids.to_pylist()):
+            if "▁" not in t and "\0" not in t:
+                assert np.frombuffer(i, "<u4").tolist() == library.encode(t)
+        back = own.decode_all(pa.array([*ids.to_pylist(), None], pa.binary()))
+        assert back.to_pylist() == [*texts, None]
+
+
 def test_merges_equal_the_library(spark, model, words, texts, empty_docs):
     import sentencepiece
 

@@ -1,10 +1,11 @@
-"""SentencePiece encoding and decoding: by merges, or by a max-plus parallel scan.
+"""SentencePiece encoding and decoding of giant texts by a max-plus parallel scan.
 
 A model trained by merges joins neighbours, the pair with the highest score (the
 leftmost of equal ones) first, until no two make a piece. Nothing is joined across
-the parts of a text, so a giant text is cut between parts and its chunks are
-encoded by themselves; a part is never cut. The rest of this text is about the
-scan, for models whose scores are to be summed.
+the parts of a text, so texts are split there, many at once, and each distinct
+part is encoded once. Giant texts are cut into chunks of one size, wherever that
+cuts them, and put together by the scan of ``merge_scan``. The rest of this text
+is about the scan for models whose scores are to be summed.
 
 A text's best segmentation is the one with the highest sum of piece scores; of
 equal sums the one whose last piece is longest, then the one before it, and so
@@ -28,25 +29,27 @@ import types
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardhouse.llm import merge_scan
 from wardhouse.llm.common import append_columns, slices, without, written
 
 SPACE = "▁"
 #: Stands for U+2581 in a text itself; no text can hold half a surrogate pair.
 _LITERAL = "\udc81"
 #: Texts longer than this many characters are cut into chunks of CHUNK.
-GIANT = 65_536
-CHUNK = 16_384
+GIANT = 16_384
+CHUNK = 8_192
 #: Matrices that are combined in one step.
 FAN = 64
 #: Best paths that a task keeps at most; a fuller store is emptied and filled anew.
-KEPT = 400_000
+KEPT = 500_000
 _NONE = -(1 << 62)
 _NEVER = -(1 << 61)
 
@@ -67,6 +70,11 @@ class Vocabulary:
     tree: dict
     kept: dict[str, tuple[int, bytes]] = field(default_factory=dict)
     kept_merged: dict[str, tuple[int, bytes]] = field(default_factory=dict)
+    kept_pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+
+    @cached_property
+    def pairs(self) -> Pairs:
+        return Pairs(self)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -187,13 +195,8 @@ class Vocabulary:
         if found is None:
             score, out = 0, array("I")
             for piece in self._joined(text):
-                k = self.ids.get(piece)
-                if k is None:
-                    out.extend(self.bytes_from[b] for b in piece.replace(_LITERAL, SPACE).encode())
-                    score += self.unknown
-                else:
-                    out.append(k)
-                    score += self.scores[piece]
+                self.put(out, piece)
+                score += self.scores.get(piece, self.unknown)
             found = score, out.tobytes()
             if len(text) <= 64:
                 if len(self.kept_merged) >= KEPT:
@@ -223,6 +226,63 @@ class Vocabulary:
                 heapq.heappush(heap, (-scores[p], k, p))
         return [p for p in piece if p]
 
+    def put(self, out: array, piece: str) -> None:
+        """Append the id of a piece, or those of the bytes of a character that no piece holds."""
+        k = self.ids.get(piece)
+        if k is None:
+            out.extend(self.bytes_from[b] for b in piece.replace(_LITERAL, SPACE).encode())
+        else:
+            out.append(k)
+
+    def follows(self, left: str, right: str) -> bool:
+        """Whether the two, put together, are merged to just these pieces."""
+        found = self.kept_pairs.get((left, right))
+        if found is None:
+            if len(self.kept_pairs) >= KEPT:
+                self.kept_pairs.clear()
+            found = self._joined(left + right) == ([left, right] if left else [right])
+            self.kept_pairs[left, right] = found
+        return found
+
+    def cut(self, text: str, at: int) -> bool:
+        """Whether no piece can cross this place: a text's ends and those of its parts."""
+        if at <= 0 or at >= len(text):
+            return True
+        before, after = text[at - 1], text[at]
+        return self.by_words and ("\n" in (before, after) or (after == SPACE and before != SPACE))
+
+    def next_cut(self, text: str, at: int) -> int:
+        return _WORDS.match(text, at).end() if self.by_words else len(text)
+
+    def merge_all(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """``encode_merged`` of many prepared texts: parts are numbered, each distinct one is encoded once."""
+        import pyarrow.compute as pc
+
+        odd = [k for k, t in enumerate(texts) if _LITERAL in t or "\0" in t]
+        if odd or not self.by_words:
+            found = [self.encode_merged(t) for t in texts]
+            return pa.array([i for _, i in found], pa.binary()), np.array([s for s, _ in found], np.int64)
+        marked = pc.replace_substring(pa.array(texts, pa.string()), SPACE, "\0" + SPACE)
+        marked = pc.replace_substring(marked, "\n", "\0\n\0")
+        if pc.any(pc.match_substring(marked, SPACE + "\0" + SPACE)).as_py():
+            for _ in range(2):  # matches do not overlap: the second pass finds what is between
+                marked = pc.replace_substring(marked, SPACE + "\0" + SPACE, SPACE * 2)
+        parts = pc.split_pattern(marked, "\0")
+        coded = parts.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        kept = self.kept_merged
+        new = [p for p in distinct if p not in kept]
+        if len(kept) + len(new) > KEPT:
+            kept.clear()
+            new = distinct
+        kept.update(self.pairs.merged([p for p in new if 0 < len(p) <= 64]))
+        found = [kept.get(p) or self.merged(p) for p in distinct]
+        numbers, offsets = coded.indices, parts.offsets
+        ids = pa.array([i for _, i in found], pa.binary()).take(numbers)
+        sums = np.append(0, np.cumsum(np.array([s for s, _ in found], np.int64)[numbers.to_numpy()]))
+        ends = offsets.to_numpy()
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, ids), b""), sums[ends[1:]] - sums[ends[:-1]]
+
     def encode_merged(self, text: str) -> tuple[int, bytes]:
         """Score and ids of a prepared text, as a model trained by merges has them."""
         found = [self.merged(p) for p in self.parts(text)]
@@ -233,6 +293,23 @@ class Vocabulary:
         text = b"".join([shown[k] or b"" for k in array("I", ids)]).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
+    def decode_all(self, ids: pa.Array) -> pa.Array:
+        """``decode`` of many id strings; null stays null."""
+        import pyarrow.compute as pc
+
+        given = pc.fill_null(ids.cast(pa.binary()), b"")
+        ends = np.append(0, np.cumsum(pc.binary_length(given).to_numpy(zero_copy_only=False) // 4))
+        flat = np.frombuffer(b"".join(given.to_pylist()), "<u4")
+        pieces = pa.array([p or b"" for p in self.shown], pa.binary()).take(pa.array(flat))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces), b"")
+        try:
+            texts = texts.cast(pa.string())
+        except pa.ArrowInvalid:
+            texts = pa.array([t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+        if self.prefix:
+            texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
+        return pc.if_else(pc.is_null(ids), pa.scalar(None, pa.string()), texts)
+
     def cuts(self, text: str, size: int) -> list[int]:
         """Ends of the parts that lie inside a chunk (the first ``size`` characters)."""
         out, at = [], 0
@@ -244,6 +321,83 @@ class Vocabulary:
         return out
 
 
+class Pairs:
+    """Merges of many parts at once.
+
+    Symbols are numbers: a piece's id, or, from ``known`` on, a character that no
+    piece holds. Parts of one length are the rows of a matrix. In a step each row
+    joins its best pair, the leftmost of equal ones, so that all rows stay equally
+    long; a row without a pair is done.
+    """
+
+    def __init__(self, words: Vocabulary):
+        self.words = words
+        self.known = max(words.ids.values()) + 1
+        self.span = self.known + sys.maxunicode + 1
+        self.of_character = np.arange(sys.maxunicode + 1) + self.known
+        self.scores = np.full(self.span, words.unknown, np.int64)
+        for piece, k in words.ids.items():
+            self.scores[k] = words.scores[piece]
+            if len(piece) == 1:
+                self.of_character[ord(piece)] = k
+        made = {}
+        for piece, k in words.ids.items():
+            for i in range(1, len(piece)):
+                left, right = self._symbol(piece[:i]), self._symbol(piece[i:])
+                if left is not None and right is not None:
+                    made[left * self.span + right] = k
+        self.keys = np.array(sorted(made), np.int64)
+        self.joined = np.array([made[k] for k in self.keys.tolist()], np.int64)
+
+    def _symbol(self, text: str) -> int | None:
+        return int(self.of_character[ord(text)]) if len(text) == 1 else self.words.ids.get(text)
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of pairs (_NONE: they make no piece) and the pieces they make."""
+        wanted = left * self.span + right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        piece = self.joined[at]
+        return np.where(self.keys[at] == wanted, self.scores[piece], _NONE), piece
+
+    def merged(self, parts: list[str]) -> dict[str, tuple[int, bytes]]:
+        """Summed scores and ids of parts without NUL."""
+        by_length: dict[int, list[str]] = {}
+        for part in parts:
+            by_length.setdefault(len(part), []).append(part)
+        out = {}
+        for n, some in by_length.items():
+            row = np.arange(len(some))
+            letters = np.array(some, f"U{n}").view(np.uint32).reshape(-1, n)
+            symbol = self.of_character[letters]
+            score, piece = self._look(symbol[:, :-1], symbol[:, 1:])
+            while len(row):
+                n = symbol.shape[1]
+                best = score.argmax(1) if n > 1 else np.zeros(len(row), np.int64)
+                open_ = score[np.arange(len(row)), best] != _NONE if n > 1 else np.zeros(len(row), bool)
+                self._done(out, some, row[~open_], symbol[~open_])
+                row, symbol, score, piece, best = (x[open_] for x in (row, symbol, score, piece, best))
+                if not len(row):
+                    break
+                each = np.arange(len(row))
+                symbol[each, best] = piece[each, best]
+                stay = np.arange(n) != best[:, None] + 1
+                symbol = symbol[stay].reshape(len(row), n - 1)
+                stay = np.arange(n - 1) != best[:, None]
+                score, piece = (x[stay].reshape(len(row), n - 2) for x in (score, piece))
+                for place in (best - 1, best):
+                    near = np.flatnonzero((place >= 0) & (place < n - 2))
+                    at = place[near]
+                    score[near, at], piece[near, at] = self._look(symbol[near, at], symbol[near, at + 1])
+        return out
+
+    def _done(self, out: dict, some: list[str], row: np.ndarray, symbol: np.ndarray) -> None:
+        sums, size = self.scores[symbol].sum(1).tolist(), 4 * symbol.shape[1]
+        raw = symbol.astype("<u4").tobytes()
+        for k, (r, total, whole) in enumerate(zip(row.tolist(), sums, (symbol < self.known).all(1).tolist(), strict=True)):
+            # A character that no piece holds becomes bytes, so that these are merged by themselves.
+            out[some[r]] = (total, raw[k * size : (k + 1) * size]) if whole else self.words.merged(some[r])
+
+
 _WORDS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
@@ -367,8 +521,13 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return tuple(both.reshape(2, n, n))
 
 
-def _scan(chunks: DataFrame, most: int) -> DataFrame:
+def _scan(chunks: DataFrame, most: int, merges: bool) -> DataFrame:
     """(row, chunk, before, after): the boundary states of every chunk of (row, chunk, matrix)."""
+    pack, unpack, join, through = (
+        (merge_scan.pack, merge_scan.unpack, merge_scan.combine, merge_scan.states)
+        if merges
+        else (_pack, _unpack, combine, states)
+    )
     levels = [chunks.select("row", F.col("chunk").alias("at"), "matrix")]
     while most > 1:
         def up(frame):
@@ -377,8 +536,8 @@ def _scan(chunks: DataFrame, most: int) -> DataFrame:
             frame = frame.sort_values("at")
             total = None
             for raw in frame["matrix"]:
-                total = _unpack(raw) if total is None else combine(total, _unpack(raw))
-            return pd.DataFrame({"row": [frame["row"].iloc[0]], "at": [frame["at"].iloc[0] // FAN], "matrix": [_pack(total)]})
+                total = unpack(raw) if total is None else join(total, unpack(raw))
+            return pd.DataFrame({"row": [frame["row"].iloc[0]], "at": [frame["at"].iloc[0] // FAN], "matrix": [pack(total)]})
 
         grouped = levels[-1].groupBy("row", F.expr(f"at div {FAN}").alias("group"))
         levels.append(written(grouped.applyInPandas(up, "row long, at long, matrix binary"), "matrices"))
@@ -390,7 +549,7 @@ def _scan(chunks: DataFrame, most: int) -> DataFrame:
             import pandas as pd
 
             frame = frame.sort_values("at")
-            found = states([_unpack(r) for r in frame["matrix"]], frame["before"].iloc[0], frame["after"].iloc[0])
+            found = through([unpack(r) for r in frame["matrix"]], frame["before"].iloc[0], frame["after"].iloc[0])
             return pd.DataFrame({"row": frame["row"], "at": frame["at"], "before": found[:-1], "after": found[1:]})
 
         inner = level.withColumn("group", F.expr(f"at div {FAN}"))
@@ -404,8 +563,8 @@ def encode(
 ) -> DataFrame:
     """Adds ids (little-endian unsigned 32-bit numbers) and score (scaled sum) of every whole text.
 
-    With ``merges`` the ids are those of a model trained by merges, otherwise
-    those of the highest sum. Texts up to ``giant`` characters are encoded where
+    With ``merges`` the ids are those of a model trained by merges (``merge_scan``),
+    otherwise those of the highest sum. Texts up to ``giant`` characters are encoded where
     they are; longer ones are cut into chunks that are spread over the tasks (see
     the module). A null or empty text has no ids and score 0. Columns named ids
     or score are replaced; repeated rows are encoded each by itself; an empty
@@ -420,8 +579,10 @@ def encode(
         words = vocabulary(model)
 
         def compute(texts: list) -> list:
-            whole = words.encode_merged if merges else words.encode
-            found = [whole(words.prepared(t or "")) for t in texts]
+            ready = [words.prepared(t or "") for t in texts]
+            if merges:
+                return list(words.merge_all(ready))
+            found = [words.encode(t) for t in ready]
             return [[i for _, i in found], [s for s, _ in found]]
 
         return compute
@@ -431,8 +592,6 @@ def encode(
     most = giants.agg(F.max(F.length(text))).first()[0]
     if most is None:
         return small
-    if merges:
-        return small.unionByName(_gathered(giants, _merged_chunks(giants, model, text, chunk)))
     chunk = max(chunk, vocabulary(model).longest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,40 +603,50 @@ def encode(
                 count = max(len(ready) // chunk, 1)
                 for k in range(count):
                     size = chunk if k < count - 1 else len(ready) - k * chunk
-                    part = ready[k * chunk : k * chunk + size + words.longest - 1]
-                    rows.append((row, k, size, part.replace(_LITERAL, "") if "" not in part else None, part.encode("utf-8", "surrogatepass")))
-            columns = list(zip(*[(r, k, s, p) for r, k, s, _, p in rows], strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["row", "chunk", "size", "part"])
+                    lead = min(words.longest, k * chunk) if merges else 0
+                    part = ready[k * chunk - lead : k * chunk + size + words.longest - 1]
+                    rows.append((row, k, lead, size, part.encode("utf-8", "surrogatepass")))
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "lead", "size", "part"])
 
     pieces = written(
         giants.select(F.col("__row").alias("row"), text.alias("t"))
-        .mapInArrow(cut, "row long, chunk long, size long, part binary")
+        .mapInArrow(cut, "row long, chunk long, lead long, size long, part binary")
         .repartition("row", "chunk"),
         "chunks",
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401
+
         words = vocabulary(model)
-        for batch in batches:
-            made = [
-                _pack(chunk_matrix(words, p.decode("utf-8", "surrogatepass"), s))
-                for s, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
+        for batch in slices(batches, "part"):
+            if merges:
+                chunks, _, totals = _chunks(words, batch)
+                made = [merge_scan.pack(c.matrix(t)) for c, t in zip(chunks, totals.tolist(), strict=True)]
+            else:
+                made = [_pack(chunk_matrix(words, p, s)) for _, s, p in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["row", "chunk", "matrix"])
 
     matrices = written(pieces.mapInArrow(measure, "row long, chunk long, matrix binary"), "matrices")
-    known = matrices.join(_scan(matrices, most // chunk + 1), ["row", "chunk"])
-    found = pieces.join(known, ["row", "chunk"]).select("row", "chunk", "size", "part", "matrix", "before", "after")
+    known = matrices.join(_scan(matrices, most // chunk + 1, merges), ["row", "chunk"])
+    found = pieces.join(known, ["row", "chunk"]).select("row", "chunk", "lead", "size", "part", "matrix", "before", "after")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401
+
         words = vocabulary(model)
-        for batch in batches:
-            ids, scores = [], []
-            for size, part, matrix, before, after in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True):
-                part = part.decode("utf-8", "surrogatepass")
-                ids.append(b"".join(chunk_ids(words, part, size, before, after)))
-                scores.append(int(_unpack(matrix)[0][before, after]))
+        for batch in slices(batches, "part"):
+            ends = list(zip(batch.column(6).to_pylist(), batch.column(7).to_pylist(), strict=True))
+            given = batch.column(5).to_pylist()
+            if merges:
+                chunks, middles, _ = _chunks(words, batch)
+                ids = [c.ids(*e, m) for c, e, m in zip(chunks, ends, middles.to_pylist(), strict=True)]
+                scores = [_score(m, e) for m, e in zip(given, ends, strict=True)]
+            else:
+                ids = [b"".join(chunk_ids(words, p, s, *e)) for (_, s, p), e in zip(_texts(batch), ends, strict=True)]
+                scores = [int(_unpack(m)[0][e]) for m, e in zip(given, ends, strict=True)]
             columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(scores, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "ids", "score"])
 
@@ -485,6 +654,22 @@ def encode(
     return small.unionByName(_gathered(giants, traced))
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, str]]:
+    """(lead, size, text) of the chunks of a batch."""
+    for lead, size, part in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+        yield lead, size, part.decode("utf-8", "surrogatepass")
+
+
+def _chunks(words: Vocabulary, batch: pa.RecordBatch) -> tuple[list[merge_scan.Chunk], pa.Array, np.ndarray]:
+    """The chunks of a batch, with ids and scores of their whole words."""
+    chunks = [merge_scan.Chunk(words, p, lead, size) for lead, size, p in _texts(batch)]
+    return chunks, *words.merge_all([c.middle for c in chunks])
+
+
+def _score(raw: bytes, ends: tuple[int, int]) -> int:
+    return next(s for b, a, s in merge_scan.unpack(raw).T.tolist() if (b, a) == ends)
+
+
 def _gathered(giants: DataFrame, traced: DataFrame) -> DataFrame:
     """The giant texts with the ids and scores of their chunks put together."""
     whole = traced.groupBy("row").agg(
@@ -495,35 +680,6 @@ def _gathered(giants: DataFrame, traced: DataFrame) -> DataFrame:
     return giants.join(whole, "__row").drop("__row")
 
 
-def _merged_chunks(giants: DataFrame, model: str, text: Column, chunk: int) -> DataFrame:
-    """(row, chunk, ids, score) of chunks of whole parts, of ``chunk`` characters or one longer part."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(model)
-        for batch in slices(batches, "t"):
-            for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                chunks, size = [[]], 0
-                for part in words.parts(words.prepared(raw)):
-                    if size and size + len(part) > chunk:
-                        chunks.append([])
-                        size = 0
-                    chunks[-1].append(part)
-                    size += len(part)
-                made = ["".join(c).encode("utf-8", "surrogatepass") for c in chunks]
-                columns = [pa.array([row] * len(made)), pa.array(range(len(made)), pa.int64()), pa.array(made, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "part"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(model)
-        for batch in batches:
-            found = [words.encode_merged(p.decode("utf-8", "surrogatepass")) for p in batch.column(2).to_pylist()]
-            columns = [pa.array([i for _, i in found], pa.binary()), pa.array([s for s, _ in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "chunk", "ids", "score"])
-
-    chunks = giants.select(F.col("__row").alias("row"), text.alias("t")).mapInArrow(cut, "row long, chunk long, part binary")
-    return chunks.repartition("row", "chunk").mapInArrow(run, "row long, chunk long, ids binary, score long")
-
-
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """Adds the text that the ids stand for (a column of that name is replaced); null ids give null."""
     kept = without(rows, [text_col])
@@ -532,9 +688,10 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            texts = pa.array([None if i is None else words.decode(i) for i in ids], pa.string())
+        import pyarrow.compute  # noqa: F401
+
+        for batch in slices(batches, ids_col):
+            texts = words.decode_all(batch.column(batch.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, text_col])
 
     return kept.mapInArrow(run, schema)
