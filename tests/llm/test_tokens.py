@@ -298,6 +298,7 @@ def test_many_texts_merged_at_once(words, model, monkeypatch, kept):
     import sentencepiece
 
     monkeypatch.setattr(pieces, "KEPT", kept)
+    monkeypatch.setattr(pieces, "AT_ONCE", 5_000)
     library = sentencepiece.SentencePieceProcessor(model_file=model)
     own = dataclasses.replace(words, kept_merged={}, kept_pairs={})
     rng = random.Random(8)

@@ -42,8 +42,8 @@ def fold(id_col: str, folds: int = 5) -> Column:
     return F.coalesce(value, F.lit(0)).cast("int")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of a piece stay within SLICE_BYTES.
+def slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts of a piece stay within ``most`` bytes.
 
     A single longer text is a piece of its own.
     """
@@ -51,7 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.Reco
         column = batch.column(batch.schema.get_field_index(text_col))
         begin, size = 0, 0
         for row, length in enumerate(pa.compute.binary_length(column).to_pylist()):
-            if size and size + (length or 0) > SLICE_BYTES:
+            if size and size + (length or 0) > most:
                 yield batch.slice(begin, row - begin)
                 begin, size = row, 0
             size += length or 0

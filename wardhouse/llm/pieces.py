@@ -49,7 +49,12 @@ CHUNK = 8_192
 #: Matrices that are combined in one step.
 FAN = 64
 #: Best paths that a task keeps at most; a fuller store is emptied and filled anew.
-KEPT = 500_000
+KEPT = 200_000
+#: Characters whose parts are numbered and merged at once.
+AT_ONCE = 4_000_000
+#: Bytes of chunks that a task is dealt, as long as that takes no more tasks than MOST_TASKS.
+TASK_BYTES = 8_000_000
+MOST_TASKS = 20_000
 _NONE = -(1 << 62)
 _NEVER = -(1 << 61)
 
@@ -238,7 +243,7 @@ class Vocabulary:
         """Whether the two, put together, are merged to just these pieces."""
         found = self.kept_pairs.get((left, right))
         if found is None:
-            if len(self.kept_pairs) >= KEPT:
+            if len(self.kept_pairs) >= KEPT // 4:
                 self.kept_pairs.clear()
             found = self._joined(left + right) == ([left, right] if left else [right])
             self.kept_pairs[left, right] = found
@@ -256,10 +261,22 @@ class Vocabulary:
 
     def merge_all(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
         """``encode_merged`` of many prepared texts: parts are numbered, each distinct one is encoded once."""
+        ids, scores, some, size = [], [], [], 0
+        for text in texts:
+            if some and size + len(text) > AT_ONCE:
+                found = self._merge_some(some)
+                ids.append(found[0])
+                scores.append(found[1])
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        found = self._merge_some(some)
+        return pa.concat_arrays([*ids, found[0]]), np.concatenate([*scores, found[1]])
+
+    def _merge_some(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
         import pyarrow.compute as pc
 
-        odd = [k for k, t in enumerate(texts) if _LITERAL in t or "\0" in t]
-        if odd or not self.by_words:
+        if not self.by_words or any(_LITERAL in t or "\0" in t for t in texts):
             found = [self.encode_merged(t) for t in texts]
             return pa.array([i for _, i in found], pa.binary()), np.array([s for s, _ in found], np.int64)
         marked = pc.replace_substring(pa.array(texts, pa.string()), SPACE, "\0" + SPACE)
@@ -269,17 +286,10 @@ class Vocabulary:
                 marked = pc.replace_substring(marked, SPACE + "\0" + SPACE, SPACE * 2)
         parts = pc.split_pattern(marked, "\0")
         coded = parts.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        kept = self.kept_merged
-        new = [p for p in distinct if p not in kept]
-        if len(kept) + len(new) > KEPT:
-            kept.clear()
-            new = distinct
-        kept.update(self.pairs.merged([p for p in new if 0 < len(p) <= 64]))
-        found = [kept.get(p) or self.merged(p) for p in distinct]
+        totals, merged = self.pairs.merged(coded.dictionary)
         numbers, offsets = coded.indices, parts.offsets
-        ids = pa.array([i for _, i in found], pa.binary()).take(numbers)
-        sums = np.append(0, np.cumsum(np.array([s for s, _ in found], np.int64)[numbers.to_numpy()]))
+        ids = merged.take(numbers)
+        sums = np.append(0, np.cumsum(totals[numbers.to_numpy()]))
         ends = offsets.to_numpy()
         return pc.binary_join(pa.ListArray.from_arrays(offsets, ids), b""), sums[ends[1:]] - sums[ends[:-1]]
 
@@ -359,43 +369,53 @@ class Pairs:
         piece = self.joined[at]
         return np.where(self.keys[at] == wanted, self.scores[piece], _NONE), piece
 
-    def merged(self, parts: list[str]) -> dict[str, tuple[int, bytes]]:
-        """Summed scores and ids of parts without NUL."""
-        by_length: dict[int, list[str]] = {}
-        for part in parts:
-            by_length.setdefault(len(part), []).append(part)
-        out = {}
-        for n, some in by_length.items():
-            row = np.arange(len(some))
-            letters = np.array(some, f"U{n}").view(np.uint32).reshape(-1, n)
-            symbol = self.of_character[letters]
-            score, piece = self._look(symbol[:, :-1], symbol[:, 1:])
-            while len(row):
-                n = symbol.shape[1]
-                best = score.argmax(1) if n > 1 else np.zeros(len(row), np.int64)
-                open_ = score[np.arange(len(row)), best] != _NONE if n > 1 else np.zeros(len(row), bool)
-                self._done(out, some, row[~open_], symbol[~open_])
-                row, symbol, score, piece, best = (x[open_] for x in (row, symbol, score, piece, best))
-                if not len(row):
-                    break
-                each = np.arange(len(row))
-                symbol[each, best] = piece[each, best]
-                stay = np.arange(n) != best[:, None] + 1
-                symbol = symbol[stay].reshape(len(row), n - 1)
-                stay = np.arange(n - 1) != best[:, None]
-                score, piece = (x[stay].reshape(len(row), n - 2) for x in (score, piece))
-                for place in (best - 1, best):
-                    near = np.flatnonzero((place >= 0) & (place < n - 2))
-                    at = place[near]
-                    score[near, at], piece[near, at] = self._look(symbol[near, at], symbol[near, at + 1])
-        return out
+    def merged(self, parts: pa.StringArray) -> tuple[np.ndarray, pa.BinaryArray]:
+        """Summed scores and ids of parts, by their places."""
+        import pyarrow.compute as pc
 
-    def _done(self, out: dict, some: list[str], row: np.ndarray, symbol: np.ndarray) -> None:
-        sums, size = self.scores[symbol].sum(1).tolist(), 4 * symbol.shape[1]
-        raw = symbol.astype("<u4").tobytes()
-        for k, (r, total, whole) in enumerate(zip(row.tolist(), sums, (symbol < self.known).all(1).tolist(), strict=True)):
-            # A character that no piece holds becomes bytes, so that these are merged by themselves.
-            out[some[r]] = (total, raw[k * size : (k + 1) * size]) if whole else self.words.merged(some[r])
+        lengths = np.array(pc.utf8_length(parts))
+        sums, counts = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        done = []
+        for n in np.unique(lengths[(lengths > 0) & (lengths <= 64)]).tolist():
+            row = np.flatnonzero(lengths == n)
+            letters = "".join(parts.take(pa.array(row)).to_pylist()).encode("utf-32-le")
+            for rows, symbols in self._steps(row, self.of_character[np.frombuffer(letters, "<u4").reshape(-1, n)]):
+                sums[rows], counts[rows] = self.scores[symbols].sum(1), symbols.shape[1]
+                whole = (symbols < self.known).all(1)
+                done.append((rows[whole], symbols[whole]))
+                lengths[rows[~whole]] = 65
+        # Long parts are merged by themselves; so are those with a character that no piece holds, which becomes bytes.
+        for k in np.flatnonzero(lengths > 64).tolist():
+            sums[k], raw = self.words.merged(parts[k].as_py())
+            counts[k] = len(raw) // 4
+            done.append((np.array([k]), np.frombuffer(raw, "<u4").reshape(1, -1)))
+        starts = np.append(0, np.cumsum(counts))
+        ids = np.empty(starts[-1], "<u4")
+        for rows, symbols in done:
+            ids[starts[rows][:, None] + np.arange(symbols.shape[1])] = symbols
+        buffers = [None, pa.py_buffer((starts * 4).astype(np.int32)), pa.py_buffer(ids)]
+        return sums, pa.BinaryArray.from_buffers(pa.binary(), len(parts), buffers)
+
+    def _steps(self, row: np.ndarray, symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, their symbols) that are done, step by step."""
+        score, piece = self._look(symbol[:, :-1], symbol[:, 1:])
+        while (n := symbol.shape[1]) > 1:
+            best = score.argmax(1)
+            open_ = score[np.arange(len(row)), best] != _NONE
+            yield row[~open_], symbol[~open_]
+            if not open_.any():
+                return
+            row, symbol, score, piece, best = (x[open_] for x in (row, symbol, score, piece, best))
+            each = np.arange(len(row))
+            symbol[each, best] = piece[each, best]
+            symbol = symbol[np.arange(n) != best[:, None] + 1].reshape(len(row), n - 1)
+            stay = np.arange(n - 1) != best[:, None]
+            score, piece = (x[stay].reshape(len(row), n - 2) for x in (score, piece))
+            for place in (best - 1, best):
+                near = np.flatnonzero((place >= 0) & (place < n - 2))
+                at = place[near]
+                score[near, at], piece[near, at] = self._look(symbol[near, at], symbol[near, at + 1])
+        yield row, symbol
 
 
 _WORDS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -589,10 +609,11 @@ def encode(
 
     small = append_columns(docs.where(~long), text_col, fields, make)
     giants = written(docs.where(long).withColumn("__row", F.monotonically_increasing_id()), "giants")
-    most = giants.agg(F.max(F.length(text))).first()[0]
+    most, total = giants.agg(F.max(F.length(text)), F.sum(F.octet_length(text))).first()
     if most is None:
         return small
     chunk = max(chunk, vocabulary(model).longest)
+    tasks = min(-(-total // TASK_BYTES), MOST_TASKS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
@@ -613,7 +634,7 @@ def encode(
     pieces = written(
         giants.select(F.col("__row").alias("row"), text.alias("t"))
         .mapInArrow(cut, "row long, chunk long, lead long, size long, part binary")
-        .repartition("row", "chunk"),
+        .repartition(tasks, "row", "chunk"),
         "chunks",
     )
 
@@ -621,7 +642,7 @@ def encode(
         import pyarrow.compute  # noqa: F401
 
         words = vocabulary(model)
-        for batch in slices(batches, "part"):
+        for batch in slices(batches, "part", AT_ONCE):
             if merges:
                 chunks, _, totals = _chunks(words, batch)
                 made = [merge_scan.pack(c.matrix(t)) for c, t in zip(chunks, totals.tolist(), strict=True)]
@@ -637,7 +658,7 @@ def encode(
         import pyarrow.compute  # noqa: F401
 
         words = vocabulary(model)
-        for batch in slices(batches, "part"):
+        for batch in slices(batches, "part", AT_ONCE):
             ends = list(zip(batch.column(6).to_pylist(), batch.column(7).to_pylist(), strict=True))
             given = batch.column(5).to_pylist()
             if merges:
@@ -690,7 +711,7 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "t
         words = vocabulary(model)
         import pyarrow.compute  # noqa: F401
 
-        for batch in slices(batches, ids_col):
+        for batch in slices(batches, ids_col, AT_ONCE):
             texts = words.decode_all(batch.column(batch.schema.get_field_index(ids_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, text_col])
 
