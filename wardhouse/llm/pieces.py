@@ -27,7 +27,7 @@ import re
 import sys
 import types
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -48,10 +48,11 @@ GIANT = 16_384
 CHUNK = 8_192
 #: Matrices that are combined in one step.
 FAN = 64
-#: Best paths that a task keeps at most; a fuller store is emptied and filled anew.
+#: Parts encoded one by one that a task keeps at most, and a quarter as many pairs of pieces; a
+#: fuller store is emptied and filled anew.
 KEPT = 200_000
 #: Characters whose parts are numbered and merged at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 #: Bytes of chunks that a task is dealt, as long as that takes no more tasks than MOST_TASKS.
 TASK_BYTES = 8_000_000
 MOST_TASKS = 20_000
@@ -259,7 +260,7 @@ class Vocabulary:
     def next_cut(self, text: str, at: int) -> int:
         return _WORDS.match(text, at).end() if self.by_words else len(text)
 
-    def merge_all(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    def merge_all(self, texts: Iterable[str]) -> tuple[pa.Array, np.ndarray]:
         """``encode_merged`` of many prepared texts: parts are numbered, each distinct one is encoded once."""
         ids, scores, some, size = [], [], [], 0
         for text in texts:
@@ -599,7 +600,7 @@ def encode(
         words = vocabulary(model)
 
         def compute(texts: list) -> list:
-            ready = [words.prepared(t or "") for t in texts]
+            ready = (words.prepared(t or "") for t in texts)
             if merges:
                 return list(words.merge_all(ready))
             found = [words.encode(t) for t in ready]
