@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wardhouse.contracts import Table
 from wardhouse.functions.casts import blank_to_null, safe_cast
 from wardhouse.operators.dedup import any_null, latest_per_key
+from wardhouse.operators.joins import small
 
 
 def typed(raw: DataFrame, table: Table, wrong: bool = False) -> DataFrame:
@@ -20,19 +21,24 @@ def typed(raw: DataFrame, table: Table, wrong: bool = False) -> DataFrame:
     its type, NULL where all fit: after the cast such a value is only missing.
     """
     columns = [safe_cast(F.col(c.source), c.kind).alias(c.target) for c in table.columns]
-    if wrong:
-        columns.append(_misfits(table).alias(WRONG))
-    return raw.select(*columns)
+    if not wrong:
+        return raw.select(*columns)
+    # The casts are used twice, by the projection after them.
+    texts = F.struct(*[F.col(c.source) for c in _parsed(table)]).alias(_TEXTS)
+    cast = raw.select(*columns, *([texts] if _parsed(table) else []))
+    return cast.withColumn(WRONG, _misfits(table)).drop(_TEXTS)
+
+
+def _parsed(table: Table) -> list:
+    return [c for c in table.columns if c.kind != "varchar"]
 
 
 def _misfits(table: Table) -> Column:
     bad = [
         F.when(
-            blank_to_null(F.col(c.source)).isNotNull() & safe_cast(F.col(c.source), c.kind).isNull(),
-            F.lit(c.source),
+            blank_to_null(F.col(_TEXTS)[c.source]).isNotNull() & F.col(c.target).isNull(), F.lit(c.source)
         )
-        for c in table.columns
-        if c.kind != "varchar"
+        for c in _parsed(table)
     ]
     names = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
     return F.when(F.size(names) > 0, names)
@@ -140,6 +146,7 @@ def upsert_counts(
 # day its key came with, the row that waits, and what did not fit its type.
 DAY, FIRST, WAITING = "_batch_dt", "_first_dt", "_waiting"
 WRONG = "_wrong_types"
+_TEXTS = "_texts"
 OWN = (DAY, FIRST, WAITING, WRONG)
 
 
@@ -171,15 +178,22 @@ def merge_day(
     may still come and set it free. Rows with a NULL key match nothing: all days'
     rows are kept, and a day that comes again replaces its own.
 
-    The target has the batch's columns and those of :func:`dated`. Joins are those
-    of :func:`upsert`: the target is never moved for a small batch.
+    The target has the batch's columns and those of :func:`dated`, and one row for each
+    key. Joins of a small batch are those of :func:`upsert`, which never move the target.
     """
     business = [c for c in target.columns if c not in (DAY, FIRST, WAITING)]
     others = [c for c in business if c not in keys]
     source = latest_in_batch(batch, keys, guard).select(*business)
     keyed = source.select(*keys, F.struct(*business, F.lit(day).alias(DAY)).alias("_new"))
     held = target.filter(~any_null(keys))
-    joined = held.join(keyed, list(keys), "left")
+    # A batch that Spark broadcasts meets the target where it is, in two joins. Otherwise
+    # both sides are moved, once, for one join; neither side repeats a key.
+    whole = not small(source)
+    if whole:
+        joined = held.withColumn("_held", F.lit(True)).join(keyed, list(keys), "full")
+    else:
+        joined = held.withColumn("_held", F.lit(True)).join(keyed, list(keys), "left")
+    known = F.col("_held").isNotNull()
     new, old = F.col("_new"), F.struct(*business, DAY)
     none = F.when(F.lit(False), old)
 
@@ -209,18 +223,29 @@ def merge_day(
             .when(blocked & new[guard].isNotNull(), ahead)
             .otherwise(waiting),
         )
-    merged = joined.withColumn("_shown", shown)
+        joined = joined.withColumn("_next", F.when(known, F.col("_next")))
+    merged = joined.withColumn("_shown", F.when(known, shown).otherwise(new))
     if updates is not None:
-        merged = merged.observe(updates, F.count_if(F.col("_shown").isNotNull()).alias("n"))
+        merged = merged.observe(updates, F.count_if(known & F.col("_shown").isNotNull()).alias("n"))
     taken = F.col("_shown").isNotNull()
     columns = [F.col(k) for k in keys]
     columns += [F.when(taken, F.col("_shown")[c]).otherwise(F.col(c)).alias(c) for c in (*others, DAY)]
     if guard is not None:
         columns += [F.least(FIRST, F.col("_new")[DAY]).alias(FIRST), F.col("_next").alias(WAITING)]
-    merged = merged.select(*columns).select(*target.columns)
+    merged = merged.select(*columns, (~known).alias("_added")).select(*target.columns, "_added")
 
     loose = target.filter(any_null(keys) & (F.col(DAY) != F.lit(day)))
-    added = new_rows(held, source, keys).unionByName(batch.filter(any_null(keys)).select(*business))
+    keyless = batch.filter(any_null(keys)).select(*business)
+    if whole:
+        more = dated(keyless, day, guard).select(*target.columns)
+        out = merged.unionByName(loose.withColumn("_added", F.lit(False))).unionByName(
+            more.withColumn("_added", F.lit(True))
+        )
+        if inserts is not None:
+            out = out.observe(inserts, F.count_if("_added").alias("n"))
+        return out.drop("_added")
+    merged = merged.drop("_added")
+    added = new_rows(held, source, keys).unionByName(keyless)
     if inserts is not None:
         added = added.observe(inserts, F.count("*").alias("n"))
     added = dated(added, day, guard).select(*target.columns)

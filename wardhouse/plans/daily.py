@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, Observation
@@ -40,7 +40,7 @@ from wardhouse.plans.party import build_party
 from wardhouse.plans.reconciliation import layer_failures, view_failures
 from wardhouse.plans.staging import stage
 from wardhouse.plans.work import checked
-from wardhouse.session import work_path
+from wardhouse.session import at_once, work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import read_batch, require_contract
 from wardhouse.sources.warehouse import OBS, REJECTS, SOC, STG, TCH, WRK, Warehouse, utc_now
@@ -145,8 +145,26 @@ def ingest_contract(
 def ingest_batch(
     wh: Warehouse, inputs: str, day: date, exec_id: int | None = None
 ) -> list[LoadResult]:
-    """Load all tables in contract order; the first failure stops the rest."""
-    return [ingest_table(wh, inputs, day, name, exec_id) for name in TABLES]
+    """Load all tables, some side by side; the first extract, in contract order, that cannot be
+    read or breaks its contract stops those after it, before any is written."""
+
+    def opened(contract: Table) -> DataFrame | Exception:
+        try:
+            raw = read_batch(wh.spark, inputs, day, contract.name)
+            require_contract(raw, contract, day)
+            return raw
+        except Exception as error:
+            return error
+
+    found = at_once([partial(opened, contract) for contract in TABLES.values()])
+    failure = next((f for f in found if isinstance(f, Exception)), None)
+    ready = found if failure is None else found[: found.index(failure)]
+    results = at_once(
+        [partial(load_rows, wh, contract, raw, day, exec_id) for contract, raw in zip(TABLES.values(), ready)]
+    )
+    if failure is not None:
+        raise failure
+    return results
 
 
 def replay_batches(

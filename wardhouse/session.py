@@ -4,12 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from wardhouse.sources.files import drop_folder
 
 
+_T = TypeVar("_T")
+# Jobs of independent tables that wait for the cluster at once.
+_AT_ONCE = 4
+
+
+def at_once(jobs: Sequence[Callable[[], _T]], width: int = _AT_ONCE) -> list[_T]:
+    """The results of independent steps, in order, with the Spark jobs of some of them running
+    side by side: a small one fills the cores that the last tasks of another leave idle.
+
+    The first failure, by order, is raised when the steps that run have ended; those that
+    have not begun are left out.
+    """
+    with ThreadPoolExecutor(max(1, min(width, len(jobs)))) as pool:
+        local = inheritable_thread_target(SparkSession.getActiveSession())
+        futures = [pool.submit(local(job)) for job in jobs]
+        try:
+            return [f.result() for f in futures]
+        finally:
+            pool.shutdown(wait=True, cancel_futures=True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and work tables.
 

@@ -36,6 +36,35 @@ def has_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Put the files that one write left in a folder in place of those of another folder.
+
+    Files are moved one by one, after those of other writes are gone. If that is cut
+    short, it is done again with what is left: nothing goes before its successor is
+    complete in one of the two folders.
+    """
+    names = child_files(spark, source, ".parquet")
+    if not names:
+        return
+    write = _write_of(names[0])
+    fs, into = _fs(spark, target)
+    fs.mkdirs(into)
+    for name in child_files(spark, target, ".parquet"):
+        if _write_of(name) != write:
+            fs.delete(_fs(spark, f"{target}/{name}")[1], False)
+    for name in names:
+        moved, place = _fs(spark, f"{source}/{name}")[1], _fs(spark, f"{target}/{name}")[1]
+        # A copy that was cut short, in a store that moves by copying.
+        fs.delete(place, False)
+        if not fs.rename(moved, place):
+            raise OSError(f"{source}/{name} was not moved to {target}")
+
+
+def _write_of(name: str) -> str:
+    """The id that the names of all files of one write share: part-00000-<id>.c000..."""
+    return name.split("-", 2)[2].split(".")[0]
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, jvm_path = _fs(spark, path)
     fs.delete(jvm_path, True)

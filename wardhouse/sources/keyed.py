@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardhouse.operators.dedup import any_null
-from wardhouse.sources.files import child_folders, drop_folder, has_file
+from wardhouse.sources.files import child_folders, drop_folder, has_file, move_files
 
 SLOT = "_slot"
 #: The slot of rows without a whole key.
@@ -22,8 +22,8 @@ class KeyedTable:
 
     A batch can only change rows of its own keys, so only the folders of their
     slots are read and written. Their next content is written beside the table
-    first; a finished one replaces the folders, and if that is cut short, it is
-    done again from there before the table is used. One writer at a time; readers
+    first; the files of a finished one are moved into the folders, and if that is
+    cut short, it is done again from there before the table is used. One writer at a time; readers
     open the table after a write.
     """
 
@@ -90,13 +90,6 @@ class KeyedTable:
             drop_folder(self.spark, self._pending)
 
     def _publish(self) -> None:
-        if child_folders(self.spark, self._pending):
-            (
-                self.spark.read.parquet(self._pending)
-                .hint("rebalance", F.col(SLOT))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(SLOT)
-                .parquet(self.path)
-            )
+        for slot in child_folders(self.spark, self._pending):
+            move_files(self.spark, f"{self._pending}/{slot}", f"{self.path}/{slot}")
         drop_folder(self.spark, self._pending)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -52,7 +53,7 @@ def utc_now() -> datetime:
 
 @dataclass
 class Warehouse:
-    """Where the layers live. One writer at a time, any number of readers.
+    """Where the layers live. One writer of a table at a time, any number of readers.
 
     A write never touches what is being read: it fills a new folder, and only
     a finished write is entered in the snapshot log.
@@ -71,6 +72,8 @@ class Warehouse:
     slots: int = 64
 
     def __post_init__(self) -> None:
+        # Tables may be written side by side, the log takes one entry after the other.
+        self._lock = threading.RLock()
         none = self.spark.createDataFrame([], _LOG)
         none.write.mode("ignore").parquet(self._log_path)
         self._seen, self._known = None, {}
@@ -90,16 +93,17 @@ class Warehouse:
 
         The log is read again when its files have changed.
         """
-        state = folder_state(self.spark, self._log_path)
-        if state != self._seen:
-            latest = (
-                self._log()
-                .groupBy("layer", "name")
-                .agg(F.max_by(F.struct(*_OPENING), "version").alias("s"))
-            )
-            self._known = {(row["layer"], row["name"]): row["s"] for row in latest.collect()}
-            self._seen = state
-        return {name: s for (of, name), s in self._known.items() if of == layer}
+        with self._lock:
+            state = folder_state(self.spark, self._log_path)
+            if state != self._seen:
+                latest = (
+                    self._log()
+                    .groupBy("layer", "name")
+                    .agg(F.max_by(F.struct(*_OPENING), "version").alias("s"))
+                )
+                self._known = {(row["layer"], row["name"]): row["s"] for row in latest.collect()}
+                self._seen = state
+            return {name: s for (of, name), s in self._known.items() if of == layer}
 
     def exists(self, layer: str, name: str) -> bool:
         return name in self._current(layer)
@@ -214,9 +218,9 @@ class Warehouse:
         )
 
     def _log_entry(self, *entry) -> None:
-        self.spark.createDataFrame([entry], _LOG).coalesce(1).write.mode("append").parquet(
-            self._log_path
-        )
+        row = self.spark.createDataFrame([entry], _LOG).coalesce(1)
+        with self._lock:
+            row.write.mode("append").parquet(self._log_path)
 
     def drop_old(self, layer: str, name: str, keep: int = 2) -> list[str]:
         """Delete all but the newest snapshots of a table. A keyed table has one folder for all."""

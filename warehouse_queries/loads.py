@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
@@ -17,7 +17,7 @@ from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
 from wardhouse.plans.audit import RunLog, step_state
 from wardhouse.plans.daily import Steps, ingest_contract, load_rows, replay_batches
-from wardhouse.session import work_path
+from wardhouse.session import at_once, work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
     batch_file,
@@ -518,13 +518,16 @@ _SOURCES = {
 def replay_days(spark, sf_dir):
     """All seven extracts of two days (keys by parity) as files, loaded oldest first in logged steps."""
     inputs, day1, day2 = work_path(spark, "days"), *map(parse_batch_date, ("2026-04-29", "2026-04-30"))
-    for name, (source, _, key) in _SOURCES.items():
+
+    def extract(name, source, key):
         contract = C.TABLES[name]
         rows = written(source(spark, sf_dir))
         texts = [F.col(c.staged).cast("string").alias(c.source) for c in contract.columns]
         for part, day in enumerate((day1, day2)):
             of_day = rows.filter(F.pmod(F.expr(key), F.lit(2)) == part)
             _as_extract(of_day.select(*texts), batch_file(inputs, day, name))
+
+    at_once([partial(extract, name, source, key) for name, (source, _, key) in _SOURCES.items()])
     wh = Warehouse(spark, work_path(spark, "replayed"), slots=4)
     log = RunLog(spark, wh.path(TCH, "events"))
     with log.run(1, "MANUAL", day1):
