@@ -70,14 +70,18 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         raise
 
 
+#: Lines of a split that one task puts in order at once, at most.
+CHUNK = 1 << 15
+
+
 def _quotes() -> Column:
     return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
 
 
 def has_multiline_records(spark: SparkSession, path: str) -> bool:
     """Whether some line leaves a quote open, so that a record spans lines."""
-    row = spark.read.text(path).agg(F.max(_quotes() % 2).alias("odd")).first()
-    return bool(row["odd"])
+    quoted = spark.read.text(path).filter(F.contains("value", F.lit('"')))
+    return not quoted.filter(_quotes() % 2 == 1).isEmpty()
 
 
 def read_text_table(
@@ -121,8 +125,11 @@ def split_states(lines: DataFrame) -> DataFrame:
     A prefix sum over the splits of each file, one row a split. The line that opens a
     record is told by its split and the number of odd lines before it there.
     """
+    # A list, which stays empty, lets Spark hold the text of min_by in objects; it sorts all lines
+    # by their split otherwise.
+    none = F.size(F.collect_list(F.when(F.col("odd") < 0, 1))) == 0
     splits = lines.groupBy("file", "block").agg(
-        F.sum("odd").alias("n_odd"), F.min_by("value", "place").alias("first_line")
+        F.sum("odd").alias("n_odd"), F.when(none, F.min_by("value", "place")).alias("first_line")
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     last_odd = F.when(F.col("n_odd") > 0, F.struct("block", (F.col("n_odd") - 1).alias("n")))
@@ -139,14 +146,16 @@ def text_records(spark: SparkSession, path: str) -> DataFrame:
 
     A line is a record of its own where the quotes before it in its file are even and
     its own are too. Splits that hold no odd line and begin outside a record, normally
-    nearly all, are taken as they are. In the others a running sum finds the record
-    that each line belongs to, and only lines of records over several lines are
-    grouped. All files must begin with the same header line. A quote that is never
-    closed makes the rest of its file one record, as for any reader.
+    nearly all, are taken as they are. The lines of the others are written once, numbered
+    by split and in chunks of :data:`CHUNK` lines: prefix sums, one row a chunk and then
+    one chunk at a time, find the record that each line belongs to, and only lines of
+    records over several lines are grouped. No task sorts a whole split. All files must
+    begin with the same header line. A quote that is never closed makes the rest of its
+    file one record, as for any reader.
     """
     lines = _lines(spark, path)
     found = work_path(spark, "splits")
-    split_states(lines).write.parquet(found)
+    split_states(lines).withColumn("split", F.monotonically_increasing_id()).write.parquet(found)
     splits = spark.read.parquet(found)
     headers = (
         splits.filter("block = 0").select(_bare("first_line").alias("header")).distinct().limit(2).collect()
@@ -154,28 +163,50 @@ def text_records(spark: SparkSession, path: str) -> DataFrame:
     if len(headers) > 1:
         raise ValueError(f"extracts below {path} begin with different header lines")
     header = headers[0]["header"] if headers else None
-    marked = splits.filter("n_odd > 0 OR inside = 1").select("file", "block", "inside", "opened")
+    marked = splits.filter("n_odd > 0 OR inside = 1").select("file", "block", "split")
     lines = lines.filter(~((F.col("block") == 0) & (_bare("value") == F.lit(header))))
     plain = lines.join(marked, ["file", "block"], "left_anti").select("value")
+    single, joined = _grouped(spark, lines.join(marked, ["file", "block"]), splits)
+    ones = plain.unionAll(single).filter(F.trim(F.translate("value", "\r\t", "  ")) != "")
+    return ones.unionAll(joined).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
 
-    order = Window.partitionBy("file", "block").orderBy("place")
-    run = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = lines.join(marked, ["file", "block"]).withColumn("run", run)
-    placed = placed.withColumn("within", (F.col("inside") + F.col("run")) % 2)
+
+def _grouped(spark: SparkSession, lines: DataFrame, splits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of lines with their split: those that are records, and the records over several lines."""
+    held, sums = work_path(spark, "lines"), work_path(spark, "chunks")
+    chunk = F.floor(F.col("place") / CHUNK).alias("chunk")
+    lines.select("split", chunk, "place", "odd", "value").write.parquet(held)
+    lines = spark.read.parquet(held)
+
+    # The split and place of the line that a split begins inside of, and the odd lines before a chunk.
+    openers = splits.select("file", F.col("block").alias("_block"), F.col("split").alias("opener"))
+    begun = splits.join(
+        openers, (splits["file"] == openers["file"]) & (F.col("opened.block") == F.col("_block")), "left"
+    ).select("split", "inside", "opener", F.col("opened.n").alias("opener_n"))
+    earlier = Window.partitionBy("split").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = lines.groupBy("split", "chunk").agg(F.sum("odd").alias("n_odd"))
+    chunks = chunks.withColumn("before", F.coalesce(F.sum("n_odd").over(earlier), F.lit(0)))
+    chunks.join(begun, "split").drop("n_odd").write.parquet(sums)
+
+    order = Window.partitionBy("split", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.withColumn("run", F.coalesce(F.sum("odd").over(order), F.lit(0)))
+    placed = placed.join(spark.read.parquet(sums), ["split", "chunk"])
+    run = F.col("before") + F.col("run")
+    placed = placed.withColumns({"run": run, "within": (F.col("inside") + run) % 2})
     own = F.when(F.col("within") == 0, F.col("run")).when(F.col("run") > 0, F.col("run") - 1)
+    opener = F.struct(F.col("opener").alias("split"), F.col("opener_n").alias("n"))
     placed = placed.withColumn(
-        "start", F.when(own.isNotNull(), F.struct("block", own.alias("n"))).otherwise(F.col("opened"))
+        "start", F.when(own.isNotNull(), F.struct("split", own.alias("n"))).otherwise(opener)
     )
     alone = (F.col("within") == 0) & (F.col("odd") == 0)
-    single = placed.filter(alone).select("value")
+    # Splits of a file are put in order by their start there.
+    several = placed.filter(~alone).join(splits.select("split", "block"), "split")
     joined = (
-        placed.filter(~alone)
-        .groupBy("file", "start")
+        several.groupBy("start")
         .agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("lines"))
         .select(F.array_join(F.col("lines.value"), "\n").alias("value"))
     )
-    ones = plain.unionAll(single).filter(F.trim(F.translate("value", "\r\t", "  ")) != "")
-    return ones.unionAll(joined).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
+    return placed.filter(alone).select("value"), joined
 
 
 def _bare(column: str) -> Column:
