@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from wardhouse.contracts import TABLES
 from wardhouse.operators import checks
 from wardhouse.operators.fingerprint import differences, fingerprint
+from wardhouse.session import at_once, work_path
 
 # What each view must share with its sources. Sources are all
 # archived days of a table, under their loaded names.
@@ -35,17 +37,48 @@ RULES = {
 }
 
 
+#: What is kept of a view for each of its ids.
+KEPT = {
+    "vw_avg_age_by_pathology": ("min(report_date) AS first_day", "max(report_date) AS last_day"),
+    "vw_top_medication_by_pathology": ("sum(total_quantity) AS total_quantity",),
+}
+
+
+def summed_up(
+    views: dict[str, DataFrame], sources: dict[str, DataFrame]
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The views of KNOWN, and the prescriptions, with one row for each id, as work tables.
+
+    Every figure and check of a view is taken from its ids, so that a view, which is
+    built on read, is built once.
+    """
+
+    def by_id(rows: DataFrame, column: str, kept: Sequence[str]) -> DataFrame:
+        ids = rows.groupBy(column).agg(*[F.expr(k) for k in kept]) if kept else rows.select(column).distinct()
+        path = work_path(rows.sparkSession, "ids")
+        ids.write.parquet(path)
+        return rows.sparkSession.read.schema(ids.schema).parquet(path)
+
+    treated = (sources["TRAITEMENT"], "CD_MEDICAMENT", ("sum(QTE_MEDICAMENT) AS QTE_MEDICAMENT",))
+    asked = [treated] + [(views[view], column, KEPT.get(view, ())) for view, column, _, _ in KNOWN]
+    prescribed, *ids = at_once([partial(by_id, *a) for a in asked])
+    return views | dict(zip((view for view, *_ in KNOWN), ids)), sources | {"TRAITEMENT": prescribed}
+
+
 def figures(
     views: dict[str, DataFrame], r_room: DataFrame, sources: dict[str, DataFrame]
 ) -> dict[str, tuple[DataFrame, Column]]:
-    """The figures that the rules compare, each with the table it is taken from."""
+    """The figures that the rules compare, each with the table it is taken from.
+
+    Views and sources are those that :func:`summed_up` gives.
+    """
     age, night = views["vw_avg_age_by_pathology"], views["vw_patients_one_night"]
     consults, stays = sources["CONSULTATION"], sources["HOSPITALISATION"]
     needed = ("ID_HOSPI", "ID_CONSULT", "NO_CHAMBRE", "TS_DEBUT_HOSPI", "ID_PERSONNEL_RESP")
     valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]) & (F.col("ID_HOSPI") > 0)
     return {
-        "age_first": (age, F.min("report_date")),
-        "age_last": (age, F.max("report_date")),
+        "age_first": (age, F.min("first_day")),
+        "age_last": (age, F.max("last_day")),
         "first_batch": (consults, F.min("batch_dt")),
         "last_batch": (consults, F.max("batch_dt")),
         "medication_total": (views["vw_top_medication_by_pathology"], F.sum("total_quantity")),
@@ -64,6 +97,7 @@ def view_failures(
     views: dict[str, DataFrame], r_room: DataFrame, sources: dict[str, DataFrame]
 ) -> DataFrame:
     """Rules between views and their sources that do not hold: as the checks of a layer."""
+    views, sources = summed_up(views, sources)
     parts = F.split("failed_rule", ": ")
     broken = checks.reconcile(figures(views, r_room, sources), RULES).select(
         parts[0].alias("src_table"), F.lit("reconcile").alias("check"), parts[1].alias("detail"),

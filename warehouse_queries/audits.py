@@ -39,7 +39,7 @@ from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 from warehouse_queries.loads import ORDERS, order_texts
 from warehouse_queries.stars import _AGE, _MED, _NIGHT, _OCC, _ROOMS, _ROOMS_WORK, _SPEC
 from warehouse_queries.stars import QUERIES as STARS
-from warehouse_queries.stars import fact, individuals, medications, rooms, staff, stays, treatments
+from warehouse_queries.stars import fact, individuals, medications, rooms, staff, star, stays, treatments
 
 QUERIES = {}
 ORACLE = {}
@@ -291,12 +291,7 @@ _register(
 
 def _view_reconciliation(spark, sf_dir):
     """Views against sources of which a third of the patients and late consultations are missing."""
-    tables = {
-        "r_room": rooms(spark, sf_dir), "r_indiv": individuals(spark, sf_dir),
-        "r_stf": staff(spark, sf_dir), "r_trmt": treatments(spark, sf_dir),
-        "r_medc": written(medications(spark, sf_dir)), "r_hospi": stays(spark, sf_dir),
-        "fait_consult": fact(spark, sf_dir),
-    }
+    tables = star(spark, sf_dir)
     loaded = {
         name: source(spark, sf_dir) for name, source in (
             ("PATIENT", S.patients), ("PERSONNEL", S.staff), ("CONSULTATION", S.consultations),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from wardhouse import contracts as C
 from wardhouse.plans import kpis, marts
 from wardhouse.plans.refresh import refresh
 from wardhouse.plans.work import work
-from wardhouse.session import work_path
+from wardhouse.session import at_once, work_path
 from warehouse_queries import standins as S
 from warehouse_queries.gates import BATCH, EXEC, gated, plain, written
 
@@ -322,9 +323,7 @@ _register(
 
 def view_refresh(spark, sf_dir):
     """Ages by day, stored, then brought up to consultations and birth dates that changed on few days."""
-    new = {"fait_consult": fact(spark, sf_dir), "r_indiv": individuals(spark, sf_dir)}
-    others = ("r_trmt", "r_medc", "r_hospi", "r_room", "r_stf")
-    new |= {name: OTHERS[name](spark, sf_dir) for name in others}
+    new = star(spark, sf_dir)
     late = (F.col("started_at") < "2024-01-05") | (F.col("consultation_id") % 997 != 5)
     old = new | {
         "fait_consult": new["fait_consult"].filter(late),
@@ -339,10 +338,18 @@ def view_refresh(spark, sf_dir):
     return spark.read.parquet(path).withColumn("n_days", F.lit(len(days)).cast("long"))
 
 
-OTHERS = {
-    "r_trmt": treatments, "r_medc": lambda spark, sf: written(medications(spark, sf)), "r_hospi": stays,
-    "r_room": rooms, "r_stf": staff,
+_STAR = {
+    "r_trmt": treatments, "fait_consult": fact, "r_hospi": stays, "r_indiv": individuals, "r_room": rooms,
+    "r_medc": lambda spark, sf: written(medications(spark, sf)), "r_stf": staff,
 }
+
+
+def star(spark, sf_dir):
+    """The seven marts that the views read, written side by side."""
+    made = at_once([partial(build, spark, sf_dir) for build in _STAR.values()])
+    return dict(zip(_STAR, made))
+
+
 _register(
     "view_refresh", view_refresh,
     f"""{S.sql_work('consultation', 'patient')}, v AS ({_AGE}), d AS (
