@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardhouse.plans.kpis import VIEWS
 from wardhouse.session import work_path
-from wardhouse.sources.files import child_folders, drop_folder
+from wardhouse.sources.files import child_folders, drop_folder, move_files
 
 _MEDICATION = ("medicine_code", "medicine_category", "manufacturer_brand")
 
@@ -113,15 +113,8 @@ def refresh(
     work = work_path(spark, "view-days")
     VIEWS[view](marts).hint("rebalance", F.col("report_date")).write.partitionBy("report_date").parquet(work)
     built = [f for f in child_folders(spark, work) if f.startswith("report_date=")]
-    if built:
-        (
-            spark.read.parquet(work)
-            .hint("rebalance", F.col("report_date"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date")
-            .parquet(path)
-        )
+    for folder in built:
+        move_files(spark, f"{work}/{folder}", f"{path}/{folder}")
     # Days that have no row any more.
     for folder in set(child_folders(spark, path)).difference(built):
         if folder in {f"report_date={day}" for day in days}:
