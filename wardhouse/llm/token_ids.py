@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
@@ -195,14 +196,27 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(hidden)}
 
 
+#: Where a worker keeps its encoder: a module of no file, so that it outlives the task.
+_KEPT = "wardhouse_llm_kept"
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of a file; a Python worker keeps the last one for its next tasks."""
-    kept = sys.modules.setdefault("wardhouse_llm_kept", types.ModuleType("wardhouse_llm_kept"))
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT))
     if getattr(kept, "path", None) != path:
         kept.path, kept.encoder = path, Encoder(path)
     return kept.encoder
 
 
+def forget_encoder() -> None:
+    """Give back what :func:`encoder` keeps in this Python worker; for tasks that do not encode."""
+    kept = sys.modules.pop(_KEPT, None)
+    if kept is not None:
+        vars(kept).clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where a public tokenizer's file lies; every machine has the same files."""
     import public_tokenizers

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from wardhouse.llm.common import append_columns, labelled_sample, written
 from wardhouse.llm.linear import char_ngrams, distinct, fit_sparse, platt, sigmoid
+from wardhouse.llm.token_ids import forget_encoder
 
 BITS = 20
 ORDERS = (3, 4, 5, 6)
@@ -34,6 +35,7 @@ class ToxicityModel:
 
     def scorer(self):
         """A function from a list of texts to their probabilities."""
+        forget_encoder()
         place = np.full(1 << BITS, -1, np.int16)
         place[self.buckets] = np.arange(len(self.buckets))
 
@@ -58,6 +60,7 @@ def _document_counts(sample: DataFrame) -> DataFrame:
     """
 
     def run(batches):
+        forget_encoder()
         counts = np.zeros((2, 1 << BITS), np.int32)
         scratch = np.zeros(1 << BITS, np.int32)
         for batch in batches:
@@ -105,6 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     buckets, scale = chosen.bucket.to_numpy(np.int64), chosen.r.to_numpy(float)
 
     def make():
+        forget_encoder()
         place = np.full(1 << BITS, -1, np.int16)
         place[buckets] = np.arange(len(buckets))
 
