@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,6 +21,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 8_000_000
 
 
+def give_back_memory() -> None:
+    """Return to the system what earlier tasks of this Python worker used and freed.
+
+    A worker serves one task after the other; what its allocators hold counts for the
+    executor while the next operator works.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardhouse.llm.common import slices, without, written
+from wardhouse.llm.common import give_back_memory, slices, without, written
 from wardhouse.llm.token_ids import encoder
 
 LENGTH = 2048
@@ -202,6 +202,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col
     names = ["key", "doc_id", "start", "length", "doc_tokens", "size", "run", "rank", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         encode_all = encoder(tokenizer).encode_all
         base = TaskContext.get().partitionId() << 33
         ranks: dict[int, int] = {}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import sys
 import types
@@ -12,6 +11,8 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
+from wardhouse.llm.common import give_back_memory
+
 #: Parts whose ids a task keeps, and words of them; a fuller store is emptied and filled anew.
 KEPT_PIECES = 500_000
 #: Parts whose ids are put together at once.
@@ -88,14 +89,14 @@ class Encoder:
         self.words.clear()
         self.numbers: dict[str, int] = {}
         self.flat = np.empty(0, "<u4")
-        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.starts, self.counts = np.empty(0, np.int32), np.empty(0, np.int32)
         self.single = np.empty(0, bool)
 
     def _numbered(self, parts: list[str]) -> np.ndarray:
         """The number of each of the distinct parts; new ones are encoded."""
         if len(self.numbers) > KEPT_PIECES or len(self.words) > KEPT_PIECES:
             self._forget()
-        found = np.fromiter(map(self.numbers.get, parts, repeat(-1)), np.int64, len(parts))
+        found = np.fromiter(map(self.numbers.get, parts, repeat(-1)), np.int32, len(parts))
         new = np.flatnonzero(found < 0).tolist()
         if new:
             found[new] = np.arange(len(self.starts), len(self.starts) + len(new))
@@ -108,8 +109,10 @@ class Encoder:
                 ids.append(self._part(part) if alone else b"")
             self.numbers.update(zip([parts[k] for k in new], found[new].tolist(), strict=True))
             counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(counts) - counts)
-            self.counts = np.append(self.counts, counts)
+            starts = len(self.flat) + np.cumsum(counts) - counts
+            # KEPT_PIECES parts and those of a slice of text: far below 2**31 ids.
+            self.starts = np.append(self.starts, starts.astype(np.int32))
+            self.counts = np.append(self.counts, counts.astype(np.int32))
             self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), "<u4"))
             self.single = np.append(self.single, single)
         return found
@@ -127,7 +130,7 @@ class Encoder:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         offsets = np.asarray(lists.offsets, np.int64)
         coded = lists.flatten().dictionary_encode()
-        codes = np.asarray(coded.indices, np.int64)
+        codes = np.asarray(coded.indices)
         distinct = coded.dictionary.to_pylist()
         first, size = offsets[:-1], np.diff(offsets)
         firsts = [distinct[c] for c in codes[first].tolist()]
@@ -136,6 +139,7 @@ class Encoder:
         single[first] = [_bounded(p) for p in firsts]
         cut = (np.logical_and.reduceat(single, first) if n else whole) & ~whole
         starts, counts = self.starts[numbers], self.counts[numbers]
+        del lists, coded, codes, distinct, numbers, single
         # The first part has no blank before it; other texts are encoded as one.
         heads = []
         for k, (head, parts, apart) in enumerate(zip(firsts, size.tolist(), cut.tolist(), strict=True)):
@@ -162,7 +166,7 @@ class Encoder:
             jump = np.repeat(starts[begin : begin + GATHERED] - (np.cumsum(part) - part), part)
             ids[at : at + total] = flat[jump + np.arange(total)]
             at += total
-        return ids, np.add.reduceat(counts, first) if n else np.empty(0, np.int64)
+        return ids, np.add.reduceat(counts, first, dtype=np.int64) if n else np.empty(0, np.int64)
 
     def encode(self, text: str) -> bytes:
         if not self.safe or any(s in text for s in self.special):
@@ -213,8 +217,7 @@ def forget_encoder() -> None:
     kept = sys.modules.pop(_KEPT, None)
     if kept is not None:
         vars(kept).clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
