@@ -2,6 +2,7 @@ from collections import Counter
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -84,6 +85,18 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     assert sorted(map(key, (tuple(r) for r in got))) == sorted(map(key, want))
 
 
+def test_a_block_holds_one_matrix_at_a_time():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 3 * neardup.COLUMNS, 24)) for _ in range(1024)]
+    tracemalloc.start()
+    similar = neardup.linked(sets[:512], sets[512:], 80)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 1.5 * len(sets) * neardup.COLUMNS * 4
+    assert not similar.any()
+    assert neardup.linked(sets[:3], sets[1:4], 80).tolist() == np.eye(3, 3, -1).astype(bool).tolist()
+
+
 def test_near_duplicates_of_nothing(empty_docs):
     assert neardup.near_duplicates(empty_docs).count() == 0
 

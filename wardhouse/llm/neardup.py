@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardhouse.llm.common import slices, written
+from wardhouse.llm.common import give_back_memory, slices, written
 from wardhouse.llm.components import connected
 
 #: Values of a sketch.
@@ -22,6 +22,8 @@ SHORT = 256
 BLOCK = 1024
 #: Shingles whose holders are multiplied at once inside a block.
 COLUMNS = 4096
+#: Text bytes that a task takes apart at once.
+TEXT_BYTES = 2_000_000
 #: Up to so many texts are picked out by a broadcast of their 16-byte keys, more by a shuffle.
 FEW_TEXTS = 500_000
 #: Chance that a pair at the threshold is missed by the sketches.
@@ -75,12 +77,13 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        give_back_memory()
+        for piece in slices(batches, "text", TEXT_BYTES):
             out = []
             for text in piece.column(2).to_pylist():
                 hashes = shingle_hashes(words_of(text), size)
                 mark = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-                out.append((len(hashes), mark, hashes[:K]))
+                out.append((len(hashes), mark, hashes[:K].copy()))  # a view would keep the whole set
             n, marks, values = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -92,6 +95,7 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                 ],
                 ["doc_id", "text_key", "n", "print", "sketch"],
             )
+        give_back_memory()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, text_key binary, n long, print binary, sketch array<long>")
@@ -164,8 +168,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         last, kept = None, set()
-        for piece in slices(batches, "b_text"):
+        for piece in slices(batches, "b_text", TEXT_BYTES):
             good = []
             for a, a_text, b_text in zip(*(piece.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
                 if a != last:
@@ -174,6 +179,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
                 both = len(kept & other)
                 good.append(100 * both >= percent * (len(kept) + len(other) - both))
             yield piece.select(["a", "b"]).filter(pa.array(good))
+        del kept
+        give_back_memory()
 
     return written(joined.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long"), "links")
 
@@ -182,9 +189,11 @@ def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     """(node, hashes) of distinct nodes: all their shingles' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        give_back_memory()
+        for piece in slices(batches, "text", TEXT_BYTES):
             sets = [shingle_hashes(words_of(t), size) for t in piece.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
+        give_back_memory()
 
     return texts_of(nodes, classes, docs, text_col).mapInArrow(run, "node long, hashes array<long>")
 
@@ -236,9 +245,10 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.
     owner, at = owner[order], at[order]
     n = len(left)
     both = np.zeros((n, len(right)), np.float32)
+    held = np.empty((len(sizes), COLUMNS), np.float32)
     for begin in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
         part = slice(*np.searchsorted(at, [begin, begin + COLUMNS]))
-        held = np.zeros((len(sizes), COLUMNS), np.float32)
+        held[:] = 0
         held[owner[part], at[part] - begin] = 1
         both += held[:n] @ held[n:].T
     return 100 * both >= percent * (sizes[:n, None] + sizes[None, n:] - both)
@@ -309,20 +319,27 @@ def cross_pairs(
         .select("value", "low", "high", "mine", "node", "comp", "hashes")
     )
 
-    def compare(frame):
-        import pandas as pd
-
-        first = frame[frame["mine"] == frame["low"]]
-        second = frame[frame["mine"] == frame["high"]]
-        if not len(first) or not len(second):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        similar = linked(first["hashes"].tolist(), second["hashes"].tolist(), percent)
-        similar &= first["comp"].to_numpy()[:, None] != second["comp"].to_numpy()[None, :]
-        a, b = first["node"].to_numpy(), second["node"].to_numpy()
-        found = [(a[i], b[j]) for i, j in spanning(similar)]
-        return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"], dtype="int64")
-
-    met = dealt.groupBy("value", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+    def compare(table: pa.Table) -> pa.Table:
+        mine, low, high, node, comp = (
+            table[c].to_numpy() for c in ("mine", "low", "high", "node", "comp")
+        )
+        hashes = [
+            np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])
+            for chunk in table["hashes"].chunks
+            if len(chunk)
+        ]
+        hashes = [each for chunk in hashes for each in chunk]
+        first, second = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        found = []
+        if len(first) and len(second):
+            similar = linked([hashes[i] for i in first], [hashes[i] for i in second], percent)
+            similar &= comp[first][:, None] != comp[second][None, :]
+            a, b = node[first], node[second]
+            found = [(a[i], b[j]) for i, j in spanning(similar)]
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": both.min(1), "b": both.max(1)})
+
+    met = dealt.groupBy("value", "low", "high").applyInArrow(compare, "a long, b long").distinct()
     return pairs, met
 
 
