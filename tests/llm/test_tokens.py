@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -249,6 +250,24 @@ def test_encode_and_decode(spark, model, words, texts, empty_docs):
     assert pieces.encode(empty_docs, model).count() == 0
 
 
+def test_chunks_stay_where_they_are(spark, model, words, texts, monkeypatch):
+    monkeypatch.setattr(pieces, "FAN", 2)
+    some = [(k, mixed(900, k)) for k in range(3)]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pieces.encode(docs, model, giant=600, chunk=100, merges=True)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The chunks meet their states by a broadcast, and the scan's small groups keep their tasks.
+    assert re.search(r"BroadcastHashJoin \[row#\d+L, chunk#\d+L\]", plan)
+    assert "REPARTITION_BY_NUM" in plan
+    assert {r.doc_id: (r.score, r.ids) for r in rows.collect()} == {
+        k: words.encode_merged(words.prepared(t)) for k, t in some
+    }
+
+
 def merged_by_chunks(words, text, chunk):
     ready = words.prepared(text)
     count = max(len(ready) // chunk, 1)

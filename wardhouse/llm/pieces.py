@@ -56,6 +56,8 @@ AT_ONCE = 2_000_000
 #: Bytes of chunks that a task is dealt, as long as that takes no more tasks than MOST_TASKS.
 TASK_BYTES = 8_000_000
 MOST_TASKS = 20_000
+#: Up to so many chunks' states (about 80 bytes each) are broadcast to the chunks, more meet them in a shuffle.
+FEW_CHUNKS = 2_000_000
 _NONE = -(1 << 62)
 _NEVER = -(1 << 61)
 
@@ -542,15 +544,18 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return tuple(both.reshape(2, n, n))
 
 
-def _scan(chunks: DataFrame, most: int, merges: bool) -> DataFrame:
-    """(row, chunk, before, after): the boundary states of every chunk of (row, chunk, matrix)."""
-    pack, unpack, join, through = (
-        (merge_scan.pack, merge_scan.unpack, merge_scan.combine, merge_scan.states)
+def _scan(chunks: DataFrame, most: int, merges: bool, total: int) -> DataFrame:
+    """(row, chunk, before, after, score) of each of ``total`` chunks (row, chunk, matrix): its boundary
+    states, and its share of the best path's sum."""
+    pack, unpack, join, through, worth = (
+        (merge_scan.pack, merge_scan.unpack, merge_scan.combine, merge_scan.states, _score)
         if merges
-        else (_pack, _unpack, combine, states)
+        else (_pack, _unpack, combine, states, lambda matrix, before, after: int(matrix[0][before, after]))
     )
     levels = [chunks.select("row", F.col("chunk").alias("at"), "matrix")]
-    while most > 1:
+    # Small tables that take long: AQE would put them into one task.
+    tasks = [min(total // (8 * FAN) + 1, MOST_TASKS)]
+    while most > 1 or len(levels) == 1:
         def up(frame):
             import pandas as pd
 
@@ -560,22 +565,27 @@ def _scan(chunks: DataFrame, most: int, merges: bool) -> DataFrame:
                 total = unpack(raw) if total is None else join(total, unpack(raw))
             return pd.DataFrame({"row": [frame["row"].iloc[0]], "at": [frame["at"].iloc[0] // FAN], "matrix": [pack(total)]})
 
-        grouped = levels[-1].groupBy("row", F.expr(f"at div {FAN}").alias("group"))
+        grouped = levels[-1].withColumn("group", F.expr(f"at div {FAN}"))
+        grouped = grouped.repartition(tasks[-1], "row", "group").groupBy("row", "group")
+        tasks.append(tasks[-1] // FAN + 1)
         levels.append(written(grouped.applyInPandas(up, "row long, at long, matrix binary"), "matrices"))
         most = -(-most // FAN)
     known = levels[-1].select("row", "at", F.lit(0).alias("before"), F.lit(0).alias("after"))
-    for level in levels[-2::-1]:
+    for level, many in zip(levels[-2::-1], tasks[-2::-1], strict=True):
 
         def down(frame):
             import pandas as pd
 
             frame = frame.sort_values("at")
-            found = through([unpack(r) for r in frame["matrix"]], frame["before"].iloc[0], frame["after"].iloc[0])
-            return pd.DataFrame({"row": frame["row"], "at": frame["at"], "before": found[:-1], "after": found[1:]})
+            matrices = [unpack(r) for r in frame["matrix"]]
+            found = through(matrices, frame["before"].iloc[0], frame["after"].iloc[0])
+            score = [worth(m, *e) for m, e in zip(matrices, zip(found, found[1:], strict=False), strict=True)]
+            return pd.DataFrame({"row": frame["row"], "at": frame["at"], "before": found[:-1], "after": found[1:], "score": score})
 
         inner = level.withColumn("group", F.expr(f"at div {FAN}"))
-        inner = inner.join(known.withColumnRenamed("at", "group"), ["row", "group"])
-        known = inner.groupBy("row", "group").applyInPandas(down, "row long, at long, before int, after int")
+        inner = inner.join(known.select("row", F.col("at").alias("group"), "before", "after"), ["row", "group"])
+        inner = inner.repartition(many, "row", "group").groupBy("row", "group")
+        known = inner.applyInPandas(down, "row long, at long, before int, after int, score long")
     return known.withColumnRenamed("at", "chunk")
 
 
@@ -652,8 +662,10 @@ def encode(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["row", "chunk", "matrix"])
 
     matrices = written(pieces.mapInArrow(measure, "row long, chunk long, matrix binary"), "matrices")
-    known = matrices.join(_scan(matrices, most // chunk + 1, merges), ["row", "chunk"])
-    found = pieces.join(known, ["row", "chunk"]).select("row", "chunk", "lead", "size", "part", "matrix", "before", "after")
+    count = matrices.count()
+    known = _scan(matrices, most // chunk + 1, merges, count)
+    found = pieces.join(F.broadcast(known) if count <= FEW_CHUNKS else known, ["row", "chunk"])
+    found = found.select("row", "chunk", "lead", "size", "part", "score", "before", "after")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
@@ -661,15 +673,12 @@ def encode(
         words = vocabulary(model)
         for batch in slices(batches, "part", AT_ONCE):
             ends = list(zip(batch.column(6).to_pylist(), batch.column(7).to_pylist(), strict=True))
-            given = batch.column(5).to_pylist()
             if merges:
                 chunks, middles, _ = _chunks(words, batch)
                 ids = [c.ids(*e, m) for c, e, m in zip(chunks, ends, middles.to_pylist(), strict=True)]
-                scores = [_score(m, e) for m, e in zip(given, ends, strict=True)]
             else:
                 ids = [b"".join(chunk_ids(words, p, s, *e)) for (_, s, p), e in zip(_texts(batch), ends, strict=True)]
-                scores = [int(_unpack(m)[0][e]) for m, e in zip(given, ends, strict=True)]
-            columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(scores, pa.int64())]
+            columns = [batch.column(0), batch.column(1), pa.array(ids, pa.binary()), batch.column(5)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "ids", "score"])
 
     traced = found.mapInArrow(trace, "row long, chunk long, ids binary, score long")
@@ -688,8 +697,8 @@ def _chunks(words: Vocabulary, batch: pa.RecordBatch) -> tuple[list[merge_scan.C
     return chunks, *words.merge_all([c.middle for c in chunks])
 
 
-def _score(raw: bytes, ends: tuple[int, int]) -> int:
-    return next(s for b, a, s in merge_scan.unpack(raw).T.tolist() if (b, a) == ends)
+def _score(matrix: np.ndarray, before: int, after: int) -> int:
+    return int(matrix[2][(matrix[0] == before) & (matrix[1] == after)][0])
 
 
 def _gathered(giants: DataFrame, traced: DataFrame) -> DataFrame:

@@ -48,15 +48,15 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it again."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("original"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = tokenizer_path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(docs, model, merges=True), model)
+    rows = pieces.decode(pieces.encode(docs, model, merges=True), model, text_col="decoded")
     return rows.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_pieces"),
         "score",
         F.crc32("ids").alias("ids_crc32"),
-        F.coalesce(F.col("text") == F.coalesce("original", F.lit("")), F.lit(False)).alias("round_trip"),
+        F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False)).alias("round_trip"),
     )
 
 
