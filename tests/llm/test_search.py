@@ -360,3 +360,18 @@ def test_training_follows_the_gradient():
         up[name][at] += 1e-5
         down[name][at] -= 1e-5
         assert abs((loss(up) - loss(down)) / 2e-5 + step[at]) < 1e-4
+
+
+def test_lm_keeps_classes_along_memory():
+    """Scores of one class lie side by side, so that what is reduced over classes runs along memory."""
+    w = masked_lm.fresh_weights(np.full(masked_lm.TOKENS, 1 / masked_lm.TOKENS))
+    rng = np.random.default_rng(6)
+    around, target = rng.integers(0, masked_lm.TOKENS, (50, 4)), rng.integers(0, masked_lm.TOKENS, 50)
+    x, h, tops = masked_lm.forward(w, around)
+    assert tops.shape == (masked_lm.CLASSES, 50) and tops.flags.c_contiguous
+    p = np.exp(tops - np.logaddexp.reduce(tops, axis=0))
+    group, member = np.divmod(target, masked_lm.MEMBERS)
+    for k in range(50):
+        z = h[k] @ w["members"][group[k]] + w["member_shift"][group[k]]
+        want = np.log(p[group[k], k]) + z[member[k]] - np.logaddexp.reduce(z)
+        assert masked_lm.log_probability(w, around, target)[k] == pytest.approx(want, abs=1e-4)

@@ -106,31 +106,50 @@ def contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tokens[at[:, None] + steps[None, :]]
 
 
-def _normed(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _shares(z: np.ndarray) -> np.ndarray:
+    """Softmax of the columns, in place: reductions down the columns run along memory."""
+    z -= z.max(0)
+    np.exp(z, out=z)
+    z /= z.sum(0)
+    return z
+
+
+def _log_share(z: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The log of the softmax of each column at its row; ``z`` is used up."""
+    z -= z.max(0)
+    out = z[row, np.arange(z.shape[1])]
+    np.exp(z, out=z)
+    return out - np.log(z.sum(0))
 
 
 def forward(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, hidden values and log-probabilities of the classes for each context."""
-    x = w["words"][around].reshape(len(around), -1)
+    """Inputs, hidden values and scores of the classes for each context: a column of the last is one context."""
+    x = w["words"].take(around.ravel(), 0).reshape(len(around), -1)
     h = np.tanh(x @ w["hidden"] + w["shift"])
-    return x, h, _normed(h @ w["classes"] + w["class_shift"])
+    tops = w["classes"].T @ h.T
+    tops += w["class_shift"][:, None]
+    return x, h, tops
+
+
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Rows in the order of their classes, and (class, begin, end) of each that has some."""
+    order = np.argsort(group, kind="stable")
+    some, starts = np.unique(group[order], return_index=True)
+    return order, list(zip(some.tolist(), starts.tolist(), [*starts[1:].tolist(), len(group)], strict=True))
 
 
 def log_probability(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target token: of its class, and of it within the class."""
     _, h, tops = forward(w, around)
-    classes, _, members = w["members"].shape
-    group, member = target // members, target % members
-    out = tops[np.arange(len(target)), group]
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(classes + 1))
-    for c in range(classes):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
-            inner = _normed(h[rows] @ w["members"][c] + w["member_shift"][c])
-            out[rows] += inner[np.arange(len(rows)), member[rows]]
+    group, member = np.divmod(target, w["members"].shape[2])
+    out = _log_share(tops, group)
+    order, classes = _by_class(group)
+    sides, member, inner = h[order].T, member[order], np.empty(len(target), out.dtype)
+    for c, a, b in classes:
+        z = w["members"][c].T @ sides[:, a:b]
+        z += w["member_shift"][c][:, None]
+        inner[a:b] = _log_share(z, member[a:b])
+    out[order] += inner
     return out
 
 
@@ -139,20 +158,24 @@ def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray,
     n = len(target)
     x, h, tops = forward(w, around)
     group, member = np.divmod(target, w["members"].shape[2])
-    d_top = np.exp(tops)
-    d_top[np.arange(n), group] -= 1
-    d_h = d_top @ w["classes"].T
-    w["classes"] -= rate / n * (h.T @ d_top)
-    w["class_shift"] -= rate / n * d_top.sum(0)
-    order = np.argsort(group, kind="stable")
-    some, starts = np.unique(group[order], return_index=True)
-    for c, rows in zip(some, np.split(order, starts[1:]), strict=True):
-        inner = h[rows]
-        d = np.exp(_normed(inner @ w["members"][c] + w["member_shift"][c]))
-        d[np.arange(len(rows)), member[rows]] -= 1
-        d_h[rows] += d @ w["members"][c].T
-        w["members"][c] -= rate / n * (inner.T @ d)
-        w["member_shift"][c] -= rate / n * d.sum(0)
+    d_top = _shares(tops)
+    d_top[group, np.arange(n)] -= 1
+    d_h = d_top.T @ w["classes"].T
+    w["classes"] -= rate / n * (d_top @ h).T
+    w["class_shift"] -= rate / n * d_top.sum(1)
+    order, classes = _by_class(group)
+    sides, member, each = h[order], member[order], np.arange(n)
+    d_sides = np.empty_like(sides)
+    for c, a, b in classes:
+        own, inner = w["members"][c], sides[a:b]
+        d = own.T @ inner.T
+        d += w["member_shift"][c][:, None]
+        _shares(d)
+        d[member[a:b], each[: b - a]] -= 1
+        np.matmul(d.T, own.T, out=d_sides[a:b])
+        own -= rate / n * (d @ inner).T
+        w["member_shift"][c] -= rate / n * d.sum(1)
+    d_h[order] += d_sides
     d_z = d_h * (1 - h * h)
     d_x = d_z @ w["hidden"].T
     w["hidden"] -= rate / n * (x.T @ d_z)
