@@ -1,4 +1,5 @@
 from collections import Counter
+import hashlib
 import math
 import random
 import re
@@ -375,3 +376,54 @@ def test_lm_keeps_classes_along_memory():
         z = h[k] @ w["members"][group[k]] + w["member_shift"][group[k]]
         want = np.log(p[group[k], k]) + z[member[k]] - np.logaddexp.reduce(z)
         assert masked_lm.log_probability(w, around, target)[k] == pytest.approx(want, abs=1e-4)
+
+
+def test_lm_codes_texts_once(spark, monkeypatch):
+    """Training and scoring read tokens that were written once; words beyond the known ones are joined."""
+    odd = "a\x0bb\x0cc\x1cd\x85e\u2003f\u00a0g\r\nh  \x00 é"
+    rows = [(k, " ".join(f"w{(k * 300 + j) ** 2 % 3001}" for j in range(300))) for k in range(60)]
+    rows += [(100, odd), (101, " \t "), (102, ""), (103, None), (104, "once only"), (105, "twice"), (106, "twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = Counter(w for _, t in rows for w in masked_lm.buckets(t))
+    found = {}
+    for known in (1, 1000, 262_144):
+        monkeypatch.setattr(masked_lm, "KNOWN", known)
+        model = masked_lm.fit(docs)
+        out = masked_lm.pseudo_likelihood(docs, model)
+        found[known] = {r.doc_id: (r.n_words, r.log_likelihood) for r in out.collect()}
+        assert "mapInArrow" not in str(model.coded._jdf.queryExecution().logical())
+        texts = {hashlib.md5(t.encode()).digest(): masked_lm.buckets(t) for _, t in rows if t is not None}
+        for r in model.coded.collect():
+            words = texts[bytes(r.key)]
+            assert np.frombuffer(r.ids, np.uint16).tolist() == [model.token[w] for w in words]
+            joined = {bytes(w): n for w, n in zip(r.words, r.times, strict=True)}
+            others = {bytes(w) for w in model.others.to_pylist()}
+            assert joined == Counter(w for w in words if w not in model.token and w not in others)
+            logs = sum(np.log(counts[w]) for w in words if w in others)
+            assert r.known == pytest.approx(logs, abs=1e-6)
+    assert set(found[1]) == {d for d, _ in rows} and len(model.token) == 896 < len(counts)
+    for d, t in rows:
+        assert found[1][d][0] == len(masked_lm.buckets(t))
+        for known in (1000, 262_144):
+            assert found[known][d][1] == pytest.approx(found[1][d][1], rel=1e-5, abs=1e-4)
+
+
+def test_lm_large_scores_stay_exact():
+    """Scores whose powers of e leave the numbers of 32 bits: probabilities and steps stay finite and right."""
+    w = masked_lm.fresh_weights(np.full(masked_lm.TOKENS, 1 / masked_lm.TOKENS))
+    rng = np.random.default_rng(3)
+    w["class_shift"] += rng.normal(0, 150, masked_lm.CLASSES).astype(np.float32)
+    w["member_shift"] += rng.normal(0, 150, w["member_shift"].shape).astype(np.float32)
+    around, target = rng.integers(0, masked_lm.TOKENS, (5000, 4)), rng.integers(0, masked_lm.TOKENS, 5000)
+    group, member = np.divmod(target, masked_lm.MEMBERS)
+    _, h, tops = masked_lm.forward(w, around)
+    inner = np.einsum("nk,nkm->nm", h, w["members"][group]) + w["member_shift"][group]
+    each = np.arange(len(target))
+    want = (tops - np.logaddexp.reduce(tops.astype(float), axis=0))[group, each]
+    want += (inner - np.logaddexp.reduce(inner.astype(float), axis=1)[:, None])[each, member]
+    assert np.allclose(masked_lm.log_probability(w, around, target), want, atol=1e-2)
+    exact = {k: v.astype(float) for k, v in w.items()}
+    masked_lm.train_step(w, around, target, 1.0)
+    masked_lm.train_step(exact, around, target, 1.0)
+    for name in w:
+        assert np.allclose(w[name], exact[name], atol=1e-3), name

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wardhouse.llm.common import append_columns, slices, without, written
+from wardhouse.llm.common import slices, without, written
 
 #: The least network: so many classes of so many tokens. Both grow with the fourth root of the number
 #: of words in the corpus, the tokens with its square root.
@@ -27,10 +27,14 @@ SIDE, WIDTH, HIDDEN = 2, 12, 32
 #: Every position is masked in one of the rounds.
 ROUNDS = 2
 BATCH, RATE = 4096, 2.0
-#: Positions that are scored at once.
-STEP = 16_384
-#: Distinct words a task counts before it passes them on, and weights in a row of the shuffle.
-HELD, BLOCK = 200_000, 16_384
+#: Positions that are scored at once, and about how many of them lie in the processor's cache.
+STEP, PART = 16_384, 768
+#: Weights in a row of the shuffle, and the most bytes of coded texts handled at once inside a task.
+BLOCK, CODED_BYTES = 16_384, 4_000_000
+#: Tasks know the counts of so many frequent words (or of all that are tokens); others are joined.
+KNOWN = 262_144
+#: Scores up to this are summed as powers of e without taking their largest off first.
+LARGEST = 60
 #: The count of a word that the counted texts do not have.
 UNSEEN = 1e-3
 
@@ -43,7 +47,10 @@ class Tokens(dict):
         self.first, self.shared = 0, shared
 
     def __missing__(self, word: bytes) -> int:
-        return self.first + zlib.crc32(word[-3:]) % self.shared
+        return self.by_ending(word[-3:])
+
+    def by_ending(self, ending: bytes) -> int:
+        return self.first + zlib.crc32(ending) % self.shared
 
     def __reduce__(self):
         return _tokens, (list(self), self.first, self.shared)
@@ -69,12 +76,18 @@ class Shares(dict):
 
 @dataclass(frozen=True)
 class MaskedModel:
-    """Tokens and shares of words, the network, and the exact (word, n) of all texts as a table."""
+    """Tokens and shares of words, the network, the exact (word, n) of all texts as a table, of it the
+    most frequent words that share a token with the logs of their counts, and the coded texts of the
+    column of the frame it was fitted on."""
 
     token: Tokens
     own: Shares
     weights: dict[str, np.ndarray]
     counts: DataFrame
+    others: pa.Array
+    logs: np.ndarray
+    fitted: tuple[DataFrame, str]
+    coded: DataFrame
 
 
 def buckets(text: str | None) -> list[bytes]:
@@ -106,120 +119,224 @@ def contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tokens[at[:, None] + steps[None, :]]
 
 
-def _shares(z: np.ndarray) -> np.ndarray:
-    """Softmax of the columns, in place: reductions down the columns run along memory."""
-    z -= z.max(0)
-    np.exp(z, out=z)
-    z /= z.sum(0)
+def _tame(z: np.ndarray, axis: int) -> np.ndarray:
+    """Scores, in place, whose powers of e can be summed along the axis: large ones less the largest."""
+    if max(z.max(), -z.min()) > LARGEST:
+        z -= z.max(axis, keepdims=True)
     return z
 
 
-def _log_share(z: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """The log of the softmax of each column at its row; ``z`` is used up."""
-    z -= z.max(0)
-    out = z[row, np.arange(z.shape[1])]
-    np.exp(z, out=z)
-    return out - np.log(z.sum(0))
-
-
 def forward(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, hidden values and scores of the classes for each context: a column of the last is one context."""
     x = w["words"].take(around.ravel(), 0).reshape(len(around), -1)
-    h = np.tanh(x @ w["hidden"] + w["shift"])
+    h = x @ w["hidden"]
+    h += w["shift"]
+    np.tanh(h, out=h)
     tops = w["classes"].T @ h.T
     tops += w["class_shift"][:, None]
     return x, h, tops
 
 
-def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Rows in the order of their classes, and (class, begin, end) of each that has some."""
-    order = np.argsort(group, kind="stable")
-    some, starts = np.unique(group[order], return_index=True)
-    return order, list(zip(some.tolist(), starts.tolist(), [*starts[1:].tolist(), len(group)], strict=True))
+def _by_class(group: np.ndarray, most: int) -> tuple[np.ndarray, list[list[tuple[int, int, int]]]]:
+    """Rows in the order of their classes, and (class, begin, end) of each that has some, a class being
+    whole: in parts of about ``most`` rows, whose scores stay in the processor's cache."""
+    order = np.argsort(group.astype(np.uint16), kind="stable")
+    ends = np.bincount(group).cumsum().tolist()
+    parts, rows = [], most
+    for c, (a, b) in enumerate(zip([0, *ends], ends)):
+        if a < b:
+            if rows >= most:
+                parts.append([])
+                rows = 0
+            parts[-1].append((c, a, b))
+            rows += b - a
+    return order, parts
+
+
+def _within(w: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Scores within its class for each context, a row; contexts are in the order of their classes."""
+    z, first = np.empty((len(h), w["members"].shape[2]), h.dtype), classes[0][1]
+    for c, a, b in classes:
+        own = z[a - first : b - first]
+        np.matmul(h[a - first : b - first], w["members"][c], out=own)
+        own += w["member_shift"][c]
+    return z
 
 
 def log_probability(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target token: of its class, and of it within the class."""
-    _, h, tops = forward(w, around)
     group, member = np.divmod(target, w["members"].shape[2])
-    out = _log_share(tops, group)
-    order, classes = _by_class(group)
-    sides, member, inner = h[order].T, member[order], np.empty(len(target), out.dtype)
-    for c, a, b in classes:
-        z = w["members"][c].T @ sides[:, a:b]
-        z += w["member_shift"][c][:, None]
-        inner[a:b] = _log_share(z, member[a:b])
-    out[order] += inner
-    return out
+    order, parts = _by_class(group, PART)
+    around, group, member = around[order], group[order], member[order]
+    sums = np.empty(len(target), w["words"].dtype)
+    for classes in parts:
+        rows = slice(classes[0][1], classes[-1][2])
+        each = np.arange(rows.stop - rows.start)
+        _, h, tops = forward(w, around[rows])
+        score = _tame(tops, 0)[group[rows], each]
+        np.exp(tops, out=tops)
+        score -= np.log(np.ones(len(tops), tops.dtype) @ tops)
+        z = _tame(_within(w, h, classes), 1)
+        score += z[each, member[rows]]
+        np.exp(z, out=z)
+        score -= np.log(z @ np.ones(z.shape[1], z.dtype))
+        sums[order[rows]] = score
+    return sums
 
 
 def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One step down the gradient of the mean loss, in place."""
-    n = len(target)
-    x, h, tops = forward(w, around)
+    """One step down the gradient of the mean loss, in place.
+
+    Powers of e stay as they are: not they but the narrow hidden values are divided by their sums.
+    A class's members change at once, since one part has all of its rows; what all rows share
+    changes at the end.
+    """
+    rate /= len(target)
     group, member = np.divmod(target, w["members"].shape[2])
-    d_top = _shares(tops)
-    d_top[group, np.arange(n)] -= 1
-    d_h = d_top.T @ w["classes"].T
-    w["classes"] -= rate / n * (d_top @ h).T
-    w["class_shift"] -= rate / n * d_top.sum(1)
-    order, classes = _by_class(group)
-    sides, member, each = h[order], member[order], np.arange(n)
-    d_sides = np.empty_like(sides)
-    for c, a, b in classes:
-        own, inner = w["members"][c], sides[a:b]
-        d = own.T @ inner.T
-        d += w["member_shift"][c][:, None]
-        _shares(d)
-        d[member[a:b], each[: b - a]] -= 1
-        np.matmul(d.T, own.T, out=d_sides[a:b])
-        own -= rate / n * (d @ inner).T
-        w["member_shift"][c] -= rate / n * d.sum(1)
-    d_h[order] += d_sides
-    d_z = d_h * (1 - h * h)
-    d_x = d_z @ w["hidden"].T
-    w["hidden"] -= rate / n * (x.T @ d_z)
-    w["shift"] -= rate / n * d_z.sum(0)
-    used, each = around.ravel(), d_x.reshape(-1, WIDTH)
-    for k in range(WIDTH):
-        w["words"][:, k] -= rate / n * np.bincount(used, each[:, k], len(w["words"])).astype(w["words"].dtype)
-
-
-def joined(found: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray]:
+    order, parts = _by_class(group, PART)
+    around, group, member = around[order], group[order], member[order]
+    down = {k: np.zeros_like(w[k]) for k in ("classes", "class_shift", "hidden", "shift")}
+    d_x = np.empty((len(w["hidden"]), len(target)), w["hidden"].dtype)
+    for classes in parts:
+        rows = slice(classes[0][1], classes[-1][2])
+        each = np.arange(rows.stop - rows.start)
+        x, h, tops = forward(w, around[rows])
+        np.exp(_tame(tops, 0), out=tops)
+        total = np.ones(len(tops), tops.dtype) @ tops
+        tops[group[rows], each] -= total
+        share = 1 / total
+        d_h = tops.T @ w["classes"].T
+        d_h *= share[:, None]
+        down["classes"] += (tops @ (h * share[:, None])).T
+        down["class_shift"] += tops @ share
+        z = _tame(_within(w, h, classes), 1)
+        np.exp(z, out=z)
+        total = z @ np.ones(z.shape[1], z.dtype)
+        z[each, member[rows]] -= total
+        share = 1 / total
+        sides = np.empty((len(h), h.shape[1] + 1), h.dtype)
+        sides[:, :-1], sides[:, -1] = h, 1
+        sides *= (share * rate)[:, None]
+        d_sides, first = np.empty_like(h), rows.start
+        for c, a, b in classes:
+            own, inner = w["members"][c], z[a - first : b - first]
+            np.matmul(inner, own.T, out=d_sides[a - first : b - first])
+            step = sides[a - first : b - first].T @ inner
+            own -= step[:-1]
+            w["member_shift"][c] -= step[-1]
+        d_sides *= share[:, None]
+        d_h += d_sides
+        h *= h
+        np.subtract(1, h, out=h)
+        d_h *= h
+        np.matmul(w["hidden"], d_h.T, out=d_x[:, rows])
+        down["hidden"] += x.T @ d_h
+        down["shift"] += d_h.sum(0)
+    for name, step in down.items():
+        w[name] -= rate * step
+    # Only the words that occur change; a number's steps lie one after the other.
+    there = np.zeros(len(w["words"]), bool)
+    there[around] = True
+    used, place = np.flatnonzero(there), np.empty(len(there), np.int64)
+    place[used] = np.arange(len(used))
+    place, d_x = place[around.T.ravel()], d_x.reshape(around.shape[1], WIDTH, -1)
+    step = np.stack([np.bincount(place, d_x[:, k].ravel(), len(used)) for k in range(WIDTH)], 1)
+    w["words"][used] -= (rate * step).astype(d_x.dtype)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, one after the other, and how many each text has: as ``buckets``."""
+    parts = pc.ascii_split_whitespace(texts)
+    words = parts.flatten().cast(pa.binary())
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(some.to_numpy(zero_copy_only=False), out=before[1:])
+    ends = pc.list_value_length(parts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+    return words.filter(some), np.diff(before[ends], prepend=0)
+
+
+def tokens_of(token: Tokens, own: pa.Array, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The tokens of words, and which of them share theirs; ``own`` has the words that do not."""
+    found = pc.index_in(words, value_set=own)
+    rare = found.is_null()
+    ends = pc.binary_slice(words.filter(rare), -3).dictionary_encode()
+    shared = np.array([token.by_ending(e) for e in ends.dictionary.to_pylist()], np.int32)
+    ids = found.fill_null(0).to_numpy().copy()
+    ids[rare.to_numpy(zero_copy_only=False)] = shared[ends.indices.to_numpy()]
+    return ids, rare
+
+
+def coded(texts: DataFrame, token: Tokens, others: pa.Array, logs: np.ndarray) -> DataFrame:
+    """(key, ids, known, words, times) of texts (key, text): the tokens of a text's words, the sum of
+    the logs of the counts of the ``others`` in it, and its words of neither kind, each once."""
+    kind = _kind(token)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pa.array(list(token), pa.binary())
+        for batch in slices(batches, "text"):
+            words, counts = words_of(batch.column(1))
+            ids, rare = tokens_of(token, own, words)
+            starts = np.concatenate([[0], counts.cumsum()])
+            owner = np.repeat(np.arange(len(counts)), counts)[rare.to_numpy(zero_copy_only=False)]
+            words = words.filter(rare)
+            place = pc.index_in(words, value_set=others).fill_null(-1).to_numpy()
+            known = np.bincount(owner[place >= 0], logs[place[place >= 0]], len(counts)).astype(float)
+            owner, words = owner[place < 0], words.filter(pa.array(place < 0)).dictionary_encode()
+            most = max(1, len(words.dictionary))
+            pairs, times = np.unique(owner * most + words.indices.to_numpy(), return_counts=True)
+            owner, word = np.divmod(pairs, most)
+            rows = pa.array(np.searchsorted(owner, np.arange(len(counts) + 1)), pa.int32())
+            bounds = pa.py_buffer((starts * kind.itemsize).astype(np.int32))
+            columns = [
+                batch.column(0),
+                pa.Array.from_buffers(pa.binary(), len(counts), [None, bounds, pa.py_buffer(ids.astype(kind))]),
+                pa.array(known),
+                pa.ListArray.from_arrays(rows, words.dictionary.take(pa.array(word))),
+                pa.ListArray.from_arrays(rows, pa.array(times)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "known", "words", "times"])
+
+    return texts.mapInArrow(code, "key binary, ids binary, known double, words array<binary>, times array<long>")
+
+
+def _kind(token: Tokens) -> np.dtype:
+    return np.dtype(np.uint16 if token.first + token.shared < 1 << 16 else np.uint32)
+
+
+def _decoded(token: Tokens, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of some coded texts, one after the other, and how many each text has."""
+    kind = _kind(token)
+    return np.frombuffer(b"".join(column.to_pylist()), kind), pc.binary_length(column).to_numpy() // kind.itemsize
+
+
+def laid_out(ids: np.ndarray, counts: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of several texts with edge marks around each, and where the words lie."""
-    marks = np.full(SIDE, edge)
-    parts, at, start = [marks], [], SIDE
-    for b in found:
-        parts += [b, marks]
-        at.append(np.arange(start, start + len(b)))
-        start += len(b) + SIDE
-    return np.concatenate(parts), np.concatenate(at) if at else np.empty(0, np.int64)
-
-
-def tokens_of(token: Tokens, words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(token.__getitem__, words), np.int64, len(words))
+    at = np.arange(len(ids)) + SIDE * np.repeat(np.arange(1, len(counts) + 1), counts)
+    tokens = np.full(len(ids) + SIDE * (len(counts) + 1), edge, np.int32)
+    tokens[at] = ids
+    return tokens, at
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n): every distinct word of the column text, counted exactly."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-
-        def passed_on() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(total, pa.binary()), pa.array(total.values(), pa.int64())], ["word", "n"])
-
         for batch in slices(batches, "text"):
-            for text in batch.column(0).to_pylist():
-                total.update(buckets(text))
-                if len(total) >= HELD:
-                    yield passed_on()
-                    total.clear()
-        yield passed_on()
+            found = words_of(batch.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays(found.flatten(), ["word", "n"])
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, sizes: pd.DataFrame, most: int) -> pa.Table:
+    """The ``most`` most frequent words with their counts; ``sizes`` has how many words (words) have
+    each count (n). Less frequent ones are left out before any are sorted."""
+    sizes = sizes.sort_values("n", ascending=False)
+    last = int(np.searchsorted(sizes.words.cumsum(), most))
+    least = int(sizes.n.iloc[min(last, len(sizes) - 1)]) if len(sizes) else 0
+    return counts.select("word", "n").where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).toArrow()
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> MaskedModel:
     """Count all words exactly, then train the network on every position of all texts.
 
@@ -230,32 +347,44 @@ def fit(docs: DataFrame, text_col: str = "text") -> MaskedModel:
     tasks' weights are averaged, by the positions they saw, in a shuffle. The
     driver gets the frequent words and one set of weights; the counts stay a table.
     """
-    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text is not null")
-    counts = written(word_counts(texts), "word-counts")
-    size = counts.agg(F.sum("n")).first()[0] or 0
-    side = max(MEMBERS, math.isqrt(math.isqrt(size)) + 1)
+    texts = _texts(docs, text_col)
+    counts = written(word_counts(texts.select("text")), "word-counts")
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).toPandas()
+    side = max(MEMBERS, math.isqrt(math.isqrt(int((sizes.n * sizes.words).sum()))) + 1)
     tokens = side * side
     shared = tokens // SHARED
-    top = counts.orderBy(F.desc("n"), "word").limit(tokens - shared).toPandas()
-    token = _tokens([bytes(w) for w in top.word], tokens - shared, shared)
+    top = most_frequent(counts, sizes, max(tokens - shared, KNOWN))
+    words, n = top["word"].combine_chunks(), top["n"].to_numpy()
+    own, others, logs = words[: tokens - shared], words[tokens - shared :], np.log(n[tokens - shared :])
+    token = _tokens(own.to_pylist(), tokens - shared, shared)
     held = np.full(tokens, UNSEEN)
-    held[: len(top)] += top.n.to_numpy()
+    held[: len(own)] += n[: len(own)]
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(tokens, np.int64)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            rare = np.fromiter((w not in token for w in words), bool, len(words))
-            np.add.at(total, tokens_of(token, words)[rare], batch.column(1).to_numpy()[rare])
+            ids, _ = tokens_of(token, own, batch.column(0))
+            rare = ids >= token.first
+            np.add.at(total, ids[rare], batch.column(1).to_numpy()[rare])
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["token", "n"])
 
     sums = counts.select("word", "n").mapInArrow(rest, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     held[sums.token.to_numpy(int)] += sums.n.to_numpy(float)
     weights = fresh_weights(held / held.sum())
+    texts = written(coded(texts, token, others, logs), "coded-texts")
     for step in range(ROUNDS):
         weights = _trained(texts, token, weights, step)
-    return MaskedModel(token, Shares(token, held), weights, counts)
+    return MaskedModel(token, Shares(token, held), weights, counts, others, logs, (docs, text_col), texts)
+
+
+def _texts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(key, text) of the texts there are."""
+    return docs.select(_key(text_col).alias("key"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
+
+
+def _key(text_col: str) -> Column:
+    return F.unhex(F.md5(F.col(f"`{text_col}`")))
 
 
 def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], step: int) -> dict[str, np.ndarray]:
@@ -264,11 +393,10 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = {k: v.copy() for k, v in weights.items()}
         seen = 0
-        for batch in slices(batches, "text"):
-            found = [tokens_of(token, buckets(t)) for t in batch.column(0).to_pylist()]
-            tokens, at = joined(found, edge)
-            places = np.concatenate([np.arange(len(b)) for b in found]) if found else at
-            at = at[places % ROUNDS == step]
+        for batch in slices(batches, "ids", CODED_BYTES):
+            ids, counts = _decoded(token, batch.column(0))
+            tokens, at = laid_out(ids, counts, edge)
+            at = at[(np.arange(len(at)) - np.repeat(counts.cumsum() - counts, counts)) % ROUNDS == step]
             for begin in range(0, len(at), BATCH):
                 part = at[begin : begin + BATCH]
                 train_step(mine, contexts(tokens, part), tokens[part], RATE * len(part) / BATCH)
@@ -288,7 +416,7 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
         parts = [(s / n).astype(np.float32).tobytes() for s, n in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
 
-    rows = texts.mapInArrow(run, "block int, seen long, part binary").repartition("block")
+    rows = texts.select("ids").mapInArrow(run, "block int, seen long, part binary").repartition("block")
     means = rows.mapInArrow(mean, "block int, part binary").toPandas().sort_values("block")
     if not len(means):
         return weights
@@ -299,37 +427,38 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
     return out
 
 
-def word_scores(token: Tokens, own: Shares, weights: dict[str, np.ndarray], found: list[list[bytes]]) -> np.ndarray:
-    """Log-probability of every word of some texts, one after the other, without the logs of the
-    counts of words that share a token."""
-    ids = [tokens_of(token, words) for words in found]
-    tokens, at = joined(ids, len(weights["words"]) - 1)
-    out = np.zeros(len(at))
+def word_scores(weights: dict[str, np.ndarray], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Log-probability of the token of every word of some texts, one after the other."""
+    tokens, at = laid_out(ids, counts, len(weights["words"]) - 1)
+    out = np.empty(len(at))
     for begin in range(0, len(at), STEP):
         part = at[begin : begin + STEP]
         out[begin : begin + STEP] = log_probability(weights, contexts(tokens, part), tokens[part])
-    logs = np.where(np.arange(len(own.logs)) < token.first, 0.0, own.logs)
-    return out - logs[tokens[at]]
+    return out
 
 
-def shared_counts(texts: DataFrame, model: MaskedModel) -> DataFrame:
-    """(key, logs): for each distinct text of (key, text), the sum of the logs of the counts of its
-    words that share a token."""
-    token = model.token
+def text_scores(texts: DataFrame, model: MaskedModel) -> DataFrame:
+    """(key, n_words, score) for each distinct coded text: its log-likelihood without the logs of the
+    counts that tasks do not know."""
+    token, weights = model.token, model.weights
+    logs = np.where(np.arange(len(model.own.logs)) < token.first, 0.0, model.own.logs)
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            keys, words, times, each = [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = Counter(w for w in buckets(text) if w not in token)
-                keys += [key] * len(found)
-                words += found
-                times += found.values()
-                each += [len(found)] * len(found)
-            columns = [pa.array(keys, pa.binary()), pa.array(words, pa.binary()), pa.array(times, pa.int64()), pa.array(each, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "word", "times", "each"])
-
-    rows = texts.mapInArrow(rare, "key binary, word binary, times long, each long")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "ids", CODED_BYTES):
+            ids, counts = _decoded(token, batch.column(1))
+            owner = np.repeat(np.arange(len(counts)), counts)
+            sums = np.bincount(owner, word_scores(weights, ids, counts) - logs[ids], len(counts)) + batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums)], ["key", "n_words", "score"])
+
+    rows = texts.select("key", "ids", "known").mapInArrow(score, "key binary, n_words long, score double")
+    # Copies of a text have the same score but for rounding.
+    return rows.groupBy("key").agg(F.max("n_words").alias("n_words"), F.max("score").alias("score"))
+
+
+def shared_counts(texts: DataFrame, model: MaskedModel) -> DataFrame:
+    """(key, logs): for each distinct coded text, the sum of the logs of the counts that tasks do not know."""
+    rows = texts.select("key", F.size("words").alias("each"), F.explode(F.arrays_zip("words", "times")).alias("w"))
+    rows = rows.select("key", "each", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     known = rows.join(model.counts, "word", "left")
     logs = F.col("times") * F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN)))
     # Copies of a text have a key in common and give their rows once each.
@@ -340,31 +469,22 @@ def pseudo_likelihood(docs: DataFrame, model: MaskedModel, text_col: str = "text
     """Adds n_words, log_likelihood (the sum over all words) and per_word of every whole text.
 
     A null text or one without words has 0 words, log_likelihood 0 and per_word
-    null. Columns with these names are replaced; repeated rows are scored each
-    by itself; an empty table gives an empty result.
+    null. Columns with these names are replaced; repeated rows are each kept;
+    an empty table gives an empty result. The frame the model was fitted on is
+    not coded again.
     """
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType())]
-    token, own, weights = model.token, model.own, model.weights
-
-    def make():
-        def compute(texts: list) -> list:
-            found = [buckets(t) for t in texts]
-            counts = [len(b) for b in found]
-            scores = word_scores(token, own, weights, found)
-            owner = np.repeat(np.arange(len(found)), counts)
-            return [counts, np.bincount(owner, scores, len(found)).tolist()]
-
-        return compute
-
+    if docs is model.fitted[0] and text_col == model.fitted[1]:
+        texts = model.coded
+    else:
+        texts = written(coded(_texts(docs, text_col), model.token, model.others, model.logs), "coded-texts")
     key = "__text_key"
     docs = without(docs, ["n_words", "log_likelihood", "per_word"])
-    keyed = docs.withColumn(key, F.unhex(F.md5(F.col(f"`{text_col}`"))))
-    logs = shared_counts(keyed.select(F.col(key).alias("key"), F.col(f"`{text_col}`").alias("text")).where("text is not null"), model)
-    scored = append_columns(keyed, text_col, fields, make).join(logs.withColumnRenamed("key", key), key, "left")
-    total = F.col("log_likelihood") + F.coalesce("logs", F.lit(0.0))
+    found = text_scores(texts, model).join(shared_counts(texts, model), "key", "left").withColumnRenamed("key", key)
+    scored = docs.withColumn(key, _key(text_col)).join(found, key, "left")
+    n, total = F.coalesce("n_words", F.lit(0).cast("long")), F.coalesce("score", F.lit(0.0)) + F.coalesce("logs", F.lit(0.0))
     return scored.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        "n_words",
+        n.alias("n_words"),
         total.alias("log_likelihood"),
-        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("per_word"),
+        F.when(n > 0, total / n).alias("per_word"),
     )
