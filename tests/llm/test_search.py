@@ -383,14 +383,14 @@ def test_lm_codes_texts_once(spark, monkeypatch):
     odd = "a\x0bb\x0cc\x1cd\x85e\u2003f\u00a0g\r\nh  \x00 é"
     rows = [(k, " ".join(f"w{(k * 300 + j) ** 2 % 3001}" for j in range(300))) for k in range(60)]
     rows += [(100, odd), (101, " \t "), (102, ""), (103, None), (104, "once only"), (105, "twice"), (106, "twice")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id long, text string, score int, logs string")
     counts = Counter(w for _, t in rows for w in masked_lm.buckets(t))
     found = {}
     for known in (1, 1000, 262_144):
         monkeypatch.setattr(masked_lm, "KNOWN", known)
         model = masked_lm.fit(docs)
         out = masked_lm.pseudo_likelihood(docs, model)
-        found[known] = {r.doc_id: (r.n_words, r.log_likelihood) for r in out.collect()}
+        found[known] = {r.doc_id: (r.n_words, r.log_likelihood) for r in out.where("score = 5 and logs = 'x'").collect()}
         assert "mapInArrow" not in str(model.coded._jdf.queryExecution().logical())
         texts = {hashlib.md5(t.encode()).digest(): masked_lm.buckets(t) for _, t in rows if t is not None}
         for r in model.coded.collect():

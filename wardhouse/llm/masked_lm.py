@@ -477,11 +477,14 @@ def pseudo_likelihood(docs: DataFrame, model: MaskedModel, text_col: str = "text
         texts = model.coded
     else:
         texts = written(coded(_texts(docs, text_col), model.token, model.others, model.logs), "coded-texts")
-    key = "__text_key"
     docs = without(docs, ["n_words", "log_likelihood", "per_word"])
-    found = text_scores(texts, model).join(shared_counts(texts, model), "key", "left").withColumnRenamed("key", key)
-    scored = docs.withColumn(key, _key(text_col)).join(found, key, "left")
-    n, total = F.coalesce("n_words", F.lit(0).cast("long")), F.coalesce("score", F.lit(0.0)) + F.coalesce("logs", F.lit(0.0))
+    found = text_scores(texts, model).join(shared_counts(texts, model), "key", "left")
+    found = found.select(*[F.col(c).alias(f"__lm_{c}") for c in ("key", "n_words", "score", "logs")])
+    scored = docs.withColumn("__lm_key", _key(text_col)).join(found, "__lm_key", "left")
+    # A text that is there has its row in the coded ones; null must not hide one that is missing.
+    empty = F.col("__lm_key").isNull()
+    n = F.when(empty, F.lit(0).cast("long")).otherwise(F.col("__lm_n_words"))
+    total = F.when(empty, F.lit(0.0)).otherwise(F.col("__lm_score") + F.coalesce("__lm_logs", F.lit(0.0)))
     return scored.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         n.alias("n_words"),
