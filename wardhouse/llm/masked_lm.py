@@ -35,6 +35,8 @@ BLOCK, CODED_BYTES = 16_384, 4_000_000
 KNOWN = 262_144
 #: Scores up to this are summed as powers of e without taking their largest off first.
 LARGEST = 60
+#: The hyperbolic tangent of this is 1.
+ALWAYS = 30.0
 #: The count of a word that the counted texts do not have.
 UNSEEN = 1e-3
 
@@ -126,15 +128,42 @@ def _tame(z: np.ndarray, axis: int) -> np.ndarray:
     return z
 
 
+def joined(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """A copy of the weights with each shift as the last row of its matrix, for a hidden unit that is always 1."""
+    return {
+        "words": w["words"].copy(),
+        "hidden": np.pad(w["hidden"], ((0, 0), (0, 1))),
+        "shift": np.append(w["shift"], w["shift"].dtype.type(ALWAYS)),
+        "classes": np.vstack([w["classes"], w["class_shift"]]),
+        "members": np.concatenate([w["members"], w["member_shift"][:, None]], axis=1),
+    }
+
+
+def parted(v: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The weights that were joined."""
+    return {
+        "words": v["words"],
+        "hidden": v["hidden"][:, :-1],
+        "shift": v["shift"][:-1],
+        "classes": v["classes"][:-1],
+        "class_shift": v["classes"][-1],
+        "members": v["members"][:, :-1],
+        "member_shift": v["members"][:, -1],
+    }
+
+
+def _forward(v: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x = v["words"].take(around.ravel(), 0).reshape(len(around), -1)
+    h = x @ v["hidden"]
+    h += v["shift"]
+    np.tanh(h, out=h)
+    return x, h, v["classes"].T @ h.T
+
+
 def forward(w: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, hidden values and scores of the classes for each context: a column of the last is one context."""
-    x = w["words"].take(around.ravel(), 0).reshape(len(around), -1)
-    h = x @ w["hidden"]
-    h += w["shift"]
-    np.tanh(h, out=h)
-    tops = w["classes"].T @ h.T
-    tops += w["class_shift"][:, None]
-    return x, h, tops
+    x, h, tops = _forward(joined(w), around)
+    return x, h[:, :-1], tops
 
 
 def _by_class(group: np.ndarray, most: int) -> tuple[np.ndarray, list[list[tuple[int, int, int]]]]:
@@ -153,30 +182,32 @@ def _by_class(group: np.ndarray, most: int) -> tuple[np.ndarray, list[list[tuple
     return order, parts
 
 
-def _within(w: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+def _within(v: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
     """Scores within its class for each context, a row; contexts are in the order of their classes."""
-    z, first = np.empty((len(h), w["members"].shape[2]), h.dtype), classes[0][1]
+    z, first = np.empty((len(h), v["members"].shape[2]), h.dtype), classes[0][1]
     for c, a, b in classes:
-        own = z[a - first : b - first]
-        np.matmul(h[a - first : b - first], w["members"][c], out=own)
-        own += w["member_shift"][c]
+        np.dot(h[a - first : b - first], v["members"][c], out=z[a - first : b - first])
     return z
 
 
 def log_probability(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target token: of its class, and of it within the class."""
-    group, member = np.divmod(target, w["members"].shape[2])
+    return _log_probability(joined(w), around, target)
+
+
+def _log_probability(v: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray) -> np.ndarray:
+    group, member = np.divmod(target, v["members"].shape[2])
     order, parts = _by_class(group, PART)
     around, group, member = around[order], group[order], member[order]
-    sums = np.empty(len(target), w["words"].dtype)
+    sums = np.empty(len(target), v["words"].dtype)
     for classes in parts:
         rows = slice(classes[0][1], classes[-1][2])
         each = np.arange(rows.stop - rows.start)
-        _, h, tops = forward(w, around[rows])
+        _, h, tops = _forward(v, around[rows])
         score = _tame(tops, 0)[group[rows], each]
         np.exp(tops, out=tops)
         score -= np.log(np.ones(len(tops), tops.dtype) @ tops)
-        z = _tame(_within(w, h, classes), 1)
+        z = _tame(_within(v, h, classes), 1)
         score += z[each, member[rows]]
         np.exp(z, out=z)
         score -= np.log(z @ np.ones(z.shape[1], z.dtype))
@@ -185,63 +216,67 @@ def log_probability(w: dict[str, np.ndarray], around: np.ndarray, target: np.nda
 
 
 def train_step(w: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One step down the gradient of the mean loss, in place.
+    """One step down the gradient of the mean loss, in place."""
+    v = joined(w)
+    _step(v, around, target, rate)
+    for name, new in parted(v).items():
+        w[name][...] = new
+
+
+def _step(v: dict[str, np.ndarray], around: np.ndarray, target: np.ndarray, rate: float) -> None:
+    """A step on joined weights.
 
     Powers of e stay as they are: not they but the narrow hidden values are divided by their sums.
     A class's members change at once, since one part has all of its rows; what all rows share
     changes at the end.
     """
     rate /= len(target)
-    group, member = np.divmod(target, w["members"].shape[2])
+    group, member = np.divmod(target, v["members"].shape[2])
     order, parts = _by_class(group, PART)
     around, group, member = around[order], group[order], member[order]
-    down = {k: np.zeros_like(w[k]) for k in ("classes", "class_shift", "hidden", "shift")}
-    d_x = np.empty((len(w["hidden"]), len(target)), w["hidden"].dtype)
+    down = {k: np.zeros_like(v[k]) for k in ("classes", "hidden", "shift")}
+    d_x = np.empty((len(v["hidden"]), len(target)), v["hidden"].dtype)
     for classes in parts:
         rows = slice(classes[0][1], classes[-1][2])
         each = np.arange(rows.stop - rows.start)
-        x, h, tops = forward(w, around[rows])
+        x, h, tops = _forward(v, around[rows])
         np.exp(_tame(tops, 0), out=tops)
         total = np.ones(len(tops), tops.dtype) @ tops
         tops[group[rows], each] -= total
-        share = 1 / total
-        d_h = tops.T @ w["classes"].T
-        d_h *= share[:, None]
-        down["classes"] += (tops @ (h * share[:, None])).T
-        down["class_shift"] += tops @ share
-        z = _tame(_within(w, h, classes), 1)
+        share = (1 / total)[:, None]
+        d_h = tops.T @ v["classes"].T
+        d_h *= share
+        down["classes"] += (tops @ (h * share)).T
+        z = _tame(_within(v, h, classes), 1)
         np.exp(z, out=z)
         total = z @ np.ones(z.shape[1], z.dtype)
         z[each, member[rows]] -= total
-        share = 1 / total
-        sides = np.empty((len(h), h.shape[1] + 1), h.dtype)
-        sides[:, :-1], sides[:, -1] = h, 1
-        sides *= (share * rate)[:, None]
-        d_sides, first = np.empty_like(h), rows.start
+        share = (1 / total)[:, None]
+        sides, d_sides, first = h * (share * rate), np.empty_like(h), rows.start
         for c, a, b in classes:
-            own, inner = w["members"][c], z[a - first : b - first]
-            np.matmul(inner, own.T, out=d_sides[a - first : b - first])
-            step = sides[a - first : b - first].T @ inner
-            own -= step[:-1]
-            w["member_shift"][c] -= step[-1]
-        d_sides *= share[:, None]
+            own, inner = v["members"][c], z[a - first : b - first]
+            np.dot(inner, own.T, out=d_sides[a - first : b - first])
+            own -= np.dot(sides[a - first : b - first].T, inner)
+        d_sides *= share
         d_h += d_sides
         h *= h
-        np.subtract(1, h, out=h)
+        np.subtract(1, h, out=h)  # 0 for the unit that is always 1
         d_h *= h
-        np.matmul(w["hidden"], d_h.T, out=d_x[:, rows])
+        np.matmul(v["hidden"], d_h.T, out=d_x[:, rows])
         down["hidden"] += x.T @ d_h
         down["shift"] += d_h.sum(0)
     for name, step in down.items():
-        w[name] -= rate * step
+        v[name] -= rate * step
     # Only the words that occur change; a number's steps lie one after the other.
-    there = np.zeros(len(w["words"]), bool)
+    there = np.zeros(len(v["words"]), bool)
     there[around] = True
     used, place = np.flatnonzero(there), np.empty(len(there), np.int64)
     place[used] = np.arange(len(used))
     place, d_x = place[around.T.ravel()], d_x.reshape(around.shape[1], WIDTH, -1)
-    step = np.stack([np.bincount(place, d_x[:, k].ravel(), len(used)) for k in range(WIDTH)], 1)
-    w["words"][used] -= (rate * step).astype(d_x.dtype)
+    step = np.zeros((WIDTH, len(used)), d_x.dtype)
+    for k in range(WIDTH):
+        np.add.at(step[k], place, d_x[:, k].ravel())
+    v["words"][used] -= rate * step.T
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -391,7 +426,7 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
     edge = len(weights["words"]) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = {k: v.copy() for k, v in weights.items()}
+        mine = joined(weights)
         seen = 0
         for batch in slices(batches, "ids", CODED_BYTES):
             ids, counts = _decoded(token, batch.column(0))
@@ -399,10 +434,10 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
             at = at[(np.arange(len(at)) - np.repeat(counts.cumsum() - counts, counts)) % ROUNDS == step]
             for begin in range(0, len(at), BATCH):
                 part = at[begin : begin + BATCH]
-                train_step(mine, contexts(tokens, part), tokens[part], RATE * len(part) / BATCH)
+                _step(mine, contexts(tokens, part), tokens[part], RATE * len(part) / BATCH)
             seen += len(at)
         if seen:
-            flat = np.concatenate([v.ravel() for v in mine.values()])
+            flat = np.concatenate([v.ravel() for v in parted(mine).values()])
             for block, begin in enumerate(range(0, len(flat), BLOCK)):
                 part = flat[begin : begin + BLOCK].tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([seen]), pa.array([part])], ["block", "seen", "part"])
@@ -427,13 +462,13 @@ def _trained(texts: DataFrame, token: Tokens, weights: dict[str, np.ndarray], st
     return out
 
 
-def word_scores(weights: dict[str, np.ndarray], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def word_scores(v: dict[str, np.ndarray], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Log-probability of the token of every word of some texts, one after the other."""
-    tokens, at = laid_out(ids, counts, len(weights["words"]) - 1)
+    tokens, at = laid_out(ids, counts, len(v["words"]) - 1)
     out = np.empty(len(at))
     for begin in range(0, len(at), STEP):
         part = at[begin : begin + STEP]
-        out[begin : begin + STEP] = log_probability(weights, contexts(tokens, part), tokens[part])
+        out[begin : begin + STEP] = _log_probability(v, contexts(tokens, part), tokens[part])
     return out
 
 
@@ -444,10 +479,11 @@ def text_scores(texts: DataFrame, model: MaskedModel) -> DataFrame:
     logs = np.where(np.arange(len(model.own.logs)) < token.first, 0.0, model.own.logs)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = joined(weights)
         for batch in slices(batches, "ids", CODED_BYTES):
             ids, counts = _decoded(token, batch.column(1))
             owner = np.repeat(np.arange(len(counts)), counts)
-            sums = np.bincount(owner, word_scores(weights, ids, counts) - logs[ids], len(counts)) + batch.column(2).to_numpy()
+            sums = np.bincount(owner, word_scores(v, ids, counts) - logs[ids], len(counts)) + batch.column(2).to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums)], ["key", "n_words", "score"])
 
     rows = texts.select("key", "ids", "known").mapInArrow(score, "key binary, n_words long, score double")
