@@ -101,10 +101,11 @@ def _merged(wh: Warehouse, contract: Table, batch: DataFrame, day: date, exec_id
         if held is not None and held > day:
             return 0
         return wh.write(batch, STG, name, day, exec_id, keys)
-    updates, inserts = Observation(), Observation()
+    seen: list[Observation] = []
 
     def merged(target: DataFrame, rows: DataFrame) -> DataFrame:
-        return merge_day(target, rows, day, keys, guard, updates, inserts)
+        seen.extend((Observation(), Observation()))
+        return merge_day(target, rows, day, keys, guard, *seen[-2:])
 
     empty = dated(batch, day, guard).limit(0)
     if wh.buckets:
@@ -114,7 +115,7 @@ def _merged(wh: Warehouse, contract: Table, batch: DataFrame, day: date, exec_id
         table = wh.keyed(STG, name, keys)
         table.merge(batch, empty, merged)
         wh.enter(STG, name, table, day, exec_id)
-    return updates.get["n"] + inserts.get["n"]
+    return sum(changed.get["n"] for changed in seen)
 
 
 def reload_from_archive(

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -35,6 +38,39 @@ def at_once(jobs: Sequence[Callable[[], _T]], width: int = _AT_ONCE) -> list[_T]
             pool.shutdown(wait=True, cancel_futures=True)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: Counter = Counter()
+_cleanup_before: dict = {}
+_cleanup_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within this block the shuffle files of a query go when it ends. Otherwise they stay until the
+    driver happens to collect its garbage, and those of one large step pile up on those of another.
+
+    Several threads may be inside; the session's own setting is back when the last one leaves.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _cleanup_lock:
+        if not _cleaning[session]:
+            _cleanup_before[session] = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _cleaning[session] += 1
+    try:
+        yield
+    finally:
+        with _cleanup_lock:
+            _cleaning[session] -= 1
+            if not _cleaning[session]:
+                del _cleaning[session]
+                before = _cleanup_before.pop(session)
+                if before is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and work tables.
 

@@ -26,7 +26,7 @@ def write_archive(df: DataFrame, path: str) -> None:
     """Add archived rows; a batch that is already there is replaced, others stay."""
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", compression="zstd")
         .partitionBy("batch_dt")
         .parquet(path)
     )

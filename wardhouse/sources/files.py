@@ -31,6 +31,11 @@ def folder_state(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path; none if it does not exist."""
+    return folder_state(spark, path)[1] if has_file(spark, path) else 0
+
+
 def has_file(spark: SparkSession, path: str) -> bool:
     fs, jvm_path = _fs(spark, path)
     return fs.exists(jvm_path)

@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardhouse.operators.dedup import any_null
-from wardhouse.sources.files import child_folders, drop_folder, has_file, move_files
+from wardhouse.session import shuffles_dropped
+from wardhouse.sources.files import child_folders, drop_folder, folder_bytes, has_file, move_files
 
 SLOT = "_slot"
 #: The slot of rows without a whole key.
 LOOSE = -1
+#: Bytes for each core up to which a merge is one step, and the steps of a larger one at most.
+AT_ONCE, STEPS = 32 << 20, 8
 
 
 @dataclass
@@ -47,13 +50,30 @@ class KeyedTable:
         self.recover()
         return self.spark.read.parquet(self.path)
 
+    def _batch_rows(self, batch: DataFrame) -> dict[int, int]:
+        """Rows of a batch in each of its slots, and no rows in that of rows without a key if the
+        table has it: at most one number for each slot."""
+        with shuffles_dropped(self.spark):
+            found = {r[0]: r[1] for r in batch.groupBy(self.slot().alias(SLOT)).count().collect()}
+        if f"{SLOT}={LOOSE}" in child_folders(self.spark, self.path):
+            found.setdefault(LOOSE, 0)
+        return dict(sorted(found.items()))
+
     def touched(self, batch: DataFrame) -> list[int]:
         """The slots of a batch, and that of rows without a key if the table has it: at most
         one number for each slot."""
-        found = {r[0] for r in batch.select(self.slot()).distinct().collect()}
-        if f"{SLOT}={LOOSE}" in child_folders(self.spark, self.path):
-            found.add(LOOSE)
-        return sorted(found)
+        return list(self._batch_rows(batch))
+
+    def _steps(self, batch: DataFrame, rows: dict[int, int]) -> list[list[int]]:
+        """The slots of a batch that are merged together: all, or some after others if that is much."""
+        n_bytes = sum(rows.values()) * batch._jdf.schema().defaultSize() + sum(
+            folder_bytes(self.spark, f"{self.path}/{SLOT}={slot}") for slot in rows
+        )
+        if n_bytes <= AT_ONCE * self.spark.sparkContext.defaultParallelism:
+            return [list(rows)]
+        keyed = [slot for slot in rows if slot != LOOSE]
+        loose = [[LOOSE]] if LOOSE in rows else []
+        return loose + [keyed[n::STEPS] for n in range(min(STEPS, len(keyed)))]
 
     def merge(
         self, batch: DataFrame, empty: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]
@@ -61,23 +81,37 @@ class KeyedTable:
         """Replace the rows of the touched slots by ``merged(rows, batch)``; the slots.
 
         ``empty`` has the table's columns, for the first batch. Rows must stay in
-        their slot, that is, keep their key.
+        their slot, that is, keep their key. A large merge calls ``merged`` for some slots
+        after others, with the rows of those slots only, so that what it shuffles is on
+        disk in parts; all are published at its end.
         """
         self.recover()
-        touched = self.touched(batch)
-        if self.exists():
-            held = self.spark.read.parquet(self.path).filter(F.col(SLOT).isin(touched)).drop(SLOT)
-        else:
-            held = empty
-        # Large slots are split over tasks, small ones share a task.
-        after = merged(held, batch).withColumn(SLOT, self.slot()).hint("rebalance", F.col(SLOT))
-        after.write.mode("overwrite").partitionBy(SLOT).parquet(self._pending)
+        rows = self._batch_rows(batch)
+        steps = self._steps(batch, rows)
+        exists = self.exists()
+        for n, slots in enumerate(steps):
+            held, some = empty, batch
+            if exists:
+                held = self.spark.read.parquet(self.path).filter(F.col(SLOT).isin(slots)).drop(SLOT)
+            if len(steps) > 1:
+                some = batch.filter(self.slot().isin(slots))
+            after = merged(held, some).withColumn(SLOT, self.slot())
+            # Large slots are split over tasks, small ones share a task. The tasks of a join have the
+            # right size for one slot already.
+            if len(steps) == 1 or slots == [LOOSE] or len(slots) > 1:
+                after = after.hint("rebalance", F.col(SLOT))
+            last = n == len(steps) - 1
+            # The mark of a finished write comes with the last step.
+            options = {"compression": "zstd", "mapreduce.fileoutputcommitter.marksuccessfuljobs": last}
+            write = after.write.mode("append" if n else "overwrite").options(**options)
+            with shuffles_dropped(self.spark):
+                write.partitionBy(SLOT).parquet(self._pending)
         kept = set(child_folders(self.spark, self._pending))
         self._publish()
-        for slot in touched:
+        for slot in rows:
             if f"{SLOT}={slot}" not in kept:
                 drop_folder(self.spark, f"{self.path}/{SLOT}={slot}")
-        return touched
+        return list(rows)
 
     def recover(self) -> None:
         """Finish a write that was cut short while folders were replaced."""

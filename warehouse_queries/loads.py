@@ -17,7 +17,7 @@ from wardhouse.operators.dedup import latest_per_key
 from wardhouse.operators.load import typed, upsert, upsert_counts
 from wardhouse.plans.audit import RunLog, step_state
 from wardhouse.plans.daily import Steps, ingest_contract, load_rows, replay_batches
-from wardhouse.session import at_once, work_path
+from wardhouse.session import at_once, shuffles_dropped, work_path
 from wardhouse.sources.archive import archived, purge, replay, write_archive
 from wardhouse.sources.batch_files import (
     batch_file,
@@ -29,6 +29,7 @@ from wardhouse.sources.batch_files import (
     summarise,
 )
 from wardhouse.sources.export import BOM, export_view
+from wardhouse.sources.files import drop_folder
 from wardhouse.sources.warehouse import OBS, STG, TCH, Warehouse
 from wardhouse.streaming.incremental import follow
 from warehouse_queries import standins as S
@@ -77,8 +78,8 @@ _ORDERS_SQL = """orders_typed AS (SELECT o_custkey AS CUSTOMER, o_orderkey AS OR
             AS URGENT FROM orders)"""
 
 
-def _as_extract(df, path):
-    df.write.options(sep=C.SEPARATOR, header="true", escape='"', emptyValue="").csv(path)
+def _as_extract(df, path, **options):
+    df.write.options(sep=C.SEPARATOR, header="true", escape='"', emptyValue="", **options).csv(path)
 
 
 def text_scan(spark, sf_dir):
@@ -515,17 +516,25 @@ _SOURCES = {
 }
 
 
+# Text is several times as large as the tables it is made of. One task reads a whole compressed shard.
+_SHARDS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 500_000}
+
+
 def replay_days(spark, sf_dir):
     """All seven extracts of two days (keys by parity) as files, loaded oldest first in logged steps."""
     inputs, day1, day2 = work_path(spark, "days"), *map(parse_batch_date, ("2026-04-29", "2026-04-30"))
 
     def extract(name, source, key):
         contract = C.TABLES[name]
-        rows = written(source(spark, sf_dir))
+        path, made = work_path(spark, "table"), source(spark, sf_dir)
+        with shuffles_dropped(spark):
+            made.write.parquet(path)
+        rows = spark.read.schema(made.schema).parquet(path)
         texts = [F.col(c.staged).cast("string").alias(c.source) for c in contract.columns]
         for part, day in enumerate((day1, day2)):
             of_day = rows.filter(F.pmod(F.expr(key), F.lit(2)) == part)
-            _as_extract(of_day.select(*texts), batch_file(inputs, day, name))
+            _as_extract(of_day.select(*texts), batch_file(inputs, day, name), **_SHARDS)
+        drop_folder(spark, path)
 
     at_once([partial(extract, name, source, key) for name, (source, _, key) in _SOURCES.items()])
     wh = Warehouse(spark, work_path(spark, "replayed"), slots=4)
