@@ -24,6 +24,20 @@ def small(df: DataFrame) -> bool:
     return int(str(size)) <= most
 
 
+def bucketed(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the frame reads files bucketed on the keys only, so that a join on them leaves it where it is."""
+
+    def on_keys(leaf) -> bool:
+        relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
+        if relation is None or relation.getClass().getSimpleName() != "HadoopFsRelation":
+            return False
+        spec = relation.bucketSpec()
+        return spec.isDefined() and spec.get().bucketColumnNames().mkString("\n") == "\n".join(keys)
+
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return leaves.length() > 0 and all(on_keys(leaves.apply(n)) for n in range(leaves.length()))
+
+
 def _code(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 

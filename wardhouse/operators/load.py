@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wardhouse.contracts import Table
 from wardhouse.functions.casts import blank_to_null, safe_cast
 from wardhouse.operators.dedup import any_null, latest_per_key
-from wardhouse.operators.joins import small
+from wardhouse.operators.joins import bucketed, small
 
 
 def typed(raw: DataFrame, table: Table, wrong: bool = False) -> DataFrame:
@@ -186,9 +186,10 @@ def merge_day(
     source = latest_in_batch(batch, keys, guard).select(*business)
     keyed = source.select(*keys, F.struct(*business, F.lit(day).alias(DAY)).alias("_new"))
     held = target.filter(~any_null(keys))
-    # A batch that Spark broadcasts meets the target where it is, in two joins. Otherwise
-    # both sides are moved, once, for one join; neither side repeats a key.
-    whole = not small(source)
+    # A batch that Spark broadcasts, or any for a target bucketed on the keys, meets the target
+    # where it is, in two joins. Otherwise both sides are moved, once, for one join; neither side
+    # repeats a key.
+    whole = not small(source) and not bucketed(held, keys)
     if whole:
         joined = held.withColumn("_held", F.lit(True)).join(keyed, list(keys), "full")
     else:
