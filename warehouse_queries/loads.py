@@ -516,6 +516,8 @@ _SOURCES = {
 }
 
 
+# Written once, then read for each day; the others are columns of one table.
+_JOINED = ("TRAITEMENT",)
 # Text is several times as large as the tables it is made of. One task reads a whole compressed shard.
 _SHARDS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 500_000}
 
@@ -526,10 +528,11 @@ def replay_days(spark, sf_dir):
 
     def extract(name, source, key):
         contract = C.TABLES[name]
-        path, made = work_path(spark, "table"), source(spark, sf_dir)
-        with shuffles_dropped(spark):
-            made.write.parquet(path)
-        rows = spark.read.schema(made.schema).parquet(path)
+        path, rows = work_path(spark, "table"), source(spark, sf_dir)
+        if name in _JOINED:
+            with shuffles_dropped(spark):
+                rows.write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
         texts = [F.col(c.staged).cast("string").alias(c.source) for c in contract.columns]
         for part, day in enumerate((day1, day2)):
             of_day = rows.filter(F.pmod(F.expr(key), F.lit(2)) == part)
